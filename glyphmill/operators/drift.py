@@ -119,12 +119,12 @@ def _statistics(running: DataFrame, bins: int) -> tuple[int, int, float | None,
 
     wanted = F.exists(F.array(*[F.lit(share) for share in shares]).cast("array<double>"), holds_edge)
     row = running.agg(
-        F.max("all_ref").alias("n_ref"),
-        F.max("all_new").alias("n_new"),
+        F.max("all_ref").alias("ref_rows"),
+        F.max("all_new").alias("new_rows"),
         F.max(gap).alias("ks_stat"),
         F.collect_list(F.when(wanted, F.struct("cum_ref", "value"))).alias("steps"),
     ).first()
-    n_ref = row["n_ref"] or 0
+    n_ref = row["ref_rows"] or 0
     steps = sorted((step["cum_ref"], float(step["value"])) for step in row["steps"])
 
     def value_at(rank: int) -> float:
@@ -137,7 +137,7 @@ def _statistics(running: DataFrame, bins: int) -> tuple[int, int, float | None,
         # The nearer end is the base, which keeps the edge exact there.
         return above - (above - below) * (1 - weight) if weight >= 0.5 else below + (above - below) * weight
 
-    return n_ref, row["n_new"] or 0, row["ks_stat"], [edge(share) for share in shares] if n_ref else []
+    return n_ref, row["new_rows"] or 0, row["ks_stat"], [edge(share) for share in shares] if n_ref else []
 
 
 def ks_pvalue(stat: Column, n_ref: Column, n_new: Column) -> Column:

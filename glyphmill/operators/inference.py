@@ -18,7 +18,8 @@ from glyphmill.functions.text import filled
 from glyphmill.operators import models
 from glyphmill.operators.schemas import prediction_schema
 
-_SHIPPED = "spark.glyphmill.shipped"
+# Applications that have this package on their workers already.
+_SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -28,7 +29,7 @@ def ship_package(spark: SparkSession) -> None:
     tasks of a worker when it is imported there by name.
     """
     context = spark.sparkContext
-    if context.getLocalProperty(_SHIPPED):
+    if context.applicationId in _SHIPPED:
         return
     root = Path(__file__).resolve().parents[1]
     fd, name = tempfile.mkstemp(prefix="glyphmill-", suffix=".zip")
@@ -36,7 +37,7 @@ def ship_package(spark: SparkSession) -> None:
         for source in sorted(root.rglob("*.py")):
             archive.write(source, source.relative_to(root.parent))
     context.addPyFile(name)
-    context.setLocalProperty(_SHIPPED, "yes")
+    _SHIPPED.add(context.applicationId)
 
 
 def infer_batches(

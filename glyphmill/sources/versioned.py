@@ -12,6 +12,7 @@ commit and are never read. One writer at a time; any number of readers.
 
 from __future__ import annotations
 
+import json
 import uuid
 from dataclasses import dataclass
 from datetime import UTC, datetime
@@ -66,7 +67,7 @@ def _string_partitions(schema: StructType, partition_by: tuple[str, ...]) -> Str
 
 def _read_files(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     # The schema is given: inference would turn the string ingest_date into a date.
-    return spark.read.schema(schema.add(StructField(_WRITE_ID, StringType()))).parquet(path)
+    return spark.read.schema(StructType([*schema.fields, StructField(_WRITE_ID, StringType())])).parquet(path)
 
 
 def stage_write(rows: DataFrame, params: DomainParams, ingest_date: str | None = None) -> StagedWrite:
@@ -89,7 +90,7 @@ def stage_write(rows: DataFrame, params: DomainParams, ingest_date: str | None =
     schema = _string_partitions(stamped.schema, target.partition_by)
     earlier = _visible(spark, target.path)
     if target.mode == "append" and earlier:
-        kept = StructType.fromJson(_parse(earlier[-1].schema))
+        kept = StructType.fromJson(json.loads(earlier[-1].schema))
         if _shape(kept) != _shape(schema):
             raise ValueError(f"schema of the append differs from {target.path}: {_shape(kept)} / {_shape(schema)}")
     write_id = uuid.uuid4().hex
@@ -119,12 +120,6 @@ def write_table(rows: DataFrame, params: DomainParams, ingest_date: str | None =
     return params.lakehouse.path
 
 
-def _parse(text: str) -> dict:
-    import json
-
-    return json.loads(text)
-
-
 def _shape(schema: StructType) -> list[tuple[str, str]]:
     return [(item.name, item.dataType.simpleString()) for item in schema.fields]
 
@@ -148,6 +143,6 @@ def read_table(spark: SparkSession, path: str, version: int | None = None) -> Da
     visible = _visible(spark, path, version)
     if not visible:
         raise ValueError(f"{path} holds no committed version")
-    schema = StructType.fromJson(_parse(visible[-1].schema))
+    schema = StructType.fromJson(json.loads(visible[-1].schema))
     files = _read_files(spark, path, schema)
     return files.where(F.col(_WRITE_ID).isin([commit.write_id for commit in visible])).drop(_WRITE_ID)
