@@ -7,31 +7,37 @@ from pyspark.sql import functions as F
 
 from glyphmill.functions.arrays import bind
 
-_SCALE_BITS = 62
+# Fixed value: scores carry four decimal places.
+_PLACES = 4
 
 
-def round_exact(value: Column, digits: int = 4) -> Column:
-    """Round to ``digits`` places by the exact binary value, ties to even.
+def round_exact(value: Column) -> Column:
+    """Round to four places by the exact binary value, ties to even.
 
-    Spark's ``round`` looks at the shortest decimal rendering, so 2.675 becomes
-    2.68 although the stored double lies below the tie. Scores are rounded by
-    their stored value here: the double times 2^62 is a whole number, and whole
-    numbers round without error. Values outside (-2, 2) use Spark's ``round``.
+    Spark's ``round`` looks at the shortest decimal rendering, so 0.90245 becomes
+    0.9025 although the stored double lies below the tie. Here the double is
+    first made a whole number by a power of two, which is exact, and whole
+    numbers round without error. Small values get a larger power, so that all
+    their bits count. Values outside (-2, 2) use Spark's ``round``.
     """
-    ten = 10**digits
-    divisor = F.lit(str(2 ** (_SCALE_BITS + 1))).cast("decimal(20,0)")
-    half = F.lit(2**_SCALE_BITS).cast("decimal(20,0)")
+    ten = 10**_PLACES
 
-    def to_units(shifted: Column) -> Column:
-        half_up = F.call_function("div", shifted, divisor)
-        is_tie = (shifted % divisor) == F.lit(0)
-        return half_up - F.when(is_tie, half_up % 2).otherwise(F.lit(0))
+    def units(x: Column, bits: int) -> Column:
+        divisor = F.lit(str(2 ** (bits + 1))).cast("decimal(22,0)")
+        half = F.lit(str(2**bits)).cast("decimal(22,0)")
+
+        def nearest(shifted: Column) -> Column:
+            half_up = F.call_function("div", shifted, divisor)
+            is_tie = (shifted % divisor) == F.lit(0)
+            return half_up - F.when(is_tie, half_up % 2).otherwise(F.lit(0))
+
+        whole = (F.abs(x) * F.lit(2.0**bits)).cast("bigint").cast("decimal(20,0)")
+        return bind(whole * F.lit(2 * ten).cast("decimal(10,0)") + half, nearest)
 
     def rounded(x: Column) -> Column:
-        whole = (F.abs(x) * F.lit(2.0**_SCALE_BITS)).cast("bigint").cast("decimal(20,0)")
-        units = bind(whole * F.lit(2 * ten).cast("decimal(10,0)") + half, to_units)
-        exact = F.signum(x) * (units.cast("double") / F.lit(float(ten)))
-        return F.when(F.abs(x) < F.lit(2.0), exact).otherwise(F.round(x, digits))
+        magnitude = F.when(F.abs(x) < F.lit(2.0**-9), units(x, 71)).otherwise(units(x, 62))
+        exact = F.signum(x) * (magnitude.cast("double") / F.lit(float(ten)))
+        return F.when(F.abs(x) < F.lit(2.0), exact).otherwise(F.round(x, _PLACES))
 
     return bind(value, rounded)
 

@@ -17,6 +17,9 @@ from glyphmill.functions.numeric import compensated_sum, round_exact
 from glyphmill.functions.text import WORD, filled, stable_unit, tokens
 from glyphmill.operators.schemas import ENTITY
 
+# Java looks back by whole code points only if the pattern itself holds one beyond
+# U+FFFF. U+10000 is a letter, so naming it changes nothing else.
+_WORD_BEFORE = WORD.replace("]", "\U00010000]")
 # A larger lexicon is looked up by batched inference instead of one pattern.
 MAX_PATTERN_TERMS = 500
 # Above this many terms a lexicon table is joined by shuffle, not broadcast.
@@ -58,7 +61,7 @@ def lexicon_entities(corpus: DataFrame, lexicon: EntityLexicon = SPANISH_CLINICA
 
     forms = sorted({form for term in types for form in surface_forms(term)}, key=len, reverse=True)
     listed = "|".join(re.escape(form) for form in forms)
-    pattern = f"(?iu)(?<!{WORD})(?:{listed})(?!{WORD})"
+    pattern = f"(?iu)(?<!{_WORD_BEFORE})(?:{listed})(?!{WORD})"
     known = F.create_map(
         *[
             part
@@ -103,7 +106,7 @@ def roll_up(frame: DataFrame) -> DataFrame:
         .withColumn(
             "confidence",
             F.when(F.col("n_entities") == 0, F.lit(0.0)).otherwise(
-                round_exact(compensated_sum(scores) / F.greatest(F.col("n_entities"), F.lit(1)), 4)
+                round_exact(compensated_sum(scores) / F.greatest(F.col("n_entities"), F.lit(1)))
             ),
         )
     )
@@ -162,7 +165,7 @@ def lexicon_table(terms: DataFrame) -> DataFrame:
 
     ``min_by`` combines on the map side, so a term listed very often stays cheap.
     """
-    score = round_exact(F.lit(0.7) + F.lit(0.29) * stable_unit(F.col("term")), 4)
+    score = round_exact(F.lit(0.7) + F.lit(0.29) * stable_unit(F.col("term")))
     return terms.groupBy("term").agg(F.min_by("type", "priority").alias("type")).withColumn("score", score)
 
 

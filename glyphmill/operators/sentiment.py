@@ -39,7 +39,7 @@ def confidence_of(text: Column, positive: Column, negative: Column) -> Column:
     """A base from the text's stable unit plus a margin for the evidence, at most 0.99."""
     margin = F.least(F.abs(positive - negative) * F.lit(0.1), F.lit(0.3))
     raw = F.lit(0.6) + F.lit(0.3) * stable_unit(text) + margin
-    return F.least(round_exact(raw, 4), F.lit(0.99))
+    return F.least(round_exact(raw), F.lit(0.99))
 
 
 def lexicon_sentiment(corpus: DataFrame, lexicon: PolarityLexicon = SPANISH_POLARITY) -> DataFrame:

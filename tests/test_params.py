@@ -1,0 +1,60 @@
+import pytest
+
+from glyphmill.params import DomainParams, params_from_mapping
+from glyphmill.plans.domains import BANKING, EDUCATION, HEALTH
+
+BASE = {
+    "domain": "x",
+    "data": {"raw_path": "d.csv", "text_column": "t"},
+    "model": {"task": "ner", "model_name": "m"},
+    "lakehouse": {"path": "lh"},
+}
+
+
+def changed(section, **values):
+    return {**BASE, section: {**BASE.get(section, {}), **values}}
+
+
+def test_domains_differ_by_parameters_only():
+    assert HEALTH.model.task == "ner" and HEALTH.model.entity_types
+    for params in (EDUCATION, BANKING):
+        assert params.model.task == "sentiment" and params.model.labels
+    for params in (HEALTH, EDUCATION, BANKING):
+        assert params.lakehouse.partition_by == ("domain", "ingest_date")
+
+
+def test_defaults_and_unknown_keys():
+    params = params_from_mapping({**BASE, "comment": "ignored"})
+    assert isinstance(params, DomainParams)
+    assert (params.model.batch_size, params.model.max_length) == (16, 256)
+    assert params.lakehouse.mode == "append"
+    assert (params.quality.min_confidence, params.quality.psi_threshold) == (0.5, 0.2)
+    assert params.quality.ks_pvalue_threshold == 0.05
+    assert params.data.id_column is None
+
+
+@pytest.mark.parametrize(
+    "raw",
+    [
+        changed("model", task="translation"),
+        changed("model", batch_size=0),
+        changed("model", max_length=-1),
+        changed("model", batch_size=True),
+        changed("lakehouse", mode="merge"),
+        changed("quality", min_confidence=1.5),
+        changed("quality", psi_threshold=0),
+        changed("quality", ks_pvalue_threshold=1.1),
+        changed("data", text_column=""),
+        {key: value for key, value in BASE.items() if key != "data"},
+        {**BASE, "model": {"task": "ner"}},
+        {**BASE, "model": "ner"},
+    ],
+)
+def test_invalid_parameters_fail(raw):
+    with pytest.raises(ValueError):
+        params_from_mapping(raw)
+
+
+def test_bounds_are_inclusive():
+    params = params_from_mapping(changed("quality", min_confidence=1.0, ks_pvalue_threshold=1.0))
+    assert params.quality.min_confidence == 1.0
