@@ -147,7 +147,7 @@ def normalize_raw_spans(spark, sf):
         F.sum("end").alias("sum_end"),
         F.avg("score").alias("mean_score"),
     )
-    return _rounded(grouped, mean_score=6)
+    return _rounded(grouped, mean_score=10)
 
 
 def batch_inference(spark, sf):
@@ -203,12 +203,12 @@ def low_confidence_flag(spark, sf):
 
 def confidence_summary_sentiment(spark, sf):
     summary = confidence_summary(_sentiment(spark, sf), MIN_CONFIDENCE)
-    return _rounded(summary, mean_confidence=6, pct_low_confidence=6)
+    return _rounded(summary, mean_confidence=10, pct_low_confidence=10)
 
 
 def entity_coverage(spark, sf):
     summary = confidence_summary(_entities(spark, sf), MIN_CONFIDENCE)
-    return _rounded(summary, mean_confidence=6, pct_low_confidence=6, coverage=6)
+    return _rounded(summary, mean_confidence=10, pct_low_confidence=10, coverage=10)
 
 
 def label_counts_sentiment(spark, sf):
@@ -216,7 +216,7 @@ def label_counts_sentiment(spark, sf):
 
 
 def summary_long_form(spark, sf):
-    return _rounded(summary_report(_sentiment(spark, sf), MIN_CONFIDENCE), value=6)
+    return _rounded(summary_report(_sentiment(spark, sf), MIN_CONFIDENCE), value=10)
 
 
 def _truth(spark, sf):
@@ -234,17 +234,17 @@ def truth_pairs(spark, sf):
 
 def reliability(spark, sf):
     table = reliability_against_truth(_sentiment(spark, sf), _truth(spark, sf))
-    return _rounded(table, mean_confidence=6, accuracy=6)
+    return _rounded(table, mean_confidence=10, accuracy=10)
 
 
 def reliability_of_pairs(spark, sf):
     table = reliability_table(pair_with_truth(_sentiment(spark, sf), _truth(spark, sf)), n_bins=7)
-    return _rounded(table, mean_confidence=6, accuracy=6)
+    return _rounded(table, mean_confidence=10, accuracy=10)
 
 
 def calibration_error(spark, sf):
     table = reliability_against_truth(_sentiment(spark, sf), _truth(spark, sf))
-    return _rounded(expected_calibration_error(table), ece=6)
+    return _rounded(expected_calibration_error(table), ece=10)
 
 
 # --- drift ---------------------------------------------------------------------
@@ -259,11 +259,11 @@ def _by_source(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def text_length_drift_by_language(spark, sf):
-    return _rounded(text_length_drift(*_by_language(_documents(spark, sf))), psi=6, ks_stat=9, ks_pvalue=6)
+    return _rounded(text_length_drift(*_by_language(_documents(spark, sf))), psi=6, ks_stat=9, ks_pvalue=9)
 
 
 def text_length_drift_by_source(spark, sf):
-    return _rounded(text_length_drift(*_by_source(_documents(spark, sf))), psi=6, ks_stat=9, ks_pvalue=6)
+    return _rounded(text_length_drift(*_by_source(_documents(spark, sf))), psi=6, ks_stat=9, ks_pvalue=9)
 
 
 def numeric_drift_price(spark, sf):
@@ -271,7 +271,7 @@ def numeric_drift_price(spark, sf):
     drift = numeric_drift(
         lines.where("l_returnflag = 'N'"), lines.where("l_returnflag <> 'N'"), "l_extendedprice"
     )
-    return _rounded(drift, psi=6, ks_stat=9, ks_pvalue=6)
+    return _rounded(drift, psi=6, ks_stat=9, ks_pvalue=9)
 
 
 def psi_labels(spark, sf):
@@ -286,7 +286,7 @@ def psi_languages_by_source(spark, sf):
 def _drift_report(spark, sf, split):
     rows = lexicon_sentiment(_documents(spark, sf), POLARITY)
     report = drift_report(*split(rows), QUALITY)
-    return _rounded(report, length_psi=6, length_ks_stat=9, length_ks_pvalue=6, label_psi=6)
+    return _rounded(report, length_psi=6, length_ks_stat=9, length_ks_pvalue=9, label_psi=6)
 
 
 def drift_report_by_language(spark, sf):
@@ -366,7 +366,7 @@ def versioned_overwrite(spark, sf):
 
 
 def _report(spark, runs) -> DataFrame:
-    return _rounded(run_report(spark, runs), value=6)
+    return _rounded(run_report(spark, runs), value=10)
 
 
 def domain_run_report(spark, sf):

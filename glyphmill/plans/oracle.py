@@ -108,7 +108,7 @@ def _categorical(batches: str, name: str = "cat") -> str:
 
 
 _BY_LANGUAGE, _BY_SOURCE = "lang = 'en'", "source < 'src2'"
-_NUMERIC_ROW = "SELECT n_ref, n_new, round(psi, 6) AS psi, round(d, 9) AS ks_stat, round(p, 6) AS ks_pvalue FROM totals, psi, pv"
+_NUMERIC_ROW = "SELECT n_ref, n_new, round(psi, 6) AS psi, round(d, 9) AS ks_stat, round(p, 9) AS ks_pvalue FROM totals, psi, pv"
 
 
 def _length_batches(is_ref: str, table: str = f"({_DOCS})") -> str:
@@ -118,27 +118,27 @@ def _length_batches(is_ref: str, table: str = f"({_DOCS})") -> str:
 def _report(is_ref: str) -> str:
     return f"""WITH {_sentiment()}, {_numeric(_length_batches(is_ref, 'sent'))},
 {_categorical(f'SELECT label AS category, {is_ref} AS is_ref FROM sent')}
-SELECT n_ref, n_new, round(psi.psi, 6) AS length_psi, round(d, 9) AS length_ks_stat, round(p, 6) AS length_ks_pvalue,
+SELECT n_ref, n_new, round(psi.psi, 6) AS length_psi, round(d, 9) AS length_ks_stat, round(p, 9) AS length_ks_pvalue,
     round(cat.psi, 6) AS label_psi, (psi.psi > 0.2 OR p < 0.05 OR cat.psi > 0.2) AS drift_detected
 FROM totals, psi, pv, cat"""
 
 
 def _summary(table: str) -> str:
-    return f"""count(*) AS n, round(avg(confidence), 6) AS mean_confidence,
-    round(avg(CASE WHEN confidence < 0.85 THEN 1.0 ELSE 0.0 END), 6) AS pct_low_confidence FROM {table}"""
+    return f"""count(*) AS n, round(avg(confidence), 10) AS mean_confidence,
+    round(avg(CASE WHEN confidence < 0.85 THEN 1.0 ELSE 0.0 END), 10) AS pct_low_confidence FROM {table}"""
 
 
 def _metrics(table: str, sentiment: bool) -> str:
     """Long form of the summary of ``table``."""
     parts = [
         f"SELECT 'n' AS metric, {_dbl('count(*)')} AS value FROM {table}",
-        f"SELECT 'mean_confidence', round(avg(confidence), 6) FROM {table}",
-        f"SELECT 'pct_low_confidence', round(avg(CASE WHEN confidence < 0.85 THEN 1.0 ELSE 0.0 END), 6) FROM {table}",
+        f"SELECT 'mean_confidence', round(avg(confidence), 10) FROM {table}",
+        f"SELECT 'pct_low_confidence', round(avg(CASE WHEN confidence < 0.85 THEN 1.0 ELSE 0.0 END), 10) FROM {table}",
     ]
     if sentiment:
         parts.append(f"SELECT 'label_counts.' || label, {_dbl('count(*)')} FROM {table} GROUP BY label")
     else:
-        parts.append(f"SELECT 'coverage', round(avg(CASE WHEN n_entities > 0 THEN 1.0 ELSE 0.0 END), 6) FROM {table}")
+        parts.append(f"SELECT 'coverage', round(avg(CASE WHEN n_entities > 0 THEN 1.0 ELSE 0.0 END), 10) FROM {table}")
         parts.append(f"SELECT 'total_entities', {_dbl('sum(n_entities)')} FROM {table}")
     return " UNION ALL ".join(parts)
 
@@ -210,7 +210,7 @@ span AS (SELECT id, CASE WHEN length(w) > 1 THEN w ELSE '' END AS text,
     CASE WHEN lang <> 'fr' THEN i ELSE 0 END AS start, i + length(w) AS "end",
     CASE WHEN lang <> 'de' THEN {_dbl('length(w)')} / (length(w) + 1.0) ELSE 0.0 END AS score FROM tok)
 SELECT id, type, count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS n_chars, CAST(sum(start) AS BIGINT) AS sum_start,
-    CAST(sum("end") AS BIGINT) AS sum_end, round(avg(score), 6) AS mean_score FROM span GROUP BY id, type"""
+    CAST(sum("end") AS BIGINT) AS sum_end, round(avg(score), 10) AS mean_score FROM span GROUP BY id, type"""
 
 _SENTIMENT_ROWS = f"WITH {_sentiment()} SELECT id, label, confidence FROM sent"
 _NER_ROWS = f"WITH {_NER} SELECT id, n_entities, confidence FROM ner"
@@ -235,15 +235,15 @@ ORACLE: dict[str, str] = {
     "contract_ner": _CONTRACT_NER,
     "low_confidence_flag": f"WITH {_sentiment()} SELECT id, confidence, confidence < 0.85 AS low_confidence FROM sent",
     "confidence_summary": f"WITH {_sentiment()} SELECT {_summary('sent')}",
-    "entity_coverage": f"""WITH {_NER} SELECT round(avg(CASE WHEN n_entities > 0 THEN 1.0 ELSE 0.0 END), 6) AS coverage,
+    "entity_coverage": f"""WITH {_NER} SELECT round(avg(CASE WHEN n_entities > 0 THEN 1.0 ELSE 0.0 END), 10) AS coverage,
         CAST(sum(n_entities) AS BIGINT) AS total_entities, {_summary('ner')}""",
     "label_counts": f"WITH {_sentiment()} SELECT label, count(*) AS n FROM sent GROUP BY label",
     "summary_long_form": f"WITH {_sentiment()} {_metrics('sent', True)}",
     "truth_pairs": f"{_PAIRS} SELECT * FROM pairs",
-    "reliability_table": f"{_PAIRS}, {_reliability(10)} SELECT bin, round(mean_confidence, 6) AS mean_confidence, round(accuracy, 6) AS accuracy, n FROM rel",
-    "reliability_of_pairs": f"{_PAIRS}, {_reliability(7)} SELECT bin, round(mean_confidence, 6) AS mean_confidence, round(accuracy, 6) AS accuracy, n FROM rel",
+    "reliability_table": f"{_PAIRS}, {_reliability(10)} SELECT bin, round(mean_confidence, 10) AS mean_confidence, round(accuracy, 10) AS accuracy, n FROM rel",
+    "reliability_of_pairs": f"{_PAIRS}, {_reliability(7)} SELECT bin, round(mean_confidence, 10) AS mean_confidence, round(accuracy, 10) AS accuracy, n FROM rel",
     "calibration_error": f"""{_PAIRS}, {_reliability(10)} SELECT CAST(sum(n) AS BIGINT) AS n,
-        round(sum(n * abs(mean_confidence - accuracy)) / sum(n), 6) AS ece FROM rel""",
+        round(sum(n * abs(mean_confidence - accuracy)) / sum(n), 10) AS ece FROM rel""",
     "text_length_drift": f"WITH {_numeric(_length_batches(_BY_LANGUAGE))} {_NUMERIC_ROW}",
     "text_length_drift_by_source": f"WITH {_numeric(_length_batches(_BY_SOURCE))} {_NUMERIC_ROW}",
     "numeric_drift": "WITH "
