@@ -27,16 +27,17 @@ def confidence_bin(confidence: Column, n_bins: int) -> Column:
     return F.when(confidence.between(0.0, 1.0), exact.cast("int"))
 
 
-def _binned(rows: DataFrame, n_bins: int) -> DataFrame:
-    binned = rows.withColumn("bin", confidence_bin(F.col("confidence"), n_bins))
-    return binned.where(F.col("bin").isNotNull())
-
-
 def _table(parts: DataFrame) -> DataFrame:
-    return parts.groupBy("bin").agg(
-        F.try_divide(F.sum("conf_sum"), F.sum("n")).alias("mean_confidence"),
-        F.try_divide(F.sum("correct_sum"), F.sum("correct_n")).alias("accuracy"),
-        F.sum("n").alias("n"),
+    # Rows outside [0, 1] form a group of their own with n = 0. It is dropped last:
+    # a filter on the bin would move below the model and run it a second time.
+    return (
+        parts.groupBy("bin")
+        .agg(
+            F.try_divide(F.sum("conf_sum"), F.sum("n")).alias("mean_confidence"),
+            F.try_divide(F.sum("correct_sum"), F.sum("correct_n")).alias("accuracy"),
+            F.sum("n").alias("n"),
+        )
+        .where(F.col("n") > 0)
     )
 
 
@@ -47,12 +48,12 @@ def reliability_table(rows: DataFrame, n_bins: int = 10) -> DataFrame:
     """
     correct = nan_to_null(F.col("correct").cast("double"))
     return _table(
-        _binned(rows, n_bins).select(
+        rows.withColumn("bin", confidence_bin(F.col("confidence"), n_bins)).select(
             "bin",
             F.col("confidence").alias("conf_sum"),
             correct.alias("correct_sum"),
             correct.isNotNull().cast("bigint").alias("correct_n"),
-            F.lit(1).cast("bigint").alias("n"),
+            F.col("bin").isNotNull().cast("bigint").alias("n"),
         )
     )
 
@@ -81,9 +82,9 @@ def reliability_against_truth(predictions: DataFrame, truth: DataFrame, n_bins:
     occurs, it then reaches the join as a few rows, so no task gets a hot id.
     """
     parts = (
-        _binned(predictions, n_bins)
+        predictions.withColumn("bin", confidence_bin(F.col("confidence"), n_bins))
         .groupBy("id", "label", "bin")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("confidence").alias("conf_sum"))
+        .agg(F.count("bin").alias("n"), F.sum("confidence").alias("conf_sum"))
     )
     paired = parts.join(truth_by_id(truth), "id").withColumn("hit", F.col("label") == F.col("truth"))
     return _table(

@@ -48,6 +48,22 @@ def _integer_range(value: Column) -> Column:
     return F.floor(value / _INTEGER_RANGE).cast("bigint")
 
 
+def _position(value: Column, cuts: list[float], upper: bool) -> Column:
+    """How many of the sorted cuts lie below ``value`` (with ``upper``: at or below).
+
+    A balanced tree of comparisons: log2(n) steps per row, compiled code.
+    """
+
+    def search(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        beyond = value >= F.lit(cuts[middle]) if upper else value > F.lit(cuts[middle])
+        return F.when(beyond, search(middle + 1, high)).otherwise(search(low, middle))
+
+    return search(0, len(cuts))
+
+
 def _sampled_range(histogram: DataFrame, n_ranges: int = 200) -> Column:
     """Ranges of about equally many distinct values, for any numeric column.
 
@@ -57,10 +73,7 @@ def _sampled_range(histogram: DataFrame, n_ranges: int = 200) -> Column:
     """
     shares = [i / n_ranges for i in range(1, n_ranges)]
     bounds = histogram.agg(F.percentile_approx("value", shares, 10_000)).first()[0] or []
-    cuts = sorted(set(bounds))
-    if not cuts:
-        return F.lit(0).cast("bigint")
-    return F.size(F.filter(F.array(*[F.lit(cut) for cut in cuts]), lambda cut: cut < F.col("value"))).cast("bigint")
+    return _position(F.col("value"), sorted(set(bounds)), upper=False)
 
 
 def _running(histogram: DataFrame, value_range: Column) -> DataFrame:
@@ -169,8 +182,7 @@ def _numeric_drift(histogram: DataFrame, value_range: Column, bins: int) -> Data
 
     # Bins are [a, b): a value on tied edges belongs to the last of them. Bins that
     # neither batch reaches have equal shares and add nothing.
-    edges = F.array(*[F.lit(cut) for cut in cuts]).cast("array<double>")
-    bin_of = F.size(F.filter(edges, lambda edge: edge <= F.col("value")))
+    bin_of = _position(F.col("value").cast("double"), cuts, upper=True)
     counts = _histogram(histogram.withColumn("bin", bin_of), "bin")
 
     def share(part: str, total: Column) -> Column:

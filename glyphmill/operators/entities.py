@@ -20,6 +20,9 @@ from glyphmill.operators.schemas import ENTITY
 # Java looks back by whole code points only if the pattern itself holds one beyond
 # U+FFFF. U+10000 is a letter, so naming it changes nothing else.
 _WORD_BEFORE = WORD.replace("]", "\U00010000]")
+# Drops the rows of empty arrays. A plain explode has Spark test the array's size
+# below the projection that makes it, which makes the array a second time.
+_ELEMENT = "ordinal IS NOT NULL"
 # A larger lexicon is looked up by batched inference instead of one pattern.
 MAX_PATTERN_TERMS = 500
 # Above this many terms a lexicon table is joined by shuffle, not broadcast.
@@ -61,7 +64,9 @@ def lexicon_entities(corpus: DataFrame, lexicon: EntityLexicon = SPANISH_CLINICA
 
     forms = sorted({form for term in types for form in surface_forms(term)}, key=len, reverse=True)
     listed = "|".join(re.escape(form) for form in forms)
-    pattern = f"(?iu)(?<!{_WORD_BEFORE})(?:{listed})(?!{WORD})"
+    # The first letter is the cheapest test, and it fails at most positions.
+    initials = "".join(sorted({form[0] for form in forms}))
+    pattern = f"(?iu)(?=[{initials}])(?<!{_WORD_BEFORE})(?:{listed})(?!{WORD})"
     known = F.create_map(
         *[
             part
@@ -140,7 +145,8 @@ def normalize_spans(frame: DataFrame, raw_spans: str = "raw_spans") -> DataFrame
 
 def flatten_entities(rows: DataFrame) -> DataFrame:
     """One row per entity: ``id, ordinal, text, type, start, end, score``."""
-    return rows.select("id", F.posexplode("entities").alias("ordinal", "e")).select("id", "ordinal", "e.*")
+    exploded = rows.select("id", F.posexplode_outer("entities").alias("ordinal", "e"))
+    return exploded.where(_ELEMENT).select("id", "ordinal", "e.*")
 
 
 def token_spans(corpus: DataFrame) -> DataFrame:
@@ -157,7 +163,8 @@ def token_spans(corpus: DataFrame) -> DataFrame:
             ),
         ),
     )
-    return corpus.select("id", F.explode(spans).alias("t")).select("id", "t.*")
+    exploded = corpus.select("id", F.posexplode_outer(spans).alias("ordinal", "t"))
+    return exploded.where(_ELEMENT).select("id", "t.*")
 
 
 def lexicon_table(terms: DataFrame) -> DataFrame:

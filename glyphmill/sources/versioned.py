@@ -32,6 +32,7 @@ class StagedWrite:
     """Data that is written but not visible yet."""
 
     path: str
+    version: int
     write_id: str
     mode: str
     partition_by: tuple[str, ...]
@@ -88,7 +89,7 @@ def stage_write(rows: DataFrame, params: DomainParams, ingest_date: str | None =
     if unknown:
         raise ValueError(f"partition columns not in the data: {unknown}")
     schema = _string_partitions(stamped.schema, target.partition_by)
-    earlier = _visible(spark, target.path)
+    earlier = _commit_rows(spark, target.path)
     if target.mode == "append" and earlier:
         kept = StructType.fromJson(json.loads(earlier[-1].schema))
         if _shape(kept) != _shape(schema):
@@ -98,20 +99,22 @@ def stage_write(rows: DataFrame, params: DomainParams, ingest_date: str | None =
         *target.partition_by, _WRITE_ID
     ).parquet(target.path)
     written = _read_files(spark, target.path, schema).where(F.col(_WRITE_ID) == write_id).drop(_WRITE_ID)
-    return StagedWrite(target.path, write_id, target.mode, target.partition_by, schema, written)
+    version = earlier[-1].version + 1 if earlier else 0
+    return StagedWrite(target.path, version, write_id, target.mode, target.partition_by, schema, written)
 
 
 def commit_write(spark: SparkSession, staged: StagedWrite, n_rows: int | None = None) -> int:
-    """Make a staged write visible and return its version."""
+    """Make a staged write visible and return its version.
+
+    Fails if that version exists, i.e. another write was committed since staging.
+    """
     if n_rows is None:
         n_rows = staged.rows.count()  # answered from the Parquet footers
-    newest = _commits(spark, staged.path).agg(F.max("version")).first()[0]
-    version = 0 if newest is None else newest + 1
-    commit = (version, datetime.now(UTC), staged.mode, n_rows, staged.write_id, staged.schema.json())
+    commit = (staged.version, datetime.now(UTC), staged.mode, n_rows, staged.write_id, staged.schema.json())
     spark.createDataFrame([commit], _COMMIT_SCHEMA).coalesce(1).write.mode("errorifexists").json(
-        f"{_commit_dir(staged.path)}/version={version}"
+        f"{_commit_dir(staged.path)}/version={staged.version}"
     )
-    return version
+    return staged.version
 
 
 def write_table(rows: DataFrame, params: DomainParams, ingest_date: str | None = None) -> str:
@@ -124,9 +127,14 @@ def _shape(schema: StructType) -> list[tuple[str, str]]:
     return [(item.name, item.dataType.simpleString()) for item in schema.fields]
 
 
+def _commit_rows(spark: SparkSession, path: str) -> list:
+    """All commits in order, on the driver: one row per write, not per datum."""
+    return sorted(_commits(spark, path).collect(), key=lambda commit: commit.version)
+
+
 def _visible(spark: SparkSession, path: str, version: int | None = None) -> list:
-    """Commits a version consists of: back to the latest overwrite. One row per write, not per datum."""
-    commits = _commits(spark, path).orderBy("version").collect()
+    """Commits a version consists of: back to the latest overwrite."""
+    commits = _commit_rows(spark, path)
     if version is not None:
         if version not in {commit.version for commit in commits}:
             raise ValueError(f"{path} has no version {version}")
