@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from glyphmill.functions.numeric import nan_to_null
+from glyphmill.operators.joins import is_small, join_unique
 
 
 def confidence_bin(confidence: Column, n_bins: int) -> Column:
@@ -69,18 +70,25 @@ def truth_by_id(truth: DataFrame) -> DataFrame:
     )
 
 
+def _pairs(predictions: DataFrame, truth: DataFrame, small: bool) -> DataFrame:
+    joined = join_unique(predictions, truth_by_id(truth), "id", small)
+    return joined.withColumn("correct", F.col("label") == F.col("truth")).drop("truth")
+
+
 def pair_with_truth(predictions: DataFrame, truth: DataFrame) -> DataFrame:
     """Predictions that have a known truth, with ``correct``; ids without truth drop out."""
-    joined = predictions.join(truth_by_id(truth), "id")
-    return joined.withColumn("correct", F.col("label") == F.col("truth")).drop("truth")
+    return _pairs(predictions, truth, small=is_small(truth))
 
 
 def reliability_against_truth(predictions: DataFrame, truth: DataFrame, n_bins: int = 10) -> DataFrame:
     """``reliability_table`` of ``(id, label, confidence)`` rows against ``(id, truth)``.
 
-    Predictions are first summed per id, label and bin. However often one id
+    A small truth is broadcast and nothing but the bins is shuffled. Otherwise
+    predictions are first summed per id, label and bin. However often one id
     occurs, it then reaches the join as a few rows, so no task gets a hot id.
     """
+    if is_small(truth):
+        return reliability_table(_pairs(predictions, truth, small=True), n_bins)
     parts = (
         predictions.withColumn("bin", confidence_bin(F.col("confidence"), n_bins))
         .groupBy("id", "label", "bin")

@@ -15,6 +15,7 @@ from glyphmill.functions.arrays import bind, running_sum
 from glyphmill.functions.lexicon import SPANISH_CLINICAL, EntityLexicon, surface_forms, term_score
 from glyphmill.functions.numeric import compensated_sum, round_exact
 from glyphmill.functions.text import WORD, filled, stable_unit, tokens
+from glyphmill.operators.joins import is_small, join_unique
 from glyphmill.operators.schemas import ENTITY
 
 # Java looks back by whole code points only if the pattern itself holds one beyond
@@ -25,8 +26,6 @@ _WORD_BEFORE = WORD.replace("]", "\U00010000]")
 _ELEMENT = "ordinal IS NOT NULL"
 # A larger lexicon is looked up by batched inference instead of one pattern.
 MAX_PATTERN_TERMS = 500
-# Above this many terms a lexicon table is joined by shuffle, not broadcast.
-MAX_BROADCAST_TERMS = 200_000
 
 
 def _matches_with_ends(text: Column, pattern: str, found: Column) -> Column:
@@ -180,11 +179,8 @@ def join_entities(corpus: DataFrame, terms: DataFrame) -> DataFrame:
     """Entities from a lexicon held as a table: ``id, text, type, start, end, score``.
 
     A lexicon of checked size is broadcast, so tokens stay where they are. Beyond
-    that size tokens and terms are joined by shuffle; each term is one row, so
-    AQE can split a frequent token over many tasks at the price of copying it.
+    that size tokens and terms are joined by shuffle, frequent tokens salted.
     """
-    lexicon = lexicon_table(terms)
-    small = lexicon.limit(MAX_BROADCAST_TERMS + 1).count() <= MAX_BROADCAST_TERMS
-    side = F.broadcast(lexicon) if small else lexicon
     found = token_spans(corpus).withColumn("term", F.lower("text"))
-    return found.join(side, "term").select("id", "text", "type", "start", "end", "score")
+    joined = join_unique(found, lexicon_table(terms), "term", small=is_small(terms))
+    return joined.select("id", "text", "type", "start", "end", "score")

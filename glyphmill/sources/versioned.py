@@ -58,7 +58,8 @@ def _commits(spark: SparkSession, path: str) -> DataFrame:
     if not _exists(spark, _commit_dir(path)):
         return spark.createDataFrame([], _COMMIT_SCHEMA)
     # The quoted pattern names the folders; hidden folders are not listed by default.
-    return spark.read.schema(_COMMIT_SCHEMA).json(f"{_commit_dir(path)}/version=*")
+    root = _commit_dir(path)
+    return spark.read.schema(_COMMIT_SCHEMA).option("basePath", root).json(f"{root}/version=*")
 
 
 def _string_partitions(schema: StructType, partition_by: tuple[str, ...]) -> StructType:
@@ -110,10 +111,15 @@ def commit_write(spark: SparkSession, staged: StagedWrite, n_rows: int | None =
     """
     if n_rows is None:
         n_rows = staged.rows.count()  # answered from the Parquet footers
-    commit = (staged.version, datetime.now(UTC), staged.mode, n_rows, staged.write_id, staged.schema.json())
-    spark.createDataFrame([commit], _COMMIT_SCHEMA).coalesce(1).write.mode("errorifexists").json(
-        f"{_commit_dir(staged.path)}/version={staged.version}"
-    )
+    commit = {
+        "committed_at": datetime.now(UTC),
+        "mode": staged.mode,
+        "n_rows": n_rows,
+        "write_id": staged.write_id,
+        "schema": staged.schema.json(),
+    }
+    one = spark.range(0, 1, 1, 1).select(*[F.lit(value).alias(name) for name, value in commit.items()])
+    one.write.mode("errorifexists").json(f"{_commit_dir(staged.path)}/version={staged.version}")
     return staged.version
 
 
@@ -129,6 +135,8 @@ def _shape(schema: StructType) -> list[tuple[str, str]]:
 
 def _commit_rows(spark: SparkSession, path: str) -> list:
     """All commits in order, on the driver: one row per write, not per datum."""
+    if not _exists(spark, _commit_dir(path)):
+        return []
     return sorted(_commits(spark, path).collect(), key=lambda commit: commit.version)
 
 

@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from glyphmill.operators import joins as joins_module
 from glyphmill.operators.calibration import (
     confidence_bin,
     expected_calibration_error,
@@ -101,13 +102,18 @@ def test_calibration_error_of_nothing_and_outside_values(spark):
     assert tuple(expected_calibration_error(reliability_table(frame)).first()) == (1, 0.5)
 
 
-def test_truth_join(spark):
+@pytest.mark.parametrize("limit,hot", [(200_000, 10**6), (1, 10**6), (1, 20)])
+def test_truth_join(spark, monkeypatch, limit, hot):
+    monkeypatch.setattr(joins_module, "MAX_BROADCAST_ROWS", limit)
+    monkeypatch.setattr(joins_module, "HOT_ROWS", hot)
     schema = "id string, label string, confidence double"
     rows = [("a", "POS", 0.9), ("a", "NEG", 0.9), ("b", "POS", 0.2), ("c", "POS", 0.3)] + [("hot", "POS", 0.8)] * 40
     predictions = spark.createDataFrame(rows, schema)
     truth = spark.createDataFrame([("a", "POS"), ("a", "POS"), ("b", "NEG"), ("hot", "POS"), ("z", "POS")], "id string, truth string")
-    pairs = pair_with_truth(predictions, truth)
-    assert pairs.count() == 43
+    pairs = pair_with_truth(predictions.repartition(8), truth)
+    assert pairs.columns == ["id", "label", "confidence", "correct"]
+    hits = [("a", "POS", True), ("a", "NEG", False), ("b", "POS", False)] + [("hot", "POS", True)] * 40
+    assert sorted((r["id"], r["label"], r["correct"]) for r in pairs.collect()) == sorted(hits)
     direct = sorted(map(tuple, reliability_table(pairs).collect()))
     summed = sorted(map(tuple, reliability_against_truth(predictions, truth).collect()))
     assert [(b, n) for b, _, _, n in direct] == [(b, n) for b, _, _, n in summed]

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from glyphmill.functions.lexicon import SPANISH_CLINICAL, SPANISH_POLARITY, EntityLexicon, PolarityLexicon
 from glyphmill.operators import entities as entities_module
+from glyphmill.operators import joins as joins_module
 from glyphmill.operators.entities import flatten_entities, join_entities, lexicon_entities, normalize_spans
 from glyphmill.operators.models import LexiconEntities, LexiconSentiment
 from glyphmill.operators.schemas import output_schema
@@ -102,9 +103,10 @@ def test_empty_lexicon(corpus):
     assert lexicon_sentiment(corpus(["bueno"]), PolarityLexicon.of([], [])).first()["label"] == "NEU"
 
 
-@pytest.mark.parametrize("limit", [200_000, 2])
-def test_joined_lexicon_equals_lexicon_entities(spark, corpus, edge_texts, monkeypatch, limit):
-    monkeypatch.setattr(entities_module, "MAX_BROADCAST_TERMS", limit)
+@pytest.mark.parametrize("limit,hot", [(200_000, 1), (2, 10**6), (2, 5)])
+def test_joined_lexicon_equals_lexicon_entities(spark, corpus, edge_texts, monkeypatch, limit, hot):
+    monkeypatch.setattr(joins_module, "MAX_BROADCAST_ROWS", limit)
+    monkeypatch.setattr(joins_module, "HOT_ROWS", hot)
     listed = [(t, kind, i) for i, (kind, terms) in enumerate(SPANISH_CLINICAL.by_type) for t in terms]
     terms = spark.createDataFrame([*listed, ("tos", "OTHER", 9)], "term string, type string, priority int")
     found = join_entities(corpus(edge_texts), terms).collect()
