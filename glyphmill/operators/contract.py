@@ -81,13 +81,13 @@ def contract_rules(frame: DataFrame, model: ModelParams) -> list[Rule]:
 def rule_counts(rules: list[Rule]) -> list[Column]:
     """One count per rule, named ``rule_<i>``; may share a pass with other aggregates."""
     return [
-        (F.lit(1).cast("bigint") if rule.failed is None else F.count_if(rule.failed)).alias(f"rule_{i}")
+        (F.count(F.lit(None)) + 1 if rule.failed is None else F.count_if(rule.failed)).alias(f"rule_{i}")
         for i, rule in enumerate(rules)
     ]
 
 
-def broken_rules(rules: list[Rule], counts: Row) -> list[tuple[str, str, int]]:
-    """The failures in a collected ``rule_counts`` row."""
+def broken_rules(rules: list[Rule], counts: Row | dict[str, int]) -> list[tuple[str, str, int]]:
+    """The failures in collected ``rule_counts``."""
     return [(rule.column, rule.check, counts[f"rule_{i}"]) for i, rule in enumerate(rules) if counts[f"rule_{i}"]]
 
 

@@ -62,29 +62,33 @@ def run_domain(
 ) -> RunResult:
     """Read, structure, store, check and summarise one domain.
 
-    The model runs once: its output is written first, invisible to readers, and
-    the contract and the summary are computed together in one pass over the
-    stored columns. Rows become a version of the table only if the contract
-    holds; otherwise ``ContractViolation`` is raised and the table is as before.
-    Nothing is cached, so a lost executor costs no second, perhaps different,
-    inference of rows that were already checked.
+    The model runs once: its output is written, invisible to readers, while the
+    contract and the summary are computed over the same rows. They become a
+    version of the table only if the contract holds; otherwise
+    ``ContractViolation`` is raised and the table is as before. Nothing is
+    cached, so a lost executor costs no second, perhaps different, inference of
+    rows that were already checked.
     """
     corpus = spread(read_text(spark, params.data, id_strategy))
-    staged = stage_write(structure(corpus, params, mode, lexicon), params, ingest_date)
-
-    rows = staged.rows
+    rows = structure(corpus, params, mode, lexicon)
     rules = contract_rules(rows, params.model)
     labels = params.model.labels if params.model.task == "sentiment" else ()
-    audit = rows.agg(
-        *summary_aggregates(rows.columns, params.quality.min_confidence),
-        *rule_counts(rules),
-        *[F.count_if(F.col("label") == label).alias(f"label_{i}") for i, label in enumerate(labels)],
-    ).first()
+    staged = stage_write(
+        rows,
+        params,
+        ingest_date,
+        metrics=[
+            *summary_aggregates(rows.columns, params.quality.min_confidence),
+            *rule_counts(rules),
+            *[F.count_if(F.col("label") == label).alias(f"label_{i}") for i, label in enumerate(labels)],
+        ],
+    )
+    audit = staged.metrics
     failures = broken_rules(rules, audit)
     if failures:
         raise ContractViolation(failures)
 
-    version = commit_write(spark, staged, audit["n"])
+    version = commit_write(spark, staged)
     names = ("n", "mean_confidence", "pct_low_confidence", "coverage", "total_entities")
     summary = {name: audit[name] for name in names if name in audit}
     if labels:

@@ -14,17 +14,19 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import UTC, datetime
+from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from glyphmill.params import DomainParams
 
 _COMMIT_SCHEMA = "version int, committed_at timestamp, mode string, n_rows bigint, write_id string, schema string"
-_WRITE_ID = "write_id"
+_WRITE_ID, _N_ROWS = "write_id", "n_rows"
 
 
 @dataclass(frozen=True)
@@ -37,6 +39,7 @@ class StagedWrite:
     mode: str
     partition_by: tuple[str, ...]
     schema: StructType
+    metrics: dict[str, Any]
     rows: DataFrame
 
 
@@ -72,12 +75,15 @@ def _read_files(spark: SparkSession, path: str, schema: StructType) -> DataFrame
     return spark.read.schema(StructType([*schema.fields, StructField(_WRITE_ID, StringType())])).parquet(path)
 
 
-def stage_write(rows: DataFrame, params: DomainParams, ingest_date: str | None = None) -> StagedWrite:
+def stage_write(
+    rows: DataFrame, params: DomainParams, ingest_date: str | None = None, metrics: Sequence[Column] = ()
+) -> StagedWrite:
     """Write ``rows`` with their ``domain`` and ``ingest_date``, invisible to readers.
 
     Files go where their tasks run: the partition values of one write are
-    constants, so no shuffle is needed. ``StagedWrite.rows`` reads the files
-    back, so that checks see exactly what is stored.
+    constants, so no shuffle is needed. ``metrics`` are named aggregates over the
+    rows as they are written, at no pass of their own; the last stage's tasks
+    count once each, also when they are retried.
     """
     spark, target = rows.sparkSession, params.lakehouse
     stamped = rows.withColumns(
@@ -95,26 +101,27 @@ def stage_write(rows: DataFrame, params: DomainParams, ingest_date: str | None =
         kept = StructType.fromJson(json.loads(earlier[-1].schema))
         if _shape(kept) != _shape(schema):
             raise ValueError(f"schema of the append differs from {target.path}: {_shape(kept)} / {_shape(schema)}")
-    write_id = uuid.uuid4().hex
-    stamped.withColumn(_WRITE_ID, F.lit(write_id)).write.mode("append").partitionBy(
+    write_id, observed = uuid.uuid4().hex, Observation()
+    measured = stamped.observe(observed, F.count(F.lit(1)).alias(_N_ROWS), *metrics)
+    measured.withColumn(_WRITE_ID, F.lit(write_id)).write.mode("append").partitionBy(
         *target.partition_by, _WRITE_ID
     ).parquet(target.path)
     written = _read_files(spark, target.path, schema).where(F.col(_WRITE_ID) == write_id).drop(_WRITE_ID)
     version = earlier[-1].version + 1 if earlier else 0
-    return StagedWrite(target.path, version, write_id, target.mode, target.partition_by, schema, written)
+    return StagedWrite(
+        target.path, version, write_id, target.mode, target.partition_by, schema, observed.get, written
+    )
 
 
-def commit_write(spark: SparkSession, staged: StagedWrite, n_rows: int | None = None) -> int:
+def commit_write(spark: SparkSession, staged: StagedWrite) -> int:
     """Make a staged write visible and return its version.
 
     Fails if that version exists, i.e. another write was committed since staging.
     """
-    if n_rows is None:
-        n_rows = staged.rows.count()  # answered from the Parquet footers
     commit = {
         "committed_at": datetime.now(UTC),
         "mode": staged.mode,
-        "n_rows": n_rows,
+        "n_rows": staged.metrics[_N_ROWS],
         "write_id": staged.write_id,
         "schema": staged.schema.json(),
     }
