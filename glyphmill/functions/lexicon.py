@@ -7,6 +7,13 @@ import re
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
+from glyphmill.functions.text import WORD
+
+# A larger word list is looked up token by token instead of by one pattern.
+MAX_PATTERN_TERMS = 500
+# Java looks back by whole code points only if the pattern itself holds one beyond
+# U+FFFF. U+10000 is a letter, so naming it changes nothing else.
+_WORD_BEFORE = WORD.replace("]", "\U00010000]")
 _WORD_ONLY = re.compile(r"\w+")
 
 
@@ -64,6 +71,21 @@ def surface_forms(term: str) -> list[str]:
     return [form] if _WORD_ONLY.fullmatch(form) else []
 
 
+def term_pattern(terms: Iterable[str]) -> str:
+    """A Java pattern for whole tokens that may lower-case to one of ``terms``.
+
+    Ignoring case finds a little more than lower-casing does, so callers look the
+    lower-cased match up again. Terms that no token can equal are left out; a
+    pattern of no terms matches nothing.
+    """
+    forms = sorted({form for term in terms for form in surface_forms(term)}, key=lambda form: (-len(form), form))
+    if not forms:
+        return "(?!)"
+    # The first letter is the cheapest test, and it fails at most positions.
+    initials = "".join(sorted({form[0] for form in forms}))
+    return f"(?iu)(?=[{initials}])(?<!{_WORD_BEFORE})(?:{'|'.join(forms)})(?!{WORD})"
+
+
 # The default Spanish word lists.
 SPANISH_POLARITY = PolarityLexicon.of(
     positive=[

@@ -20,11 +20,6 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(f"{WORD}+"), F.lit(0))
 
 
-def distinct_lower_tokens(text: Column) -> Column:
-    """Each lower-cased token once."""
-    return F.array_distinct(F.transform(tokens(text), F.lower))
-
-
 def stable_unit(text: Column) -> Column:
     """A reproducible value in [0, 1]: the first 8 hex digits of SHA-256 over their maximum."""
     return F.conv(F.substring(F.sha2(text, 256), 1, 8), 16, 10).cast("double") / F.lit(float(0xFFFFFFFF))

@@ -64,13 +64,16 @@ def _position(value: Column, cuts: list[float], upper: bool) -> Column:
     return search(0, len(cuts))
 
 
-def _sampled_range(histogram: DataFrame, n_ranges: int = 200) -> Column:
+def _sampled_range(histogram: DataFrame, n_ranges: int | None = None) -> Column:
     """Ranges of about equally many distinct values, for any numeric column.
 
-    The bounds are collected once (at most ``n_ranges`` numbers), so all parts of
+    There are as many as shuffle partitions (at most 512). The bounds are collected once (at most ``n_ranges`` numbers), so all parts of
     a plan and all retried tasks cut the values at the same places. Bounds that
     are only approximate change the balance, never the result.
     """
+    if n_ranges is None:
+        configured = int(histogram.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        n_ranges = min(max(configured, 2), 512)
     shares = [i / n_ranges for i in range(1, n_ranges)]
     bounds = histogram.agg(F.percentile_approx("value", shares, 10_000)).first()[0] or []
     return _position(F.col("value"), sorted(set(bounds)), upper=False)

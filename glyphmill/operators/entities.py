@@ -6,27 +6,20 @@ from one row's own arrays and the text never leaves its task.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from glyphmill.functions import lexicon as lexicon_module
 from glyphmill.functions.arrays import bind, running_sum
-from glyphmill.functions.lexicon import SPANISH_CLINICAL, EntityLexicon, surface_forms, term_score
+from glyphmill.functions.lexicon import SPANISH_CLINICAL, EntityLexicon, term_pattern, term_score
 from glyphmill.functions.numeric import compensated_sum, round_exact
 from glyphmill.functions.text import WORD, filled, stable_unit, tokens
 from glyphmill.operators.joins import is_small, join_unique
 from glyphmill.operators.schemas import ENTITY
 
-# Java looks back by whole code points only if the pattern itself holds one beyond
-# U+FFFF. U+10000 is a letter, so naming it changes nothing else.
-_WORD_BEFORE = WORD.replace("]", "\U00010000]")
 # Drops the rows of empty arrays. A plain explode has Spark test the array's size
 # below the projection that makes it, which makes the array a second time.
 _ELEMENT = "ordinal IS NOT NULL"
-# A larger lexicon is looked up by batched inference instead of one pattern.
-MAX_PATTERN_TERMS = 500
-
 
 def _matches_with_ends(text: Column, pattern: str, found: Column) -> Column:
     """struct(found, ends): the matches and the end offset of each, in code points.
@@ -53,7 +46,7 @@ def lexicon_entities(corpus: DataFrame, lexicon: EntityLexicon = SPANISH_CLINICA
     surface form and the span ``[start, end)``.
     """
     types = lexicon.term_types()
-    if len(types) > MAX_PATTERN_TERMS:
+    if len(types) > lexicon_module.MAX_PATTERN_TERMS:
         from glyphmill.operators.inference import infer_batches
 
         return infer_batches(corpus, "ner", mode="mock", lexicon=lexicon)
@@ -61,11 +54,7 @@ def lexicon_entities(corpus: DataFrame, lexicon: EntityLexicon = SPANISH_CLINICA
     if not types:
         return roll_up(prepared.withColumn("entities", F.array().cast(f"array<{ENTITY.simpleString()}>")))
 
-    forms = sorted({form for term in types for form in surface_forms(term)}, key=len, reverse=True)
-    listed = "|".join(re.escape(form) for form in forms)
-    # The first letter is the cheapest test, and it fails at most positions.
-    initials = "".join(sorted({form[0] for form in forms}))
-    pattern = f"(?iu)(?=[{initials}])(?<!{_WORD_BEFORE})(?:{listed})(?!{WORD})"
+    pattern = term_pattern(types)
     known = F.create_map(
         *[
             part
@@ -91,7 +80,6 @@ def lexicon_entities(corpus: DataFrame, lexicon: EntityLexicon = SPANISH_CLINICA
                 ),
             )
 
-        # Ignoring case finds a little more than lower-casing does; the map decides.
         return F.filter(F.transform(s["found"], entity), lambda e: e.isNotNull())
 
     text = F.col("text")

@@ -7,10 +7,11 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from glyphmill.functions import lexicon as lexicon_module
 from glyphmill.functions.arrays import bind
-from glyphmill.functions.lexicon import SPANISH_POLARITY, PolarityLexicon
+from glyphmill.functions.lexicon import SPANISH_POLARITY, PolarityLexicon, term_pattern
 from glyphmill.functions.numeric import round_exact
-from glyphmill.functions.text import distinct_lower_tokens, filled, stable_unit
+from glyphmill.functions.text import filled, stable_unit, tokens
 
 
 def evidence(distinct_tokens: Column, words: Iterable[str]) -> Column:
@@ -21,11 +22,16 @@ def evidence(distinct_tokens: Column, words: Iterable[str]) -> Column:
 
 def polarity_counts(text: Column, lexicon: PolarityLexicon) -> Column:
     """struct(positive, negative): distinct listed tokens of either polarity."""
+    words = lexicon.positive | lexicon.negative
+    if len(words) <= lexicon_module.MAX_PATTERN_TERMS:
+        found = F.regexp_extract_all(text, F.lit(term_pattern(words)), F.lit(0))
+    else:
+        found = tokens(text)
     return bind(
-        distinct_lower_tokens(text),
-        lambda found: F.struct(
-            evidence(found, lexicon.positive).alias("positive"),
-            evidence(found, lexicon.negative).alias("negative"),
+        F.array_distinct(F.transform(found, F.lower)),
+        lambda distinct: F.struct(
+            evidence(distinct, lexicon.positive).alias("positive"),
+            evidence(distinct, lexicon.negative).alias("negative"),
         ),
     )
 

@@ -24,7 +24,7 @@ from glyphmill.operators.entities import flatten_entities, join_entities, lexico
 from glyphmill.operators.inference import infer_batches
 from glyphmill.operators.sentiment import lexicon_sentiment
 from glyphmill.params import DomainParams, ModelParams, QualityParams, SourceParams, TableParams
-from glyphmill.plans.run import run_domain, run_report
+from glyphmill.plans.run import run_domain, run_domains, run_report
 from glyphmill.sources.corpus import read_raw, read_text, spread
 from glyphmill.sources.scratch import scratch_path
 from glyphmill.sources.versioned import read_table, table_history, write_table
@@ -383,11 +383,11 @@ def multi_domain_report(spark, sf):
         "conversations": (SourceParams(f"{sf}/conversations.parquet", "text"), SENTIMENT, POLARITY),
         "benchmark": (SourceParams(f"{sf}/benchmark.parquet", "text", "item_id"), SENTIMENT, POLARITY),
     }
-    runs = []
-    for name, (data, model, lexicon) in sources.items():
-        params = replace(_domain(scratch_path(spark, name), model=model, domain=name), data=data)
-        runs.append(run_domain(spark, params, "mock", FIRST_DAY, lexicon))
-    return _report(spark, runs)
+    jobs = [
+        (replace(_domain(scratch_path(spark, name), model=model, domain=name), data=data), lexicon)
+        for name, (data, model, lexicon) in sources.items()
+    ]
+    return _report(spark, run_domains(spark, jobs, "mock", FIRST_DAY))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

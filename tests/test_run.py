@@ -4,7 +4,7 @@ import pytest
 
 from glyphmill.operators.contract import ContractViolation
 from glyphmill.plans.domains import BANKING, EDUCATION, HEALTH
-from glyphmill.plans.run import run_domain, run_report, structure
+from glyphmill.plans.run import run_domain, run_domains, run_report, structure
 from glyphmill.sources.versioned import read_table, table_history
 
 SENTIMENT_LINES = ["Excelente curso, muy claro", "Pésimo y desorganizado", "El curso es en la sala 3"]
@@ -45,6 +45,18 @@ def test_ner_domain(spark, tmp_path, source):
     assert back.where("n_entities = 0").count() == 7 and "entities" in back.columns
 
 
+def test_domains_run_together(spark, tmp_path, source):
+    jobs = [
+        (domain.at(source(domain.domain, SENTIMENT_LINES), str(tmp_path / domain.domain)), None)
+        for domain in (EDUCATION, BANKING)
+    ]
+    results = run_domains(spark, jobs, mode="mock", ingest_date="d")
+    assert [result.domain for result in results] == ["education", "banking"]
+    assert all(result.summary["n"] == 30 for result in results)
+    with pytest.raises(ValueError, match="own path"):
+        run_domains(spark, [jobs[0], jobs[0]], mode="mock")
+
+
 def test_violation_publishes_nothing(spark, tmp_path, source):
     good = EDUCATION.at(source("education", SENTIMENT_LINES), str(tmp_path / "table"))
     run_domain(spark, good, mode="mock", ingest_date="d1")

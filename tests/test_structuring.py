@@ -1,8 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
+from glyphmill.functions import lexicon as lexicon_module
 from glyphmill.functions.lexicon import SPANISH_CLINICAL, SPANISH_POLARITY, EntityLexicon, PolarityLexicon
-from glyphmill.operators import entities as entities_module
 from glyphmill.operators import joins as joins_module
 from glyphmill.operators.entities import flatten_entities, join_entities, lexicon_entities, normalize_spans
 from glyphmill.operators.models import LexiconEntities, LexiconSentiment
@@ -10,6 +10,12 @@ from glyphmill.operators.schemas import output_schema
 from glyphmill.operators.sentiment import lexicon_sentiment
 
 
+ODD = EntityLexicon.of(
+    {"X": ["i̇stanbul", "k", "ς", "σας", "Tos", "dos palabras", "", "a.c", "groß", "ſ", "of", "off"]}
+)
+ODD_TEXTS = ["İSTANBUL i̇stanbul istanbul", "K k Σ σ ς ΣΑΣ", "TOS Tos tos", "dos palabras", "abc a.c", "GROß GROẞ gross", "S s ſ", "off of offs"]
+
+
 def by_id(frame):
     return {int(row["id"]): row for row in frame.collect()}
 
@@ -38,6 +44,19 @@ def test_sentiment_equals_row_model(corpus, edge_texts):
         assert (rows[i]["label"], rows[i]["confidence"]) == (wanted["label"], wanted["confidence"])
 
 
+def test_large_polarity_lexicon(corpus, edge_texts, monkeypatch):
+    small = by_id(lexicon_sentiment(corpus(edge_texts)))
+    monkeypatch.setattr(lexicon_module, "MAX_PATTERN_TERMS", 3)
+    assert by_id(lexicon_sentiment(corpus(edge_texts))) == small
+
+
+def test_unusual_polarity_words_match_as_in_python(corpus):
+    lexicon = PolarityLexicon.of(ODD.by_type[0][1], ["gross", "s"])
+    rows = by_id(lexicon_sentiment(corpus(ODD_TEXTS), lexicon))
+    for i, wanted in enumerate(LexiconSentiment(lexicon).predict(ODD_TEXTS)):
+        assert (rows[i]["label"], rows[i]["confidence"]) == (wanted["label"], wanted["confidence"]), ODD_TEXTS[i]
+
+
 def test_sentiment_counts_distinct_words(corpus):
     rows = by_id(lexicon_sentiment(corpus(["bueno BUENO bueno malo lento"])))
     assert rows[0]["label"] == "NEG"
@@ -76,22 +95,16 @@ def test_first_type_wins(corpus):
     assert [e["type"] for e in row["entities"]] == ["SYMPTOM", "DRUG"]
 
 
-ODD = EntityLexicon.of(
-    {"X": ["i̇stanbul", "k", "ς", "σας", "Tos", "dos palabras", "", "a.c", "groß", "ſ", "of", "off"]}
-)
-
-
 def test_unusual_terms_match_as_in_python(corpus):
-    texts = ["İSTANBUL i̇stanbul istanbul", "K k Σ σ ς ΣΑΣ", "TOS Tos tos", "dos palabras", "abc a.c", "GROß GROẞ gross", "S s ſ", "off of offs"]
     model = LexiconEntities(ODD)
-    rows = by_id(lexicon_entities(corpus(texts), ODD))
-    for i, wanted in enumerate(model.predict(texts)):
-        assert [e.asDict() for e in rows[i]["entities"]] == wanted["entities"], texts[i]
+    rows = by_id(lexicon_entities(corpus(ODD_TEXTS), ODD))
+    for i, wanted in enumerate(model.predict(ODD_TEXTS)):
+        assert [e.asDict() for e in rows[i]["entities"]] == wanted["entities"], ODD_TEXTS[i]
 
 
 def test_large_lexicon_takes_the_batched_path(corpus, edge_texts, monkeypatch):
     small = by_id(lexicon_entities(corpus(edge_texts)))
-    monkeypatch.setattr(entities_module, "MAX_PATTERN_TERMS", 3)
+    monkeypatch.setattr(lexicon_module, "MAX_PATTERN_TERMS", 3)
     frame = lexicon_entities(corpus(edge_texts))
     assert "ArrowEvalPython" in frame._jdf.queryExecution().executedPlan().toString()
     assert by_id(frame) == small
