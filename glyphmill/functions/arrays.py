@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Values summed per block in `running_sum`.
@@ -21,6 +21,17 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def with_fixed(frame: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column that is computed once, whatever is done with it later.
+
+    A filter on a computed column normally moves below the projection, where the
+    value is computed a second time, and even below a shuffle that was to spread
+    the work. A generator is a border for such filters only: those on other
+    columns still move below it. One array of one element gives one row.
+    """
+    return frame.select("*", F.explode_outer(F.array(value)).alias(name))
+
+
 def _running_sum_block(values: Column) -> Column:
     empty = F.array().cast("array<int>")
     return F.aggregate(

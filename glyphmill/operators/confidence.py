@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from glyphmill.functions.numeric import nan_to_null
+from glyphmill.sources.scratch import materialize
 
 
 def is_low(confidence: Column, min_confidence: float) -> Column:
@@ -54,8 +55,8 @@ def label_counts(rows: DataFrame) -> DataFrame:
 def summary_report(rows: DataFrame, min_confidence: float) -> DataFrame:
     """The summary in long form, ``(metric, value)``; labels appear as ``label_counts.<label>``.
 
-    Rows with labels are grouped by label first and the groups then combined, so
-    the histogram and the totals come from one pass over the data.
+    Rows with labels are grouped by label first; the groups are stored and then
+    combined, so the histogram and the totals come from one pass over the data.
     """
     conf = nan_to_null(F.col("confidence"))
     low = is_low(F.col("confidence"), min_confidence)
@@ -69,6 +70,8 @@ def summary_report(rows: DataFrame, min_confidence: float) -> DataFrame:
     if has_entities:
         parts += [F.count_if(F.col("n_entities") > 0).alias("n_found"), F.sum("n_entities").alias("entities")]
     grouped = rows.groupBy(*(["label"] if has_label else [])).agg(*parts)
+    if has_label:
+        grouped = materialize(grouped, "summary")
 
     n = F.sum("n")
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from glyphmill.functions import lexicon as lexicon_module
-from glyphmill.functions.arrays import bind, running_sum
+from glyphmill.functions.arrays import bind, running_sum, with_fixed
 from glyphmill.functions.lexicon import SPANISH_CLINICAL, EntityLexicon, term_pattern, term_score
 from glyphmill.functions.numeric import compensated_sum, round_exact
 from glyphmill.functions.text import WORD, filled, stable_unit, tokens
@@ -85,7 +85,7 @@ def lexicon_entities(corpus: DataFrame, lexicon: EntityLexicon = SPANISH_CLINICA
     text = F.col("text")
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     entities = bind(_matches_with_ends(text, pattern, hits), build)
-    return roll_up(prepared.withColumn("entities", entities))
+    return roll_up(with_fixed(prepared, "entities", entities))
 
 
 def roll_up(frame: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from glyphmill.functions.arrays import with_fixed
 from glyphmill.functions.text import filled
 from glyphmill.operators import models
 from glyphmill.operators.schemas import prediction_schema
@@ -55,7 +56,7 @@ def infer_batches(
 
     Only the text column travels to Python and only the prediction comes back,
     as Arrow batches; the other columns stay in the JVM. So filters on them run
-    before the model does, and a query that drops the prediction skips it.
+    before the model does, and filters on the prediction after it, never twice.
 
     What is sent to the workers is the model's name (and the word list of a
     lexicon model), never weights. ``load`` replaces the named models by any
@@ -87,6 +88,6 @@ def infer_batches(
     if not deterministic:
         model_column = model_column.asNondeterministic()
     prepared = corpus.withColumn("text", filled(F.col("text")))
-    return prepared.withColumn("_prediction", model_column("text")).select(
+    return with_fixed(prepared, "_prediction", model_column("text")).select(
         *prepared.columns, *[F.col(f"_prediction.{name}").alias(name) for name in schema.fieldNames()]
     )

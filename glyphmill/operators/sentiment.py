@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from glyphmill.functions import lexicon as lexicon_module
-from glyphmill.functions.arrays import bind
+from glyphmill.functions.arrays import bind, with_fixed
 from glyphmill.functions.lexicon import SPANISH_POLARITY, PolarityLexicon, term_pattern
 from glyphmill.functions.numeric import round_exact
 from glyphmill.functions.text import filled, stable_unit, tokens
@@ -50,9 +50,8 @@ def confidence_of(text: Column, positive: Column, negative: Column) -> Column:
 
 def lexicon_sentiment(corpus: DataFrame, lexicon: PolarityLexicon = SPANISH_POLARITY) -> DataFrame:
     """Add ``label`` and ``confidence`` to an ``(id, text)`` corpus."""
-    counted = corpus.withColumn("text", filled(F.col("text"))).withColumn(
-        "_found", polarity_counts(F.col("text"), lexicon)
-    )
+    prepared = corpus.withColumn("text", filled(F.col("text")))
+    counted = with_fixed(prepared, "_found", polarity_counts(F.col("text"), lexicon))
     positive, negative = F.col("_found.positive"), F.col("_found.negative")
     return counted.withColumns(
         {

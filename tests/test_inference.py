@@ -39,9 +39,15 @@ def test_filters_on_other_columns_run_before_the_model(corpus):
     assert frame.count() == 1
 
 
-def test_unused_prediction_skips_the_model(corpus):
-    plan = infer_batches(corpus(["a"]), "ner", mode="mock").select("id")._jdf.queryExecution().executedPlan()
-    assert "Python" not in plan.toString()
+def test_filters_on_the_prediction_do_not_run_the_model_twice(corpus):
+    for frame in (
+        infer_batches(corpus(["bueno", "malo", "x"]), "sentiment", mode="mock"),
+        lexicon_sentiment(corpus(["bueno", "malo", "x"])),
+    ):
+        found = frame.where("label = 'POS' AND confidence > 0.1")
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("predict(") + plan.count("regexp_extract_all") == 1
+        assert [row["id"] for row in found.collect()] == ["0"]
 
 
 def test_batches_respect_batch_size(corpus):

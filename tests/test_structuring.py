@@ -158,9 +158,9 @@ def test_each_pattern_is_evaluated_once(corpus):
     assert plan.count("regexp_extract_all") == 1 and plan.count("sha2") == 1
 
 
-def test_unused_prediction_is_pruned(corpus):
-    plan = lexicon_sentiment(corpus(["a"])).select("id")._jdf.queryExecution().optimizedPlan().toString()
-    assert "regexp" not in plan and "sha2" not in plan
+def test_unused_confidence_is_pruned(corpus):
+    plan = lexicon_sentiment(corpus(["a"])).select("label")._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp" in plan and "sha2" not in plan
 
 
 def test_row_local_operators_run_on_a_stream(spark, tmp_path, corpus):
