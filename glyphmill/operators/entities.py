@@ -15,7 +15,7 @@ from glyphmill.functions.lexicon import SPANISH_CLINICAL, EntityLexicon, term_pa
 from glyphmill.functions.numeric import compensated_sum, round_exact
 from glyphmill.functions.text import WORD, filled, stable_unit, tokens
 from glyphmill.operators.joins import is_small, join_unique
-from glyphmill.operators.schemas import ENTITY
+from glyphmill.operators.schemas import ENTITY, SPAN_FIELDS
 
 # Drops the rows of empty arrays. A plain explode has Spark test the array's size
 # below the projection that makes it, which makes the array a second time.
@@ -107,24 +107,19 @@ def roll_up(frame: DataFrame) -> DataFrame:
 def normalize_spans(frame: DataFrame, raw_spans: str = "raw_spans") -> DataFrame:
     """Bring raw model spans into the entity schema and roll them up.
 
-    ``raw_spans`` is an array of structs holding any of ``word``,
-    ``entity_group``, ``entity``, ``start``, ``end`` and ``score``. A missing
-    word becomes '', a missing type falls back from group to entity to
-    'ENTIDAD' (fixed value), missing numbers become 0.
+    ``raw_spans`` is an array of structs with any of the keys in ``SPAN_FIELDS``;
+    a missing or null field falls back as listed there.
     """
     have = set(frame.schema[raw_spans].dataType.elementType.fieldNames())
 
-    def pick(span: Column, names: tuple[str, ...], kind: str, default: str | int | float) -> Column:
-        present = [span[name].cast(kind) for name in names if name in have]
-        return F.coalesce(*present, F.lit(default).cast(kind))
-
     def entity(span: Column) -> Column:
         return F.struct(
-            pick(span, ("word",), "string", "").alias("text"),
-            pick(span, ("entity_group", "entity"), "string", "ENTIDAD").alias("type"),
-            pick(span, ("start",), "int", 0).alias("start"),
-            pick(span, ("end",), "int", 0).alias("end"),
-            pick(span, ("score",), "double", 0.0).alias("score"),
+            *[
+                F.coalesce(
+                    *[span[key].cast(kind) for key in keys if key in have], F.lit(default).cast(kind)
+                ).alias(field)
+                for field, (keys, kind, default) in SPAN_FIELDS.items()
+            ]
         )
 
     return roll_up(frame.withColumn("entities", F.transform(F.col(raw_spans), entity)).drop(raw_spans))

@@ -14,6 +14,16 @@ ENTITY = StructType(
     ]
 )
 
+# The keys of a raw model span an entity field is taken from, in
+# order of preference, its type and the default where none is given.
+SPAN_FIELDS = {
+    "text": (("word",), "string", ""),
+    "type": (("entity_group", "entity"), "string", "ENTIDAD"),
+    "start": (("start",), "int", 0),
+    "end": (("end",), "int", 0),
+    "score": (("score",), "double", 0.0),
+}
+
 SENTIMENT_PREDICTION = StructType(
     [StructField("label", StringType()), StructField("confidence", DoubleType())]
 )

@@ -132,7 +132,6 @@ def test_stub_pretrained_model_runs_in_spark(corpus):
 
         return PretrainedEntities(tag)
 
-    infer_batches(corpus(["a"]), "ner", mode="mock").collect()  # ships the package
     rows = rows_of(infer_batches(corpus(["ab", "", "c"]), "ner", batch_size=2, load=load))
     assert [row["n_entities"] for row in rows] == [1, 0, 1]
     assert rows[0]["entities"][0]["type"] == "E" and rows[0]["confidence"] == 0.75
