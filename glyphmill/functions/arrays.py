@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Values summed per block in `running_sum`.
-_BLOCK = 512
+_BLOCK = 64
 
 
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:
