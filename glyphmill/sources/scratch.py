@@ -10,23 +10,34 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the folder the cluster names in ``spark.checkpoint.dir``.
+def scratch_root(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a session without that setting (a local test) gets a temporary folder.
+    A session whose executors are threads of the driver (master ``local``) may
+    leave it unset and gets a temporary folder. Any other session must name it:
+    executors would write to their own disks and readers would miss the files.
     """
     root = spark.conf.get(CHECKPOINT_DIR, None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="glyphmill-")
-        spark.conf.set(CHECKPOINT_DIR, root)
-    return f"{root.rstrip('/')}/glyphmill/{name}-{uuid.uuid4().hex}"
+    if root:
+        return root.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError(f"set {CHECKPOINT_DIR} to a folder that the driver and all executors share")
+    root = tempfile.mkdtemp(prefix="glyphmill-")
+    spark.conf.set(CHECKPOINT_DIR, root)
+    return root
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path below the shared folder."""
+    return f"{scratch_root(spark)}/glyphmill/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(frame: DataFrame, name: str) -> DataFrame:
     """Compute ``frame`` once, store it in the shared folder and read it from there.
 
-    For small results that several later steps need: the source is read once,
-    and a lost executor does not bring the long lineage back.
+    For results that several later steps need: the source is read once, and a
+    lost executor does not bring the long lineage back.
     """
     path = scratch_path(frame.sparkSession, name)
     frame.write.parquet(path)
