@@ -7,14 +7,28 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glyphmill.llm import packing, pii, quality, rules, urls
+from glyphmill.llm import lines, packing, pii, quality, rules, urls, warc
 from glyphmill.llm.columns import remainder
+from glyphmill.sources.scratch import scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "archives")
+    warc.write_archives(_table(spark, sf_dir, "pages"), path)
+    records = warc.read_archives(spark, path).where(F.col("kind") == "record")
+    return records.select(
+        warc.page_number(F.col("record_id")).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        warc.page_number(F.col("refers_to")).alias("refers_to"),
+    )
+
+
 def labelled_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Texts with their quality label, of the rows a quality model may learn from."""
     own = docs.select("doc_id", "text").where(remainder(F.col("doc_id"), 5) != 0)
@@ -67,6 +81,12 @@ def op4_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "j.host", "j.path", "j.rule", "j.verdict", F.col("j.probability").alias("score"))
 
 
+def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = lines.dedup_lines(_table(spark, sf_dir, "documents"), least_docs=10, least_chars=1)
+    digest = F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256")
+    return kept.select("doc_id", "n_lines", "n_dropped", digest)
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -103,12 +123,42 @@ def op10_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_warc": op1_warc,
     "op3_quality": op3_quality,
     "op4_urls": op4_urls,
+    "op5_lines": op5_lines,
     "op6_packing": op6_packing,
     "op9_pii": op9_pii,
     "op10_rules": op10_rules,
 }
 
 # SQL that gives the same rows; the others are tested against plain Python.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_warc": """
+        WITH p AS (
+            SELECT page_id, encode(coalesce(html, '')) AS body, sha1(coalesce(html, '')) AS h FROM pages
+        ), f AS (SELECT h, min(page_id) AS first_id FROM p GROUP BY h)
+        SELECT page_id, octet_length(body)::BIGINT AS payload_bytes,
+            list_aggregate(list_transform(range(8), lambda g: list_aggregate(list_transform([15, 10, 5, 0], lambda s:
+                substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                    ((('0x' || substr(h, 5 * g + 1, 5))::BIGINT >> s) & 31)::INTEGER + 1, 1)),
+                'string_agg', '')), 'string_agg', '') AS payload_digest,
+            CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+            CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+        FROM p JOIN f USING (h)
+    """,
+    "op5_lines": r"""
+        WITH l AS (
+            SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i
+            FROM documents
+        ), k AS (
+            SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l
+        ), f AS (SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (key IN (SELECT key FROM f)) AS n_dropped,
+            sha256(coalesce(string_agg(line, chr(10) ORDER BY i)
+                FILTER (key NOT IN (SELECT key FROM f)), '')) AS kept_sha256
+        FROM k GROUP BY doc_id
+    """,
+}
