@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glyphmill.llm import lines, packing, pii, quality, rules, urls, warc
+from glyphmill.llm import lines, packing, pii, quality, rules, setsketch, urls, warc
 from glyphmill.llm.columns import remainder
 from glyphmill.sources.scratch import scratch_path
 
@@ -96,6 +96,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.near_duplicates(_table(spark, sf_dir, "documents"), percent=75)
+
+
 def _of_kind(kind: str) -> Callable[[Column], Column]:
     return lambda span: span["kind"] == kind
 
@@ -128,6 +132,7 @@ QUERIES = {
     "op4_urls": op4_urls,
     "op5_lines": op5_lines,
     "op6_packing": op6_packing,
+    "op7_near_duplicates": op7_near_duplicates,
     "op9_pii": op9_pii,
     "op10_rules": op10_rules,
 }
@@ -161,4 +166,28 @@ ORACLE: dict[str, str] = {
                 FILTER (key NOT IN (SELECT key FROM f)), '')) AS kept_sha256
         FROM k GROUP BY doc_id
     """,
+    "op7_near_duplicates": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+            FROM documents
+        ), s AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5
+                THEN [array_to_string(words, ' ')]
+                ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END) AS g
+            FROM w
+        ), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+        ), p AS (
+            SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS k FROM s a JOIN s b USING (g)
+            WHERE a.doc_id <> b.doc_id GROUP BY ALL
+        ), e AS (
+            SELECT u, v FROM p JOIN n a ON a.doc_id = u JOIN n b ON b.doc_id = v WHERE 100 * k >= 75 * (a.n + b.n - k)
+        ), r AS (
+            SELECT doc_id AS u, doc_id AS v FROM documents
+            UNION SELECT r.u, e.v FROM r JOIN e ON e.u = r.v
+        )
+        SELECT r.u AS doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.v) AS component_id,
+            r.u = min(r.v) AS kept
+        FROM r LEFT JOIN n ON n.doc_id = r.u GROUP BY r.u
+    """,
 }
