@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glyphmill.llm import lines, packing, pii, quality, rules, setsketch, urls, warc
+from glyphmill.llm import decontaminate, lines, packing, pii, quality, rules, setsketch, urls, warc
 from glyphmill.llm.columns import remainder
 from glyphmill.sources.scratch import scratch_path
 
@@ -100,6 +100,11 @@ def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(_table(spark, sf_dir, "documents"), percent=75)
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.drop("k1", "k2")
+
+
 def _of_kind(kind: str) -> Callable[[Column], Column]:
     return lambda span: span["kind"] == kind
 
@@ -133,6 +138,7 @@ QUERIES = {
     "op5_lines": op5_lines,
     "op6_packing": op6_packing,
     "op7_near_duplicates": op7_near_duplicates,
+    "op8_decontaminate": op8_decontaminate,
     "op9_pii": op9_pii,
     "op10_rules": op10_rules,
 }
@@ -190,4 +196,41 @@ ORACLE: dict[str, str] = {
             r.u = min(r.v) AS kept
         FROM r LEFT JOIN n ON n.doc_id = r.u GROUP BY r.u
     """,
+    "op8_decontaminate": r"""
+        WITH d AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\pL\pN]+'),
+                lambda x: x <> '') AS w FROM documents
+        ), b AS (
+            SELECT *, len(w) AS n, least(len(w), 5) AS g FROM (
+                SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\pL\pN]+'),
+                    lambda x: x <> '') AS w FROM benchmark
+            ) WHERE len(w) > 0
+        ), bs AS (
+            SELECT item_id, w, n, g, i, array_to_string(w[i:i + g - 1], ' ') AS s
+            FROM (SELECT *, unnest(range(1, n - g + 2)) AS i FROM b)
+        ), ds AS (
+            SELECT doc_id, g, i, array_to_string(w[i:i + g - 1], ' ') AS s
+            FROM (SELECT doc_id, w, g, unnest(range(1, len(w) - g + 2)) AS i
+                FROM d CROSS JOIN (SELECT DISTINCT g FROM b))
+        ), a AS (
+            SELECT DISTINCT ds.doc_id, bs.item_id, bs.n, bs.g, greatest(least(ds.i - bs.i, len(d.w) - bs.n), 0) AS start
+            FROM ds JOIN bs USING (s, g) JOIN d USING (doc_id)
+        ), x AS (
+            SELECT a.*, len(d.w[start + 1:start + a.n]) AS m, b.w AS iw, d.w[start + 1:start + a.n] AS ww
+            FROM a JOIN d USING (doc_id) JOIN b USING (item_id)
+        ), ws AS (
+            SELECT doc_id, item_id, start, s, count(*) AS c FROM (
+                SELECT doc_id, item_id, start, unnest(list_transform(range(1, m - g + 2),
+                    lambda i: array_to_string(ww[i:i + g - 1], ' '))) AS s FROM x) GROUP BY ALL
+        ), its AS (SELECT item_id, s, count(*) AS c FROM bs GROUP BY ALL
+        ), k AS (
+            SELECT doc_id, item_id, start, sum(least(ws.c, its.c)) AS k FROM ws JOIN its USING (item_id, s) GROUP BY ALL
+        ), r AS (
+            SELECT x.doc_id, x.item_id, x.start, x.n, k::DOUBLE / ((x.m - x.g + 1) + (x.n - x.g + 1) - k) AS similarity
+            FROM x JOIN k USING (doc_id, item_id, start)
+        )
+        SELECT doc_id, item_id, start::INTEGER AS start, n::INTEGER AS n_words, similarity FROM r
+        WHERE similarity >= 0.75
+        QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start) = 1
+    """,
 }
