@@ -12,6 +12,7 @@ into powers of two, which need no padding.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,20 +24,28 @@ from glyphmill.llm.columns import SLICE_ROWS, id_and_text
 
 CAPACITY = 4096
 CLASSES = 64
-# Word forms whose ids a worker remembers; the memory is emptied when it is full.
-REMEMBERED = 400_000
+# Word forms whose ids a worker remembers, and as many older ones.
+REMEMBERED = 500_000
 # Tokens per batch of pieces sent back to Spark.
 _BATCH_TOKENS = 1 << 20
 
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
+# Latin letters only: such a word is one token run, and its last id marks its end.
+_LETTERS = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+_PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+_END_OF_WORD = "</w>"
+
+
 class WordTokenizer:
     """Ids of a text as the tokenizer gives them, as little-endian unsigned 32-bit bytes.
 
     The tokenizer treats white space as a border and drops it, so a text's ids
-    are its words' ids in a row, and words that come again are looked up. Words
-    not seen before are tokenised together, parted by a sentinel.
+    are its words' ids in a row, and words that come again are looked up. A word
+    that ends in punctuation after an ASCII letter or digit is its two parts in a
+    row. Words not seen before are tokenised many together: those of letters
+    are told apart by the ids that end a word, others by a sentinel.
     """
 
     def __init__(self, path: str):
@@ -45,38 +54,76 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
-        self.sentinel = self._encode("\x01")
+        self.older: dict[bytes, bytes] = {}
+        self.sentinel = self._encode(["\x01"])[0]
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(_END_OF_WORD)]] = True
 
-    def _encode(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _single(self, word: bytes) -> bytes:
-        return np.array(self._encode(word.decode("utf-8", "replace")), "<u4").tobytes()
+    def _remember(self, word: bytes) -> bytes | None:
+        found = self.older.get(word)
+        if found is not None:
+            self.known[word] = found
+        return found
 
     def _learn(self, words: list[bytes]) -> None:
-        plain = [w for w in words if b"\x01" not in w and len(w) < 200]
-        if len(self.sentinel) != 1:
-            plain = []
-        for i in range(0, len(plain), 500):
-            part = plain[i : i + 500]
-            joined = b" \x01 ".join(part).decode("utf-8", "replace")
-            ids = np.array(self._encode(joined), "<u4")
-            pieces = np.split(ids, np.flatnonzero(ids == self.sentinel[0]))
-            for j, (word, piece) in enumerate(zip(part, pieces, strict=True)):
-                self.known[word] = piece[1 if j else 0 :].tobytes()
-        for word in set(words).difference(plain):
-            self.known[word] = self._single(word)
+        """Enter the ids of words that are not known."""
+        parts = {}
+        simple = []
+        for word in words:
+            if self._remember(word) is not None:
+                continue
+            core = word.rstrip(_PUNCTUATION)
+            if len(core) < len(word) and core[-1:].isalnum() and b"<|" not in word:
+                parts[word] = (core, word[len(core) :])
+            else:
+                simple.append(word)
+        simple += [p for p in {p for pair in parts.values() for p in pair} if p not in self.known and self._remember(p) is None]
+        letters, others, single = [], [], []
+        for word in dict.fromkeys(simple):
+            if _LETTERS.fullmatch(word):
+                letters.append(word)
+            elif len(self.sentinel) == 1 and b"\x01" not in word and len(word) < 200:
+                others.append(word)
+            else:
+                single.append(word)
+        for group, joint, marked in ((letters, b" ", False), (others, b" \x01 ", True), (single, b"", False)):
+            size = 1 if group is single else 400
+            chunks = [group[i : i + size] for i in range(0, len(group), size)]
+            found = self._encode([joint.join(chunk).decode("utf-8", "replace") for chunk in chunks])
+            for chunk, ids in zip(chunks, found, strict=True):
+                array = np.array(ids, "<u4")
+                if size == 1:
+                    cuts, after = np.array([len(array)]), 0
+                elif marked:
+                    cuts, after = np.append(np.flatnonzero(array == self.sentinel[0]), len(array)), 1
+                else:
+                    cuts, after = np.flatnonzero(self.ends[array]) + 1, 0
+                packed, at = array.tobytes(), 0
+                for word, cut in zip(chunk, cuts.tolist(), strict=True):
+                    self.known[word] = packed[4 * at : 4 * cut]
+                    at = cut + after
+        for word, (core, tail) in parts.items():
+            self.known[word] = self.known[core] + self.known[tail]
 
     def batch(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text."""
+        if len(self.known) > REMEMBERED:  # keep the words of late, which hold the common ones
+            self.older, self.known = self.known, {}
         split = [self._words(text) for text in texts]
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        missing = set().union(*split).difference(self.known)
+        found = [list(map(self.known.get, words)) for words in split]
+        missing: set[bytes] = set()
+        gaps = [i for i, ids in enumerate(found) if None in ids]
+        for i in gaps:
+            missing.update(w for w, ids in zip(split[i], found[i], strict=True) if ids is None)
         if missing:
             self._learn(sorted(missing))
-        get = self.known.__getitem__
-        return [b"".join(map(get, found)) for found in split]
+        for i in gaps:
+            found[i] = [self.known[w] if ids is None else ids for w, ids in zip(split[i], found[i], strict=True)]
+        return [b"".join(ids) for ids in found]
 
     @staticmethod
     def _words(text: bytes) -> list[bytes]:
