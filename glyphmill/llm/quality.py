@@ -92,33 +92,39 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
     return float(beta[0] / scale), float(beta[1])
 
 
-def fit_quality(labelled: DataFrame, text_col: str, label_col: str) -> CompressionModel:
-    """Fit on a bounded sample of labelled texts.
+def fit_quality(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality"
+) -> CompressionModel:
+    """Fit on a bounded sample of the documents that ``labels`` names by id.
 
-    Rows with a null label or text take no part. Of each class the
+    Rows with a null label, id or text take no part. Of each class the
     ``FIT_ROWS`` texts with the smallest hashes are taken, each different text
     once, so that copies don't fill the sample; texts over ``FIT_CHARS``
-    characters are not used for fitting. Only hashes are shuffled; the sample's
-    texts are then picked by a broadcast of at most 2 * FIT_ROWS hashes. Without
-    any row of one class, the score is a constant: 1 or 0 if only the other is
-    known, 0.5 if there are no labels.
+    characters are not used for fitting. Only ids and hashes are joined; the
+    sample's texts are then picked by a broadcast of at most 2 * FIT_ROWS
+    hashes. Without any row of one class, the score is a constant: 1 or 0 if
+    only the other is known, 0.5 if there are no labels.
     """
-    text, label = quoted(text_col), quoted(label_col).cast("int")
-    rows = labelled.select(text.cast("string").alias("text"), label.alias("label")).where(
-        F.col("text").isNotNull() & F.col("label").isNotNull()
+    text = quoted(text_col).cast("string")
+    texts = docs.where(quoted(text_col).isNotNull()).select(
+        quoted(id_col).cast("long").alias("id"), F.xxhash64(text).alias("h"), F.length(text).alias("chars"), text.alias("text")
     )
-    hashed = rows.select(F.xxhash64("text").alias("h"), "label", F.length("text").alias("chars"))
+    named = labels.select(quoted(id_col).cast("long").alias("id"), quoted(label_col).cast("int").alias("label"))
+    hashed = texts.drop("text").join(named.where(F.col("label").isNotNull()), "id")
     counts = {int(r["label"]): int(r["n"]) for r in hashed.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if not counts.get(0) or not counts.get(1):
         return CompressionModel(b"", b"", 0.0, 35.0 if counts.get(1) else -35.0 if counts.get(0) else 0.0)
     short = hashed.where(F.col("chars") <= FIT_CHARS)
-    picked = [
-        short.where(F.col("label") == value).select("h").distinct().orderBy("h").limit(FIT_ROWS) for value in (0, 1)
+    wanted = [
+        r
+        for value in (0, 1)
+        for r in short.where(F.col("label") == value).select("h", "label").distinct().orderBy("h").limit(FIT_ROWS).collect()
     ]
-    wanted = picked[0].unionByName(picked[1]).distinct()
+    picked = docs.sparkSession.createDataFrame(wanted, "h long, label int")
     sample = (
-        rows.withColumn("h", F.xxhash64("text"))
-        .join(F.broadcast(wanted), "h", "left_semi")
+        texts.where(F.col("chars") <= FIT_CHARS)
+        .select("h", "text")
+        .join(F.broadcast(picked), "h")
         .groupBy("h", "label")
         .agg(F.min("text").alias("text"))
         .orderBy("h", "label")

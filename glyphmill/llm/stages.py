@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glyphmill.llm import packing, quality
-from glyphmill.llm.queries import labelled_documents
+from glyphmill.llm import decontaminate, lines, packing, quality, setsketch
+from glyphmill.llm.columns import as_text, row_key
+from glyphmill.llm.queries import learnable
+from glyphmill.sources.scratch import materialize
 
 DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -17,12 +19,36 @@ LEAST_QUALITY = 0.3
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    model = quality.fit_quality(labelled_documents(docs, labels), "text", "quality")
+    """Drop what the quality classifier rejects."""
+    model = quality.fit_quality(learnable(docs), spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return docs.select(*DOCUMENT).where(quality.quality_score(model, F.col("text")) >= LEAST_QUALITY)
 
 
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the lines found in ten documents or more; the documents stay, if empty."""
+    short = lines.dedup_lines(docs.select(*DOCUMENT), least_docs=10, least_chars=1)
+    return short.withColumn("n_chars", F.length("text").cast("long")).select(*DOCUMENT)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document with the least id stays."""
+    found = setsketch.near_duplicates(docs.select(*DOCUMENT))
+    # texts are in the documents only, so the thin list of ids that go is joined to them
+    gone = materialize(found.where(~F.col("kept")).select("doc_id").distinct(), "duplicates")
+    return docs.select(*DOCUMENT).join(gone, "doc_id", "left_anti").select(*DOCUMENT)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that hold a benchmark item."""
+    own = docs.select(*DOCUMENT)
+    found = decontaminate.contaminated(own, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    gone = materialize(found.select("k1", "k2").distinct(), "contaminated")
+    k1, k2 = row_key(F.col("doc_id").cast("long"), as_text(F.col("text")))
+    return own.join(gone, (k1 == gone["k1"]) & (k2 == gone["k2"]), "left_anti")
+
+
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token sequences of fixed length."""
     import public_tokenizers
 
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
@@ -30,5 +56,8 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality", keep_good),
+    ("lines", drop_repeated_lines),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
     ("packing", pack_sequences),
 ]
