@@ -53,3 +53,15 @@ def words(text: bytes) -> list[bytes]:
 def lower_words(text: bytes) -> list[bytes]:
     """The same with A-Z lower-cased. ``bytes.lower`` touches ASCII letters only."""
     return text.lower().split()
+
+
+def hash_sample(frame: DataFrame, hash_col: str, rows: int) -> DataFrame:
+    """The rows whose hash lies in a share of all values that holds about ``rows`` different hashes.
+
+    All rows if there are no more. The same data gives the same sample, and no
+    task or driver has to sort or hold more than the sample.
+    """
+    found = frame.agg(F.approx_count_distinct(hash_col)).first()[0]
+    if found <= rows:
+        return frame
+    return frame.where(F.pmod(F.col(hash_col), F.lit(1 << 32)) < F.lit((rows << 32) // found))

@@ -19,12 +19,12 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from glyphmill.llm.columns import as_text, byte_list, quoted
+from glyphmill.llm.columns import as_text, byte_list, hash_sample, quoted
 
 BLOCK_BYTES = 2048
 DICTIONARY_BYTES = 32 * 1024
 LEVEL = 3
-# The bounded sample the model is fitted on: at most this many different texts of a class, each of
+# The bounded sample the model is fitted on: about this many different texts of a class, each of
 # at most this many characters. Scoring has no such bound.
 FIT_ROWS = 1500
 FIT_CHARS = 20_000
@@ -97,11 +97,11 @@ def fit_quality(
 ) -> CompressionModel:
     """Fit on a bounded sample of the documents that ``labels`` names by id.
 
-    Rows with a null label, id or text take no part. Of each class the
-    ``FIT_ROWS`` texts with the smallest hashes are taken, each different text
-    once, so that copies don't fill the sample; texts over ``FIT_CHARS``
+    Rows with a null label, id or text take no part. Of each class
+    about ``FIT_ROWS`` texts are taken by their hash, each different text once,
+    so that copies don't fill the sample; texts over ``FIT_CHARS``
     characters are not used for fitting. Only ids and hashes are joined; the
-    sample's texts are then picked by a broadcast of at most 2 * FIT_ROWS
+    sample's texts are then picked by a broadcast of these
     hashes. Without any row of one class, the score is a constant: 1 or 0 if
     only the other is known, 0.5 if there are no labels.
     """
@@ -118,7 +118,7 @@ def fit_quality(
     wanted = [
         r
         for value in (0, 1)
-        for r in short.where(F.col("label") == value).select("h", "label").distinct().orderBy("h").limit(FIT_ROWS).collect()
+        for r in hash_sample(short.where(F.col("label") == value), "h", FIT_ROWS).select("h", "label").distinct().collect()
     ]
     picked = docs.sparkSession.createDataFrame(wanted, "h long, label int")
     sample = (
@@ -127,9 +127,9 @@ def fit_quality(
         .join(F.broadcast(picked), "h")
         .groupBy("h", "label")
         .agg(F.min("text").alias("text"))
-        .orderBy("h", "label")
         .collect()
     )
+    sample.sort(key=lambda r: (r["h"], r["label"]))
     by_label = {v: [r["text"].encode() for r in sample if r["label"] == v] for v in (0, 1)}
     if not by_label[0] or not by_label[1]:  # one class has long texts only
         return CompressionModel(b"", b"", 0.0, math.log(counts[1] / counts[0]))

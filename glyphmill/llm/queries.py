@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glyphmill.llm import decontaminate, lines, packing, pii, quality, rules, setsketch, urls, warc
+from glyphmill.llm import decontaminate, lines, maxent, packing, pii, quality, rules, setsketch, urls, warc
 from glyphmill.llm.columns import remainder
 from glyphmill.sources.scratch import scratch_path
 
@@ -29,6 +29,10 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent.score_documents(_table(spark, sf_dir, "documents"))
+
+
 def learnable(docs: DataFrame) -> DataFrame:
     """The rows a quality model may learn from."""
     return docs.where(remainder(F.col("doc_id"), 5) != 0)
@@ -132,6 +136,7 @@ def op10_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_warc": op1_warc,
+    "op2_maxent": op2_maxent,
     "op3_quality": op3_quality,
     "op4_urls": op4_urls,
     "op5_lines": op5_lines,
