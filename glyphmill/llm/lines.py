@@ -9,6 +9,7 @@ are.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from functools import reduce
 
@@ -76,12 +77,10 @@ class LineRuns:
         if fanout < 2:
             raise ValueError(f"fanout must be at least 2, got {fanout}")
         self.spark, self.root, self.fanout = spark, root.rstrip("/"), fanout
-        self.levels: list[list[str]] = levels or []
-        self._written = sum(map(len, self.levels))
+        self.levels: list[list[str]] = [list(level) for level in levels or []]
 
     def _write(self, counts: DataFrame) -> str:
-        path = f"{self.root}/run-{self._written:05d}"
-        self._written += 1
+        path = f"{self.root}/run-{uuid.uuid4().hex}"
         counts.repartitionByRange("h1", "h2").sortWithinPartitions("h1", "h2").write.parquet(path)
         return path
 

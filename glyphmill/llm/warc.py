@@ -31,6 +31,7 @@ BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 # A header longer than this is damage.
 MAX_HEADER = 1 << 16
 RECORDS_PER_FILE = 20_000
+_CONTROL = re.compile(rb"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]")
 _FEED = 1 << 18
 _BATCH_BYTES = 1 << 23
 
@@ -164,11 +165,15 @@ def _headers(data: bytes, pos: int) -> tuple[dict[str, str], int]:
     if end < 0:
         raise Damage("header without end")
     fields = {}
+    if _CONTROL.search(data, pos, end):
+        raise Damage("control character in header")
     for line in bytes(data[pos:end]).decode("utf-8", "replace").split("\r\n")[1:]:
         name, colon, value = line.partition(":")
         if not colon:
             raise Damage("broken header line")
         fields[name.strip().lower()] = value.strip()
+    if not fields.get("warc-type") or not fields.get("warc-record-id"):
+        raise Damage("type or record id is missing")
     return fields, end + len(RECORD_END)
 
 
