@@ -1,0 +1,97 @@
+"""Near duplicates against brute force, and the sketch's properties."""
+
+import random
+import re
+
+import numpy as np
+import pytest
+
+from glyphmill.llm import setsketch
+from glyphmill.llm.components import components
+
+from conftest import edge_texts, prose
+
+
+def shingles(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    n = min(5, len(words))
+    return {tuple(words[i : i + n]) for i in range(len(words) - n + 1)} if n else set()
+
+
+def brute(pairs, percent=75):
+    sets = [(i, shingles(t)) for i, t in pairs]
+    label = {i: i for i, _ in pairs if i is not None}
+    changed = True
+    links = []
+    for a in range(len(sets)):
+        for b in range(a):
+            (i, x), (j, y) = sets[a], sets[b]
+            if i is not None and j is not None and x and y:
+                shared = len(x & y)
+                if 100 * shared >= percent * (len(x) + len(y) - shared):
+                    links.append((i, j))
+    while changed:
+        changed = False
+        for i, j in links:
+            low = min(label[i], label[j])
+            changed |= label[i] != low or label[j] != low
+            label[i] = label[j] = low
+    return sorted(((i, len(x), label.get(i), i is None or label[i] == i) for i, x in sets), key=repr)
+
+
+def result(frame):
+    return sorted(map(tuple, frame.collect()), key=repr)
+
+
+def test_edge_documents(edge_docs):
+    assert result(setsketch.near_duplicates(edge_docs)) == brute(edge_texts())
+
+
+def edited(words, rng, n):
+    words = list(words)
+    for _ in range(n):
+        words[rng.randrange(len(words))] = f"w{rng.randrange(10**6)}"
+    return " ".join(words)
+
+
+def test_groups_around_the_threshold(frame_of):
+    """Copies with more and more edits, chains, and texts that share a long passage without being alike."""
+    rng = random.Random(5)
+    pairs = []
+    for group in range(6):
+        words = prose(100 + group, 150).split()
+        pairs += [(1000 * group + k, edited(words, rng, k % 7)) for k in range(25)]
+        chain = words
+        for k in range(8):
+            chain = edited(chain, rng, 2).split()
+            pairs.append((1000 * group + 500 + k, " ".join(chain)))
+    passage = prose(77, 100)
+    pairs += [(90_000 + k, passage + " " + prose(900 + k, 60)) for k in range(30)]
+    rng.shuffle(pairs)
+    assert result(setsketch.near_duplicates(frame_of(pairs))) == brute(pairs)
+
+
+def test_no_documents(no_docs):
+    assert setsketch.near_duplicates(no_docs).count() == 0
+
+
+def test_sketches_merge_and_estimate():
+    rng = np.random.default_rng(1)
+    items = rng.integers(0, 2**63, 3000, dtype=np.uint64)
+    a, b = items[:2000], items[500:]
+    one, two, both = setsketch.registers([a, b, items])
+    assert (np.maximum(one, two) == both).all()
+    guess = setsketch.estimate(one[None], two[None], np.array([2000.0]), np.array([2500.0]))
+    assert guess[0] == pytest.approx(1500 / 3000, abs=0.15)
+    assert setsketch.estimate(one[None], one[None], np.array([2000.0]), np.array([2000.0]))[0] > 0.97
+
+
+def test_components_of_chains_and_stars(spark):
+    chain = [(i, i + 1) for i in range(100, 160)]
+    star = [(7, 1000 + i) for i in range(200)]
+    rows = [*chain, *star, (5, 5), (161, 160), (1000, 3)]
+    links = spark.createDataFrame(rows, "u long, v long")
+    found = dict(map(tuple, components(links).collect()))
+    assert all(found[i] == 100 for i in range(100, 162))
+    assert all(found[1000 + i] == 3 for i in range(200)) and found[7] == 3
+    assert components(links.limit(0)).count() == 0

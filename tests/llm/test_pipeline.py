@@ -1,0 +1,62 @@
+"""The stages one by one, and the registered queries."""
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry_module
+import corpus_pipeline
+from check_oracle import compare, sql_views
+from glyphmill.llm import queries, stages
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def test_registered():
+    found = entry_module.queries()
+    assert "pipeline" in found and "pipeline" not in entry_module.oracle_sql()
+    numbers = {int(name[2:].split("_")[0]) for name in found if name.startswith("op")}
+    assert numbers == set(range(1, 11))
+    assert set(entry_module.oracle_sql()) <= set(found)
+
+
+@pytest.mark.parametrize("name", queries.ORACLE)
+def test_query_equals_sql(spark, name):
+    found = queries.QUERIES[name](spark, SF_DIR).toPandas()
+    wanted = sql_views(SF_DIR).execute(queries.ORACLE[name]).df()
+    assert len(found) > 0 and compare(found, wanted) == ""
+
+
+@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - set(queries.ORACLE)))
+def test_other_queries_cover_their_table(spark, name):
+    table = "pages" if name == "op4_urls" else "documents"
+    key = "page_id" if name == "op4_urls" else "doc_id"
+    found = queries.QUERIES[name](spark, SF_DIR)
+    ids = {r[0] for r in found.select(key).collect()}
+    assert ids == {r[0] for r in spark.read.parquet(f"{SF_DIR}/{table}.parquet").select(key).collect()}
+
+
+def test_stages(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    left = []
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, SF_DIR).write.parquet(str(tmp_path / name))
+        out = spark.read.parquet(str(tmp_path / name))
+        left.append(out.select("doc_id").distinct().count())
+        if name != "packing":
+            assert out.columns == list(stages.DOCUMENT)
+            assert out.where(F.col("doc_id").isNotNull()).count() == left[-1]
+            docs = out
+    assert left == sorted(left, reverse=True) and left[-1] == left[-2] > 0
+    assert left[0] < 200 and left[2] < left[1]
+    full = corpus_pipeline.run(spark, SF_DIR)
+    assert full.select("doc_id").distinct().count() == left[-1]
+
+
+def test_stages_keep_odd_rows_defined(spark, edge_docs):
+    docs = edge_docs.select(*stages.DOCUMENT)
+    count = docs.count()
+    assert stages.drop_repeated_lines(spark, docs, SF_DIR).count() == count
+    assert stages.drop_contaminated(spark, docs, SF_DIR).count() == count
+    kept = [r[0] for r in stages.drop_near_duplicates(spark, docs, SF_DIR).select("doc_id").collect()]
+    assert {4, 11, 7, None} <= set(kept) and not {5, 6, 12, 9} & set(kept)
+    assert stages.keep_good(spark, docs, SF_DIR).columns == list(stages.DOCUMENT)
