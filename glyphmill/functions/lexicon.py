@@ -9,14 +9,13 @@ from dataclasses import dataclass
 
 from glyphmill.functions.text import WORD
 
-# A larger word list is looked up token by token instead of by one pattern.
-MAX_PATTERN_TERMS = 500
 # Java looks back by whole code points only if the pattern itself holds one beyond
 # U+FFFF. U+10000 is a letter, so naming it changes nothing else.
 _WORD_BEFORE = WORD.replace("]", "\U00010000]")
 _WORD_ONLY = re.compile(r"\w+")
 
 
+# The unit of a text and the score made of it.
 def unit_of(text: str) -> float:
     """Driver/worker twin of ``functions.text.stable_unit``."""
     return int.from_bytes(hashlib.sha256(text.encode("utf-8")).digest()[:4], "big") / 0xFFFFFFFF

@@ -18,7 +18,8 @@ def round_exact(value: Column) -> Column:
     0.9025 although the stored double lies below the tie. Here the double is
     first made a whole number by a power of two, which is exact, and whole
     numbers round without error. Small values get a larger power, so that all
-    their bits count. Values outside (-2, 2) use Spark's ``round``.
+    their bits count. The whole part is set aside first; from 2^39 on a double
+    is nearer to itself than to any other with four places.
     """
     ten = 10**_PLACES
 
@@ -35,9 +36,10 @@ def round_exact(value: Column) -> Column:
         return bind(whole * F.lit(2 * ten).cast("decimal(10,0)") + half, nearest)
 
     def rounded(x: Column) -> Column:
-        magnitude = F.when(F.abs(x) < F.lit(2.0**-9), units(x, 71)).otherwise(units(x, 62))
-        exact = F.signum(x) * (magnitude.cast("double") / F.lit(float(ten)))
-        return F.when(F.abs(x) < F.lit(2.0), exact).otherwise(F.round(x, _PLACES))
+        whole = F.floor(F.abs(x))
+        part = F.when(F.abs(x) < F.lit(2.0**-9), units(x, 71)).otherwise(units(F.abs(x) - whole, 62))
+        magnitude = whole.cast("double") * F.lit(float(ten)) + part.cast("double")
+        return F.when(F.abs(x) < F.lit(2.0**39), F.signum(x) * (magnitude / F.lit(float(ten)))).otherwise(x)
 
     return bind(value, rounded)
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from glyphmill.functions.numeric import nan_to_null
-from glyphmill.operators.joins import is_small, join_unique
+from glyphmill.operators.joins import join_keyed
 
 
 def confidence_bin(confidence: Column, n_bins: int) -> Column:
@@ -28,41 +28,31 @@ def confidence_bin(confidence: Column, n_bins: int) -> Column:
     return F.when(confidence.between(0.0, 1.0), exact.cast("int"))
 
 
-def _table(parts: DataFrame) -> DataFrame:
+def reliability_table(rows: DataFrame, n_bins: int = 10) -> DataFrame:
+    """``(bin, mean_confidence, accuracy, n)`` over the observed bins.
+
+    ``rows`` holds ``confidence`` and ``correct`` (boolean or 0/1). A missing
+    ``correct`` counts in ``n`` and in the mean confidence, not in the accuracy.
+    """
+    binned = rows.withColumn("bin", confidence_bin(F.col("confidence"), n_bins))
     # Rows outside [0, 1] form a group of their own with n = 0. It is dropped last:
     # a filter on the bin would move below the model and run it a second time.
     return (
-        parts.groupBy("bin")
+        binned.groupBy("bin")
         .agg(
-            F.try_divide(F.sum("conf_sum"), F.sum("n")).alias("mean_confidence"),
-            F.try_divide(F.sum("correct_sum"), F.sum("correct_n")).alias("accuracy"),
-            F.sum("n").alias("n"),
+            F.avg(F.when(F.col("bin").isNotNull(), F.col("confidence"))).alias("mean_confidence"),
+            F.avg(nan_to_null(F.col("correct").cast("double"))).alias("accuracy"),
+            F.count("bin").alias("n"),
         )
         .where(F.col("n") > 0)
     )
 
 
-def reliability_table(rows: DataFrame, n_bins: int = 10) -> DataFrame:
-    """``(bin, mean_confidence, accuracy, n)`` over the observed bins.
-
-    ``rows`` holds ``confidence`` and ``correct`` (boolean or 0/1).
-    """
-    correct = nan_to_null(F.col("correct").cast("double"))
-    return _table(
-        rows.withColumn("bin", confidence_bin(F.col("confidence"), n_bins)).select(
-            "bin",
-            F.col("confidence").alias("conf_sum"),
-            correct.alias("correct_sum"),
-            correct.isNotNull().cast("bigint").alias("correct_n"),
-            F.col("bin").isNotNull().cast("bigint").alias("n"),
-        )
-    )
-
-
 def truth_by_id(truth: DataFrame) -> DataFrame:
-    """One truth per id from ``(id, truth)``. Repeats collapse; contradictions fail the job."""
+    """One truth per id from ``(id, truth)``. Repeats collapse, contradictions fail the job, a null is no truth."""
     low, high = F.min("truth"), F.max("truth")
-    return truth.groupBy("id").agg(low.alias("truth"), (low != high).alias("_split")).select(
+    known = truth.where(F.col("truth").isNotNull())
+    return known.groupBy("id").agg(low.alias("truth"), (low != high).alias("_split")).select(
         "id",
         F.when(
             F.col("_split"), F.raise_error(F.concat(F.lit("contradicting truth for id "), F.col("id")))
@@ -70,40 +60,20 @@ def truth_by_id(truth: DataFrame) -> DataFrame:
     )
 
 
-def _pairs(predictions: DataFrame, truth: DataFrame, small: bool) -> DataFrame:
-    joined = join_unique(predictions, truth_by_id(truth), "id", small)
-    return joined.withColumn("correct", F.col("label") == F.col("truth")).drop("truth")
-
-
 def pair_with_truth(predictions: DataFrame, truth: DataFrame) -> DataFrame:
-    """Predictions that have a known truth, with ``correct``; ids without truth drop out."""
-    return _pairs(predictions, truth, small=is_small(truth))
+    """Predictions that have a known truth, with ``correct``; ids without truth drop out.
 
+    A missing label against a known truth is a miss. The truth, one row per id,
+    is stored when this is called; the predictions are computed once, later.
+    """
+    joined = join_keyed(predictions, truth_by_id(truth), "id")
+    return joined.withColumn("correct", F.col("label").eqNullSafe(F.col("truth"))).drop("truth")
 
-def reliability_against_truth(predictions: DataFrame, truth: DataFrame, n_bins: int = 10) -> DataFrame:
-    """``reliability_table`` of ``(id, label, confidence)`` rows against ``(id, truth)``.
 
-    A small truth is broadcast and nothing but the bins is shuffled. Otherwise
-    predictions are first summed per id, label and bin. However often one id
-    occurs, it then reaches the join as a few rows, so no task gets a hot id.
-    """
-    if is_small(truth):
-        return reliability_table(_pairs(predictions, truth, small=True), n_bins)
-    parts = (
-        predictions.withColumn("bin", confidence_bin(F.col("confidence"), n_bins))
-        .groupBy("id", "label", "bin")
-        .agg(F.count("bin").alias("n"), F.sum("confidence").alias("conf_sum"))
-    )
-    paired = parts.join(truth_by_id(truth), "id").withColumn("hit", F.col("label") == F.col("truth"))
-    return _table(
-        paired.select(
-            "bin",
-            "conf_sum",
-            F.when(F.col("hit"), F.col("n")).otherwise(F.lit(0)).cast("double").alias("correct_sum"),
-            F.col("n").alias("correct_n"),
-            "n",
-        )
-    )
+def reliability_against_truth(predictions: DataFrame, truth: DataFrame, n_bins: int = 10) -> DataFrame:
+    """``reliability_table`` of ``(id, label, confidence)`` rows against ``(id, truth)``."""
+    needed = predictions.select("id", "label", "confidence")
+    return reliability_table(pair_with_truth(needed, truth), n_bins)
 
 
 def expected_calibration_error(reliability: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 All statistics come from a histogram of distinct values, built with map-side
 combining: a value that fills a third of the table is still one row. The
-histogram is stored once, so each batch is read once. Ordered work (quantiles,
+histogram is stored once, when the operator is called, so each batch is read once. Ordered work (quantiles,
 distribution functions) runs on value ranges in parallel, so no task sees the
 whole histogram. Only single numbers (totals, edges) come to the driver.
 """
@@ -25,6 +25,10 @@ EPSILON = 1e-6
 DEFAULT_BINS = 10
 # Distinct integer values per parallel range.
 _INTEGER_RANGE = 4096
+# Distinct values of other columns per parallel range.
+VALUES_PER_RANGE = 1_000_000
+# Cuts at which the approximate distribution functions are compared.
+_APPROXIMATE_CUTS = 200
 _SERIES_TERMS = 100
 
 
@@ -64,27 +68,24 @@ def _position(value: Column, cuts: list[float], upper: bool) -> Column:
     return search(0, len(cuts))
 
 
-def _sampled_range(histogram: DataFrame, n_ranges: int | None = None) -> Column:
-    """Ranges of about equally many distinct values, for any numeric column.
+def _stored_ranges(histogram: DataFrame) -> DataFrame:
+    """The histogram cut into sorted ranges of some million values each, for any numeric column.
 
-    There are as many as shuffle partitions (at most 512). The bounds are collected once (at most ``n_ranges`` numbers), so all parts of
-    a plan and all retried tasks cut the values at the same places. Bounds that
-    are only approximate change the balance, never the result.
+    The number of ranges follows from the number of distinct values, so no task's
+    share grows with the data. The cut is sampled and thus stored with the
+    rows: whatever reads them, or is retried, sees the same ranges.
     """
-    if n_ranges is None:
-        configured = int(histogram.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        n_ranges = min(max(configured, 2), 512)
-    shares = [i / n_ranges for i in range(1, n_ranges)]
-    bounds = histogram.agg(F.percentile_approx("value", shares, 10_000)).first()[0] or []
-    return _position(F.col("value"), sorted(set(bounds)), upper=False)
+    ranges = max(1, math.ceil(histogram.count() / VALUES_PER_RANGE))
+    cut = histogram.repartitionByRange(ranges, "value").withColumn("_range", F.spark_partition_id().cast("bigint"))
+    return materialize(cut, "value-ranges")
 
 
 def _running(histogram: DataFrame, value_range: Column) -> DataFrame:
     """Add inclusive running counts ``cum_ref, cum_new`` and totals ``all_ref, all_new``.
 
     Each range is summed on its own; the counts before a range come from a frame
-    with one row per range: at most 2^31 / 4096 rows for integers, the number of
-    sampled ranges otherwise. That bound makes it safe to broadcast.
+    with one row per range: at most 2^31 / 4096 rows for integers, a row per
+    million distinct values otherwise. That makes it safe to broadcast.
     """
     ranged = histogram.withColumn("_range", value_range)
     totals = ranged.groupBy("_range").agg(F.sum("n_ref").alias("_ref"), F.sum("n_new").alias("_new"))
@@ -181,12 +182,15 @@ def _numeric_drift(histogram: DataFrame, value_range: Column, bins: int) -> Data
     """One row ``n_ref, n_new, psi, ks_stat, ks_pvalue`` from a stored histogram of ``value``."""
     all_ref, all_new, ks_stat, cuts = _statistics(_running(histogram, value_range), bins)
     n_ref, n_new = (F.lit(n).cast("bigint") for n in (all_ref, all_new))
-    ks = F.lit(ks_stat).cast("double")
 
     # Bins are [a, b): a value on tied edges belongs to the last of them. Bins that
     # neither batch reaches have equal shares and add nothing.
     bin_of = _position(F.col("value").cast("double"), cuts, upper=True)
-    counts = _histogram(histogram.withColumn("bin", bin_of), "bin")
+    return _drift_row(histogram.withColumn("bin", bin_of), n_ref, n_new, ks_stat)
+
+
+def _drift_row(binned: DataFrame, n_ref: Column, n_new: Column, ks_stat: float | None) -> DataFrame:
+    counts, ks = _histogram(binned, "bin"), F.lit(ks_stat).cast("double")
 
     def share(part: str, total: Column) -> Column:
         raw = F.coalesce(F.try_divide(F.col(part), total), F.lit(0.0))
@@ -202,16 +206,50 @@ def _numeric_drift(histogram: DataFrame, value_range: Column, bins: int) -> Data
     )
 
 
-def numeric_drift(reference: DataFrame, new: DataFrame, column: str, bins: int = DEFAULT_BINS) -> DataFrame:
+def numeric_drift(
+    reference: DataFrame, new: DataFrame, column: str, bins: int = DEFAULT_BINS, accuracy: int | None = None
+) -> DataFrame:
     """PSI over reference quantiles and the two-sample KS test of a numeric column.
 
     Missing values and NaN take no part. One row:
     ``n_ref, n_new, psi, ks_stat, ks_pvalue``.
+
+    Exact by default, which stores every distinct value once. With ``accuracy``
+    the reference's quantiles are approximate (off by at most ``1 / accuracy`` in
+    rank) and the distribution functions are compared at 200 of them, so
+    ``ks_stat`` may be too low by 1/200 and that error: two passes, and nothing
+    is stored but counts per cut.
     """
     value = F.col(column).cast("double")
     sides = [side.select(nan_to_null(value).alias("value")).where("value IS NOT NULL") for side in (reference, new)]
+    if accuracy is not None:
+        return _approximate_drift(*sides, bins, accuracy)
     histogram = materialize(_histogram(_tagged(*sides), "value"), "values")
-    return _numeric_drift(histogram, _sampled_range(histogram), bins)
+    return _numeric_drift(_stored_ranges(histogram), F.col("_range"), bins)
+
+
+def _approximate_drift(reference: DataFrame, new: DataFrame, bins: int, accuracy: int) -> DataFrame:
+    def quantiles(shares: list[float]) -> Column:
+        return F.percentile_approx("value", shares, accuracy)
+
+    fine = [i / _APPROXIMATE_CUTS for i in range(1, _APPROXIMATE_CUTS)]
+    cuts, edges = reference.agg(quantiles(fine), quantiles([i / bins for i in range(1, bins)] or [0.5])).first()
+    cuts, edges = sorted(set(cuts or [])), sorted(set(edges or [])) if bins > 1 else []
+    all_cuts = sorted({*cuts, *edges})
+    # between two cuts the cell is even, on a cut it is odd: the functions are compared before and at each cut
+    value = F.col("value")
+    cell = _position(value, all_cuts, upper=True) + _position(value, all_cuts, upper=False)
+    counts = materialize(_histogram(_tagged(reference, new).withColumn("cell", cell), "cell"), "cells")
+    totals = counts.agg(F.sum("n_ref"), F.sum("n_new")).first()
+    n_ref, n_new = (F.lit(n or 0).cast("bigint") for n in totals)
+    below = Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)  # some hundred rows
+    gap = F.abs(
+        F.try_divide(F.sum("n_ref").over(below), n_ref) - F.try_divide(F.sum("n_new").over(below), n_new)
+    )
+    ks = counts.select(gap.alias("gap")).agg(F.max("gap")).first()[0]
+    bin_of = {i: sum(edge <= cut for edge in edges) for i, cut in enumerate([-math.inf, *all_cuts])}
+    lookup = F.create_map(*[F.lit(x) for pair in bin_of.items() for x in pair])
+    return _drift_row(counts.withColumn("bin", F.element_at(lookup, F.ceil(F.col("cell") / 2).cast("int"))), n_ref, n_new, ks)
 
 
 def psi(reference: DataFrame, new: DataFrame, column: str, bins: int = DEFAULT_BINS) -> DataFrame:
@@ -226,13 +264,15 @@ def ks_test(reference: DataFrame, new: DataFrame, column: str) -> DataFrame:
 
 def _categorical_psi(histogram: DataFrame, column: str) -> DataFrame:
     known = histogram.where(F.col(column).isNotNull())
-    totals = known.agg(F.sum("n_ref").alias("n_ref"), F.sum("n_new").alias("n_new")).first()
+    totals = known.agg(F.sum("n_ref").alias("_all_ref"), F.sum("n_new").alias("_all_new"))
 
-    def share(part: str) -> Column:
-        raw = F.coalesce(F.try_divide(F.col(part), F.lit(totals[part])), F.lit(0.0))
+    def share(part: str, total: str) -> Column:
+        raw = F.coalesce(F.try_divide(F.col(part), F.col(total)), F.lit(0.0))
         return F.greatest(raw, F.lit(EPSILON))
 
-    summed = known.agg(_psi_sum(share("n_ref"), share("n_new")).alias("psi"))
+    # one row of totals beside every category
+    beside = known.withColumn("_one", F.lit(1)).join(F.broadcast(totals.withColumn("_one", F.lit(1))), "_one")
+    summed = beside.agg(_psi_sum(share("n_ref", "_all_ref"), share("n_new", "_all_new")).alias("psi"))
     return summed.select(F.coalesce("psi", F.lit(0.0)).alias("psi"))
 
 

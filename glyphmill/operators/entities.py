@@ -9,12 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from glyphmill.functions import lexicon as lexicon_module
 from glyphmill.functions.arrays import bind, running_sum, with_fixed
 from glyphmill.functions.lexicon import SPANISH_CLINICAL, EntityLexicon, term_pattern, term_score
 from glyphmill.functions.numeric import compensated_sum, round_exact
 from glyphmill.functions.text import WORD, filled, stable_unit, tokens
-from glyphmill.operators.joins import is_small, join_unique
+from glyphmill.operators.joins import join_keyed
 from glyphmill.operators.schemas import ENTITY, SPAN_FIELDS
 
 # Drops the rows of empty arrays. A plain explode has Spark test the array's size
@@ -43,13 +42,11 @@ def lexicon_entities(corpus: DataFrame, lexicon: EntityLexicon = SPANISH_CLINICA
     """Add ``entities``, ``n_entities`` and ``confidence`` to an ``(id, text)`` corpus.
 
     Every occurrence of a listed term becomes an entity, in text order, with its
-    surface form and the span ``[start, end)``.
+    surface form and the span ``[start, end)``. The lexicon becomes one pattern,
+    whatever its size; a lexicon too large for a plan belongs in a table
+    (``join_entities``).
     """
     types = lexicon.term_types()
-    if len(types) > lexicon_module.MAX_PATTERN_TERMS:
-        from glyphmill.operators.inference import infer_batches
-
-        return infer_batches(corpus, "ner", mode="mock", lexicon=lexicon)
     prepared = corpus.withColumn("text", filled(F.col("text")))
     if not types:
         return roll_up(prepared.withColumn("entities", F.array().cast(f"array<{ENTITY.simpleString()}>")))
@@ -161,9 +158,10 @@ def lexicon_table(terms: DataFrame) -> DataFrame:
 def join_entities(corpus: DataFrame, terms: DataFrame) -> DataFrame:
     """Entities from a lexicon held as a table: ``id, text, type, start, end, score``.
 
-    A lexicon of checked size is broadcast, so tokens stay where they are. Beyond
-    that size tokens and terms are joined by shuffle, frequent tokens salted.
+    The terms, one row each, are stored when this is called. Spark broadcasts
+    them if their bytes allow it, so tokens stay where they are; otherwise tokens
+    and terms meet by shuffle and the partitions of frequent tokens are split.
     """
     found = token_spans(corpus).withColumn("term", F.lower("text"))
-    joined = join_unique(found, lexicon_table(terms), "term", small=is_small(terms))
+    joined = join_keyed(found, lexicon_table(terms), "term")
     return joined.select("id", "text", "type", "start", "end", "score")

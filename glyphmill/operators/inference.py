@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Hashable, Iterator
 from pathlib import Path
 from typing import Any
 
@@ -50,6 +50,8 @@ def infer_batches(
     mode: str | None = None,
     lexicon: Any = None,
     load: Callable[[], models.Model] | None = None,
+    model_key: Hashable | None = None,
+    setup: Callable[[], None] | None = None,
     deterministic: bool = True,
 ) -> DataFrame:
     """Structure ``text`` with a model, one output row per input row.
@@ -60,26 +62,35 @@ def infer_batches(
 
     What is sent to the workers is the model's name (and the word list of a
     lexicon model), never weights. ``load`` replaces the named models by any
-    factory that workers can unpickle; its result lives as long as one task.
-    ``deterministic=False`` keeps Spark from moving filters across the model.
+    function without arguments that workers can unpickle and that returns a
+    model. With a ``model_key`` each worker calls it once and keeps the model for
+    its later tasks, without one it is called in every task. ``setup`` runs
+    right before it, as often. ``deterministic=False`` keeps Spark from moving
+    filters across the model.
     """
     schema = prediction_schema(task)
-    settled = None if load is not None else models.resolve_mode(mode)
+    if load is None and (model_key is not None or setup is not None):
+        raise ValueError("model_key and setup belong to load")
+    spec = models.model_spec(task, model_name, mode, lexicon) if load is None else None
     ship_package(corpus.sparkSession)
 
     def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        from glyphmill.operators.models import get_model
+        # imported by name, so that the loader is the worker's own
+        from glyphmill.operators.models import LOADER, Loader
 
-        model = load() if load is not None else get_model(settled, task, model_name, lexicon)
+        if spec is not None:
+            model = LOADER.of(spec)
+        else:
+            model = (Loader() if model_key is None else LOADER).get(("load", model_key), load, setup)
         arrow_type = to_arrow_type(schema)
         for batch in batches:
-            texts = batch.to_pylist()
-            rows: list[dict[str, Any]] = []
-            for first in range(0, len(texts), batch_size):
-                rows.extend(model.predict(texts[first : first + batch_size], batch_size, max_length))
-            if task == "ner":
-                rows = [{**row, "n_entities": len(row["entities"])} for row in rows]
-            yield pa.array(rows, type=arrow_type)
+            parts = [pa.array([], type=arrow_type)]
+            for first in range(0, len(batch), batch_size):
+                rows = model(batch.slice(first, batch_size).to_pylist(), batch_size, max_length)
+                if task == "ner":
+                    rows = [{**row, "n_entities": len(row["entities"])} for row in rows]
+                parts.append(pa.array(rows, type=arrow_type))
+            yield pa.concat_arrays(parts)
 
     # PySpark reads the type hints; they are written as strings in this module.
     predict.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}

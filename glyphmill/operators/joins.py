@@ -1,42 +1,19 @@
-"""Equi-join against a table with one row per key, safe for very frequent keys."""
+"""Equi-join against a table with one row per key."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# Up to this many rows the keyed side is broadcast.
-MAX_BROADCAST_ROWS = 200_000
-# A key with this many rows on the many side is spread over several tasks.
-HOT_ROWS = 1_000_000
-_SALTS = 64
+from glyphmill.sources.scratch import materialize
 
 
-def is_small(frame: DataFrame) -> bool:
-    """Whether a frame may be broadcast; reads no more rows than the limit."""
-    return frame.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS
-
-
-def join_unique(many: DataFrame, keyed: DataFrame, key: str, small: bool) -> DataFrame:
+def join_keyed(many: DataFrame, keyed: DataFrame, key: str) -> DataFrame:
     """Inner join of ``many`` with ``keyed``, which holds each key once.
 
-    A small ``keyed`` is broadcast and ``many`` stays where it is. Otherwise both
-    are shuffled by key. The keyed side is an aggregate, where AQE cannot split
-    a skewed partition, so the hot keys are looked up first: only their rows are
-    salted, by the partition they come from (which a retried task keeps), and
-    only their one keyed row is copied. With n rows there are at most
-    n / HOT_ROWS hot keys, a list that is broadcast.
+    The keyed side is stored first (a job of its own), so the join has two plain
+    inputs: Spark broadcasts the stored side if its measured bytes allow it;
+    otherwise both are shuffled, and adaptive execution splits the partition of
+    a very frequent key. ``many`` is computed once, in the job that reads the
+    result.
     """
-    if small:
-        return many.join(F.broadcast(keyed), key)
-    hot = (
-        many.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") >= HOT_ROWS)
-        .select(key, F.lit(True).alias("_hot"))
-    )
-    salt = F.when(F.col("_hot"), F.spark_partition_id() % _SALTS).otherwise(F.lit(0))
-    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(_SALTS - 1))).otherwise(F.array(F.lit(0)))
-    left = many.join(F.broadcast(hot), key, "left").withColumn("_salt", salt).drop("_hot")
-    right = keyed.join(F.broadcast(hot), key, "left").withColumn("_salt", F.explode(salts)).drop("_hot")
-    return left.join(right, [key, "_salt"]).drop("_salt")
+    return many.join(materialize(keyed, "keyed"), key)

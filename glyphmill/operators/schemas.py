@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType, StructField, StructType
 
+# Names, types and order of the output fields.
 ENTITY = StructType(
     [
         StructField("text", StringType()),
@@ -24,6 +25,7 @@ SPAN_FIELDS = {
     "score": (("score",), "double", 0.0),
 }
 
+# Fixed values, as above.
 SENTIMENT_PREDICTION = StructType(
     [StructField("label", StringType()), StructField("confidence", DoubleType())]
 )

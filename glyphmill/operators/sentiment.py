@@ -7,11 +7,11 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from glyphmill.functions import lexicon as lexicon_module
 from glyphmill.functions.arrays import bind, with_fixed
 from glyphmill.functions.lexicon import SPANISH_POLARITY, PolarityLexicon, term_pattern
 from glyphmill.functions.numeric import round_exact
 from glyphmill.functions.text import filled, stable_unit, tokens
+from glyphmill.operators.joins import join_keyed
 
 
 def evidence(distinct_tokens: Column, words: Iterable[str]) -> Column:
@@ -22,11 +22,7 @@ def evidence(distinct_tokens: Column, words: Iterable[str]) -> Column:
 
 def polarity_counts(text: Column, lexicon: PolarityLexicon) -> Column:
     """struct(positive, negative): distinct listed tokens of either polarity."""
-    words = lexicon.positive | lexicon.negative
-    if len(words) <= lexicon_module.MAX_PATTERN_TERMS:
-        found = F.regexp_extract_all(text, F.lit(term_pattern(words)), F.lit(0))
-    else:
-        found = tokens(text)
+    found = F.regexp_extract_all(text, F.lit(term_pattern(lexicon.positive | lexicon.negative)), F.lit(0))
     return bind(
         F.array_distinct(F.transform(found, F.lower)),
         lambda distinct: F.struct(
@@ -49,13 +45,51 @@ def confidence_of(text: Column, positive: Column, negative: Column) -> Column:
 
 
 def lexicon_sentiment(corpus: DataFrame, lexicon: PolarityLexicon = SPANISH_POLARITY) -> DataFrame:
-    """Add ``label`` and ``confidence`` to an ``(id, text)`` corpus."""
+    """Add ``label`` and ``confidence`` to an ``(id, text)`` corpus.
+
+    The lists become one pattern, whatever their size; lists too large for a
+    plan belong in a table (``join_sentiment``).
+    """
     prepared = corpus.withColumn("text", filled(F.col("text")))
     counted = with_fixed(prepared, "_found", polarity_counts(F.col("text"), lexicon))
+    return _judged(counted).drop("_found")
+
+
+def _judged(counted: DataFrame) -> DataFrame:
     positive, negative = F.col("_found.positive"), F.col("_found.negative")
     return counted.withColumns(
         {
             "label": label_of(positive, negative),
             "confidence": confidence_of(F.col("text"), positive, negative),
         }
-    ).drop("_found")
+    )
+
+
+def polarity_table(terms: DataFrame) -> DataFrame:
+    """One row per term from ``(term, polarity)``: whether it is listed as ``positive`` and as ``negative``."""
+    return terms.groupBy("term").agg(
+        F.max(F.coalesce(F.col("polarity") == "positive", F.lit(False))).alias("positive"),
+        F.max(F.coalesce(F.col("polarity") == "negative", F.lit(False))).alias("negative"),
+    )
+
+
+def join_sentiment(corpus: DataFrame, terms: DataFrame) -> DataFrame:
+    """``lexicon_sentiment`` with the lexicon as a table ``(term, polarity)``, of any size.
+
+    Each row's distinct tokens are joined with the terms and counted per row; the
+    counts come back to the texts by a key made of the row's id and text, so
+    rows repeated with both share them. Rows without evidence are neutral.
+    """
+    prepared = corpus.withColumn("text", filled(F.col("text")))
+    key = F.sha2(F.concat_ws("\x00", F.coalesce("id", F.lit("\x01")), "text"), 256)
+    keyed = prepared.withColumn("_key", key)
+    distinct = F.array_distinct(F.transform(tokens(F.col("text")), F.lower))
+    found = keyed.select("_key", F.explode(distinct).alias("term")).distinct()
+    counts = join_keyed(found, polarity_table(terms), "term").groupBy("_key").agg(
+        F.struct(
+            F.count_if("positive").cast("int").alias("positive"), F.count_if("negative").cast("int").alias("negative")
+        ).alias("_found")
+    )
+    none = F.struct(F.lit(0).alias("positive"), F.lit(0).alias("negative"))
+    counted = keyed.join(counts, "_key", "left").withColumn("_found", F.coalesce("_found", none))
+    return _judged(counted).select(*prepared.columns, "label", "confidence")

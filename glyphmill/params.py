@@ -25,13 +25,23 @@ def _is_number(value: Any) -> bool:
 
 @dataclass(frozen=True)
 class SourceParams:
-    """Where the raw text lies. Without ``id_column`` an id is generated per row."""
+    """Where the raw text lies. Without ``id_column`` an id is generated per row.
+
+    ``multi_line=False`` tells that no CSV record spans lines, so files split;
+    ``partitions`` deals the rows out anew, for files that don't.
+    """
 
     raw_path: str
     text_column: str
     id_column: str | None = None
+    multi_line: bool = True
+    partitions: int | None = None
 
     def __post_init__(self) -> None:
+        _require(
+            self.partitions is None or (isinstance(self.partitions, int) and self.partitions > 0),
+            "partitions must be a positive integer",
+        )
         _require(isinstance(self.raw_path, str) and bool(self.raw_path), "raw_path must be a non-empty string")
         _require(
             isinstance(self.text_column, str) and bool(self.text_column),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -22,10 +23,10 @@ from glyphmill.operators.contract import violations
 from glyphmill.operators.drift import categorical_psi, drift_report, numeric_drift, text_length_drift
 from glyphmill.operators.entities import flatten_entities, join_entities, lexicon_entities, normalize_spans
 from glyphmill.operators.inference import infer_batches
-from glyphmill.operators.sentiment import lexicon_sentiment
+from glyphmill.operators.sentiment import join_sentiment, lexicon_sentiment
 from glyphmill.params import DomainParams, ModelParams, QualityParams, SourceParams, TableParams
 from glyphmill.plans.run import run_domain, run_domains, run_report
-from glyphmill.sources.corpus import read_raw, read_text, spread
+from glyphmill.sources.corpus import read_raw, read_text
 from glyphmill.sources.scratch import scratch_path
 from glyphmill.sources.versioned import read_table, table_history, write_table
 
@@ -37,17 +38,25 @@ MIN_CONFIDENCE = 0.85
 SENTIMENT = ModelParams(task="sentiment", model_name="lexicon", batch_size=32, labels=LABELS)
 NER = ModelParams(task="ner", model_name="lexicon", entity_types=("A", "B"))
 QUALITY = QualityParams(min_confidence=MIN_CONFIDENCE)
-FIRST_DAY, SECOND_DAY, THIRD_DAY = "2026-06-17", "2026-06-18", "2026-06-19"
+FIRST_DAY, SECOND_DAY, THIRD_DAY = "2031-02-01", "2031-02-02", "2031-02-03"
+
+
+# The test tables are single files of one split. Set this variable to spread their rows.
+PARTITIONS = int(os.environ.get("GLYPHMILL_PARTITIONS", "0")) or None
+
+
+def _source(path: str, id_column: str | None = None) -> SourceParams:
+    return SourceParams(path, "text", id_column, partitions=PARTITIONS)
 
 
 def _documents(spark: SparkSession, sf: str) -> DataFrame:
     """``id, text, lang, source`` of all documents."""
-    raw = spread(read_raw(spark, f"{sf}/documents.parquet"))
+    raw = read_raw(spark, f"{sf}/documents.parquet", partitions=PARTITIONS)
     return raw.select(F.col("doc_id").cast("string").alias("id"), filled(F.col("text")).alias("text"), "lang", "source")
 
 
 def _corpus(spark: SparkSession, sf: str) -> DataFrame:
-    return spread(read_text(spark, SourceParams(f"{sf}/documents.parquet", "text", "doc_id")))
+    return read_text(spark, _source(f"{sf}/documents.parquet", "doc_id"))
 
 
 def _sentiment(spark: SparkSession, sf: str) -> DataFrame:
@@ -72,7 +81,7 @@ def ingest_normalize(spark, sf):
 def ingest_csv(spark, sf):
     path = scratch_path(spark, "documents-csv")
     documents = read_raw(spark, f"{sf}/documents.parquet").select("doc_id", "text", "lang")
-    spread(documents).write.options(
+    documents.write.options(
         header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
     ).csv(path)
     return read_text(spark, SourceParams(path, "text", "doc_id"))
@@ -109,6 +118,12 @@ def sentiment_lexicon(spark, sf):
     return _sentiment(spark, sf).select("id", "label", "confidence")
 
 
+def sentiment_lexicon_join(spark, sf):
+    rows = [(w, "positive") for w in sorted(POLARITY.positive)] + [(w, "negative") for w in sorted(POLARITY.negative)]
+    terms = spark.createDataFrame(rows, "term string, polarity string")
+    return join_sentiment(_corpus(spark, sf), terms).select("id", "label", "confidence")
+
+
 def ner_lexicon_entities(spark, sf):
     return flatten_entities(_entities(spark, sf))
 
@@ -156,8 +171,7 @@ def batch_inference(spark, sf):
 
 
 def batch_inference_entities(spark, sf):
-    rows = infer_batches(_corpus(spark, sf), "ner", "lexicon", mode="mock", lexicon=ENTITIES)
-    return rows.select("id", "n_entities", "confidence")
+    return flatten_entities(infer_batches(_corpus(spark, sf), "ner", "lexicon", mode="mock", lexicon=ENTITIES))
 
 
 # --- contract ------------------------------------------------------------------
@@ -242,6 +256,15 @@ def reliability_of_pairs(spark, sf):
     return _rounded(table, mean_confidence=10, accuracy=10)
 
 
+def reliability_missing_labels(spark, sf):
+    """Every third prediction without a label: a miss where the truth is known."""
+    rows = _sentiment(spark, sf)
+    label = F.when(F.col("id").cast("long") % 3 != 0, F.col("label"))
+    return _rounded(
+        reliability_against_truth(rows.withColumn("label", label), _truth(spark, sf)), mean_confidence=10, accuracy=10
+    )
+
+
 def calibration_error(spark, sf):
     table = reliability_against_truth(_sentiment(spark, sf), _truth(spark, sf))
     return _rounded(expected_calibration_error(table), ece=10)
@@ -371,7 +394,7 @@ def _report(spark, runs) -> DataFrame:
 
 def domain_run_report(spark, sf):
     params = replace(
-        _domain(scratch_path(spark, "run")), data=SourceParams(f"{sf}/documents.parquet", "text", "doc_id")
+        _domain(scratch_path(spark, "run")), data=_source(f"{sf}/documents.parquet", "doc_id")
     )
     return _report(spark, [run_domain(spark, params, "mock", FIRST_DAY, POLARITY)])
 
@@ -379,9 +402,9 @@ def domain_run_report(spark, sf):
 def multi_domain_report(spark, sf):
     """One job over three sources; only the parameters differ."""
     sources = {
-        "documents": (SourceParams(f"{sf}/documents.parquet", "text", "doc_id"), NER, ENTITIES),
-        "conversations": (SourceParams(f"{sf}/conversations.parquet", "text"), SENTIMENT, POLARITY),
-        "benchmark": (SourceParams(f"{sf}/benchmark.parquet", "text", "item_id"), SENTIMENT, POLARITY),
+        "documents": (_source(f"{sf}/documents.parquet", "doc_id"), NER, ENTITIES),
+        "conversations": (_source(f"{sf}/conversations.parquet"), SENTIMENT, POLARITY),
+        "benchmark": (_source(f"{sf}/benchmark.parquet", "item_id"), SENTIMENT, POLARITY),
     }
     jobs = [
         (replace(_domain(scratch_path(spark, name), model=model, domain=name), data=data), lexicon)
@@ -397,6 +420,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_content_ids": ingest_content_ids,
     "tokenize_counts": tokenize_counts,
     "sentiment_lexicon": sentiment_lexicon,
+    "sentiment_lexicon_join": sentiment_lexicon_join,
     "ner_lexicon_entities": ner_lexicon_entities,
     "ner_lexicon_rows": ner_lexicon_rows,
     "ner_lexicon_join": ner_lexicon_join,
@@ -413,6 +437,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "truth_pairs": truth_pairs,
     "reliability_table": reliability,
     "reliability_of_pairs": reliability_of_pairs,
+    "reliability_missing_labels": reliability_missing_labels,
     "calibration_error": calibration_error,
     "text_length_drift": text_length_drift_by_language,
     "text_length_drift_by_source": text_length_drift_by_source,

@@ -155,7 +155,7 @@ def _checks(table: str, checks: list[tuple[str, str, str]]) -> str:
     )
 
 
-_DAY1, _DAY2, _DAY3 = "2026-06-17", "2026-06-18", "2026-06-19"
+_DAY1, _DAY2, _DAY3 = "2031-02-01", "2031-02-02", "2031-02-03"
 _COUNTS = "count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS n_chars"
 
 _CONTRACT_SENTIMENT = f"""WITH {_sentiment()},
@@ -225,12 +225,13 @@ ORACLE: dict[str, str] = {
     "tokenize_counts": f"""SELECT id, CAST(len({_TOKENS}) AS INTEGER) AS n_tokens,
         CAST(len(list_distinct(list_transform({_TOKENS}, lambda t: lower(t)))) AS INTEGER) AS n_distinct FROM ({_DOCS})""",
     "sentiment_lexicon": _SENTIMENT_ROWS,
+    "sentiment_lexicon_join": _SENTIMENT_ROWS,
     "ner_lexicon_entities": f'WITH {_ENTITIES} SELECT id, ordinal, text, type, start, "end", score FROM ent',
     "ner_lexicon_rows": _NER_ROWS,
     "ner_lexicon_join": f'WITH {_ENTITIES} SELECT id, text, type, start, "end", score FROM ent',
     "normalize_spans": _SPANS,
     "batch_inference": _SENTIMENT_ROWS,
-    "batch_inference_entities": _NER_ROWS,
+    "batch_inference_entities": f'WITH {_ENTITIES} SELECT id, ordinal, text, type, start, "end", score FROM ent',
     "contract_sentiment": _CONTRACT_SENTIMENT,
     "contract_ner": _CONTRACT_NER,
     "low_confidence_flag": f"WITH {_sentiment()} SELECT id, confidence, confidence < 0.85 AS low_confidence FROM sent",
@@ -242,6 +243,9 @@ ORACLE: dict[str, str] = {
     "truth_pairs": f"{_PAIRS} SELECT * FROM pairs",
     "reliability_table": f"{_PAIRS}, {_reliability(10)} SELECT bin, round(mean_confidence, 10) AS mean_confidence, round(accuracy, 10) AS accuracy, n FROM rel",
     "reliability_of_pairs": f"{_PAIRS}, {_reliability(7)} SELECT bin, round(mean_confidence, 10) AS mean_confidence, round(accuracy, 10) AS accuracy, n FROM rel",
+    "reliability_missing_labels": f"""{_PAIRS.replace('label = truth AS correct',
+        "coalesce(CASE WHEN CAST(sent.id AS BIGINT) % 3 <> 0 THEN label END = truth, false) AS correct")},
+        {_reliability(10)} SELECT bin, round(mean_confidence, 10) AS mean_confidence, round(accuracy, 10) AS accuracy, n FROM rel""",
     "calibration_error": f"""{_PAIRS}, {_reliability(10)} SELECT CAST(sum(n) AS BIGINT) AS n,
         round(sum(n * abs(mean_confidence - accuracy)) / sum(n), 10) AS ece FROM rel""",
     "text_length_drift": f"WITH {_numeric(_length_batches(_BY_LANGUAGE))} {_NUMERIC_ROW}",

@@ -17,8 +17,8 @@ from glyphmill.operators.entities import lexicon_entities
 from glyphmill.operators.inference import infer_batches
 from glyphmill.operators.sentiment import lexicon_sentiment
 from glyphmill.params import DomainParams
-from glyphmill.sources.corpus import read_text, spread
-from glyphmill.sources.versioned import commit_write, stage_write
+from glyphmill.sources.corpus import read_text
+from glyphmill.sources.versioned import commit_write, discard_write, stage_write
 
 
 @dataclass(frozen=True)
@@ -43,7 +43,7 @@ def structure(corpus: DataFrame, params: DomainParams, mode: str | None = None,
 
     Lexicon models are column expressions; pre-trained models run in batches.
     """
-    settled = models.resolve_mode(mode)
+    settled = models.settle_mode(mode)
     model = params.model
     if settled != "mock":
         return infer_batches(
@@ -65,12 +65,12 @@ def run_domain(
 
     The model runs once: its output is written, invisible to readers, while the
     contract and the summary are computed over the same rows. They become a
-    version of the table only if the contract holds; otherwise
-    ``ContractViolation`` is raised and the table is as before. Nothing is
+    version of the table only if the contract holds; otherwise their files are
+    removed, ``ContractViolation`` is raised and the table is as before. Nothing is
     cached, so a lost executor costs no second, perhaps different, inference of
     rows that were already checked.
     """
-    corpus = spread(read_text(spark, params.data, id_strategy))
+    corpus = read_text(spark, params.data, id_strategy)
     rows = structure(corpus, params, mode, lexicon)
     rules = contract_rules(rows, params.model)
     labels = params.model.labels if params.model.task == "sentiment" else ()
@@ -87,6 +87,7 @@ def run_domain(
     audit = staged.metrics
     failures = broken_rules(rules, audit)
     if failures:
+        discard_write(spark, staged)
         raise ContractViolation(failures)
 
     version = commit_write(spark, staged)
@@ -99,6 +100,14 @@ def run_domain(
     return RunResult(params.domain, params.model.task, staged.path, version, summary)
 
 
+class DomainsFailed(Exception):
+    """Some domains failed: ``failed`` has their errors by name, ``done`` the results that are stored."""
+
+    def __init__(self, done: list[RunResult], failed: dict[str, BaseException]):
+        super().__init__("; ".join(f"{domain}: {error}" for domain, error in failed.items()))
+        self.done, self.failed = done, failed
+
+
 def run_domains(
     spark: SparkSession, jobs: Sequence[tuple[DomainParams, Any]], mode: str | None = None,
     ingest_date: str | None = None, at_once: int = 4,
@@ -106,7 +115,8 @@ def run_domains(
     """``run_domain`` for several ``(params, lexicon)``, a few at a time.
 
     The jobs share nothing but the code, so the last tasks of one domain and the
-    first of the next run side by side. Each needs a table path of its own.
+    first of the next run side by side. Each needs a table path of its own. All
+    run to their end; if any failed, ``DomainsFailed`` has the results of the others.
     """
     paths = [params.lakehouse.path for params, _ in jobs]
     if len(set(paths)) < len(paths):
@@ -115,7 +125,13 @@ def run_domains(
         runs = [
             pool.submit(run_domain, spark, params, mode, ingest_date, lexicon) for params, lexicon in jobs
         ]
-        return [run.result() for run in runs]
+    failed = {
+        params.domain: run.exception() for (params, _), run in zip(jobs, runs, strict=True) if run.exception()
+    }
+    done = [run.result() for run in runs if not run.exception()]
+    if failed:
+        raise DomainsFailed(done, failed)
+    return done
 
 
 def run_report(spark: SparkSession, results: Iterable[RunResult]) -> DataFrame:

@@ -11,15 +11,22 @@ from glyphmill.params import SourceParams
 ID_STRATEGIES = ("monotonic", "content")
 
 
-def read_raw(spark: SparkSession, path: str) -> DataFrame:
+def read_raw(
+    spark: SparkSession, path: str, multi_line: bool = True, partitions: int | None = None
+) -> DataFrame:
     """Parquet if the path ends in ``.parquet``, else CSV with a header.
 
-    CSV records may span lines, every column is a string and a doubled quote
-    inside a quoted field is one quote.
+    In CSV every column is a string and a doubled quote inside a quoted field is
+    one quote. Records may span lines, which makes each file one split;
+    ``multi_line=False`` is for files where they don't, which Spark splits.
+    ``partitions`` shuffles the rows to that many: for a few files that can't be
+    split, in front of a costly model. Without it nothing is shuffled.
     """
     if path.endswith(".parquet"):
-        return spark.read.parquet(path)
-    return spark.read.options(header=True, multiLine=True, escape='"').csv(path)
+        frame = spark.read.parquet(path)
+    else:
+        frame = spark.read.options(header=True, multiLine=multi_line, escape='"').csv(path)
+    return frame if partitions is None else frame.repartition(partitions)
 
 
 def normalize(frame: DataFrame, source: SourceParams, id_strategy: str = "monotonic") -> DataFrame:
@@ -47,17 +54,4 @@ def normalize(frame: DataFrame, source: SourceParams, id_strategy: str = "monoto
 
 def read_text(spark: SparkSession, source: SourceParams, id_strategy: str = "monotonic") -> DataFrame:
     """Read a source and normalise it to ``(id, text)``."""
-    return normalize(read_raw(spark, source.raw_path), source, id_strategy)
-
-
-def spread(frame: DataFrame) -> DataFrame:
-    """Shuffle rows round-robin if the scan yields fewer splits than there are cores.
-
-    A few large files (one multi-line CSV is one split) would leave most of a
-    cluster idle in front of a costly model. A scan with enough splits, which is
-    every large table, is returned as it is: no shuffle. Only plans the scan.
-    """
-    cores = frame.sparkSession.sparkContext.defaultParallelism
-    if frame.rdd.getNumPartitions() >= 2 * cores:
-        return frame
-    return frame.repartition(2 * cores)
+    return normalize(read_raw(spark, source.raw_path, source.multi_line, source.partitions), source, id_strategy)

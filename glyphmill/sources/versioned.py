@@ -2,12 +2,14 @@
 
 Layout below the table path::
 
-    domain=<d>/ingest_date=<date>/write_id=<id>/part-*.parquet
+    write_id=<id>/domain=<d>/ingest_date=<date>/part-*.parquet
     _commits/version=<n>/part-*.json
 
-A write puts its files under an id of its own and becomes visible only when its
-commit is written, after the data. Files of a failed or unfinished write have no
-commit and are never read. One writer at a time; any number of readers.
+A write has a folder of its own and becomes visible only when its commit is
+written, after the data. Readers list the folders of visible writes and no
+others: files of a failed or unfinished write are never read, and an overwrite
+may change the columns and the partitioning without touching older versions. One
+writer at a time; any number of readers.
 """
 
 from __future__ import annotations
@@ -40,7 +42,6 @@ class StagedWrite:
     partition_by: tuple[str, ...]
     schema: StructType
     metrics: dict[str, Any]
-    rows: DataFrame
 
 
 def _commit_dir(path: str) -> str:
@@ -70,9 +71,15 @@ def _string_partitions(schema: StructType, partition_by: tuple[str, ...]) -> Str
     return StructType(data + [StructField(name, StringType()) for name in partition_by])
 
 
-def _read_files(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def _root(path: str, write_id: str) -> str:
+    return f"{path.rstrip('/')}/{_WRITE_ID}={write_id}"
+
+
+def _read_files(spark: SparkSession, path: str, schema: StructType, write_ids: Sequence[str]) -> DataFrame:
     # The schema is given: inference would turn the string ingest_date into a date.
-    return spark.read.schema(StructType([*schema.fields, StructField(_WRITE_ID, StringType())])).parquet(path)
+    typed = StructType([*schema.fields, StructField(_WRITE_ID, StringType())])
+    reader = spark.read.schema(typed).option("basePath", path)
+    return reader.parquet(*[_root(path, write_id) for write_id in write_ids]).drop(_WRITE_ID)
 
 
 def stage_write(
@@ -103,14 +110,15 @@ def stage_write(
             raise ValueError(f"schema of the append differs from {target.path}: {_shape(kept)} / {_shape(schema)}")
     write_id, observed = uuid.uuid4().hex, Observation()
     measured = stamped.observe(observed, F.count(F.lit(1)).alias(_N_ROWS), *metrics)
-    measured.withColumn(_WRITE_ID, F.lit(write_id)).write.mode("append").partitionBy(
-        *target.partition_by, _WRITE_ID
-    ).parquet(target.path)
-    written = _read_files(spark, target.path, schema).where(F.col(_WRITE_ID) == write_id).drop(_WRITE_ID)
+    measured.write.mode("errorifexists").partitionBy(*target.partition_by).parquet(_root(target.path, write_id))
     version = earlier[-1].version + 1 if earlier else 0
-    return StagedWrite(
-        target.path, version, write_id, target.mode, target.partition_by, schema, observed.get, written
-    )
+    return StagedWrite(target.path, version, write_id, target.mode, target.partition_by, schema, observed.get)
+
+
+def discard_write(spark: SparkSession, staged: StagedWrite) -> None:
+    """Remove the files of a staged write that is not to be committed."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(_root(staged.path, staged.write_id))
+    target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
 
 
 def commit_write(spark: SparkSession, staged: StagedWrite) -> int:
@@ -167,5 +175,4 @@ def read_table(spark: SparkSession, path: str, version: int | None = None) -> Da
     if not visible:
         raise ValueError(f"{path} holds no committed version")
     schema = StructType.fromJson(json.loads(visible[-1].schema))
-    files = _read_files(spark, path, schema)
-    return files.where(F.col(_WRITE_ID).isin([commit.write_id for commit in visible])).drop(_WRITE_ID)
+    return _read_files(spark, path, schema, [commit.write_id for commit in visible])

@@ -1,4 +1,6 @@
 import math
+from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -17,18 +19,33 @@ from glyphmill.operators.drift import (
 from glyphmill.params import QualityParams
 
 
+def interpolated(ordered, share):
+    """The value at a share of the way through a sorted list, between two ranks if need be."""
+    place = Fraction(share) * (len(ordered) - 1)
+    rank = math.floor(place)
+    low, high = ordered[rank], ordered[min(rank + 1, len(ordered) - 1)]
+    return low + (high - low) * float(place - rank)
+
+
 def brute_psi(expected, actual, bins=10):
-    edges = np.quantile(expected, np.linspace(0, 1, bins + 1))
-    edges[0], edges[-1] = -np.inf, np.inf
-    shares = [np.histogram(side, edges)[0] / len(side) for side in (expected, actual)]
-    e, a = (np.where(side == 0, 1e-6, side) for side in shares)
-    return float(np.sum((a - e) * np.log(a / e)))
+    """Population stability by counting, value by value, the cut points at or below it."""
+    ordered = sorted(float(v) for v in expected)
+    cuts = [interpolated(ordered, i * (1.0 / bins)) for i in range(1, bins)]
+
+    def counts(values):
+        return Counter(sum(cut <= float(v) for cut in cuts) for v in values)
+
+    e, a = counts(expected), counts(actual)
+    total = 0.0
+    for cell in set(e) | set(a):
+        p, q = e[cell] / len(expected) or 1e-6, a[cell] / len(actual) or 1e-6
+        total += math.log(q / p) * (q - p)
+    return total
 
 
 def brute_ks(x, y):
-    points = np.concatenate([x, y])
-    cdf = [np.searchsorted(np.sort(side), points, side="right") / len(side) for side in (x, y)]
-    return float(np.max(np.abs(cdf[0] - cdf[1])))
+    xs, ys = [float(v) for v in x], [float(v) for v in y]
+    return max(abs(sum(v <= at for v in xs) / len(xs) - sum(v <= at for v in ys) / len(ys)) for at in {*xs, *ys})
 
 
 def column(spark, values):
@@ -65,18 +82,19 @@ def test_psi_with_other_bin_counts(spark, bins):
     )
 
 
-def test_ranges_do_not_change_the_result(spark):
-    # 400 distinct values in one range, in 200 and in ranges of very unequal size
+def test_ranges_do_not_change_the_result(spark, monkeypatch):
+    # 700 distinct values in one range, in two of unequal size, and in more the fewer a range may hold
     reference, new = PAIRS["shifted"]
     sides = [column(spark, side).withColumnRenamed("v", "value") for side in (reference, new)]
     histogram = drift_module._histogram(drift_module._tagged(*sides), "value")
-    ranges = [
-        F.lit(0).cast("bigint"),
-        drift_module._sampled_range(histogram),
-        drift_module._sampled_range(histogram, 3),
-        (F.col("value") > 6).cast("bigint"),
-    ]
-    rows = [drift_module._numeric_drift(histogram, value_range, 10).first() for value_range in ranges]
+    rows = [drift_module._numeric_drift(histogram, F.lit(0).cast("bigint"), 10).first()]
+    rows.append(drift_module._numeric_drift(histogram, (F.col("value") > 6).cast("bigint"), 10).first())
+    for limit, ranges in ((1_000_000, 1), (100, 7), (3, 234)):
+        monkeypatch.setattr(drift_module, "VALUES_PER_RANGE", limit)
+        stored = drift_module._stored_ranges(histogram)
+        found = stored.select("_range").distinct().count()
+        assert found == ranges if ranges == 1 else 0.5 * ranges <= found <= ranges
+        rows.append(drift_module._numeric_drift(stored, F.col("_range"), 10).first())
     assert all(row == rows[0] for row in rows)
 
 
@@ -115,18 +133,14 @@ def test_categorical_psi(spark):
     def frame(values):
         return spark.createDataFrame([(v,) for v in values], "c string")
 
-    def wanted(reference, new):
-        total = 0.0
-        for c in set(reference) | set(new):
-            e = max(reference.count(c) / len(reference), 1e-6)
-            a = max(new.count(c) / len(new), 1e-6)
-            total += (a - e) * math.log(a / e)
-        return total
-
-    cases = [(["P"] * 80 + ["N"] * 20, ["P"] * 20 + ["N"] * 80), (["P"] * 3, ["N"] * 2), (["P", "N"], ["N", "P"])]
-    for reference, new in cases:
+    cases = [  # worked out by hand: twice (3/4 - 1/4) ln 3; a share that is missing counts as a millionth
+        (["x"] * 6 + ["y"] * 2, ["y"] * 6 + ["x"] * 2, math.log(3)),
+        (["x"] * 3, ["y"] * 2, 2 * (1 - 1e-6) * math.log(1e6)),
+        (["x", "y"], ["y", "x"], 0.0),
+    ]
+    for reference, new, wanted in cases:
         found = categorical_psi(frame(reference + [None]), frame(new + [None, None]), "c").first()["psi"]
-        assert found == pytest.approx(wanted(reference, new), abs=1e-12)
+        assert found == pytest.approx(wanted, abs=1e-12)
     assert categorical_psi(frame([]), frame([]), "c").first()["psi"] == 0.0
     assert categorical_psi(frame(["P"]), frame([]), "c").first()["psi"] == pytest.approx((1e-6 - 1) * math.log(1e-6))
 
@@ -136,11 +150,10 @@ def texts(spark, values, label=None):
 
 
 def test_text_length_drift(spark):
-    reference = texts(spark, ["hola"] * 50)
-    new = texts(spark, ["un texto bastante más largo que el de referencia"] * 50)
-    row = text_length_drift(reference, new).first()
+    row = text_length_drift(texts(spark, ["abc"] * 30), texts(spark, ["abcdefghij"] * 20)).first()
     # A constant reference puts every longer value into the top bin; the KS test sees the shift.
-    assert row["psi"] == 0.0 and row["ks_stat"] == 1.0 and row["ks_pvalue"] < 0.05
+    assert (row["psi"], row["ks_stat"]) == (0.0, 1.0) and row["ks_pvalue"] < 1e-6
+    assert (row["n_ref"], row["n_new"]) == (30, 20)
 
 
 def test_missing_text_has_length_zero_and_characters_count_once(spark):
@@ -157,14 +170,18 @@ def test_long_texts_span_several_ranges(spark):
     assert row["ks_stat"] == pytest.approx(brute_ks(np.array(reference), np.array(new)), abs=1e-12)
 
 
-def test_drift_report(spark):
-    quality = QualityParams()
-    report = drift_report(texts(spark, ["bueno"] * 50, "POS"), texts(spark, ["malo"] * 50, "NEG"), quality).first()
-    assert report["drift_detected"] is True and report["label_psi"] > 0.2
-    calm = drift_report(texts(spark, ["a", "bb"] * 30, "POS"), texts(spark, ["bb", "a"] * 30, "POS"), quality).first()
-    assert calm["drift_detected"] is False and calm["label_psi"] == 0.0 and calm["length_ks_pvalue"] == 1.0
-    only_labels = drift_report(texts(spark, ["aa"] * 40, "POS"), texts(spark, ["aa"] * 40, "NEG"), quality).first()
-    assert only_labels["drift_detected"] is True and only_labels["length_ks_stat"] == 0.0
+@pytest.mark.parametrize(
+    "old,new,flag,label_psi",
+    [
+        ((["a", "bb"], "L"), (["bb", "a"], "L"), False, 0.0),
+        ((["cc"], "L"), (["cc"], "M"), True, 2 * (1 - 1e-6) * math.log(1e6)),
+        ((["d"], "L"), (["d" * 40], "L"), True, 0.0),
+    ],
+)
+def test_drift_report(spark, old, new, flag, label_psi):
+    sides = [texts(spark, values * 30, label) for values, label in (old, new)]
+    row = drift_report(*sides, QualityParams()).first()
+    assert row["drift_detected"] is flag and row["label_psi"] == pytest.approx(label_psi)
 
 
 def test_drift_report_without_labels(spark):
@@ -175,3 +192,16 @@ def test_drift_report_without_labels(spark):
 
 def test_ks_test_columns(spark):
     assert ks_test(column(spark, [1, 2]), column(spark, [1, 2]), "v").columns == ["ks_stat", "ks_pvalue"]
+
+
+def test_approximate_drift_is_close(spark):
+    rng = np.random.default_rng(8)
+    for reference, new in ((rng.normal(0, 1, 3000), rng.normal(0.3, 1.2, 2500)), PAIRS["tied"], PAIRS["constant"]):
+        sides = column(spark, reference), column(spark, new)
+        exact, close = (numeric_drift(*sides, "v", accuracy=a).first() for a in (None, 10_000))
+        assert (close["n_ref"], close["n_new"]) == (exact["n_ref"], exact["n_new"])
+        assert close["psi"] == pytest.approx(exact["psi"], abs=0.02, rel=0.05)
+        assert close["ks_stat"] == pytest.approx(exact["ks_stat"], abs=0.006)
+    empty = column(spark, [])
+    row = numeric_drift(empty, column(spark, [1.0]), "v", accuracy=100).first()
+    assert (row["n_ref"], row["n_new"], row["psi"], row["ks_stat"]) == (0, 1, 0.0, None)

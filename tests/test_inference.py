@@ -1,3 +1,6 @@
+import os
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -5,7 +8,6 @@ from glyphmill.functions.lexicon import SPANISH_POLARITY
 from glyphmill.operators import models
 from glyphmill.operators.entities import lexicon_entities
 from glyphmill.operators.inference import infer_batches
-from glyphmill.operators.models import PretrainedEntities, PretrainedSentiment
 from glyphmill.operators.schemas import output_schema
 from glyphmill.operators.sentiment import lexicon_sentiment
 
@@ -52,89 +54,126 @@ def test_filters_on_the_prediction_do_not_run_the_model_twice(corpus):
 
 def test_batches_respect_batch_size(corpus):
     def load():
-        class Recording:
-            def predict(self, texts, batch_size, max_length):
-                return [{"label": f"{len(texts)}/{batch_size}/{max_length}", "confidence": 0.5} for _ in texts]
-
-        return Recording()
+        return lambda texts, size, length: [
+            {"label": f"{len(texts)} of {size}, {length}", "confidence": 0.5} for _ in texts
+        ]
 
     frame = infer_batches(
-        corpus(["x"] * 10).coalesce(1), "sentiment", batch_size=4, max_length=9, load=load, deterministic=False
+        corpus(["x"] * 11).coalesce(1), "sentiment", batch_size=3, max_length=5, load=load, deterministic=False
     )
-    labels = [row["label"] for row in frame.collect()]
-    assert sorted(labels) == sorted(["4/4/9"] * 8 + ["2/4/9"] * 2)
+    labels = sorted(row["label"] for row in frame.collect())
+    assert labels == ["2 of 3, 5"] * 2 + ["3 of 3, 5"] * 9
+
+
+def test_keyed_models_are_loaded_once_per_worker(spark, corpus, tmp_path):
+    """More tasks than workers: set-ups and loads are counted by process id in a log."""
+    log = str(tmp_path)
+
+    def note(kind):
+        import os
+        import uuid
+
+        with open(f"{log}/{kind}-{os.getpid()}-{uuid.uuid4().hex}", "w"):
+            pass
+
+    def load():
+        note("load")
+        return lambda texts, size, length: [{"label": "POS", "confidence": 0.5} for _ in texts]
+
+    def run(key):
+        rows = infer_batches(
+            corpus(["x"] * 64).repartition(32), "sentiment", load=load, model_key=key, setup=lambda: note("setup")
+        )
+        assert rows.count() == 64
+        rows.write.format("noop").mode("overwrite").save()
+
+    def by_process(kind):
+        found = Counter(name.split("-")[1] for name in os.listdir(log) if name.startswith(kind))
+        return found
+
+    run(f"model at {log}")
+    loads, setups = by_process("load"), by_process("setup")
+    assert loads and loads == setups and set(loads.values()) == {1}
+    run(None)  # without a key: once per task
+    assert sum(by_process("load").values()) >= sum(loads.values()) + 32
+
+
+def test_loader_makes_a_model_once_per_key():
+    loader, made = models.Loader(), []
 
+    def make():
+        made.append("model")
+        return lambda texts, size, length: []
 
-def test_model_cache_keeps_one_instance_per_key():
-    models.clear_models()
-    first = models.get_model("mock", "ner", "m")
-    assert models.get_model("mock", "ner", "m") is first
-    assert models.get_model("mock", "sentiment", "m") is not first
-    assert models.get_model("mock", "ner", "other") is not first
-    models.clear_models()
-    assert models.get_model("mock", "ner", "m") is not first
+    first = loader.get("a", make, lambda: made.append("setup"))
+    assert loader.get("a", make) is first and made == ["setup", "model"]
+    assert loader.get("b", make) is not first
+    spec = models.model_spec("ner", "one", mode="mock")
+    assert loader.of(spec) is loader.of(models.model_spec("ner", "one", mode="mock"))
+    assert loader.of(spec) is not loader.of(models.model_spec("ner", "two", mode="mock"))
 
 
 def test_mode_is_settled_on_the_driver(monkeypatch, corpus):
-    monkeypatch.setattr(models, "transformers_available", lambda: False)
-    assert models.resolve_mode("auto") == "mock"
-    monkeypatch.setattr(models, "transformers_available", lambda: True)
-    assert models.resolve_mode("auto") == "hf"
-    monkeypatch.setenv(models.MODE_VARIABLE, "MOCK")
-    assert models.resolve_mode() == "mock"
+    for there, mode in ((False, "mock"), (True, "hf")):
+        monkeypatch.setattr(models, "pretrained_available", lambda there=there: there)
+        assert models.settle_mode("auto") == mode
+    monkeypatch.setenv(models.MODE_VARIABLE, "Mock")
+    assert models.settle_mode() == "mock" and models.settle_mode("HF") == "hf"
     monkeypatch.delenv(models.MODE_VARIABLE)
-    assert models.resolve_mode() == "hf"
-    with pytest.raises(ValueError, match="gpu"):
-        infer_batches(corpus(["a"]), "sentiment", mode="gpu")
+    assert models.settle_mode() == "hf"
+    with pytest.raises(ValueError, match="tape"):
+        infer_batches(corpus(["a"]), "sentiment", mode="tape")
 
 
-def test_build_model_by_task():
-    assert isinstance(models.build_model("mock", "sentiment", "x"), models.LexiconSentiment)
-    assert isinstance(models.build_model("mock", "ner", "x"), models.LexiconEntities)
+def test_specs_name_known_models_only(corpus):
+    assert models.model_spec("ner", mode="hf") == models.ModelSpec("ner", "pretrained")
     with pytest.raises(ValueError):
-        models.build_model("mock", "translation", "x")
+        models.model_spec("summary", mode="mock")
+    with pytest.raises(ValueError, match="belong to load"):
+        infer_batches(corpus(["a"]), "ner", mode="mock", model_key="k")
 
 
-def test_pretrained_sentiment_passes_the_limits_on():
-    calls = []
+def test_text_classifiers_get_the_limits():
+    seen = {}
 
     def classify(texts, **options):
-        calls.append(options)
-        return [{"label": "POS", "score": 1} for _ in texts]
+        seen.update(options)
+        return [{"label": text.upper(), "score": len(text)} for text in texts]
 
-    found = PretrainedSentiment(classify).predict(["a", "b"], batch_size=2, max_length=7)
-    assert found == [{"label": "POS", "confidence": 1.0}] * 2
-    assert calls == [{"batch_size": 2, "truncation": True, "max_length": 7}]
+    assert models.labels_from(classify)(["x", "yz"], 4, 33) == [
+        {"label": "X", "confidence": 1.0}, {"label": "YZ", "confidence": 2.0},
+    ]
+    assert seen == {"batch_size": 4, "truncation": True, "max_length": 33}
 
 
-def test_pretrained_entities_normalise_spans():
-    options = []
+def test_token_classifiers_give_entities():
+    full = {"word": "Ruiz", "entity_group": "PER", "start": 3, "end": 7, "score": 0.75}
+    answers = {"all": [full, {"entity": "LOC", "score": 0.5, "start": None}, {}], "none": []}
 
-    def tag(texts, **given):
-        options.append(given)
-        spans = [{"word": "tos", "entity_group": "S", "start": 1, "end": 4, "score": 0.5}, {"entity": "E", "score": 0.25}, {}]
-        return [spans, []] if len(texts) == 2 else spans
+    def tag(texts, batch_size):
+        found = [answers[text] for text in texts]
+        return found[0] if len(found) == 1 else found
 
-    first, second = PretrainedEntities(tag).predict(["a", "b"], batch_size=3, max_length=7)
-    assert [e["type"] for e in first["entities"]] == ["S", "E", "ENTIDAD"]
-    assert first["entities"][2] == {"text": "", "type": "ENTIDAD", "start": 0, "end": 0, "score": 0.0}
-    assert first["confidence"] == 0.25 and second == {"entities": [], "confidence": 0.0}
-    assert PretrainedEntities(tag).predict(["a"]) == [first]
-    assert options[0] == {"batch_size": 3}
+    predict = models.spans_from(tag)
+    one, other = predict(["all", "none"], 8, 0)
+    assert one["entities"][0] == {"text": "Ruiz", "type": "PER", "start": 3, "end": 7, "score": 0.75}
+    assert [e["type"] for e in one["entities"]] == ["PER", "LOC", "ENTIDAD"] and one["entities"][1]["start"] == 0
+    assert one["confidence"] == round(1.25 / 3, 4) and other == {"entities": [], "confidence": 0.0}
+    assert predict(["all"], 8, 0) == [one] and predict(["none"], 8, 0) == [other]
 
 
-def test_stub_pretrained_model_runs_in_spark(corpus):
+def test_a_model_of_ones_own_runs_in_spark(corpus):
     def load():
-        from glyphmill.operators.models import PretrainedEntities
+        from glyphmill.operators.models import spans_from
 
         def tag(texts, batch_size):
-            return [[{"word": t[:1], "entity": "E", "start": 0, "end": 1, "score": 0.75}] if t else [] for t in texts]
+            return [[{"word": t, "entity": "W", "start": 0, "end": len(t), "score": 0.5}] if t else [] for t in texts]
 
-        return PretrainedEntities(tag)
+        return spans_from(tag)
 
-    rows = rows_of(infer_batches(corpus(["ab", "", "c"]), "ner", batch_size=2, load=load))
-    assert [row["n_entities"] for row in rows] == [1, 0, 1]
-    assert rows[0]["entities"][0]["type"] == "E" and rows[0]["confidence"] == 0.75
+    rows = rows_of(infer_batches(corpus(["uno", "", "tres"]), "ner", batch_size=2, load=load, model_key="words"))
+    assert [[e["text"] for e in row["entities"]] for row in rows] == [["uno"], [], ["tres"]]
+    assert [row["n_entities"] for row in rows] == [1, 0, 1] and rows[2]["confidence"] == 0.5
 
 
 def test_lexicon_travels_with_the_model(corpus):

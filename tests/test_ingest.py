@@ -2,8 +2,9 @@ import hashlib
 
 import pytest
 
+from glyphmill.operators.inference import infer_batches
 from glyphmill.params import SourceParams
-from glyphmill.sources.corpus import normalize, read_text, spread
+from glyphmill.sources.corpus import normalize, read_raw, read_text
 
 
 def write(path, text):
@@ -72,9 +73,25 @@ def test_column_names_with_dots(spark):
     assert pairs(normalize(frame, SourceParams("-", "a.text", "a.id"))) == {"1": "x"}
 
 
-def test_spread_only_where_splits_are_few(spark):
-    cores = spark.sparkContext.defaultParallelism
-    few, many = spark.range(100).coalesce(1), spark.range(0, 100, 1, 2 * cores)
-    assert spread(few).rdd.getNumPartitions() == 2 * cores
-    assert spread(many) is many
-    assert spread(few).count() == 100
+def test_reading_shuffles_only_on_request(spark, tmp_path):
+    spark.range(400).selectExpr("id", "string(id) as text").write.parquet(str(tmp_path / "x.parquet"))
+    for partitions in (None, 7):
+        source = SourceParams(str(tmp_path / "x.parquet"), "text", "id", partitions=partitions)
+        frame = infer_batches(read_text(spark, source), "sentiment", mode="mock")
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert ("Exchange" in plan) == (partitions is not None)
+        assert frame.count() == 400
+    with pytest.raises(ValueError, match="partitions"):
+        SourceParams("x", "text", partitions=0)
+
+
+def test_csv_without_line_breaks_is_split(spark, tmp_path):
+    path = write(tmp_path / "large.csv", "id,text\n" + "".join(f'{i},"a, ""b"" {i}"\n' for i in range(30_000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        whole, split = (read_raw(spark, path, multi_line=m) for m in (True, False))
+        assert whole.rdd.getNumPartitions() == 1 and split.rdd.getNumPartitions() > 3
+        assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, split.collect()))
+        assert whole.count() == 30_000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

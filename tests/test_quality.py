@@ -5,7 +5,6 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from glyphmill.operators import joins as joins_module
 from glyphmill.operators.calibration import (
     confidence_bin,
     expected_calibration_error,
@@ -13,6 +12,7 @@ from glyphmill.operators.calibration import (
     reliability_against_truth,
     reliability_table,
 )
+from glyphmill.operators.inference import infer_batches
 from glyphmill.operators.confidence import confidence_summary, flag_low_confidence, label_counts, summary_report
 
 NAN = float("nan")
@@ -73,26 +73,32 @@ def test_bins_match_right_closed_edges(spark, n_bins):
     assert found == [None if np.isnan(w) else int(w) + 1 for w in wanted]
 
 
-def test_reliability_matches_pandas(spark):
-    rng = np.random.default_rng(2)
-    pdf = pd.DataFrame({"confidence": rng.random(500), "correct": rng.integers(0, 2, 500)})
-    wanted = pdf.groupby(pd.cut(pdf["confidence"], np.linspace(0, 1, 11), include_lowest=True, labels=False)).agg(
-        conf=("confidence", "mean"), acc=("correct", "mean"), n=("correct", "size")
+def test_reliability_by_counting(spark):
+    """Confidences in hundredths, binned by whole-number arithmetic."""
+    rng = np.random.default_rng(21)
+    cents, hits = rng.integers(0, 101, 700).tolist(), rng.integers(0, 2, 700).tolist()
+    table = reliability_table(
+        spark.createDataFrame([(c / 100, h) for c, h in zip(cents, hits, strict=True)], "confidence double, correct int")
     )
-    table = reliability_table(spark.createDataFrame(pdf))
-    rows = {r["bin"]: r for r in table.collect()}
-    for index, row in wanted.iterrows():
-        found = rows[int(index) + 1]
-        assert found["mean_confidence"] == pytest.approx(row["conf"])
-        assert found["accuracy"] == pytest.approx(row["acc"]) and found["n"] == row["n"]
-    ece = (wanted["n"] / 500 * (wanted["conf"] - wanted["acc"]).abs()).sum()
-    assert expected_calibration_error(table).first()["ece"] == pytest.approx(ece)
-
-
-@pytest.mark.parametrize("conf,right,low,high", [(0.95, 95, -1, 0.05), (0.99, 50, 0.4, 1)])
-def test_calibration_error_examples(spark, conf, right, low, high):
-    frame = spark.createDataFrame([(conf, int(i < right)) for i in range(100)], "confidence double, correct int")
-    assert low < expected_calibration_error(reliability_table(frame)).first()["ece"] < high
+    members = {}
+    for c, h in zip(cents, hits, strict=True):
+        members.setdefault(max(1, -(-c // 10)), []).append((c, h))
+    found = {r["bin"]: r for r in table.collect()}
+    assert set(found) == set(members)
+    weighted = 0.0
+    for index, own in members.items():
+        mean, accuracy = sum(c for c, _ in own) / len(own) / 100, sum(h for _, h in own) / len(own)
+        assert found[index]["n"] == len(own)
+        assert found[index]["mean_confidence"] == pytest.approx(mean)
+        assert found[index]["accuracy"] == pytest.approx(accuracy)
+        weighted += len(own) * abs(mean - accuracy)
+    assert expected_calibration_error(table).first()["ece"] == pytest.approx(weighted / 700)
+
+
+@pytest.mark.parametrize("rows,ece", [([(0.6, 1)] * 3 + [(0.6, 0)] * 2, 0.0), ([(0.25, 1)] * 8, 0.75), ([(1.0, 0), (0.0, 1)], 1.0)])
+def test_calibration_error_examples(spark, rows, ece):
+    frame = spark.createDataFrame(rows, "confidence double, correct int")
+    assert expected_calibration_error(reliability_table(frame)).first()["ece"] == pytest.approx(ece)
 
 
 def test_calibration_error_of_nothing_and_outside_values(spark):
@@ -102,27 +108,67 @@ def test_calibration_error_of_nothing_and_outside_values(spark):
     assert tuple(expected_calibration_error(reliability_table(frame)).first()) == (1, 0.5)
 
 
-@pytest.mark.parametrize("limit,hot", [(200_000, 10**6), (1, 10**6), (1, 20)])
-def test_truth_join(spark, monkeypatch, limit, hot):
-    monkeypatch.setattr(joins_module, "MAX_BROADCAST_ROWS", limit)
-    monkeypatch.setattr(joins_module, "HOT_ROWS", hot)
-    schema = "id string, label string, confidence double"
+LABELLED = "id string, label string, confidence double"
+TRUTH = "id string, truth string"
+
+
+@pytest.mark.parametrize("limit", ["10m", "-1"])
+def test_truth_join(spark, broadcast_limit, limit):
+    broadcast_limit(limit)
     rows = [("a", "POS", 0.9), ("a", "NEG", 0.9), ("b", "POS", 0.2), ("c", "POS", 0.3)] + [("hot", "POS", 0.8)] * 40
-    predictions = spark.createDataFrame(rows, schema)
-    truth = spark.createDataFrame([("a", "POS"), ("a", "POS"), ("b", "NEG"), ("hot", "POS"), ("z", "POS")], "id string, truth string")
+    predictions = spark.createDataFrame(rows, LABELLED)
+    truth = spark.createDataFrame([("a", "POS"), ("a", "POS"), ("b", "NEG"), ("hot", "POS"), ("z", "POS"), ("c", None)], TRUTH)
     pairs = pair_with_truth(predictions.repartition(8), truth)
     assert pairs.columns == ["id", "label", "confidence", "correct"]
     hits = [("a", "POS", True), ("a", "NEG", False), ("b", "POS", False)] + [("hot", "POS", True)] * 40
     assert sorted((r["id"], r["label"], r["correct"]) for r in pairs.collect()) == sorted(hits)
-    direct = sorted(map(tuple, reliability_table(pairs).collect()))
-    summed = sorted(map(tuple, reliability_against_truth(predictions, truth).collect()))
-    assert [(b, n) for b, _, _, n in direct] == [(b, n) for b, _, _, n in summed]
-    for left, right in zip(direct, summed, strict=True):
-        assert left == pytest.approx(right)
+
+
+@pytest.mark.parametrize("limit", ["10m", "-1"])
+def test_a_missing_label_is_a_miss(spark, broadcast_limit, limit):
+    broadcast_limit(limit)
+    predictions = spark.createDataFrame([("a", "POS", 0.5), ("b", None, 0.5), ("c", "POS", 0.5)], LABELLED)
+    truth = spark.createDataFrame([("a", "POS"), ("b", "POS"), ("c", "POS")], TRUTH)
+    for table in (reliability_against_truth(predictions, truth), reliability_table(pair_with_truth(predictions, truth))):
+        row = table.first()
+        assert row["n"] == 3 and row["accuracy"] == pytest.approx(2 / 3)
+
+
+def test_the_model_runs_once_before_the_truth_join(spark, corpus, broadcast_limit):
+    broadcast_limit("-1")
+    predictions = infer_batches(corpus(["bueno", "malo"] * 20), "sentiment", mode="mock")
+    truth = spark.createDataFrame([(str(i), "POS") for i in range(30)], TRUTH)
+    pairs = pair_with_truth(predictions, truth)
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "SinglePartition" not in plan and "Broadcast" not in plan
+    assert pairs.count() == 30
+
+
+def test_a_hot_key_is_split(spark, broadcast_limit):
+    broadcast_limit("-1")
+    names = {"skewedPartitionThresholdInBytes": "16k", "skewedPartitionFactor": "2"}
+    for name, value in names.items():
+        spark.conf.set(f"spark.sql.adaptive.skewJoin.{name}", value)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+    rows = spark.range(0, 60_000, 1, 8).selectExpr(
+        "if(id % 10 = 0, string(id), 'hot') as id", "'POS' as label", "rand(7) as confidence"
+    )
+    truth = spark.range(2000).selectExpr("string(id) as id", "'POS' as truth").unionByName(
+        spark.createDataFrame([("hot", "NEG")], TRUTH)
+    )
+    pairs = pair_with_truth(rows, truth)
+    assert pairs.count() == 54_000 + 200
+    pairs.write.format("noop").mode("overwrite").save()
+    counted = pairs.groupBy("correct").count()
+    counted.collect()
+    assert "skew=true" in counted._jdf.queryExecution().executedPlan().toString()
+    for name in names:
+        spark.conf.unset(f"spark.sql.adaptive.skewJoin.{name}")
+    spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
 
 
 def test_contradicting_truth_fails(spark):
-    predictions = spark.createDataFrame([("a", "POS", 0.9)], "id string, label string, confidence double")
-    truth = spark.createDataFrame([("a", "POS"), ("a", "NEG")], "id string, truth string")
+    predictions = spark.createDataFrame([("a", "POS", 0.9)], LABELLED)
+    truth = spark.createDataFrame([("a", "POS"), ("a", "NEG")], TRUTH)
     with pytest.raises(Exception, match="contradicting truth"):
         pair_with_truth(predictions, truth).collect()

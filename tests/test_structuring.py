@@ -1,13 +1,11 @@
 import pytest
 from pyspark.sql import functions as F
 
-from glyphmill.functions import lexicon as lexicon_module
 from glyphmill.functions.lexicon import SPANISH_CLINICAL, SPANISH_POLARITY, EntityLexicon, PolarityLexicon
-from glyphmill.operators import joins as joins_module
 from glyphmill.operators.entities import flatten_entities, join_entities, lexicon_entities, normalize_spans
-from glyphmill.operators.models import LexiconEntities, LexiconSentiment
+from glyphmill.operators.models import make_model, model_spec
 from glyphmill.operators.schemas import output_schema
-from glyphmill.operators.sentiment import lexicon_sentiment
+from glyphmill.operators.sentiment import join_sentiment, lexicon_sentiment
 
 
 ODD = EntityLexicon.of(
@@ -16,6 +14,10 @@ ODD = EntityLexicon.of(
 ODD_TEXTS = ["İSTANBUL i̇stanbul istanbul", "K k Σ σ ς ΣΑΣ", "TOS Tos tos", "dos palabras", "abc a.c", "GROß GROẞ gross", "S s ſ", "off of offs"]
 
 
+def row_model(task, texts, lexicon=None):
+    return make_model(model_spec(task, mode="mock", lexicon=lexicon))([t or "" for t in texts], 16, 256)
+
+
 def by_id(frame):
     return {int(row["id"]): row for row in frame.collect()}
 
@@ -23,7 +25,7 @@ def by_id(frame):
 def test_sentiment_labels(corpus):
     rows = by_id(
         lexicon_sentiment(
-            corpus(["Excelente curso, muy claro y útil", "Pésimo y desorganizado", "El curso es en la sala 3", "bueno malo"])
+            corpus(["La ganancia crece, saldo positivo", "Cae y baja: débil", "Nada que anotar el lunes", "sube lento"])
         )
     )
     assert [rows[i]["label"] for i in range(4)] == ["POS", "NEG", "NEU", "NEU"]
@@ -38,22 +40,49 @@ def test_sentiment_pinned_values(corpus):
 
 
 def test_sentiment_equals_row_model(corpus, edge_texts):
-    model = LexiconSentiment(SPANISH_POLARITY)
     rows = by_id(lexicon_sentiment(corpus(edge_texts)))
-    for i, wanted in enumerate(model.predict([t or "" for t in edge_texts])):
+    for i, wanted in enumerate(row_model("sentiment", edge_texts, SPANISH_POLARITY)):
         assert (rows[i]["label"], rows[i]["confidence"]) == (wanted["label"], wanted["confidence"])
 
 
-def test_large_polarity_lexicon(corpus, edge_texts, monkeypatch):
-    small = by_id(lexicon_sentiment(corpus(edge_texts)))
-    monkeypatch.setattr(lexicon_module, "MAX_PATTERN_TERMS", 3)
-    assert by_id(lexicon_sentiment(corpus(edge_texts))) == small
+# Letters newer than the JVM's Unicode tables, which Python knows as letters already.
+NEW_LETTERS = ["\U0001DF00tos bueno", "tos\U0001E030 fiebre bueno\U0001E030 malo"]
+
+
+def padded(words, n=600):
+    return [*words, *(f"relleno{i}" for i in range(n))]
+
+
+def test_the_size_of_a_lexicon_changes_no_result(corpus, edge_texts):
+    texts = [*edge_texts, *NEW_LETTERS]
+    polarity = PolarityLexicon.of(["bueno", "claro"], ["malo"])
+    entities = EntityLexicon.of({"S": ["tos", "fiebre"]})
+    assert by_id(lexicon_sentiment(corpus(texts), polarity)) == by_id(
+        lexicon_sentiment(corpus(texts), PolarityLexicon.of(padded(polarity.positive), padded(polarity.negative)))
+    )
+    large = lexicon_entities(corpus(texts), EntityLexicon.of({"S": padded(["tos", "fiebre"])}))
+    assert by_id(lexicon_entities(corpus(texts), entities)) == by_id(large)
+    assert "Python" not in large._jdf.queryExecution().executedPlan().toString()
+
+
+def test_polarity_table_equals_lists(spark, corpus, edge_texts):
+    rows = [(w, "positive") for w in SPANISH_POLARITY.positive] + [(w, "negative") for w in SPANISH_POLARITY.negative]
+    terms = spark.createDataFrame([*rows, *rows, (None, "positive"), ("x", None)], "term string, polarity string")
+    texts = [*edge_texts, "bueno", "bueno"]
+    found = join_sentiment(corpus(texts), terms)
+    assert found.columns == output_schema("sentiment").fieldNames()
+    assert by_id(found) == by_id(lexicon_sentiment(corpus(texts)))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "ganancia" not in plan
+    repeated = spark.createDataFrame([("1", "bueno"), ("1", "bueno"), (None, "malo"), ("1", "malo")], "id string, text string")
+    labels = sorted(r["label"] for r in join_sentiment(repeated, terms).collect())
+    assert labels == ["NEG", "NEG", "POS", "POS"]
 
 
 def test_unusual_polarity_words_match_as_in_python(corpus):
     lexicon = PolarityLexicon.of(ODD.by_type[0][1], ["gross", "s"])
     rows = by_id(lexicon_sentiment(corpus(ODD_TEXTS), lexicon))
-    for i, wanted in enumerate(LexiconSentiment(lexicon).predict(ODD_TEXTS)):
+    for i, wanted in enumerate(row_model("sentiment", ODD_TEXTS, lexicon)):
         assert (rows[i]["label"], rows[i]["confidence"]) == (wanted["label"], wanted["confidence"]), ODD_TEXTS[i]
 
 
@@ -67,11 +96,10 @@ def test_sentiment_schema_and_order(corpus):
 
 
 def test_entities_equal_row_model(corpus, edge_texts):
-    model = LexiconEntities(SPANISH_CLINICAL)
     frame = lexicon_entities(corpus(edge_texts))
     assert frame.columns == output_schema("ner").fieldNames()
     rows = by_id(frame)
-    for i, wanted in enumerate(model.predict([t or "" for t in edge_texts])):
+    for i, wanted in enumerate(row_model("ner", edge_texts, SPANISH_CLINICAL)):
         found = [entity.asDict() for entity in rows[i]["entities"]]
         assert found == wanted["entities"]
         assert rows[i]["n_entities"] == len(found)
@@ -85,7 +113,7 @@ def test_spans_point_into_the_text(corpus, edge_texts):
 
 
 def test_no_entities_is_an_empty_list(corpus):
-    row = lexicon_entities(corpus(["Control de rutina sin novedad"])).first()
+    row = lexicon_entities(corpus(["Visita anual, todo en orden"])).first()
     assert row["entities"] == [] and row["n_entities"] == 0 and row["confidence"] == 0.0
 
 
@@ -96,30 +124,20 @@ def test_first_type_wins(corpus):
 
 
 def test_unusual_terms_match_as_in_python(corpus):
-    model = LexiconEntities(ODD)
     rows = by_id(lexicon_entities(corpus(ODD_TEXTS), ODD))
-    for i, wanted in enumerate(model.predict(ODD_TEXTS)):
+    for i, wanted in enumerate(row_model("ner", ODD_TEXTS, ODD)):
         assert [e.asDict() for e in rows[i]["entities"]] == wanted["entities"], ODD_TEXTS[i]
 
 
-def test_large_lexicon_takes_the_batched_path(corpus, edge_texts, monkeypatch):
-    small = by_id(lexicon_entities(corpus(edge_texts)))
-    monkeypatch.setattr(lexicon_module, "MAX_PATTERN_TERMS", 3)
-    frame = lexicon_entities(corpus(edge_texts))
-    assert "ArrowEvalPython" in frame._jdf.queryExecution().executedPlan().toString()
-    assert by_id(frame) == small
-
-
 def test_empty_lexicon(corpus):
     row = lexicon_entities(corpus(["tos"]), EntityLexicon.of({})).first()
     assert row["entities"] == [] and row["confidence"] == 0.0
     assert lexicon_sentiment(corpus(["bueno"]), PolarityLexicon.of([], [])).first()["label"] == "NEU"
 
 
-@pytest.mark.parametrize("limit,hot", [(200_000, 1), (2, 10**6), (2, 5)])
-def test_joined_lexicon_equals_lexicon_entities(spark, corpus, edge_texts, monkeypatch, limit, hot):
-    monkeypatch.setattr(joins_module, "MAX_BROADCAST_ROWS", limit)
-    monkeypatch.setattr(joins_module, "HOT_ROWS", hot)
+@pytest.mark.parametrize("limit", ["10m", "-1"])
+def test_joined_lexicon_equals_lexicon_entities(spark, corpus, edge_texts, broadcast_limit, limit):
+    broadcast_limit(limit)
     listed = [(t, kind, i) for i, (kind, terms) in enumerate(SPANISH_CLINICAL.by_type) for t in terms]
     terms = spark.createDataFrame([*listed, ("tos", "OTHER", 9)], "term string, type string, priority int")
     found = join_entities(corpus(edge_texts), terms).collect()

@@ -1,122 +1,138 @@
+"""Versions of a table: what each shows, what a write may not do, what is left on storage."""
+
 import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from glyphmill.params import DomainParams, ModelParams, SourceParams, TableParams
-from glyphmill.sources.versioned import read_table, stage_write, table_history, write_table
+from glyphmill.sources.versioned import commit_write, discard_write, read_table, stage_write, table_history, write_table
 
+SCHEMA = "id string, text string, label string, confidence double"
 
-@pytest.fixture
-def params(tmp_path):
-    def make(mode="append", domain="education", **table):
+
+class Table:
+    """A table in a folder of its own; each write is a few letters, one row each."""
+
+    def __init__(self, spark, path):
+        self.spark, self.path = spark, str(path)
+
+    def params(self, mode="append", domain="river", **table):
         return DomainParams(
-            domain=domain,
-            data=SourceParams("-", "text"),
-            model=ModelParams("sentiment", "m"),
-            lakehouse=TableParams(str(tmp_path / "table"), mode=mode, **table),
+            domain, SourceParams("-", "text"), ModelParams("sentiment", "m"), lakehouse=TableParams(self.path, mode=mode, **table)
         )
 
-    return make
+    def rows(self, letters):
+        return self.spark.createDataFrame([(c, f"text {c}", "NEU" if c in "xyz" else "POS", 0.5) for c in letters], SCHEMA)
 
+    def write(self, letters, day="2030-05-05", **how):
+        return write_table(self.rows(letters), self.params(**how), day)
 
-@pytest.fixture
-def rows(spark):
-    def make(*items):
-        return spark.createDataFrame(list(items), "id string, text string, label string, confidence double")
+    def show(self, version=None):
+        return "".join(sorted(r["id"] for r in read_table(self.spark, self.path, version).collect()))
 
-    return make
+    def files(self):
+        return [f"{d}/{f}" for d, _, names in os.walk(self.path) for f in names if f.endswith(".parquet")]
 
 
-def ids(frame):
-    return sorted(row["id"] for row in frame.collect())
+@pytest.fixture
+def table(spark, tmp_path):
+    return Table(spark, tmp_path / "t")
 
 
-def test_round_trip_and_partition_folders(spark, params, rows):
-    path = write_table(rows(("1", "bueno", "POS", 0.9), ("2", "malo", "NEG", 0.7)), params(), "2026-06-17")
-    back = read_table(spark, path)
-    assert back.columns == ["id", "text", "label", "confidence", "domain", "ingest_date"]
-    assert dict(back.dtypes)["ingest_date"] == "string" and dict(back.dtypes)["domain"] == "string"
+def test_rows_come_back_with_string_partitions(spark, table):
+    table.write("kx")
+    back = read_table(spark, table.path)
+    assert back.dtypes == [
+        ("id", "string"), ("text", "string"), ("label", "string"), ("confidence", "double"),
+        ("domain", "string"), ("ingest_date", "string"),
+    ]
     assert sorted(map(tuple, back.collect())) == [
-        ("1", "bueno", "POS", 0.9, "education", "2026-06-17"),
-        ("2", "malo", "NEG", 0.7, "education", "2026-06-17"),
+        ("k", "text k", "POS", 0.5, "river", "2030-05-05"), ("x", "text x", "NEU", 0.5, "river", "2030-05-05"),
     ]
-    assert os.path.isdir(os.path.join(path, "domain=education", "ingest_date=2026-06-17"))
-
-
-def test_time_travel_and_history(spark, params, rows):
-    write_table(rows(("1", "a", "POS", 0.9)), params(), "2026-06-17")
-    path = write_table(rows(("2", "b", "NEG", 0.8), ("3", "c", "NEG", 0.8)), params(), "2026-06-18")
-    assert ids(read_table(spark, path, version=0)) == ["1"]
-    assert ids(read_table(spark, path, version=1)) == ids(read_table(spark, path)) == ["1", "2", "3"]
-    history = table_history(spark, path).collect()
-    assert [(r["version"], r["mode"], r["n_rows"]) for r in history] == [(0, "append", 1), (1, "append", 2)]
-    assert all(r["committed_at"] is not None for r in history)
-
-
-def test_overwrite_keeps_old_versions(spark, params, rows):
-    path = write_table(rows(("1", "a", "POS", 0.9)), params(), "d1")
-    write_table(rows(("2", "a", "POS", 0.9)), params(), "d2")
-    write_table(rows(("3", "a", "POS", 0.9)), params(mode="overwrite"), "d1")
-    write_table(rows(("4", "a", "POS", 0.9)), params(), "d3")
-    versions = [ids(read_table(spark, path, version)) for version in range(4)]
-    assert versions == [["1"], ["1", "2"], ["3"], ["3", "4"]]
-    assert ids(read_table(spark, path)) == ["3", "4"]
-
-
-def test_unfinished_writes_stay_invisible(spark, params, rows):
-    path = write_table(rows(("1", "a", "POS", 0.9)), params(), "d1")
-    staged = stage_write(rows(("2", "b", "POS", 0.9)), params(), "d1")  # never committed
-    assert ids(staged.rows) == ["2"]
-    assert ids(read_table(spark, path)) == ["1"]
-    write_table(rows(("3", "c", "POS", 0.9)), params(), "d1")
-    assert ids(read_table(spark, path)) == ["1", "3"] and table_history(spark, path).count() == 2
-
-
-def test_unknown_version_and_missing_table(spark, params, rows):
-    path = write_table(rows(("1", "a", "POS", 0.9)), params(), "d1")
-    with pytest.raises(ValueError, match="no version 5"):
-        read_table(spark, path, version=5)
+    assert all("/domain=river/ingest_date=2030-05-05/" in f for f in table.files())
+
+
+def test_versions_are_prefixes_since_the_last_overwrite(spark, table):
+    steps = [("ab", "append"), ("c", "append"), ("x", "overwrite"), ("dy", "append"), ("", "append"), ("z", "overwrite")]
+    for letters, mode in steps:
+        table.write(letters, mode=mode)
+    assert [table.show(v) for v in range(6)] == ["ab", "abc", "x", "dxy", "dxy", "z"]
+    assert table.show() == "z"
+    log = table_history(spark, table.path).collect()
+    assert [(r["version"], r["n_rows"], r["mode"]) for r in log] == [(i, len(s), m) for i, (s, m) in enumerate(steps)]
+    stamps = [r["committed_at"] for r in log]
+    assert stamps == sorted(stamps) and None not in stamps
+
+
+def test_any_partitioning_after_an_overwrite_keeps_all_versions_readable(spark, table):
+    table.write("ax")
+    table.write("by", mode="overwrite", partition_by=("label",))
+    table.write("cz", partition_by=("label",))
+    table.write("d", mode="overwrite", partition_by=("ingest_date",))
+    assert [table.show(v) for v in range(4)] == ["ax", "by", "bcyz", "d"]
+    assert read_table(spark, table.path, 2).where("label = 'NEU'").count() == 2
+
+
+def test_an_append_must_fit_and_is_refused_before_anything_is_written(spark, table):
+    table.write("a")
+    before = sorted(table.files())
+    with pytest.raises(ValueError, match="differs"):
+        table.write("b", partition_by=("label",))
+    with pytest.raises(ValueError, match="differs"):
+        write_table(table.rows("b").withColumn("more", F.lit(1)), table.params(), "d")
+    with pytest.raises(ValueError, match="planet"):
+        table.write("b", partition_by=("planet",))
+    assert sorted(table.files()) == before and table.show() == "a"
+    write_table(table.rows("b").withColumn("more", F.lit(1)), table.params(mode="overwrite"), "d")
+    assert "more" in read_table(spark, table.path).columns and "more" not in read_table(spark, table.path, 0).columns
+
+
+def test_only_folders_of_visible_writes_are_listed(spark, table):
+    table.write("a")
+    table.write("b", mode="overwrite")
+    table.write("c")
+    stage_write(table.rows("lost"), table.params(), "d")  # never committed
+    read = read_table(spark, table.path).inputFiles()
+    roots = {f.split("write_id=")[1].split("/")[0] for f in read}
+    everything = {f.split("write_id=")[1].split("/")[0] for f in table.files()}
+    assert len(roots) == 2 and len(everything) == 4 and roots < everything
+    plan = read_table(spark, table.path)._jdf.queryExecution().executedPlan().toString()
+    assert "InMemoryFileIndex(2 paths)" in plan
+
+
+def test_staged_rows_show_when_committed_and_go_when_discarded(spark, table):
+    table.write("a")
+    one = stage_write(table.rows("b"), table.params(), "d")
+    two = stage_write(table.rows("c"), table.params(), "d")
+    assert table.show() == "a" and one.metrics["n_rows"] == 1
+    commit_write(spark, one)
+    with pytest.raises(Exception, match="(?i)exists"):
+        commit_write(spark, two)  # another write was committed meanwhile
+    discard_write(spark, two)
+    assert table.show() == "ab" and not any(two.write_id in f for f in table.files())
+
+
+def test_unknown_versions_and_tables(spark, table):
     with pytest.raises(ValueError, match="no committed version"):
-        read_table(spark, path + "-absent")
-
-
-def test_append_needs_the_same_schema_and_overwrite_may_change_it(spark, params, rows):
-    path = write_table(rows(("1", "a", "POS", 0.9)), params(), "d1")
-    other = rows(("2", "b", "POS", 0.9)).withColumn("extra", F.lit(1))
-    with pytest.raises(ValueError, match="schema"):
-        write_table(other, params(), "d1")
-    write_table(other, params(mode="overwrite"), "d1")
-    assert "extra" in read_table(spark, path).columns
-    assert "extra" not in read_table(spark, path, version=0).columns
-
-
-def test_unknown_partition_column(params, rows):
-    with pytest.raises(ValueError, match="country"):
-        write_table(rows(("1", "a", "POS", 0.9)), params(partition_by=("country",)), "d1")
-
-
-def test_other_partitioning_and_default_date(spark, params, rows):
-    path = write_table(rows(("1", "a", "POS", 0.9), ("2", "b", "NEG", 0.9)), params(partition_by=("label",)))
-    back = read_table(spark, path)
-    assert {(r["id"], r["label"]) for r in back.collect()} == {("1", "POS"), ("2", "NEG")}
-    assert len(back.first()["ingest_date"]) == 10
+        read_table(spark, table.path)
+    table.write("a")
+    with pytest.raises(ValueError, match="no version 1"):
+        table.show(1)
 
 
-def test_domains_share_a_table_and_filters_prune_folders(spark, params, rows):
-    write_table(rows(("1", "a", "POS", 0.9)), params(domain="a"), "2026-06-17")
-    path = write_table(rows(("2", "b", "POS", 0.9)), params(domain="b"), "2026-06-18")
-    found = read_table(spark, path).where("domain = 'b' AND ingest_date = '2026-06-18'")
-    assert ids(found) == ["2"]
+def test_filters_prune_folders_and_the_date_defaults_to_today(spark, table):
+    table.write("a", domain="north")
+    write_table(table.rows("b"), table.params(domain="south"))
+    found = read_table(spark, table.path).where("domain = 'south' AND ingest_date > '2020'")
+    assert [r["id"] for r in found.collect()] == ["b"] and len(found.first()["ingest_date"]) == 10
     plan = found._jdf.queryExecution().executedPlan().toString()
-    filters = plan[plan.index("PartitionFilters") : plan.index("PushedFilters")]
-    assert "domain" in filters and "ingest_date" in filters
+    pruned = plan[plan.index("PartitionFilters") : plan.index("PushedFilters")]
+    assert "domain" in pruned and "ingest_date" in pruned
 
 
-def test_stored_order_of_nested_rows(spark, params):
-    frame = spark.createDataFrame(
-        [("1", [("tos", "S", 0, 3, 0.8)], 1)],
-        "id string, entities array<struct<text:string,type:string,start:int,end:int,score:double>>, n_entities int",
-    )
-    back = read_table(spark, write_table(frame, params(), "d")).first()
-    assert back["entities"][0]["text"] == "tos" and back["n_entities"] == 1
+def test_nested_rows(spark, table):
+    kind = "id string, entities array<struct<text:string,type:string,start:int,end:int,score:double>>, n_entities int"
+    frame = spark.createDataFrame([("n", [("mareo", "S", 2, 7, 0.75)], 1), ("m", [], 0)], kind)
+    rows = {r["id"]: r["entities"] for r in read_table(spark, write_table(frame, table.params(), "d")).collect()}
+    assert rows["m"] == [] and rows["n"][0].asDict() == {"text": "mareo", "type": "S", "start": 2, "end": 7, "score": 0.75}
