@@ -33,6 +33,9 @@ MARGIN = 0.2
 # Bits of the filter that keeps sets of documents without a candidate from being written: at least and at most.
 FILTER_BITS = (1 << 16, 1 << 26)
 
+# Cells of the table that orders shingles by how often they occur.
+CELLS = 1 << 18
+
 _REMEMBERED = 400_000
 _FLAT = 1 << 16
 _rng = np.random.Generator(np.random.PCG64(20240707))
@@ -217,14 +220,13 @@ class _Search:
         least = self.percent / 100 - MARGIN
         return joined.select("a", "b", "n_a", "n_b", guess.alias("guess")).where(F.col("guess") >= least).drop("guess")
 
-    def sets(self, pairs: DataFrame) -> DataFrame:
-        """(node, shingles) of the documents in ``pairs``, and of few others.
+    def sets(self, nodes: DataFrame) -> DataFrame:
+        """(node, shingles) of the documents in ``nodes``, and of few others; stored.
 
         The text is read again. A bit filter of the nodes, bounded in size, is
         sent along; where it is too full to tell, more sets are written, and
         the join by node stays exact.
         """
-        nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         bits = FILTER_BITS[0]
         while bits < min(FILTER_BITS[1], 16 * nodes.count()):
             bits *= 2
@@ -256,11 +258,10 @@ class _Search:
         rows = self.docs.where(F.col("doc_id").isNotNull()).select(
             F.col("doc_id").alias("node"), F.pmod(F.xxhash64("doc_id"), F.lit(bits)).alias("place"), "text"
         )
-        return rows.mapInArrow(run, "node long, shingles binary")
+        return materialize(rows.mapInArrow(run, "node long, shingles binary"), "shingle-sets")
 
-    def confirmed(self, pairs: DataFrame) -> DataFrame:
+    def confirmed(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """The pairs (u, v) that their full sets confirm."""
-        sets = materialize(self.sets(pairs), "shingle-sets")
         left, right = (sets.select(F.col("node").alias(x), F.col("shingles").alias(f"s_{x}")) for x in "ab")
         joined = pairs.join(left, "a").join(right, "b")
         shared = _shared_column(F.col("s_a"), F.col("s_b"))
@@ -282,10 +283,9 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     are ignored; an empty table gives no rows.
 
     How large groups stay cheap: equal sets are one node. In each bucket of
-    equal band registers the most central member is compared with the others,
-    then the most central of those that are not connected with it. After that,
-    members of different components are compared each with each. So every pair
-    in a bucket is either compared or known to be connected.
+    equal band registers the most central member is compared with the others.
+    Documents of buckets that are not connected by that are compared if they
+    share one of their rarest shingles, which all links do.
     """
     rows = id_and_text(docs)
     signed = materialize(signatures(rows), "signatures")
@@ -308,12 +308,18 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
         shared.join(central, "node").select("band", "key", "node", "n", "met"), "bucket-members"
     )
 
-    found = materialize(_star(search, members), "links")
-    mixed = materialize(_labelled(members, components(found)), "mixed-members")
-    found = found.unionByName(materialize(_star(search, _outsiders(mixed)), "links"))
-    mixed = materialize(_labelled(mixed.drop("label"), components(found)), "mixed-members")
-    found = found.unionByName(materialize(_rest(search, mixed), "links"))
-    label = materialize(components(found), "components")
+    links = materialize(_star(search, members), "links")
+    first = materialize(components(links), "components")
+    open_nodes = materialize(_unsettled(members, first), "unsettled-nodes")
+    more = _between_components(search, open_nodes)
+    joined = components(materialize(more, "links"))
+    # what belongs together beyond the first components
+    joined = joined.select(F.col("node").alias("_first"), F.col("component").alias("_second"))
+    both = first.unionByName(joined.select(F.col("_first").alias("node"), F.col("_first").alias("component")))
+    label = both.distinct().join(joined, F.col("component") == F.col("_first"), "left").select(
+        "node", F.coalesce("_second", "component").alias("component")
+    )
+    label = materialize(label, "components")
 
     known = signed.join(classes.withColumnsRenamed({"s1": "_1", "s2": "_2"}), F.expr("s1 = _1 AND s2 = _2 AND n > 0 AND doc_id IS NOT NULL"), "left")
     final = known.join(label.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left")
@@ -326,24 +332,6 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     )
 
 
-def _labelled(members: DataFrame, label: DataFrame) -> DataFrame:
-    """Members with their component, of the buckets that hold more than one."""
-    named = label.select(F.col("node").alias("_node"), "component")
-    tagged = members.join(named, F.col("node") == F.col("_node"), "left").select(
-        "band", "key", "node", "n", "met", F.coalesce("component", "node").alias("label")
-    )
-    mixed = tagged.groupBy("band", "key").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi")).where("_lo <> _hi")
-    mixed = materialize(mixed.select("band", "key"), "mixed-buckets")
-    return tagged.join(mixed, ["band", "key"])
-
-
-def _outsiders(members: DataFrame) -> DataFrame:
-    """Members that are not in the component of their bucket's most central member."""
-    hubs = members.groupBy("band", "key").agg(F.max(F.struct("met", (-F.col("node")).alias("minus"), "label")).alias("hub"))
-    hubs = materialize(hubs.select("band", "key", F.col("hub.label").alias("hub_label")), "hub-labels")
-    return members.join(hubs, ["band", "key"]).where("label <> hub_label").drop("hub_label")
-
-
 def _star(search: _Search, members: DataFrame) -> DataFrame:
     """Compare each bucket's members with its most central one (of these, the one with the least id)."""
     hubs = members.groupBy("band", "key").agg(F.max(F.struct("met", (-F.col("node")).alias("minus"), "n")).alias("hub"))
@@ -352,15 +340,81 @@ def _star(search: _Search, members: DataFrame) -> DataFrame:
     )
     pairs = members.join(hubs, ["band", "key"]).where(F.col("node") != F.col("b"))
     pairs = pairs.where(_sizes_allow(search.percent, "n", "n_hub"))
-    return _compare(search, pairs.select(F.col("node").alias("a"), "b"))
+    likely = _likely_pairs(search, pairs.select(F.col("node").alias("a"), "b"))
+    nodes = likely.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    return search.confirmed(likely, search.sets(nodes))
 
 
-def _rest(search: _Search, members: DataFrame) -> DataFrame:
-    """Compare all members of a bucket that are still in different components."""
-    left = members.select("band", "key", F.col("node").alias("a"), F.col("n").alias("n1"), F.col("label").alias("l1"))
-    right = members.select("band", "key", F.col("node").alias("b"), F.col("n").alias("n2"), F.col("label").alias("l2"))
-    pairs = left.join(right, ["band", "key"]).where("l1 < l2").where(_sizes_allow(search.percent, "n1", "n2"))
-    return _compare(search, pairs.select("a", "b"))
+def _unsettled(members: DataFrame, label: DataFrame) -> DataFrame:
+    """(node, n, label) of the members of buckets that hold more than one component."""
+    named = label.select(F.col("node").alias("_node"), "component")
+    tagged = members.join(named, F.col("node") == F.col("_node"), "left").select(
+        "band", "key", "node", "n", F.coalesce("component", "node").alias("label")
+    )
+    tagged = materialize(tagged, "labelled-members")
+    mixed = tagged.groupBy("band", "key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
+    mixed = materialize(mixed.select("band", "key"), "mixed-buckets")
+    return tagged.join(mixed, ["band", "key"]).select("node", "n", "label").distinct()
+
+
+def _between_components(search: _Search, nodes: DataFrame) -> DataFrame:
+    """All links (u, v) between nodes of different components, as links of their labels.
+
+    Sets whose similarity reaches the threshold share one of their first
+    shingles, whatever the common order; with the rare ones first, documents
+    that only have a common passage, or a common origin, share none of these. So
+    this finds every link without comparing each with each. The order is by
+    counts of hash cells, a table of fixed size.
+    """
+    sets = search.sets(nodes.select("node"))
+    own = materialize(nodes.join(sets, "node"), "unsettled-sets")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(CELLS, np.int64)
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                items = np.frombuffer(b"".join(batch["shingles"].slice(at, SLICE_ROWS).to_pylist()), "<u8")
+                total += np.bincount((items % np.uint64(CELLS)).astype(np.int64), minlength=CELLS)
+        cells = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(total[cells])], names=["cell", "n"])
+
+    counted = own.select("shingles").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    counted = counted.toArrow()
+    order = np.zeros(CELLS, np.int64)
+    order[counted["cell"].to_numpy()] = counted["n"].to_numpy()
+    frequency, percent = own.sparkSession.sparkContext.broadcast(order), search.percent
+
+    def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["node", "n", "label"]
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(at, SLICE_ROWS)
+                firsts = []
+                for packed in part["shingles"]:
+                    items = np.frombuffer(packed.as_py(), "<u8")
+                    ranked = items[np.lexsort((items, frequency.value[items % np.uint64(CELLS)]))]
+                    firsts.append(ranked[: len(items) + (-percent * len(items)) // 100 + 1])
+                sizes = [len(f) for f in firsts]
+                columns = [np.repeat(part[c].to_numpy(), sizes) for c in names]
+                columns.append(np.concatenate([np.arange(k, dtype=np.int64) for k in sizes]))
+                columns.append(np.concatenate(firsts).view(np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=[*names, "place", "shingle"])
+
+    head = own.select("node", "n", "label", "shingles").mapInArrow(
+        heads, "node long, n long, label long, place long, shingle long"
+    )
+    head = materialize(head, "first-shingles")
+    spans = head.groupBy("shingle").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
+    met = materialize(head.join(materialize(spans.select("shingle"), "met-shingles"), "shingle"), "met-first-shingles")
+    left, right = (met.select("shingle", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "label", "place")]) for x in "ab")
+    # at the first shingle two alike sets share, what comes after it must suffice
+    rest = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
+    enough = (100 + percent) * rest >= percent * (F.col("n_a") + F.col("n_b"))
+    pairs = left.join(right, "shingle").where("label_a < label_b").where(_sizes_allow(percent, "n_a", "n_b") & enough)
+    likely = _likely_pairs(search, pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")))
+    links = search.confirmed(likely, own.select("node", "shingles"))
+    u, v = (nodes.select(F.col("node").alias(x), F.col("label").alias(f"label_{x}")) for x in "uv")
+    return links.join(u, "u").join(v, "v").select(F.col("label_u").alias("u"), F.col("label_v").alias("v")).distinct()
 
 
 def _sizes_allow(percent: int, a: str, b: str) -> Column:
@@ -368,6 +422,6 @@ def _sizes_allow(percent: int, a: str, b: str) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def _compare(search: _Search, pairs: DataFrame) -> DataFrame:
+def _likely_pairs(search: _Search, pairs: DataFrame) -> DataFrame:
     ordered = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    return search.confirmed(materialize(search.likely(ordered), "candidates"))
+    return materialize(search.likely(ordered), "candidates")
