@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from glyphmill.llm import decontaminate
 
-from conftest import edge_texts, prose
+from samples import edge_texts, prose
 
 ITEM_SCHEMA = "item_id long, text string, size int, words string"
 

@@ -8,7 +8,7 @@ import pytest
 from glyphmill.llm import lines
 from glyphmill.sources.scratch import scratch_path
 
-from conftest import edge_texts, prose
+from samples import edge_texts, prose
 
 
 def key(line):

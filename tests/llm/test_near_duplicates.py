@@ -9,7 +9,7 @@ import pytest
 from glyphmill.llm import setsketch
 from glyphmill.llm.components import components
 
-from conftest import edge_texts, prose
+from samples import edge_texts, prose
 
 
 def shingles(text):

@@ -7,7 +7,7 @@ from tokenizers import Tokenizer
 
 from glyphmill.llm import packing
 
-from conftest import edge_texts, prose
+from samples import edge_texts, prose
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from glyphmill.llm import quality
 
-from conftest import prose
+from samples import prose
 
 
 def texts(n):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from glyphmill.llm import rules
 
-from conftest import edge_texts, prose
+from samples import edge_texts, prose
 
 
 def brute(text):
