@@ -28,9 +28,19 @@ def scratch_root(spark: SparkSession) -> str:
     return root
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/glyphmill/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{scratch_root(spark)}/glyphmill/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the application's own part of the shared folder."""
+    return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clean_scratch(spark: SparkSession) -> None:
+    """Delete this application's intermediate files, once no frame that reads them is needed any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
 
 
 def materialize(frame: DataFrame, name: str) -> DataFrame:

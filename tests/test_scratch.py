@@ -2,7 +2,7 @@
 
 import pytest
 
-from glyphmill.sources.scratch import scratch_path, scratch_root
+from glyphmill.sources.scratch import clean_scratch, materialize, scratch_path, scratch_root
 
 
 class FakeConf(dict):
@@ -16,7 +16,7 @@ class FakeConf(dict):
 class FakeSession:
     def __init__(self, master, **conf):
         self.conf = FakeConf(conf)
-        self.sparkContext = type("Context", (), {"master": master})()
+        self.sparkContext = type("Context", (), {"master": master, "applicationId": "app-1"})()
 
 
 @pytest.mark.parametrize("master", ["yarn", "spark://host:7077", "local-cluster[3,2,1024]", "k8s://x"])
@@ -25,10 +25,22 @@ def test_a_cluster_must_name_the_shared_folder(master):
         scratch_root(FakeSession(master))
     named = FakeSession(master)
     named.conf.set("spark.checkpoint.dir", "hdfs://x/shared/")
-    assert scratch_path(named, "a").startswith("hdfs://x/shared/glyphmill/a-")
+    assert scratch_path(named, "a").startswith("hdfs://x/shared/glyphmill/app-1/a-")
 
 
 @pytest.mark.parametrize("master", ["local", "local[4]", "local[*]"])
 def test_a_local_session_may_leave_it_unset(master):
     session = FakeSession(master)
     assert scratch_root(session) == scratch_root(session)
+
+
+def test_files_of_the_application_can_be_removed(spark, tmp_path):
+    before = spark.conf.get("spark.checkpoint.dir")
+    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
+    try:
+        assert materialize(spark.range(5), "numbers").count() == 5
+        assert any(p.suffix == ".parquet" for p in tmp_path.rglob("*"))
+        clean_scratch(spark)
+        assert not any(p.suffix == ".parquet" for p in tmp_path.rglob("*"))
+    finally:
+        spark.conf.set("spark.checkpoint.dir", before)
