@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+# Temporary folders of local sessions that name none, by application.
+_LOCAL_ROOTS: dict[str, str] = {}
+
 
 def scratch_root(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
@@ -23,9 +26,10 @@ def scratch_root(spark: SparkSession) -> str:
     master = spark.sparkContext.master
     if master != "local" and not master.startswith("local["):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder that the driver and all executors share")
-    root = tempfile.mkdtemp(prefix="glyphmill-")
-    spark.conf.set(CHECKPOINT_DIR, root)
-    return root
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[application] = tempfile.mkdtemp(prefix="glyphmill-")
+    return _LOCAL_ROOTS[application]
 
 
 def _own_folder(spark: SparkSession) -> str:

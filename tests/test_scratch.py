@@ -1,5 +1,7 @@
 """Where intermediate files go."""
 
+from pathlib import Path
+
 import pytest
 
 from glyphmill.sources.scratch import clean_scratch, materialize, scratch_path, scratch_root
@@ -34,13 +36,9 @@ def test_a_local_session_may_leave_it_unset(master):
     assert scratch_root(session) == scratch_root(session)
 
 
-def test_files_of_the_application_can_be_removed(spark, tmp_path):
-    before = spark.conf.get("spark.checkpoint.dir")
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        assert materialize(spark.range(5), "numbers").count() == 5
-        assert any(p.suffix == ".parquet" for p in tmp_path.rglob("*"))
-        clean_scratch(spark)
-        assert not any(p.suffix == ".parquet" for p in tmp_path.rglob("*"))
-    finally:
-        spark.conf.set("spark.checkpoint.dir", before)
+def test_files_of_the_application_can_be_removed(spark):
+    frame = materialize(spark.range(5), "numbers")
+    folder = Path(frame.inputFiles()[0].removeprefix("file://")).parent
+    assert frame.count() == 5 and folder.is_dir()
+    clean_scratch(spark)
+    assert not folder.exists() and materialize(spark.range(3), "again").count() == 3
