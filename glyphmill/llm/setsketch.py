@@ -36,7 +36,7 @@ FILTER_BITS = (1 << 16, 1 << 26)
 # Cells of the table that orders shingles by how often they occur.
 CELLS = 1 << 18
 
-_REMEMBERED = 400_000
+_REMEMBERED = 200_000
 _FLAT = 1 << 16
 _rng = np.random.Generator(np.random.PCG64(20240707))
 _MULTIPLIERS = _rng.integers(0, 1 << 63, REGISTERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
