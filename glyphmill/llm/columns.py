@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +15,13 @@ SPACE = b" \t\n\x0b\x0c\r"
 SLICE_ROWS = 256
 
 
+def slices(batch: pa.RecordBatch | pa.Array, rows: int = SLICE_ROWS) -> Iterator:
+    """A batch a few rows at a time, so that a task holds the Python objects of these only."""
+    for at in range(0, len(batch), rows):
+        yield batch.slice(at, rows)
+    pa.default_memory_pool().release_unused()  # the next batch need not come on top of this one
+
+
 def quoted(name: str) -> Column:
     """A column by its exact name, dots included."""
     return F.col("`" + name.replace("`", "``") + "`")

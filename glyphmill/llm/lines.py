@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glyphmill.llm.columns import SLICE_ROWS, SPACE, as_text, quoted, row_key
+from glyphmill.llm.columns import SPACE, as_text, quoted, row_key, slices
 from glyphmill.sources.scratch import materialize, scratch_path
 
 FANOUT = 4
@@ -44,8 +44,7 @@ def line_hashes(docs: DataFrame, least_chars: int = 1) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE_ROWS):
-                part = batch.slice(at, SLICE_ROWS)
+            for part in slices(batch):
                 digests, counts = [], []
                 for text in part["text"].to_pylist():
                     keys = {line_key(line) for line in text.split(b"\n")}
@@ -122,21 +121,25 @@ def drop_lines(text: Column, hashes: Column) -> Column:
 
     @F.arrow_udf("struct<text:string,n_lines:long,n_dropped:long>")
     def run(texts: pa.Array, lists: pa.Array) -> pa.Array:
-        kept, before, gone = [], [], []
-        for value, drop in zip(texts.to_pylist(), lists, strict=True):
-            value = value or b""
-            n = value.count(b"\n") + 1
-            stay = n
-            if drop.is_valid:
-                packed = drop.as_py()
-                unwanted = {packed[i : i + 16] for i in range(0, len(packed), 16)}
-                lines = [x for x in value.split(b"\n") if line_hash(line_key(x)) not in unwanted]
-                stay, value = len(lines), b"\n".join(lines)
-            kept.append(value)
-            before.append(n)
-            gone.append(n - stay)
-        columns = [pa.array(kept, pa.binary()).cast(pa.string()), pa.array(before), pa.array(gone)]
-        return pa.StructArray.from_arrays(columns, names=["text", "n_lines", "n_dropped"])
+        names, parts = ["text", "n_lines", "n_dropped"], []
+        for pair in slices(pa.RecordBatch.from_arrays([texts, lists], names=["text", "drop"])):
+            kept, before, gone = [], [], []
+            for value, drop in zip(pair["text"].to_pylist(), pair["drop"], strict=True):
+                value = value or b""
+                n = value.count(b"\n") + 1
+                stay = n
+                if drop.is_valid:
+                    packed = drop.as_py()
+                    unwanted = {packed[i : i + 16] for i in range(0, len(packed), 16)}
+                    lines = [x for x in value.split(b"\n") if line_hash(line_key(x)) not in unwanted]
+                    stay, value = len(lines), b"\n".join(lines)
+                kept.append(value)
+                before.append(n)
+                gone.append(n - stay)
+            columns = [pa.array(kept, pa.binary()).cast(pa.string()), pa.array(before), pa.array(gone)]
+            parts.append(pa.StructArray.from_arrays(columns, names=names))
+        kind = pa.struct([("text", pa.string()), ("n_lines", pa.int64()), ("n_dropped", pa.int64())])
+        return pa.concat_arrays(parts) if parts else pa.array([], kind)
 
     return run(text, hashes)
 

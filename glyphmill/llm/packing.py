@@ -20,12 +20,12 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from glyphmill.llm.columns import SLICE_ROWS, id_and_text
+from glyphmill.llm.columns import id_and_text, slices
 
 CAPACITY = 4096
 CLASSES = 64
 # Word forms whose ids a worker remembers, and as many older ones.
-REMEMBERED = 500_000
+REMEMBERED = 250_000
 # Tokens per batch of pieces sent back to Spark.
 _BATCH_TOKENS = 1 << 20
 
@@ -253,8 +253,7 @@ def pack(
                 )
 
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE_ROWS):
-                part = batch.slice(at, SLICE_ROWS)
+            for part in slices(batch):
                 ids = tokenizer.batch(part["text"].to_pylist())
                 for doc_id, own in zip(part["doc_id"].to_pylist(), ids, strict=True):
                     packer.add(doc_id, own + end)

@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from glyphmill.llm.columns import as_text, byte_list, hash_sample, quoted
+from glyphmill.llm.columns import as_text, byte_list, hash_sample, quoted, slices
 
 BLOCK_BYTES = 2048
 DICTIONARY_BYTES = 32 * 1024
@@ -153,7 +153,8 @@ def quality_score(model: CompressionModel, text: Column) -> Column:
     @F.arrow_udf("double")
     def score(column: pa.Array) -> pa.Array:
         good, bad = _cached(model)
-        differences = np.array([size_difference(t, good, bad) for t in byte_list(column)], dtype=float)
+        found = [size_difference(t, good, bad) for part in slices(column) for t in byte_list(part)]
+        differences = np.array(found, dtype=float)
         return pa.array(model.probability(differences), pa.float64())
 
     return score(as_text(text))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from glyphmill.llm.columns import SLICE_ROWS, SPACE, as_text, quoted
+from glyphmill.llm.columns import SPACE, as_text, quoted, slices
 from glyphmill.sources.scratch import materialize
 
 # Fixed value: the characters that count as symbols.
@@ -111,8 +111,7 @@ def statistics(docs: DataFrame, group_cols: tuple[str, ...] = ("lang", "source")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE_ROWS):
-                part = batch.slice(at, SLICE_ROWS)
+            for part in slices(batch):
                 found = np.array([text_statistics(t) for t in part["_text"].to_pylist()], np.int64)
                 columns = [part["doc_id"], *(part[c] for c in group_cols), *(pa.array(c) for c in found.T)]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", *group_cols, *names])

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from glyphmill.llm.columns import SLICE_ROWS, id_and_text, lower_words
+from glyphmill.llm.columns import SLICE_ROWS, id_and_text, lower_words, slices
 from glyphmill.llm.components import components
 from glyphmill.sources.scratch import materialize
 
@@ -137,8 +137,7 @@ def signatures(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE_ROWS):
-                part = batch.slice(at, SLICE_ROWS)
+            for part in slices(batch):
                 sizes, hashes, sketches = [], [], []
                 for sets in _slices(part["text"].to_pylist()):
                     sizes += [len(s) for s in sets]
@@ -157,6 +156,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                     ],
                     names=["doc_id", "n", "s1", "s2", "sketch"],
                 )
+        _WORDS.clear()  # the worker goes on to other work
 
     return docs.mapInArrow(run, SIGNATURES)
 
@@ -166,8 +166,7 @@ def bands(sketches: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 4 * SLICE_ROWS):
-                part = batch.slice(at, 4 * SLICE_ROWS)
+            for part in slices(batch, 4 * SLICE_ROWS):
                 keys = np.frombuffer(b"".join(part["sketch"].to_pylist()), "<i8")
                 rows = part.num_rows
                 columns = [np.repeat(part[c].to_numpy(), BANDS) for c in ("node", "n")]
@@ -254,6 +253,7 @@ class _Search:
                     yield pa.RecordBatch.from_arrays(
                         [part["node"], pa.array(found, pa.binary())], names=["node", "shingles"]
                     )
+            _WORDS.clear()
 
         rows = self.docs.where(F.col("doc_id").isNotNull()).select(
             F.col("doc_id").alias("node"), F.pmod(F.xxhash64("doc_id"), F.lit(bits)).alias("place"), "text"
@@ -372,8 +372,8 @@ def _between_components(search: _Search, nodes: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(CELLS, np.int64)
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE_ROWS):
-                items = np.frombuffer(b"".join(batch["shingles"].slice(at, SLICE_ROWS).to_pylist()), "<u8")
+            for part in slices(batch):
+                items = np.frombuffer(b"".join(part["shingles"].to_pylist()), "<u8")
                 total += np.bincount((items % np.uint64(CELLS)).astype(np.int64), minlength=CELLS)
         cells = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(total[cells])], names=["cell", "n"])
@@ -387,8 +387,7 @@ def _between_components(search: _Search, nodes: DataFrame) -> DataFrame:
     def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["node", "n", "label"]
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE_ROWS):
-                part = batch.slice(at, SLICE_ROWS)
+            for part in slices(batch):
                 firsts = []
                 for packed in part["shingles"]:
                     items = np.frombuffer(packed.as_py(), "<u8")
