@@ -25,7 +25,7 @@ from glyphmill.llm.columns import id_and_text, slices
 CAPACITY = 4096
 CLASSES = 64
 # Word forms whose ids a worker remembers, and as many older ones.
-REMEMBERED = 250_000
+REMEMBERED = 120_000
 # Tokens per batch of pieces sent back to Spark.
 _BATCH_TOKENS = 1 << 20
 
