@@ -3,8 +3,11 @@
 Windows of a document that are as long as a benchmark item get a SimHash
 fingerprint. Fingerprints are cut into blocks, one more than the radius: two
 that differ in at most ``RADIUS`` bits have an equal block, so a join by block
-finds all of them. Candidates are then verified by the exact similarity of
-their weighted shingles.
+finds all of them. A radius can't cover every pair that is similar enough (many
+words may differ at an edge, or one word many times), so windows and items that
+share a shingle of their prefixes are candidates as well, which leaves out none
+(see ``_prefix``). Candidates are then verified by the exact similarity of their
+weighted shingles.
 
 A window that shares no shingle with an item has similarity 0 with it. So
 windows are laid only where document and item share a shingle, such that the
@@ -24,7 +27,8 @@ from glyphmill.sources.scratch import materialize
 SHINGLE = 5
 SIMILARITY = 0.75
 BITS = 64
-# At similarity 0.75, up to a twentieth of the words differ: 6.5 bits are expected, 2.4 is a deviation.
+# If a twentieth of the words differ, 6.5 bits are expected, 2.4 is a deviation. At similarity 0.75 up to a seventh
+# may differ; what then lies beyond the radius is found by prefixes.
 RADIUS = 15
 BLOCKS = RADIUS + 1
 _BLOCK_BITS = BITS // BLOCKS
@@ -119,6 +123,16 @@ def _blocks(print_col: Column) -> Column:
     )
 
 
+def _prefix(shingles: Column, similarity: float) -> Column:
+    """The first shingles in order of their hashes, as many as may be missing in a similar text, and one more.
+
+    Similarity is at most shared over own shingles (counted with multiplicity), so of ``n`` at least
+    ``similarity * n`` are shared. Two that share so many have a common one in both prefixes.
+    """
+    needed = F.ceil(F.size(shingles) * F.lit(similarity) - F.lit(1e-9)).cast("int")
+    return F.array_distinct(F.slice(F.array_sort(shingles), 1, F.size(shingles) - needed + 1))
+
+
 def weighted_similarity(a: Column, b: Column) -> Column:
     """Sum of the lesser over sum of the greater multiplicities of the elements of two arrays."""
     count = lambda values, x: F.size(F.filter(values, lambda y: y == x))
@@ -217,9 +231,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
         )
         .where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= RADIUS)
         .select("w1", "w2", "size", "item_id")
-        .distinct()
     )
-    near = materialize(near, "near-windows")
+
+    def prefixes(frame: DataFrame, *keys: str) -> DataFrame:
+        shingles = _by_gram(F.col("words"), F.least(F.col("size"), F.lit(SHINGLE)), grams)
+        return frame.select(*keys, "size", F.explode(bind(shingles, lambda s: _prefix(s, similarity))).alias("h"))
+
+    item_prefixes = materialize(prefixes(items, "item_id").distinct(), "item-prefixes")
+    covered = prefixes(distinct, "w1", "w2").join(item_prefixes, ["size", "h"]).select("w1", "w2", "size", "item_id")
+    near = materialize(near.unionByName(covered).distinct(), "near-windows")
     item_words = items.select("item_id", "gram", F.col("words").alias("item_words"))
     compared = near.join(distinct, ["w1", "w2", "size"]).join(item_words, "item_id")
     own, other = (_by_gram(F.col(c), F.col("gram"), grams) for c in ("words", "item_words"))

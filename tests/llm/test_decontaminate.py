@@ -107,3 +107,20 @@ def test_fingerprints_of_alike_windows_are_close(spark):
     a, b, c = (decontaminate.fingerprint(F.col(x)) for x in "abc")
     row = frame.select(F.bit_count(a.bitwiseXOR(b)), F.bit_count(a.bitwiseXOR(c))).first()
     assert row[0] <= decontaminate.RADIUS < row[1]
+
+
+def test_items_changed_or_cut_at_the_edge_equal_brute_force(spark, frame_of):
+    items, pairs = [], []
+    for i, (n, changed, left) in enumerate([(25, 3, 20), (40, 5, 31), (60, 8, 46)] * 30):
+        words = prose(1000 + i, n).split()
+        items.append((i, " ".join(words)))
+        pairs.append((2 * i, " ".join([*words[: n - changed], *prose(5000 + i, changed).split()])))
+        pairs.append((2 * i + 1, " ".join(words[:left])))
+    # one word many times at the edge: most bits of the fingerprint differ
+    words = prose(2000, 172).split()
+    items.append((1000, " ".join([*words, *["x"] * 28])))
+    pairs.append((1000, " ".join([*words, *["y"] * 28])))
+    found = decontaminate.contaminated(frame_of(pairs), items_frame(spark, items)).collect()
+    wanted = brute(pairs, items)
+    assert len(wanted) >= 181 and (1000, 1000) in wanted
+    assert {(r["doc_id"], r["item_id"]) for r in found} == set(wanted)
