@@ -28,8 +28,8 @@ GZIP_MAGIC = b"\x1f\x8b\x08"
 RECORD_END = b"\r\n\r\n"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
-# A header longer than this is damage.
-MAX_HEADER = 1 << 16
+# The end of a header is looked for in so many bytes first, then up to the next version line.
+_HEADER = 1 << 16
 RECORDS_PER_FILE = 20_000
 _CONTROL = re.compile(rb"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]")
 _FEED = 1 << 18
@@ -157,11 +157,21 @@ class Damage(Exception):
     """A check failed."""
 
 
+def _next_line(data: bytes, pos: int) -> int:
+    """The next place where a line begins like a version line; the end if there is none."""
+    line = data.find(b"WARC/", pos)
+    while line >= 0 and (data[line + 5 : line + 7] not in (b"1.", b"0.") or (line > 0 and data[line - 1 : line] != b"\n")):
+        line = data.find(b"WARC/", line + 1)
+    return line if line >= 0 else len(data)
+
+
 def _headers(data: bytes, pos: int) -> tuple[dict[str, str], int]:
     """Fields of the record that begins at ``pos``, and where its block begins."""
     if data[pos : pos + 7] not in (b"WARC/1.", b"WARC/0."):
         raise Damage("no version line")
-    end = data.find(RECORD_END, pos, pos + MAX_HEADER)
+    end = data.find(RECORD_END, pos, pos + _HEADER)
+    if end < 0:
+        end = data.find(RECORD_END, pos + _HEADER - len(RECORD_END), _next_line(data, pos + 1))
     if end < 0:
         raise Damage("header without end")
     fields = {}
@@ -188,7 +198,7 @@ def read_record(data: bytes, pos: int) -> tuple[dict[str, str], bytes, int]:
     """(fields, block, end) of the record at ``pos``; raises ``Damage`` if a check fails."""
     fields, start = _headers(data, pos)
     length = fields.get("content-length", "")
-    if not length.isdecimal():
+    if not length.isdecimal() or len(length) > 18:
         raise Damage("no content length")
     end = start + int(length)
     if data[end : end + 4] != RECORD_END:

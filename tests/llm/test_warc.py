@@ -139,3 +139,14 @@ def test_archives_with_damage_in_spark(spark, tmp_path):
     rows = warc.read_archives(spark, str(tmp_path)).orderBy("start").collect()
     assert [r["kind"] for r in rows] == ["record", "gap", "record", "gap", "record"]
     assert rows[1]["start"] == len(parts[0]) and rows[1]["end"] == len(parts[0]) + 9
+
+
+def test_a_very_long_url_is_kept(spark, tmp_path):
+    url = "http://a/" + "x" * 200_000
+    rows = read_back(spark, [(1, url, "body"), (2, url + "\x01", "other"), (3, "http://a/3", "third")], tmp_path).collect()
+    assert sorted((r["kind"], r["record_id"], r["target_uri"]) for r in rows) == [
+        ("record", "<urn:page:1>", url), ("record", "<urn:page:2>", url + "%01"), ("record", "<urn:page:3>", "http://a/3"),
+    ]
+    one, two = (warc.record_bytes(i, url, b"body", None, "d") for i in range(2))
+    assert numbers(warc.salvage(one + two)) == [0, 1]
+    assert numbers(warc.salvage(one[:100_000] + b"\n" + two)) == [1]
