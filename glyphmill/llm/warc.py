@@ -3,7 +3,8 @@
 The writer stores one record per page, compressed record by record, and turns
 repeated payloads into revisit records. The reader checks every member and
 record; after a failed check it searches for the next valid gzip member or
-version line, goes on from there, and reports the bytes in between as a gap.
+version line, also inside a member, goes on from there, and reports the bytes in
+between (the member, if it is inside one) as a gap.
 """
 
 from __future__ import annotations
@@ -214,63 +215,102 @@ def read_record(data: bytes, pos: int) -> tuple[dict[str, str], bytes, int]:
     return fields, block, end + len(RECORD_END)
 
 
-def _member(data: memoryview, pos: int) -> tuple[bytes, int]:
-    """(content, end) of the gzip member at ``pos``. Its checksum and size are checked by zlib."""
+def _member(data: memoryview, pos: int) -> tuple[bytes, int, str]:
+    """(content, end, damage) of the gzip member at ``pos``. Its checksum and size are checked by zlib.
+
+    ``damage`` is empty if all is well, else ``content`` is what could be inflated and ``end`` where that failed.
+    """
     inflate, parts, at = zlib.decompressobj(wbits=31), [], pos
     try:
         while not inflate.eof:
             piece = data[at : at + _FEED]
             if not len(piece):
-                raise Damage("member is cut off")
+                return b"".join(parts), at, "member is cut off"
             parts.append(inflate.decompress(piece))
             at += len(piece)
     except zlib.error as error:
-        raise Damage(f"member: {error}") from None
-    return b"".join(parts), at - len(inflate.unused_data)
+        # the piece that failed once more, byte by byte, for what it gives before
+        inflate = zlib.decompressobj(wbits=31)
+        if at > pos:
+            inflate.decompress(data[pos:at])
+        try:
+            while True:
+                parts.append(inflate.decompress(data[at : at + 1]))
+                at += 1
+        except zlib.error:
+            return b"".join(parts), at, f"member: {error}"
+    return b"".join(parts), at - len(inflate.unused_data), ""
+
+
+def _next_start(data: bytes, pos: int, lines_from: int) -> int:
+    """The next place where a member, or from ``lines_from`` on a version line, may begin; the end if there is none."""
+    line = _next_line(data, max(pos, lines_from))
+    magic = data.find(GZIP_MAGIC, pos, line + len(GZIP_MAGIC))
+    return magic if magic >= 0 else line
+
 
+def _member_records(content: bytes, damage: str) -> tuple[list[tuple], str]:
+    """(records, reason) of a member's content; ``reason`` names its gaps, and is empty if there are none.
 
-def _next_start(data: bytes, pos: int) -> int:
-    """The next place where a member or a version line may begin; the end if there is none."""
-    places = [data.find(GZIP_MAGIC, pos)]
-    line = data.find(b"WARC/1.", pos)
-    while line > 0 and data[line - 1 : line] != b"\n":
-        line = data.find(b"WARC/1.", line + 1)
-    places.append(line)
-    return min((p for p in places if p >= 0), default=len(data))
+    After a failed check the next version line is tried. If the member itself is
+    damaged and is one record, its check is the record's and the record is not sound.
+    """
+    found, gaps, at = [], [], 0
+    while at < len(content):
+        try:
+            fields, block, end = read_record(content, at)
+        except Damage as failed:
+            end = _next_line(content, at + 1)
+            # places that follow each other without a record between them are one gap
+            if gaps and gaps[-1][1] == at:
+                gaps[-1][1] = end
+            else:
+                gaps.append([at, end, str(failed)])
+        else:
+            found.append((fields, block))
+            if damage and at == 0 and end == len(content):
+                found = []
+        at = end
+    reasons = [damage] * bool(damage) + [f"{reason} (bytes {a} to {b} of the content)" for a, b, reason in gaps]
+    return found, "; ".join(reasons)
 
 
 def salvage(data: bytes) -> Iterator[tuple]:
     """Every sound record and every gap of an archive, in order.
 
     ("record", start, end, fields, block) or ("gap", start, end, reason). A
-    member's records share its place. A member in which a record fails is a gap
-    as a whole after the records before it.
+    member's records share its place. A member in which a check fails is a gap,
+    whose reason names the places in its content; its sound records, before and
+    after the damage and also of a member that is cut off, come before the gap
+    and have its start as their place.
     """
-    view, pos, gap, reason = memoryview(data), 0, -1, ""
+    view, pos, gap, reason, lines_from = memoryview(data), 0, -1, "", 0
     while pos < len(data):
-        found = []
-        try:
-            if data[pos : pos + 3] == GZIP_MAGIC:
-                content, end = _member(view, pos)
-                at = 0
-                while at < len(content):
-                    fields, block, at = read_record(content, at)
-                    found.append((fields, block))
-            else:
+        if data[pos : pos + 3] == GZIP_MAGIC:
+            content, end, damage = _member(view, pos)
+            found, failed = _member_records(content, damage)
+            if damage:
+                # a member that follows may begin before the place of failure; stored lines were read above
+                lines_from = max(lines_from, end)
+                end = _next_start(data, pos + 1, lines_from)
+        else:
+            found, failed = [], ""
+            try:
                 fields, block, end = read_record(data, pos)
                 found.append((fields, block))
-        except Damage as damage:
+            except Damage as error:
+                failed, end = str(error), _next_start(data, pos + 1, lines_from)
+        if failed:
             if gap < 0:
-                gap, reason = pos, str(damage)
+                gap, reason = pos, failed
             for fields, block in found:
                 yield "record", pos, pos, fields, block
-            pos = _next_start(data, pos + 1)
-            continue
-        if gap >= 0:
-            yield "gap", gap, pos, reason
-            gap = -1
-        for fields, block in found:
-            yield "record", pos, end, fields, block
+        else:
+            if gap >= 0:
+                yield "gap", gap, pos, reason
+                gap = -1
+            for fields, block in found:
+                yield "record", pos, end, fields, block
         pos = end
     if gap >= 0:
         yield "gap", gap, len(data), reason

@@ -150,3 +150,32 @@ def test_a_very_long_url_is_kept(spark, tmp_path):
     one, two = (warc.record_bytes(i, url, b"body", None, "d") for i in range(2))
     assert numbers(warc.salvage(one + two)) == [0, 1]
     assert numbers(warc.salvage(one[:100_000] + b"\n" + two)) == [1]
+
+
+def test_salvage_inside_members_of_many_records():
+    parts = records(12, seed=5)
+    at = [sum(map(len, parts[:i])) for i in range(13)]
+    # a bad record in the middle of a sound member
+    bad = bytearray(b"".join(parts))
+    bad[at[4] : at[4] + 60] = b"\x00" * 60
+    one = gzip.compress(bytes(bad))
+    items = list(warc.salvage(one + gzip.compress(parts[0])))
+    assert numbers(items) == [0, 1, 2, 3, 5, 6, 7, 8, 9, 10, 11, 0]
+    gaps = [i for i in items if i[0] == "gap"]
+    assert [g[1:3] for g in gaps] == [(0, len(one))] and f"bytes {at[4]} to {at[5]}" in gaps[0][3]
+    # a cut end, a wrong checksum, and a member stored as it is, whose lines are not read twice
+    whole = gzip.compress(b"".join(parts))
+    cut = list(warc.salvage(whole[: len(whole) // 2]))
+    assert len(numbers(cut)) >= 4 and numbers(cut) == list(range(len(numbers(cut))))
+    assert cut[-1][:3] == ("gap", 0, len(whole) // 2)
+    for level in (0, 6):
+        wrong = bytearray(gzip.compress(b"".join(parts), level))
+        wrong[-8] ^= 1
+        items = list(warc.salvage(bytes(wrong) + gzip.compress(parts[3])))
+        assert numbers(items) == [*range(12), 3]
+        assert [i[1:3] for i in items if i[0] == "gap"] == [(0, len(wrong))]
+
+
+def test_salvage_finds_older_version_lines():
+    parts = [r.replace(b"WARC/1.1", b"WARC/0.9", 1) for r in records(3, seed=6)]
+    assert numbers(warc.salvage(parts[0] + b"garbage\n" + parts[1] + parts[2])) == [0, 1, 2]
