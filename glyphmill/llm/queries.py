@@ -59,21 +59,35 @@ URL_RULES = [
     ("com/de/", "block"),
 ]
 
-# A small labelled table: names of sites that are seldom wanted against ordinary ones.
-BLOCKED_NAMES = ["casino-win", "free-bets", "cheap-pills", "spam-farm", "adult-x", "ads-track"]
-ALLOWED_NAMES = ["news", "library", "garden", "history", "recipes", "weather", "school", "music"]
-ALLOWED_NAMES += ["ththin", "tionble", "thering", "ththon", "therre", "theran", "ththed", "therti"]
+# A small labelled table from general parts of names, none of them a host of the tables that are judged.
+UNWANTED_PARTS = (
+    "casino poker jackpot roulette slots gambling betting bets lottery pills viagra pharma steroid porn xxx sex adult "
+    "escort nude spam malware phishing warez torrent crack ads adserver clicks tracker track popup payday loans"
+).split()
+ORDINARY_PARTS = (
+    "news library garden history recipes school music museum science theatre travel kitchen bakery hospital "
+    "university research physics biology chemistry math language poetry novel archive journal sport football tennis "
+    "cinema photo art gallery design house family children health doctor teacher student city village river mountain "
+    "forest farm animal bird fish bread coffee tea cheese wine market bank law court police church nature climate "
+    "energy car train bicycle airport hotel island beach software linux python data forum wiki blogs weather cooking "
+    "fishing cycling hiking reading writing building learning spring morning mother father brother leather station"
+).split()
+# Parts that go with both.
+SHARED_PARTS = "online best my shop world zone club king top daily 24 net pro".split()
 
 
 def url_labels(spark: SparkSession) -> DataFrame:
-    """Each name below several domains and paths, so that only the name tells the classes apart."""
+    """Each part alone and with shared parts, below several domains and paths that tell nothing of the class."""
     places = [("", "com", "/en/12"), ("www.", "net", "/fr/345.html"), ("m.", "org", "/es/6789/"), ("blog.", "com", "/de/4")]
-    rows = [
-        (f"https://{prefix}{name}.example.{domain}{path}", blocked)
-        for names, blocked in ((BLOCKED_NAMES, 1), (ALLOWED_NAMES, 0))
-        for name in names
-        for prefix, domain, path in places
-    ]
+    rows = []
+    for parts, blocked in ((UNWANTED_PARTS, 1), (ORDINARY_PARTS, 0)):
+        for i, part in enumerate(parts):
+            one, two, three = (SHARED_PARTS[(i + k) % len(SHARED_PARTS)] for k in (0, 4, 9))
+            names = (part, f"{part}-{one}", f"{two}-{part}", f"{part}{two}", f"{three}{part}")
+            # there are fewer unwanted parts, so each stands in more places
+            for k, name in enumerate(names):
+                for prefix, domain, path in places if blocked else [places[(i + k) % len(places)]]:
+                    rows.append((f"https://{prefix}{name}.example.{domain}{path}", blocked))
     return spark.createDataFrame(rows, "url string, blocked int")
 
 

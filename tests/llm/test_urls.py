@@ -72,3 +72,16 @@ def test_labels_of_one_class_or_none(spark):
     assert urls.fit_urls(spark.createDataFrame([], schema)).block_probability("a", "") < 0.01
     only = spark.createDataFrame([("http://a/", 1), (None, 1), ("http://b/", None)], schema)
     assert urls.fit_urls(only).block_probability("a", "") > 0.99
+
+
+def test_names_outside_the_table_are_judged(spark, model):
+    known = {urls.split_url(r["url"])[0].split(".example.")[0].split(".")[-1] for r in url_labels(spark).collect()}
+    blocked = ["casino-win", "spam-farm", "adult-x", "ads-track", "free-bets", "cheap-pills", "royal-casino", "pillstore24",
+               "mega-jackpots", "hot-escorts", "click-tracker", "lucky-slots"]
+    ordinary = ["garden-house", "river-bank", "tionble", "ththin", "thering", "therre", "ththon", "old-library", "musicschool",
+                "fresh-bread", "city-news", "green-kitchen"]
+    assert not known & {*blocked, *ordinary}
+    for names, wanted in ((blocked, True), (ordinary, False)):
+        for name in names:
+            for url in (("%s.example.org", "/en/1234"), ("m.%s.example.net", "/de/77.html")):
+                assert (model.block_probability(url[0] % name, url[1]) >= 0.5) == wanted, name
