@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glyphmill.llm import decontaminate, lines, maxent, packing, pii, quality, rules, setsketch, urls, warc
+from glyphmill.llm import decontaminate, lines, maxent, packing, pii, quality, rules, setsketch, toxicity, urls, warc
 from glyphmill.llm.columns import remainder
 from glyphmill.sources.scratch import scratch_path
 
@@ -148,6 +148,16 @@ def op10_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdicts.select("doc_id", *counts, "base_failed", "kept")
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    fold = remainder(F.col("doc_id"), 4)
+    model = toxicity.fit_toxicity(docs.where(fold != 2), _table(spark, sf_dir, "labels"))
+    scored = docs.select("doc_id", toxicity.toxicity_score(model, F.col("text")).alias("score"))
+    return scored.select(
+        "doc_id", (fold == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_maxent": op2_maxent,
@@ -159,6 +169,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_pii": op9_pii,
     "op10_rules": op10_rules,
+    "op11_toxicity": op11_toxicity,
 }
 
 # SQL that gives the same rows; the others are tested against plain Python.
