@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glyphmill.llm import decontaminate, lines, maxent, packing, pii, quality, rules, setsketch, toxicity, urls, warc
+from glyphmill.llm import decontaminate, lines, maxent, merkle, packing, pii, quality, rules, setsketch, toxicity, urls, warc
 from glyphmill.llm.columns import remainder
+from glyphmill.llm.merkle_sql import manifest_sql
 from glyphmill.sources.scratch import scratch_path
 
 
@@ -158,6 +159,19 @@ def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    own = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % F.lit(5) == 0
+    manifest = merkle.build_manifest(
+        docs,
+        merkle.leaf_digest([*own, F.col("text")]),
+        changed=F.when(tampered, merkle.leaf_digest([*own, lower])),
+    )
+    return merkle.verify_rows(manifest).withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_maxent": op2_maxent,
@@ -170,10 +184,12 @@ QUERIES = {
     "op9_pii": op9_pii,
     "op10_rules": op10_rules,
     "op11_toxicity": op11_toxicity,
+    "op13_merkle": op13_merkle,
 }
 
 # SQL that gives the same rows; the others are tested against plain Python.
 ORACLE: dict[str, str] = {
+    "op13_merkle": manifest_sql(),
     "op1_warc": """
         WITH p AS (
             SELECT page_id, encode(coalesce(html, '')) AS body, sha1(coalesce(html, '')) AS h FROM pages
