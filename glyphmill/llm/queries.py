@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glyphmill.llm import decontaminate, lines, maxent, merkle, packing, pii, quality, rules, setsketch, toxicity, urls, warc
+from glyphmill.llm import decontaminate, lexical, lines, maxent, merkle, packing, pii, quality, rules, setsketch, toxicity, urls, warc
 from glyphmill.llm.columns import remainder
 from glyphmill.llm.merkle_sql import manifest_sql
 from glyphmill.sources.scratch import scratch_path
@@ -159,6 +159,10 @@ def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=20)
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     own = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
@@ -184,11 +188,35 @@ QUERIES = {
     "op9_pii": op9_pii,
     "op10_rules": op10_rules,
     "op11_toxicity": op11_toxicity,
+    "op12_lexical": op12_lexical,
     "op13_merkle": op13_merkle,
 }
 
 # SQL that gives the same rows; the others are tested against plain Python.
 ORACLE: dict[str, str] = {
+    "op12_lexical": r"""
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents WHERE text IS NOT NULL
+        ), b AS (
+            SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark
+        ), s AS (SELECT count(*) AS big_n, sum(len(w))::BIGINT AS l FROM d WHERE len(w) > 0
+        ), m AS (SELECT doc_id, 75 + (25 * len(w) * big_n) // l AS m FROM d, s WHERE len(w) > 0
+        ), f AS (
+            SELECT doc_id, t, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS t FROM d)
+            WHERE t IN (SELECT t FROM b) GROUP BY ALL
+        ), g AS (SELECT t, count(*) AS df FROM f GROUP BY t
+        ), i AS (
+            SELECT item_id, t, count(*) AS q, any_value(floor(1000 * ln((2 * big_n + 2) / (2 * coalesce(df, 0) + 1))))::BIGINT AS w
+            FROM b LEFT JOIN g USING (t) CROSS JOIN s GROUP BY ALL
+        ), r AS (
+            SELECT item_id, doc_id, sum(q * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+            FROM i JOIN f USING (t) JOIN m USING (doc_id) GROUP BY ALL
+        )
+        SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+        FROM r WHERE score > 0 QUALIFY rank <= 20
+    """,
     "op13_merkle": manifest_sql(),
     "op1_warc": """
         WITH p AS (
