@@ -31,13 +31,15 @@ from glyphmill.llm.columns import as_text, byte_list, hash_sample, lower_words,
 from glyphmill.sources.scratch import materialize
 
 WINDOW_WORDS = 4
-STEP_WORDS = 1
+STEP_WORDS = 2
 # Bytes saved from which a window counts, each threshold with weights of its own.
 THRESHOLDS = (1, 2, 3, 4, 5, 6, 8)
 # Lengths in bytes of the segments dictionaries are made of.
 SEGMENTS = (6, 7, 8, 9)
 COMMON_BYTES = 2048
 OWN_BYTES = 2048
+# Segments counted in a task before the counts are passed on.
+HELD_SEGMENTS = 700_000
 # Segments fetched to fill a dictionary: with overlaps merged each adds a byte at least.
 MOST_SEGMENTS = 4096
 # A segment belongs to a class if its share of the class's texts is so many standard errors higher.
@@ -72,36 +74,27 @@ def _compressor(content: bytes):
 
 
 def windows(text: bytes) -> Iterator[bytes]:
-    """A few lower-cased words each, from every word on, with spaces around."""
+    """A few lower-cased words each, from every second word on, with spaces around."""
     words = lower_words(text)
     for start in range(0, len(words), STEP_WORDS):
         yield b" " + b" ".join(words[start : start + WINDOW_WORDS]) + b" "
 
 
 class Evidence:
-    """Bytes saved by window; windows that recur in a batch are compressed once."""
-
-    KEPT = 200_000
+    """Bytes saved by window."""
 
     def __init__(self, model: WindowModel):
         self.toxic, self.ordinary = _compressor(model.toxic), _compressor(model.ordinary)
-        self.known: dict[bytes, int] = {}
 
     def saved(self, window: bytes) -> int:
-        found = self.known.get(window)
-        if found is None:
-            found = len(self.ordinary.compress(window)) - len(self.toxic.compress(window))
-            if len(window) < 100:
-                if len(self.known) >= self.KEPT:
-                    self.known.clear()
-                self.known[window] = found
-        return found
+        return len(self.ordinary.compress(window)) - len(self.toxic.compress(window))
 
     def counts(self, text: bytes) -> tuple[int, list[int]]:
         """Number of different windows, and of those that reach each threshold."""
         own = set(windows(text))
-        reached = Counter(min(self.saved(w), THRESHOLDS[-1]) for w in own)
-        return len(own), [sum(n for saved, n in reached.items() if saved >= t) for t in THRESHOLDS]
+        toxic, ordinary = self.toxic.compress, self.ordinary.compress
+        saved = Counter([len(ordinary(w)) - len(toxic(w)) for w in own])
+        return len(own), [sum(n for s, n in saved.items() if s >= t) for t in THRESHOLDS]
 
 
 def features(counted: list[tuple[int, list[int]]]) -> np.ndarray:
@@ -135,7 +128,7 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 found = {line[i : i + n] for n in SEGMENTS for i in range(len(line) - n + 1)}
                 counts[label, half].update(found)
                 held += len(found)
-            if held > 2_000_000:
+            if held > HELD_SEGMENTS:
                 yield from emit()
                 held = 0
     yield from emit()
