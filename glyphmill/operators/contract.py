@@ -1,11 +1,15 @@
-"""The output contract of each task, checked in one aggregation over the rows."""
+"""The output contract of each task, checked in one aggregation over the rows.
+
+``violations`` counts, ``flag_rows`` gives every row the set of rules it breaks,
+``failing_values`` lists some of the values that break a rule.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StringType, StructType
 
@@ -108,10 +112,75 @@ def violations(frame: DataFrame, model: ModelParams) -> DataFrame:
     return counted.select(F.inline(lines))
 
 
+def broken_mask(rules: list[Rule]) -> Column:
+    """The rules a row breaks as bits, rule 0 being the lowest; a rule on the frame as a whole is broken by every row."""
+
+    def bit(i: int, rule: Rule) -> Column:
+        value = F.lit(1 << i).cast("bigint")
+        return value if rule.failed is None else F.when(rule.failed, value).otherwise(F.lit(0).cast("bigint"))
+
+    mask = F.lit(0).cast("bigint")
+    for i, rule in enumerate(rules):
+        mask = mask.bitwiseOR(bit(i, rule))
+    return mask
+
+
+def broken_names(mask: Column, rules: list[Rule]) -> Column:
+    """``column.check`` of every rule in a mask, in rule order."""
+    listed = [
+        F.when(mask.bitwiseAND(F.lit(1 << i)) != 0, F.lit(f"{rule.column}.{rule.check}")) for i, rule in enumerate(rules)
+    ]
+    return F.array_compact(F.array(*listed).cast("array<string>"))
+
+
+def flag_rows(frame: DataFrame, model: ModelParams, name: str = "broken_rules") -> DataFrame:
+    """All rows with the mask of the rules they break, 0 for a row that keeps the contract; no shuffle."""
+    return frame.withColumn(name, broken_mask(contract_rules(frame, model)))
+
+
+def split_rows(frame: DataFrame, model: ModelParams) -> tuple[DataFrame, DataFrame]:
+    """Rows that keep the contract, in contract types, and the others as they are with their ``reasons``."""
+    rules = contract_rules(frame, model)
+    mask = broken_mask(rules)
+    return coerce(frame.where(mask == 0), model), frame.where(mask != 0).withColumn("reasons", broken_names(mask, rules))
+
+
+def _shown(frame: DataFrame, column: str) -> Column:
+    if column not in frame.columns:
+        return F.lit(None).cast("string")
+    nested = isinstance(frame.schema[column].dataType, (ArrayType, StructType))
+    return F.to_json(column) if nested else F.col(column).cast("string")
+
+
+def failing_values(frame: DataFrame, model: ModelParams, per_rule: int = 10) -> DataFrame:
+    """``column, check, rank, id, value`` of at most ``per_rule`` rows of each broken rule.
+
+    Of a rule's rows those with the smallest ids are shown, a null id first.
+    Each task keeps ``per_rule`` rows of a rule before the shuffle, so a rule that a
+    third of all rows breaks costs no more than another one.
+    """
+    rules = contract_rules(frame, model)
+    row_id = F.col("id").cast("string") if "id" in frame.columns else F.lit(None).cast("string")
+    found = [
+        F.when(
+            F.lit(True) if rule.failed is None else rule.failed,
+            F.struct(F.lit(i).alias("rule"), row_id.alias("id"), _shown(frame, rule.column).alias("value")),
+        )
+        for i, rule in enumerate(rules)
+    ]
+    listed = frame.select(F.inline(F.array_compact(F.array(*found))))
+    first = Window.partitionBy("rule").orderBy(F.col("id").asc_nulls_first(), F.col("value").asc_nulls_first())
+    ranked = listed.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= per_rule)
+    names = F.array(*[F.struct(F.lit(r.column).alias("column"), F.lit(r.check).alias("check")) for r in rules])
+    return ranked.select(F.get(names, F.col("rule")).alias("of"), "rank", "id", "value").select("of.*", "rank", "id", "value")
+
+
 def coerce(frame: DataFrame, model: ModelParams) -> DataFrame:
-    """The frame with its contract columns in their contract types."""
+    """The frame with those contract columns it has in their contract types."""
     casts = {}
     for item in output_schema(model.task).fields:
+        if item.name not in frame.columns:
+            continue
         value = _typed(frame, item.name, item.dataType)
         if value is not None:
             casts[item.name] = value

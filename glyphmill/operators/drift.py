@@ -10,7 +10,9 @@ whole histogram. Only single numbers (totals, edges) come to the driver.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,8 +27,6 @@ EPSILON = 1e-6
 DEFAULT_BINS = 10
 # Distinct integer values per parallel range.
 _INTEGER_RANGE = 4096
-# Distinct values of other columns per parallel range.
-VALUES_PER_RANGE = 1_000_000
 # Cuts at which the approximate distribution functions are compared.
 _APPROXIMATE_CUTS = 200
 _SERIES_TERMS = 100
@@ -68,24 +68,34 @@ def _position(value: Column, cuts: list[float], upper: bool) -> Column:
     return search(0, len(cuts))
 
 
-def _stored_ranges(histogram: DataFrame) -> DataFrame:
-    """The histogram cut into sorted ranges of some million values each, for any numeric column.
+def _counted_locally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Equal values of an Arrow batch become one row."""
+    for batch in batches:
+        counts = pa.Table.from_batches([batch]).group_by("value").aggregate([("n_ref", "sum"), ("n_new", "sum")])
+        yield from counts.rename_columns(["value", "n_ref", "n_new"]).to_batches()
 
-    The number of ranges follows from the number of distinct values, so no task's
-    share grows with the data. The cut is sampled and thus stored with the
-    rows: whatever reads them, or is retried, sees the same ranges.
+
+def _value_ranges(tagged: DataFrame) -> DataFrame:
+    """A histogram of ``value``, cut into sorted ranges, by a single shuffle of the values.
+
+    Rows go to ranges of values and are counted where they arrive, as equal values
+    meet in one range. A value that fills a third of the table would make one range
+    long; it is counted within each batch before. The number of ranges is the
+    session's number of shuffle partitions, less where Spark joins small ones. The
+    result is stored, since the cut is sampled: whatever reads it, or is retried,
+    sees the same ranges.
     """
-    ranges = max(1, math.ceil(histogram.count() / VALUES_PER_RANGE))
-    cut = histogram.repartitionByRange(ranges, "value").withColumn("_range", F.spark_partition_id().cast("bigint"))
-    return materialize(cut, "value-ranges")
+    counted = tagged.mapInArrow(_counted_locally, "value double, n_ref bigint, n_new bigint")
+    ranged = _histogram(counted.repartitionByRange("value"), "value")
+    return materialize(ranged.withColumn("_range", F.spark_partition_id().cast("bigint")), "value-ranges")
 
 
 def _running(histogram: DataFrame, value_range: Column) -> DataFrame:
     """Add inclusive running counts ``cum_ref, cum_new`` and totals ``all_ref, all_new``.
 
     Each range is summed on its own; the counts before a range come from a frame
-    with one row per range: at most 2^31 / 4096 rows for integers, a row per
-    million distinct values otherwise. That makes it safe to broadcast.
+    with one row per range: at most 2^31 / 4096 rows for integers, a row per shuffle
+    partition otherwise. That makes it safe to broadcast.
     """
     ranged = histogram.withColumn("_range", value_range)
     totals = ranged.groupBy("_range").agg(F.sum("n_ref").alias("_ref"), F.sum("n_new").alias("_new"))
@@ -224,8 +234,7 @@ def numeric_drift(
     sides = [side.select(nan_to_null(value).alias("value")).where("value IS NOT NULL") for side in (reference, new)]
     if accuracy is not None:
         return _approximate_drift(*sides, bins, accuracy)
-    histogram = materialize(_histogram(_tagged(*sides), "value"), "values")
-    return _numeric_drift(_stored_ranges(histogram), F.col("_range"), bins)
+    return _numeric_drift(_value_ranges(_tagged(*sides)), F.col("_range"), bins)
 
 
 def _approximate_drift(reference: DataFrame, new: DataFrame, bins: int, accuracy: int) -> DataFrame:
@@ -290,6 +299,17 @@ def text_length_drift(reference: DataFrame, new: DataFrame, bins: int = DEFAULT_
     return _numeric_drift(histogram, _integer_range(F.col("value")), bins)
 
 
+def drift_profile(rows: DataFrame) -> DataFrame:
+    """``length, label, n``: all a drift check needs of a batch; ``label`` is null without labels.
+
+    Profiles of several batches in union are a profile of all, so it can be kept
+    with each version of a table instead of reading the rows again.
+    """
+    label = F.col("label").cast("string") if "label" in rows.columns else F.lit(None).cast("string")
+    lengths = rows.select(text_length(F.col("text")).alias("length"), label.alias("label"))
+    return lengths.groupBy("length", "label").agg(F.count(F.lit(1)).alias("n"))
+
+
 def drift_report(reference: DataFrame, new: DataFrame, quality: QualityParams) -> DataFrame:
     """One row with the length drift, the label drift and the overall flag.
 
@@ -297,12 +317,31 @@ def drift_report(reference: DataFrame, new: DataFrame, quality: QualityParams) -
     are counted together, so each batch is read once.
     """
     with_label = "label" in reference.columns and "label" in new.columns
-    keys = ["value", "label"] if with_label else ["value"]
+    return drift_between_profiles(drift_profile(reference), drift_profile(new), quality, with_label)
+
+
+def drift_against_profile(
+    profile: DataFrame, new: DataFrame, quality: QualityParams, with_label: bool = True
+) -> DataFrame:
+    """``drift_report`` of a new batch against a stored profile; reads the rows of the batch only.
+
+    ``with_label=False`` for a profile of rows without labels.
+    """
+    return drift_between_profiles(profile, drift_profile(new), quality, with_label and "label" in new.columns)
 
-    def features(side: DataFrame) -> DataFrame:
-        return side.withColumn("value", text_length(F.col("text"))).select(*keys)
 
-    profile = materialize(_histogram(_tagged(features(reference), features(new)), *keys), "profile")
+def drift_between_profiles(
+    reference: DataFrame, new: DataFrame, quality: QualityParams, with_label: bool
+) -> DataFrame:
+    """The report from the profiles of both sides."""
+
+    def side(profile: DataFrame, ref: str, other: str) -> DataFrame:
+        zero = F.lit(0).cast("bigint").alias(other)
+        return profile.select(F.col("length").alias("value"), "label", F.col("n").alias(ref), zero)
+
+    keys = ["value", "label"] if with_label else ["value"]
+    tagged = side(reference, "n_ref", "n_new").unionByName(side(new, "n_new", "n_ref"))
+    profile = materialize(_histogram(tagged, *keys), "profile")
     lengths = _histogram(profile, "value") if with_label else profile
     report = _numeric_drift(lengths, _integer_range(F.col("value")), DEFAULT_BINS)
     if with_label:

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field, fields, replace
 from typing import Any
 
 TASKS = ("sentiment", "ner")
-WRITE_MODES = ("append", "overwrite")
+WRITE_MODES = ("append", "overwrite", "overwrite_partition")
 
 
 def _require(ok: bool, message: str) -> None:

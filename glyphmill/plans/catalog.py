@@ -19,16 +19,35 @@ from glyphmill.operators.calibration import (
     reliability_table,
 )
 from glyphmill.operators.confidence import confidence_summary, flag_low_confidence, label_counts, summary_report
-from glyphmill.operators.contract import violations
-from glyphmill.operators.drift import categorical_psi, drift_report, numeric_drift, text_length_drift
+from glyphmill.operators.contract import broken_names, contract_rules, failing_values, flag_rows, violations
+from glyphmill.operators.drift import (
+    categorical_psi,
+    drift_against_profile,
+    drift_profile,
+    drift_report,
+    numeric_drift,
+    text_length_drift,
+)
 from glyphmill.operators.entities import flatten_entities, join_entities, lexicon_entities, normalize_spans
 from glyphmill.operators.inference import infer_batches
+from glyphmill.operators.sketches import merge_sketches, numeric_sketches, rank_error, sketch_drift
 from glyphmill.operators.sentiment import join_sentiment, lexicon_sentiment
 from glyphmill.params import DomainParams, ModelParams, QualityParams, SourceParams, TableParams
 from glyphmill.plans.run import run_domain, run_domains, run_report
 from glyphmill.sources.corpus import read_raw, read_text
-from glyphmill.sources.scratch import scratch_path
-from glyphmill.sources.versioned import read_table, table_history, write_table
+from glyphmill.sources.scratch import materialize, scratch_path
+from glyphmill.sources.versioned import (
+    commit_write,
+    expire_versions,
+    read_profile,
+    read_quarantine,
+    read_table,
+    save_profile,
+    stage_write,
+    table_history,
+    table_metrics,
+    write_table,
+)
 
 # Word lists that occur in the test tables.
 POLARITY = PolarityLexicon.of(positive=["the", "and", "de"], negative=["or", "der", "la", "que"])
@@ -177,10 +196,10 @@ def batch_inference_entities(spark, sf):
 # --- contract ------------------------------------------------------------------
 
 
-def contract_sentiment(spark, sf):
+def _damaged_sentiment(spark, sf):
     """Sentiment rows with one kind of damage per source."""
     source = F.col("source")
-    rows = lexicon_sentiment(_documents(spark, sf), POLARITY).select(
+    return lexicon_sentiment(_documents(spark, sf), POLARITY).select(
         F.when(source != "src7", F.col("id")).alias("id"),
         F.when(source != "src8", F.col("text")).alias("text"),
         F.when(source == "src3", F.lit("FELIZ")).otherwise(F.col("label")).alias("label"),
@@ -191,21 +210,46 @@ def contract_sentiment(spark, sf):
         .alias("confidence"),
         "lang",
     )
-    return violations(rows, SENTIMENT)
 
 
-def contract_ner(spark, sf):
+def _damaged_ner(spark, sf):
     """Entity rows with one kind of damage per source."""
     source = F.col("source")
     renamed = F.transform("entities", lambda e: e.withField("type", F.lit("Z")))
-    rows = lexicon_entities(_documents(spark, sf), ENTITIES).select(
+    return lexicon_entities(_documents(spark, sf), ENTITIES).select(
         "id",
         "text",
         F.when(source == "src9", renamed).when(source != "src2", F.col("entities")).alias("entities"),
         F.when(source == "src3", F.lit(-1)).otherwise(F.col("n_entities")).alias("n_entities"),
         F.when(source == "src5", F.lit(-0.5)).otherwise(F.col("confidence")).alias("confidence"),
     )
-    return violations(rows, NER)
+
+
+def contract_sentiment(spark, sf):
+    return violations(_damaged_sentiment(spark, sf), SENTIMENT)
+
+
+def contract_ner(spark, sf):
+    return violations(_damaged_ner(spark, sf), NER)
+
+
+def _failing_rows(rows: DataFrame, model: ModelParams, *columns: str) -> DataFrame:
+    """Rows that break the contract, with the rules they break."""
+    reasons = F.array_join(broken_names(F.col("broken_rules"), contract_rules(rows, model)), ",")
+    return flag_rows(rows, model).where("broken_rules <> 0").select(*columns, "broken_rules", reasons.alias("reasons"))
+
+
+def contract_rows_sentiment(spark, sf):
+    return _failing_rows(_damaged_sentiment(spark, sf), SENTIMENT, "id", "label", "confidence", "lang")
+
+
+def contract_rows_ner(spark, sf):
+    return _failing_rows(_damaged_ner(spark, sf), NER, "id", "n_entities", "confidence")
+
+
+def contract_values(spark, sf):
+    """Of each broken rule the values of the three first rows."""
+    return failing_values(_damaged_ner(spark, sf).drop("entities"), NER, per_rule=3)
 
 
 # --- quality -------------------------------------------------------------------
@@ -320,6 +364,52 @@ def drift_report_by_source(spark, sf):
     return _drift_report(spark, sf, _by_source)
 
 
+def drift_with_profile(spark, sf):
+    """English documents stored in two writes with profiles; the others are held against the profiles."""
+    english, others = _by_language(lexicon_sentiment(_documents(spark, sf), POLARITY))
+    params = _domain(scratch_path(spark, "profiled"))
+    halves = english.where("source < 'src2'"), english.where("source >= 'src2'")
+    for rows, day in zip(halves, (FIRST_DAY, SECOND_DAY), strict=True):
+        staged = stage_write(rows, params, day)
+        save_profile(drift_profile(rows), staged)
+        commit_write(spark, staged)
+    report = drift_against_profile(read_profile(spark, params.lakehouse.path), others, QUALITY)
+    return _rounded(report, length_psi=6, length_ks_stat=9, length_ks_pvalue=9, label_psi=6)
+
+
+def sketched_quantiles(spark, sf):
+    """Merged sketches of prices by flag: is each decile's rank as close to the exact one as stated?"""
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet").select("l_returnflag", "l_linestatus", "l_extendedprice")
+    sketches = numeric_sketches(lines, "l_extendedprice", by=("l_returnflag", "l_linestatus"))
+    merged = merge_sketches(sketches, by=("l_returnflag",))
+    shares = [i / 10 for i in range(1, 10)]
+    quantiles = F.kll_sketch_get_quantile_double("sketch", F.array(*[F.lit(s) for s in shares]))
+    listed = merged.select("l_returnflag", "n", F.posexplode(quantiles).alias("i", "quantile"))
+    # a row per flag and decile beside the rows of the flag
+    below = lines.join(F.broadcast(listed), "l_returnflag").groupBy("l_returnflag", "n", "i").agg(
+        F.avg((F.col("l_extendedprice") <= F.col("quantile")).cast("double")).alias("rank"),
+        F.avg((F.col("l_extendedprice") < F.col("quantile")).cast("double")).alias("rank_below"),
+    )
+    share = (F.col("i") + 1) / 10
+    close = (F.col("rank") >= share - rank_error()) & (F.col("rank_below") <= share + rank_error())
+    return below.select("l_returnflag", "n", (F.col("i") + 1).alias("decile"), close.alias("within_error"))
+
+
+def sketched_drift(spark, sf):
+    """Drift of prices from sketches of two months' rows: close to the exact figures?"""
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet").withColumn("is_ref", F.col("l_returnflag") == "N")
+    sketches = materialize(numeric_sketches(lines, "l_extendedprice", by=("is_ref", "l_linestatus")), "sketches")
+    drift = sketch_drift(sketches.where("is_ref"), sketches.where("NOT is_ref"))
+    exact = numeric_drift(lines.where("is_ref"), lines.where("NOT is_ref"), "l_extendedprice").first()
+    error = rank_error()
+    return drift.select(
+        "n_ref",
+        "n_new",
+        (F.abs(F.col("psi") - F.lit(exact["psi"])) <= 0.02).alias("psi_close"),
+        (F.abs(F.col("ks_stat") - F.lit(exact["ks_stat"])) <= 2 * error + 1 / 200).alias("ks_close"),
+    )
+
+
 # --- versioned table -----------------------------------------------------------
 
 
@@ -385,6 +475,55 @@ def versioned_overwrite(spark, sf):
     return out
 
 
+def _versions(spark, path: str, versions) -> DataFrame:
+    out = None
+    for version in versions:
+        rows = _partition_counts(read_table(spark, path, version)).withColumn("version", F.lit(version))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def partition_overwrite(spark, sf):
+    """Two days, the first one written again, a third; rows of every version."""
+    rows = lexicon_sentiment(_documents(spark, sf), POLARITY)
+    english, others = _by_language(rows)
+    path = scratch_path(spark, "table")
+    append, again = _domain(path), _domain(path, mode="overwrite_partition")
+    write_table(english, append, FIRST_DAY)
+    write_table(others, append, SECOND_DAY)
+    write_table(others.where("lang = 'fr'"), again, FIRST_DAY)
+    write_table(english, append, THIRD_DAY)
+    return _versions(spark, path, range(4))
+
+
+def retention(spark, sf):
+    """Four writes, two overwritten; what the last two versions show once the others' data is removed."""
+    rows = lexicon_sentiment(_documents(spark, sf), POLARITY)
+    english, others = _by_language(rows)
+    path = scratch_path(spark, "table")
+    for part, mode, day in (
+        (english, "append", FIRST_DAY),
+        (others, "append", SECOND_DAY),
+        (others, "overwrite", FIRST_DAY),
+        (english, "append", SECOND_DAY),
+    ):
+        write_table(part, _domain(path, mode=mode), day)
+    removed = len(expire_versions(spark, path, keep_last=2))
+    return _versions(spark, path, (2, 3)).withColumn("n_removed", F.lit(removed))
+
+
+def metrics_by_version(spark, sf):
+    """Share of low confidence and label counts over four writes of one table."""
+    path = scratch_path(spark, "run")
+    base = replace(_domain(path), data=_source(f"{sf}/documents.parquet", "doc_id"))
+    parts = [("documents", "doc_id"), ("benchmark", "item_id"), ("documents", "doc_id"), ("conversations", None)]
+    for (table, id_column), day in zip(parts, (FIRST_DAY, SECOND_DAY, FIRST_DAY, THIRD_DAY), strict=True):
+        again = replace(base.lakehouse, mode="overwrite_partition")
+        params = replace(base, data=_source(f"{sf}/{table}.parquet", id_column), lakehouse=again)
+        run_domain(spark, params, "mock", day, POLARITY)
+    return _rounded(table_metrics(spark, path).select("version", "mode", "metric", "value"), value=10)
+
+
 # --- whole jobs ----------------------------------------------------------------
 
 
@@ -399,6 +538,18 @@ def domain_run_report(spark, sf):
     return _report(spark, [run_domain(spark, params, "mock", FIRST_DAY, POLARITY)])
 
 
+def domain_run_quarantine(spark, sf):
+    """A contract without negative labels: those rows are set apart, the others become the version."""
+    path = scratch_path(spark, "run")
+    base = _domain(path, model=replace(SENTIMENT, labels=("POS", "NEU")))
+    params = replace(base, data=_source(f"{sf}/documents.parquet", "doc_id"))
+    run_domain(spark, params, "mock", FIRST_DAY, POLARITY, quarantine=True, flag=True)
+    kept = read_table(spark, path).select(F.lit(0).cast("bigint").alias("broken_rules"), "label", "low_confidence")
+    apart = read_quarantine(spark, path).select("broken_rules", "label", "low_confidence")
+    both = kept.unionByName(apart)
+    return both.groupBy("broken_rules", "label", "low_confidence").agg(F.count(F.lit(1)).alias("n"))
+
+
 def multi_domain_report(spark, sf):
     """One job over three sources; only the parameters differ."""
     sources = {
@@ -429,6 +580,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "batch_inference_entities": batch_inference_entities,
     "contract_sentiment": contract_sentiment,
     "contract_ner": contract_ner,
+    "contract_rows_sentiment": contract_rows_sentiment,
+    "contract_rows_ner": contract_rows_ner,
+    "contract_values": contract_values,
     "low_confidence_flag": low_confidence_flag,
     "confidence_summary": confidence_summary_sentiment,
     "entity_coverage": entity_coverage,
@@ -446,11 +600,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "psi_languages": psi_languages_by_source,
     "drift_report": drift_report_by_language,
     "drift_report_by_source": drift_report_by_source,
+    "drift_against_profile": drift_with_profile,
+    "sketched_quantiles": sketched_quantiles,
+    "sketched_drift": sketched_drift,
     "versioned_append": versioned_append,
     "versioned_overwrite": versioned_overwrite,
     "time_travel_v0": time_travel_v0,
     "partition_read": partition_read,
     "history": history,
+    "partition_overwrite": partition_overwrite,
+    "retention": retention,
+    "metrics_by_version": metrics_by_version,
+    "domain_run_quarantine": domain_run_quarantine,
     "domain_run_report": domain_run_report,
     "multi_domain_report": multi_domain_report,
 }

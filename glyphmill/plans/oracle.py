@@ -158,50 +158,54 @@ def _checks(table: str, checks: list[tuple[str, str, str]]) -> str:
 _DAY1, _DAY2, _DAY3 = "2031-02-01", "2031-02-02", "2031-02-03"
 _COUNTS = "count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS n_chars"
 
-_CONTRACT_SENTIMENT = f"""WITH {_sentiment()},
+def _failing(table: str, columns: str, checks: list[tuple[str, str, str]]) -> str:
+    """Rows with the bits of the checks they fail and the checks' names."""
+    bits = " + ".join(f"CASE WHEN {failed} THEN {1 << i} ELSE 0 END" for i, (_, _, failed) in enumerate(checks))
+    names = ", ".join(f"CASE WHEN {failed} THEN '{column}.{check}' END" for column, check, failed in checks)
+    return f"""SELECT {columns}, CAST({bits} AS BIGINT) AS broken_rules,
+        array_to_string(list_filter([{names}], lambda x: x IS NOT NULL), ',') AS reasons FROM {table} WHERE {bits} <> 0"""
+
+
+_BAD_SENTIMENT = f"""WITH {_sentiment()},
 bad AS (SELECT CASE WHEN source <> 'src7' THEN id END AS id, CASE WHEN source <> 'src8' THEN text END AS text,
     CASE WHEN source = 'src3' THEN 'FELIZ' ELSE label END AS label,
     CASE WHEN source = 'src4' THEN 'NaN' WHEN source = 'src5' THEN '1.5' WHEN source = 'src6' THEN 'high'
-        ELSE CAST(confidence AS VARCHAR) END AS confidence FROM sent),
+        ELSE CAST(confidence AS VARCHAR) END AS confidence, lang FROM sent),
 typed AS (SELECT *, TRY_CAST(confidence AS DOUBLE) AS c FROM bad)
-""" + _checks(
-    "typed",
-    [
-        ("id", "type", "false"),
-        ("id", "not_null", "id IS NULL"),
-        ("text", "type", "false"),
-        ("text", "not_null", "text IS NULL"),
-        ("label", "type", "false"),
-        ("label", "not_null", "label IS NULL"),
-        ("confidence", "type", "confidence IS NOT NULL AND c IS NULL"),
-        ("confidence", "not_null", "confidence IS NULL OR isnan(c)"),
-        ("confidence", "in_range", "NOT isnan(c) AND (c < 0 OR c > 1)"),
-        ("label", "allowed", "label NOT IN ('POS', 'NEU', 'NEG')"),
-    ],
-)
-
-_CONTRACT_NER = f"""WITH {_NER},
+"""
+_SENTIMENT_CHECKS = [
+    ("id", "type", "false"),
+    ("id", "not_null", "id IS NULL"),
+    ("text", "type", "false"),
+    ("text", "not_null", "text IS NULL"),
+    ("label", "type", "false"),
+    ("label", "not_null", "label IS NULL"),
+    ("confidence", "type", "confidence IS NOT NULL AND c IS NULL"),
+    ("confidence", "not_null", "confidence IS NULL OR isnan(c)"),
+    ("confidence", "in_range", "NOT isnan(c) AND (c < 0 OR c > 1)"),
+    ("label", "allowed", "label NOT IN ('POS', 'NEU', 'NEG')"),
+]
+
+_BAD_NER = f"""WITH {_NER},
 bad AS (SELECT id, text, CASE WHEN source = 'src2' THEN NULL WHEN source = 'src9' THEN n_entities > 0 ELSE false END AS odd,
     CASE WHEN source = 'src3' THEN -1 ELSE n_entities END AS n_entities,
     CASE WHEN source = 'src5' THEN -0.5 ELSE confidence END AS confidence FROM ner)
-""" + _checks(
-    "bad",
-    [
-        ("id", "type", "false"),
-        ("id", "not_null", "id IS NULL"),
-        ("text", "type", "false"),
-        ("text", "not_null", "text IS NULL"),
-        ("entities", "type", "false"),
-        ("entities", "not_null", "odd IS NULL"),
-        ("n_entities", "type", "false"),
-        ("n_entities", "not_null", "n_entities IS NULL"),
-        ("confidence", "type", "false"),
-        ("confidence", "not_null", "confidence IS NULL"),
-        ("confidence", "in_range", "confidence < 0 OR confidence > 1"),
-        ("n_entities", "at_least_0", "n_entities < 0"),
-        ("entities", "allowed_type", "odd"),
-    ],
-)
+"""
+_NER_CHECKS = [
+    ("id", "type", "false"),
+    ("id", "not_null", "id IS NULL"),
+    ("text", "type", "false"),
+    ("text", "not_null", "text IS NULL"),
+    ("entities", "type", "false"),
+    ("entities", "not_null", "odd IS NULL"),
+    ("n_entities", "type", "false"),
+    ("n_entities", "not_null", "n_entities IS NULL"),
+    ("confidence", "type", "false"),
+    ("confidence", "not_null", "confidence IS NULL"),
+    ("confidence", "in_range", "confidence < 0 OR confidence > 1"),
+    ("n_entities", "at_least_0", "n_entities < 0"),
+    ("entities", "allowed_type", "odd"),
+]
 
 _SPANS = f"""WITH toks AS (SELECT id, lang, {_TOKENS} AS t FROM ({_DOCS})),
 tok AS (SELECT id, lang, unnest(t) AS w, generate_subscripts(t, 1) - 1 AS i FROM toks),
@@ -232,8 +236,17 @@ ORACLE: dict[str, str] = {
     "normalize_spans": _SPANS,
     "batch_inference": _SENTIMENT_ROWS,
     "batch_inference_entities": f'WITH {_ENTITIES} SELECT id, ordinal, text, type, start, "end", score FROM ent',
-    "contract_sentiment": _CONTRACT_SENTIMENT,
-    "contract_ner": _CONTRACT_NER,
+    "contract_sentiment": _BAD_SENTIMENT + _checks("typed", _SENTIMENT_CHECKS),
+    "contract_ner": _BAD_NER + _checks("bad", _NER_CHECKS),
+    "contract_rows_sentiment": _BAD_SENTIMENT + _failing("typed", "id, label, confidence, lang", _SENTIMENT_CHECKS),
+    "contract_rows_ner": _BAD_NER + _failing("bad", "id, n_entities, confidence", _NER_CHECKS),
+    "contract_values": _BAD_NER + f"""SELECT "column", "check", CAST(rank AS INTEGER) AS rank, id, value FROM (
+        SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY id) AS rank FROM (
+            SELECT 'confidence' AS "column", 'in_range' AS "check", id, CAST(confidence AS VARCHAR) AS value
+            FROM bad WHERE confidence < 0 UNION ALL
+            SELECT 'n_entities', 'at_least_0', id, CAST(n_entities AS VARCHAR) FROM bad WHERE n_entities < 0)) WHERE rank <= 3
+        UNION ALL SELECT 'entities', 'present', CAST(rank AS INTEGER), id, NULL FROM (
+            SELECT id, row_number() OVER (ORDER BY id) AS rank FROM bad) WHERE rank <= 3""",
     "low_confidence_flag": f"WITH {_sentiment()} SELECT id, confidence, confidence < 0.85 AS low_confidence FROM sent",
     "confidence_summary": f"WITH {_sentiment()} SELECT {_summary('sent')}",
     "entity_coverage": f"""WITH {_NER} SELECT round(avg(CASE WHEN n_entities > 0 THEN 1.0 ELSE 0.0 END), 10) AS coverage,
@@ -257,6 +270,30 @@ ORACLE: dict[str, str] = {
     "psi_languages": f"WITH {_categorical(f'SELECT lang AS category, {_BY_SOURCE} AS is_ref FROM ({_DOCS})')} SELECT round(psi, 6) AS psi FROM cat",
     "drift_report": _report(_BY_LANGUAGE),
     "drift_report_by_source": _report(_BY_SOURCE),
+    "drift_against_profile": _report(_BY_LANGUAGE),
+    "sketched_quantiles": """SELECT l_returnflag, count(*) AS n, CAST(decile AS INTEGER) AS decile, true AS within_error
+        FROM lineitem CROSS JOIN range(1, 10) r(decile) GROUP BY l_returnflag, decile""",
+    "sketched_drift": """SELECT count(*) FILTER (l_returnflag = 'N') AS n_ref, count(*) FILTER (l_returnflag <> 'N') AS n_new,
+        true AS psi_close, true AS ks_close FROM lineitem""",
+    "partition_overwrite": f"""WITH docs AS ({_DOCS}),
+        parts(version, english, others, french, ingest_date) AS (VALUES
+            (0, true, false, false, '{_DAY1}'), (1, true, false, false, '{_DAY1}'), (1, false, true, false, '{_DAY2}'),
+            (2, false, false, true, '{_DAY1}'), (2, false, true, false, '{_DAY2}'),
+            (3, false, false, true, '{_DAY1}'), (3, false, true, false, '{_DAY2}'), (3, true, false, false, '{_DAY3}'))
+        SELECT version, 'documents' AS domain, ingest_date, {_COUNTS} FROM parts JOIN docs
+            ON (english AND lang = 'en') OR (others AND lang <> 'en') OR (french AND lang = 'fr') GROUP BY version, ingest_date""",
+    "retention": f"""WITH docs AS ({_DOCS}),
+        parts(version, english, ingest_date) AS (VALUES (2, false, '{_DAY1}'), (3, false, '{_DAY1}'), (3, true, '{_DAY2}'))
+        SELECT version, 'documents' AS domain, ingest_date, {_COUNTS}, 2 AS n_removed
+        FROM parts JOIN docs ON english = (lang = 'en') GROUP BY version, ingest_date""",
+    "metrics_by_version": f"""WITH {_sentiment()}, {_sentiment(_CONVERSATIONS, 'conv')}, {_sentiment(_BENCHMARK, 'bench')},
+        d AS ({_metrics('sent', True)}), b AS ({_metrics('bench', True)}), c AS ({_metrics('conv', True)})
+        SELECT 0 AS version, 'overwrite_partition' AS mode, metric, value FROM d
+        UNION ALL SELECT 1, 'overwrite_partition', metric, value FROM b
+        UNION ALL SELECT 2, 'overwrite_partition', metric, value FROM d
+        UNION ALL SELECT 3, 'overwrite_partition', metric, value FROM c""",
+    "domain_run_quarantine": f"""WITH {_sentiment()} SELECT CAST(CASE WHEN label = 'NEG' THEN 512 ELSE 0 END AS BIGINT) AS broken_rules,
+        label, confidence < 0.85 AS low_confidence, count(*) AS n FROM sent GROUP BY ALL""",
     "versioned_append": f"WITH {_sentiment()}, {_stored(_DAY1, _DAY2)} SELECT domain, ingest_date, {_COUNTS} FROM stored GROUP BY domain, ingest_date",
     "versioned_overwrite": f"""WITH docs AS ({_DOCS}),
         parts(version, english, ingest_date) AS (VALUES (0, true, '{_DAY1}'), (1, true, '{_DAY1}'), (1, false, '{_DAY2}'),

@@ -11,14 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glyphmill.operators import models
-from glyphmill.operators.confidence import summary_aggregates
-from glyphmill.operators.contract import ContractViolation, broken_rules, contract_rules, rule_counts
+from glyphmill.operators.confidence import flag_low_confidence, label_counts, summary_aggregates
+from glyphmill.operators.contract import ContractViolation, broken_mask, broken_rules, contract_rules, rule_counts
+from glyphmill.operators.drift import drift_profile
 from glyphmill.operators.entities import lexicon_entities
 from glyphmill.operators.inference import infer_batches
 from glyphmill.operators.sentiment import lexicon_sentiment
 from glyphmill.params import DomainParams
 from glyphmill.sources.corpus import read_text
-from glyphmill.sources.versioned import commit_write, discard_write, stage_write
+from glyphmill.sources.versioned import commit_write, discard_write, read_staged, save_profile, stage_write
 
 
 @dataclass(frozen=True)
@@ -30,6 +31,7 @@ class RunResult:
     path: str
     version: int
     summary: dict[str, Any]
+    failures: tuple[tuple[str, str, int], ...] = ()
 
     def metrics(self) -> dict[str, float]:
         """The summary in long form; labels appear as ``label_counts.<label>``."""
@@ -60,6 +62,9 @@ def run_domain(
     ingest_date: str | None = None,
     lexicon: Any = None,
     id_strategy: str = "monotonic",
+    quarantine: bool = False,
+    flag: bool = False,
+    profile: bool = False,
 ) -> RunResult:
     """Read, structure, store, check and summarise one domain.
 
@@ -69,10 +74,20 @@ def run_domain(
     removed, ``ContractViolation`` is raised and the table is as before. Nothing is
     cached, so a lost executor costs no second, perhaps different, inference of
     rows that were already checked.
+
+    With ``quarantine`` the rows that break the contract are set apart in the same
+    write, with the rules they break; the others become the version, and
+    ``failures`` of the result has the counts. The summary is then read from the
+    stored rows. A contract that the frame as a whole breaks still raises. With
+    ``flag`` the rows are stored with ``low_confidence``. With ``profile`` lengths and
+    labels of the stored rows are counted and kept with the version, for
+    ``drift_against_profile``.
     """
     corpus = read_text(spark, params.data, id_strategy)
     rows = structure(corpus, params, mode, lexicon)
     rules = contract_rules(rows, params.model)
+    if flag:
+        rows = flag_low_confidence(rows, params.quality.min_confidence)
     labels = params.model.labels if params.model.task == "sentiment" else ()
     staged = stage_write(
         rows,
@@ -83,21 +98,30 @@ def run_domain(
             *rule_counts(rules),
             *[F.count_if(F.col("label") == label).alias(f"label_{i}") for i, label in enumerate(labels)],
         ],
+        mask=broken_mask(rules) if quarantine else None,
     )
     audit = staged.metrics
     failures = broken_rules(rules, audit)
-    if failures:
+    if failures and (not quarantine or any(rule.failed is None for rule in rules)):
         discard_write(spark, staged)
         raise ContractViolation(failures)
 
-    version = commit_write(spark, staged)
+    if failures:
+        kept = read_staged(spark, staged)
+        audit = kept.agg(*summary_aggregates(rows.columns, params.quality.min_confidence)).first().asDict()
+        counted = {r["label"]: r["n"] for r in label_counts(kept).collect()} if labels else {}
+        audit |= {f"label_{i}": counted.get(label, 0) for i, label in enumerate(labels)}
     names = ("n", "mean_confidence", "pct_low_confidence", "coverage", "total_entities")
     summary = {name: audit[name] for name in names if name in audit}
     if labels:
         # The contract holds, so the allowed labels are all the labels there are.
         counts = {label: audit[f"label_{i}"] for i, label in enumerate(labels) if audit[f"label_{i}"]}
         summary["label_counts"] = dict(sorted(counts.items(), key=lambda item: -item[1]))
-    return RunResult(params.domain, params.model.task, staged.path, version, summary)
+    result = RunResult(params.domain, params.model.task, staged.path, staged.version, summary, tuple(failures))
+    if profile:
+        save_profile(drift_profile(read_staged(spark, staged)), staged)
+    commit_write(spark, staged, result.metrics())
+    return result
 
 
 class DomainsFailed(Exception):

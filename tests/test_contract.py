@@ -1,6 +1,17 @@
 import pytest
-
-from glyphmill.operators.contract import ContractViolation, coerce, validate, violations
+from pyspark.sql import functions as F
+
+from glyphmill.operators.contract import (
+    ContractViolation,
+    broken_names,
+    coerce,
+    contract_rules,
+    failing_values,
+    flag_rows,
+    split_rows,
+    validate,
+    violations,
+)
 from glyphmill.params import ModelParams
 
 SENTIMENT = ModelParams(task="sentiment", model_name="m", labels=("POS", "NEU", "NEG"))
@@ -104,3 +115,70 @@ def test_contract_by_task(spark):
 def test_checks_take_one_pass(spark):
     plan = violations(spark.createDataFrame([], N_SCHEMA), NER)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Aggregate") == 1
+
+
+DAMAGED = [
+    (None, "x", "POS", 0.5),
+    ("2", None, "FELIZ", 1.5),
+    ("3", "x", None, float("nan")),
+    ("4", "x", "NEG", 1.0),
+    ("4", "x", "NEG", 1.0),
+    ("5", "x", "NEG", None),
+]
+
+
+def test_each_row_gets_the_rules_it_breaks(spark):
+    frame = spark.createDataFrame(DAMAGED, S_SCHEMA)
+    rules = contract_rules(frame, SENTIMENT)
+    flagged = flag_rows(frame, SENTIMENT).withColumn("why", broken_names(F.col("broken_rules"), rules))
+    assert "Exchange" not in flagged._jdf.queryExecution().executedPlan().toString()
+    found = [(r["id"], r["why"]) for r in flagged.collect()]
+    assert found == [
+        (None, ["id.not_null"]),
+        ("2", ["text.not_null", "confidence.in_range", "label.allowed"]),
+        ("3", ["label.not_null", "confidence.not_null"]),
+        ("4", []),
+        ("4", []),
+        ("5", ["confidence.not_null"]),
+    ]
+    # bits and counts agree
+    counts = failed(frame, SENTIMENT)
+    for i, rule in enumerate(rules):
+        bits = flagged.where(F.col("broken_rules").bitwiseAND(F.lit(1 << i)) != 0).count()
+        assert bits == counts.get((rule.column, rule.check), 0)
+
+
+def test_split_loses_no_row(spark):
+    kept, apart = split_rows(spark.createDataFrame(DAMAGED, S_SCHEMA).withColumn("extra", F.lit(1)), SENTIMENT)
+    assert (kept.count(), apart.count()) == (2, 4) and kept.columns == [*S_SCHEMA.replace(" string", "").replace(" double", "").split(", "), "extra"]
+    assert all(r["reasons"] for r in apart.collect())
+
+
+def test_missing_column_breaks_every_row(spark):
+    frame = spark.createDataFrame([("1", "x", "POS")], "id string, text string, label string")
+    kept, apart = split_rows(frame, SENTIMENT)
+    assert kept.count() == 0 and apart.first()["reasons"] == ["confidence.present"]
+    empty = frame.limit(0)
+    assert flag_rows(empty, SENTIMENT).count() == 0 and failing_values(empty, SENTIMENT).count() == 0
+
+
+def test_failing_values_are_bounded_per_rule(spark):
+    rows = [(f"{i:04}", "x", "FELIZ" if i % 3 == 0 else "POS", 2.0 if i == 500 else 0.5) for i in range(1000)]
+    frame = spark.createDataFrame(rows, S_SCHEMA).repartition(4)
+    shown = failing_values(frame, SENTIMENT, per_rule=3)
+    found = sorted((r["column"], r["check"], r["rank"], r["id"], r["value"]) for r in shown.collect())
+    assert found == [
+        ("confidence", "in_range", 1, "0500", "2.0"),
+        ("label", "allowed", 1, "0000", "FELIZ"),
+        ("label", "allowed", 2, "0003", "FELIZ"),
+        ("label", "allowed", 3, "0006", "FELIZ"),
+    ]
+    # each task drops what can't be among the first before anything is sent
+    plan = failing_values(frame, SENTIMENT)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2
+
+
+def test_failing_values_of_nested_columns(spark):
+    rows = [("1", "x", [("a", "OTRO", 0, 1, 0.5)], 1, 0.5)]
+    found = failing_values(spark.createDataFrame(rows, N_SCHEMA), NER).first()
+    assert found["check"] == "allowed_type" and '"type":"OTRO"' in found["value"]

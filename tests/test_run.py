@@ -8,7 +8,8 @@ import pytest
 from glyphmill.operators.contract import ContractViolation
 from glyphmill.plans.domains import BANKING, EDUCATION, HEALTH
 from glyphmill.plans.run import DomainsFailed, run_domain, run_domains, run_report, structure
-from glyphmill.sources.versioned import read_table, table_history
+from glyphmill.params import DomainParams, ModelParams, SourceParams, TableParams
+from glyphmill.sources.versioned import read_profile, read_quarantine, read_table, table_history, table_metrics
 
 # (line, label by the default word lists)
 OPINIONS = [("Todo ordenado, lo recomiendo", "POS"), ("Cae la ganancia, riesgo", "NEG"), ("Hoy es jueves", "NEU"), ("Baja", "NEG")]
@@ -96,3 +97,27 @@ def test_the_mode_decides_where_the_model_runs(corpus):
     for mode, python in (("hf", True), ("mock", False)):
         plan = structure(corpus(["a"]), BANKING, mode=mode)._jdf.queryExecution().executedPlan().toString()
         assert ("ArrowEvalPython" in plan) == python
+
+
+def test_rows_that_break_the_contract_can_be_set_apart(spark, tmp_path):
+    source = tmp_path / "in.parquet"
+    spark.createDataFrame([("1", "bueno"), ("2", "malo"), ("3", None)], "id string, text string").coalesce(1).write.parquet(str(source))
+    params = DomainParams(
+        "bank", SourceParams(str(source), "text", "id"), ModelParams("sentiment", "m", labels=("POS", "NEU")),
+        lakehouse=TableParams(str(tmp_path / "t")),
+    )
+    with pytest.raises(ContractViolation):
+        run_domain(spark, params, "mock", "2030-01-01")
+    result = run_domain(spark, params, "mock", "2030-01-01", quarantine=True, flag=True, profile=True)
+    assert result.failures == (("label", "allowed", 1),) and result.version == 0
+    assert result.summary["n"] == 2 and result.summary["label_counts"] == {"POS": 1, "NEU": 1}
+    kept = read_table(spark, result.path)
+    assert sorted(r["id"] for r in kept.collect()) == ["1", "3"] and "low_confidence" in kept.columns
+    assert [(r["id"], r["label"]) for r in read_quarantine(spark, result.path).collect()] == [("2", "NEG")]
+    assert read_profile(spark, result.path).agg({"n": "sum"}).first()[0] == 2
+    found = {r["metric"]: r["value"] for r in table_metrics(spark, result.path).collect()}
+    assert found == result.metrics()
+    # without a failure nothing changes
+    again = replace(params, model=ModelParams("sentiment", "m", labels=("POS", "NEU", "NEG")))
+    second = run_domain(spark, again, "mock", "2030-01-02", quarantine=True, flag=True)
+    assert second.failures == () and second.summary["n"] == 3 and read_table(spark, result.path).count() == 5

@@ -1,12 +1,27 @@
 """Versions of a table: what each shows, what a write may not do, what is left on storage."""
 
 import os
+from datetime import timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from glyphmill.params import DomainParams, ModelParams, SourceParams, TableParams
-from glyphmill.sources.versioned import commit_write, discard_write, read_table, stage_write, table_history, write_table
+from glyphmill.operators.drift import drift_profile
+from glyphmill.sources.versioned import (
+    commit_write,
+    discard_write,
+    expire_versions,
+    read_profile,
+    read_quarantine,
+    read_staged,
+    read_table,
+    save_profile,
+    stage_write,
+    table_history,
+    table_metrics,
+    write_table,
+)
 
 SCHEMA = "id string, text string, label string, confidence double"
 
@@ -136,3 +151,100 @@ def test_nested_rows(spark, table):
     frame = spark.createDataFrame([("n", [("mareo", "S", 2, 7, 0.75)], 1), ("m", [], 0)], kind)
     rows = {r["id"]: r["entities"] for r in read_table(spark, write_table(frame, table.params(), "d")).collect()}
     assert rows["m"] == [] and rows["n"][0].asDict() == {"text": "mareo", "type": "S", "start": 2, "end": 7, "score": 0.75}
+
+
+def test_a_day_can_be_replaced(spark, table):
+    one, two = "2030-05-05", "2030-05-06"
+    table.write("ab", one)
+    table.write("c", two)
+    table.write("d", one)  # a second write of the same day
+    table.write("xy", one, mode="overwrite_partition")
+    table.write("k", one, mode="overwrite_partition", domain="lake")  # the same day of another domain
+    table.write("z", two, mode="overwrite_partition")
+    table.write("e", one)
+    assert [table.show(v) for v in range(7)] == ["ab", "abc", "abcd", "cxy", "ckxy", "kxyz", "ekxyz"]
+    days = {(r["domain"], r["ingest_date"], r["id"]) for r in read_table(spark, table.path).collect()}
+    assert days == {("river", one, "x"), ("river", one, "y"), ("lake", one, "k"), ("river", two, "z"), ("river", one, "e")}
+    assert [r["mode"] for r in table_history(spark, table.path).collect()].count("overwrite_partition") == 3
+
+
+def test_a_day_can_be_replaced_whatever_the_partitioning(spark, table):
+    table.write("ab", "2030-05-05", partition_by=())
+    table.write("c", "2030-05-06", partition_by=())
+    table.write("x", "2030-05-05", partition_by=(), mode="overwrite_partition")
+    assert [table.show(v) for v in range(3)] == ["ab", "abc", "cx"]
+    with pytest.raises(ValueError, match="schema"):
+        write_table(table.rows("q").withColumn("more", F.lit(1)), table.params("overwrite_partition"), "2030-05-05")
+
+
+def test_only_data_of_kept_versions_stays(spark, table):
+    for letters, mode in (("ab", "append"), ("c", "append"), ("x", "overwrite"), ("d", "append"), ("e", "append")):
+        table.write(letters, mode=mode)
+    unfinished = stage_write(table.rows("q"), table.params(), "2030-05-05")
+    reader = read_table(spark, table.path, 3)
+    assert len(expire_versions(spark, table.path, keep_last=2)) == 2  # the unfinished write may still be going on
+    assert (table.show(3), table.show(4), table.show(2)) == ("dx", "dex", "x") and reader.count() == 2
+    for version in (0, 1):
+        with pytest.raises(ValueError, match="removed"):
+            table.show(version)
+    assert table_history(spark, table.path).count() == 5
+    assert expire_versions(spark, table.path, 2, unfinished_after=timedelta(0)) == [unfinished.write_id]
+    assert expire_versions(spark, table.path, 2, unfinished_after=timedelta(0)) == []
+    table.write("f")
+    assert table.show() == "defx"
+    with pytest.raises(ValueError, match="keep_last"):
+        expire_versions(spark, table.path, 0)
+    assert expire_versions(spark, table.path + "-none", 1) == []
+
+
+def test_replaced_days_can_be_removed(spark, table):
+    table.write("ab", "2030-05-05")
+    table.write("c", "2030-05-06")
+    table.write("x", "2030-05-05", mode="overwrite_partition")
+    assert len(expire_versions(spark, table.path, keep_last=1)) == 1
+    assert table.show() == "cx" and not any("/ab" in f for f in table.files())
+
+
+def quarantined(table, letters, bad, day="2030-05-05"):
+    mask = F.when(F.col("id").isin(list(bad)), F.lit(5)).otherwise(F.lit(0)).cast("bigint")
+    staged = stage_write(table.rows(letters), table.params(), day, mask=mask)
+    return staged, commit_write(table.spark, staged)
+
+
+def test_rows_set_apart_are_not_read(spark, table):
+    table.write("k")
+    staged, version = quarantined(table, "abc", "b")
+    assert (staged.metrics["n_rows"], staged.metrics["n_quarantined"], version) == (2, 1, 1)
+    assert table.show() == "ack" and "broken_rules" not in read_table(spark, table.path).columns
+    apart = read_quarantine(spark, table.path)
+    assert [(r["id"], r["broken_rules"], r["ingest_date"]) for r in apart.collect()] == [("b", 5, "2030-05-05")]
+    assert read_quarantine(spark, table.path, 0).count() == 0
+    quarantined(table, "de", "de")
+    quarantined(table, "f", "")
+    assert table.show() == "acfk" and read_staged(spark, staged).count() == 2
+    assert sorted(r["id"] for r in read_quarantine(spark, table.path).collect()) == ["b", "d", "e"]
+    with pytest.raises(ValueError, match="quarantine"):
+        stage_write(table.rows("a").withColumn("broken_rules", F.lit(1)), table.params(), mask=F.lit(0))
+
+
+def test_all_rows_set_apart(spark, table):
+    quarantined(table, "ab", "ab")
+    assert table.show() == "" and read_quarantine(spark, table.path).count() == 2
+    assert read_table(spark, table.path).columns == read_quarantine(spark, table.path).drop("broken_rules").columns
+
+
+def test_metrics_and_profiles_of_versions(spark, table):
+    for letters, day in (("ab", "2030-05-05"), ("xyz", "2030-05-06")):
+        staged = stage_write(table.rows(letters), table.params(), day)
+        save_profile(drift_profile(read_staged(spark, staged)), staged)
+        commit_write(spark, staged, {"n": len(letters), "odd": float("nan")})
+    found = {(r["version"], r["metric"]): r["value"] for r in table_metrics(spark, table.path).collect()}
+    assert found[0, "n"] == 2.0 and found[1, "n"] == 3.0 and found[1, "odd"] != found[1, "odd"]
+    counts = {(r["length"], r["label"]): r["n"] for r in read_profile(spark, table.path).collect()}
+    assert counts == {(6, "POS"): 2, (6, "NEU"): 3}
+    assert read_profile(spark, table.path, 0).count() == 1
+    table.write("q")
+    with pytest.raises(ValueError, match="no profile"):
+        read_profile(spark, table.path)
+    assert read_profile(spark, table.path, 1).count() == 2
+    assert table_metrics(spark, table.path).where("version = 2").count() == 0
