@@ -21,17 +21,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glyphmill.llm.columns import quoted
+from glyphmill.sources.scratch import materialize
 
 # Fixed values of the format.
 VERSION = b"WARC/1.1"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 GZIP_MAGIC = b"\x1f\x8b\x08"
 RECORD_END = b"\r\n\r\n"
-BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 # The end of a header is looked for in so many bytes first, then up to the next version line.
 _HEADER = 1 << 16
-RECORDS_PER_FILE = 20_000
+# An archive is closed once it has so many bytes.
+FILE_BYTES = 1 << 28
 _CONTROL = re.compile(rb"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]")
 _FEED = 1 << 18
 _BATCH_BYTES = 1 << 23
@@ -41,40 +42,27 @@ def sha1_base32(data: bytes) -> str:
     return base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
-def sha1_base32_column(binary: Column) -> Column:
-    """The same as a column expression: five hex digits are four base-32 digits."""
-    digest = F.sha1(binary)
-    letters = []
-    for group in range(8):
-        number = F.conv(F.substring(digest, 5 * group + 1, 5), 16, 10).cast("int")
-        for shift in (15, 10, 5, 0):
-            place = F.shiftright(number, shift).bitwiseAND(F.lit(31)) + 1
-            letters.append(F.substr(F.lit(BASE32), place, F.lit(1)))
-    return F.concat(*letters)
-
-
 def mark_revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """Add ``refers_to``: the smallest page_id with an equal payload, null for that page itself.
 
-    ``pages`` has page_id, url, payload (binary), digest. Payloads under
-    ``least_bytes`` refer to nothing, nor does a null page_id. Only ids and
-    digests are grouped; a page's payload moves once, by its own id, so that
-    many copies of one payload do not meet in a task.
+    ``pages`` has page_id, url, payload (binary). Payloads under ``least_bytes``
+    refer to nothing, nor does a null page_id. Ids and digests are stored once
+    and grouped; a page's payload moves once, by its own id, so that many
+    copies of one payload do not meet in a task. Both sides of the join by
+    digest are stored tables, so Spark splits the partition of a hot payload.
     """
-    thin = pages.select("page_id", "digest").where(F.length("payload") >= least_bytes)
-    first = (
-        thin.groupBy("digest")
-        .agg(F.min("page_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > 1)
-        .drop("_n")
-    )
+    rows = pages.withColumn("_digest", F.sha1("payload"))
+    thin = rows.where(F.length("payload") >= least_bytes).select("page_id", "_digest")
+    thin = materialize(thin, "warc-digests")
+    first = thin.groupBy("_digest").agg(F.min("page_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    first = materialize(first.where(F.col("_n") > 1).drop("_n"), "warc-firsts")
     revisits = (
-        thin.join(first, "digest")
+        thin.join(first, "_digest")
         .where(F.col("page_id") > F.col("_first"))
-        .groupBy("page_id", "digest")
+        .groupBy("page_id", "_digest")
         .agg(F.min("_first").alias("refers_to"))
     )
-    return pages.join(revisits, ["page_id", "digest"], "left")
+    return rows.join(revisits, ["page_id", "_digest"], "left").drop("_digest")
 
 
 def _field(name: str, value: str) -> str:
@@ -118,9 +106,13 @@ def write_archives(
     id_col: str = "page_id",
     least_bytes: int = 0,
     date: str = "1970-01-01T00:00:00Z",
+    file_bytes: int = FILE_BYTES,
 ) -> None:
     """Write one record per row below ``path``, gzip member by member.
 
+    An archive has at most ``file_bytes`` bytes, and one more record: a task goes
+    on in the next folder ``roll=<n>`` then.
+
     A null body is an empty payload, a null url leaves the field out, a null id
     gives an empty record id. Rows repeated with id and body are repeated
     records of the same kind. Other columns are ignored.
@@ -132,24 +124,30 @@ def write_archives(
     payload = F.coalesce(quoted(body_col).cast("string"), F.lit("")).cast("binary")
     rows = pages.select(
         quoted(id_col).cast("long").alias("page_id"), quoted(url_col).cast("string").alias("url"), payload.alias("payload")
-    ).withColumn("digest", sha1_base32_column(F.col("payload")))
+    )
     marked = mark_revisits(rows, least_bytes).select("page_id", "url", "payload", "refers_to")
 
     def serialise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        written = roll = 0
         for batch in batches:
-            values, size = [], 0
+            values, rolls, size = [], [], 0
             for row in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 values.append(member(record_bytes(*row, date))[:-1])
+                rolls.append(roll)
                 size += len(values[-1])
+                written += len(values[-1]) + 1
+                if written >= file_bytes:
+                    written, roll = 0, roll + 1
                 if size > _BATCH_BYTES:
-                    yield pa.RecordBatch.from_arrays([pa.array(values, pa.binary())], names=["value"])
-                    values, size = [], 0
-            yield pa.RecordBatch.from_arrays([pa.array(values, pa.binary())], names=["value"])
+                    yield pa.RecordBatch.from_arrays([pa.array(values, pa.binary()), pa.array(rolls, pa.int32())], names=["value", "roll"])
+                    values, rolls, size = [], [], 0
+            yield pa.RecordBatch.from_arrays([pa.array(values, pa.binary()), pa.array(rolls, pa.int32())], names=["value", "roll"])
 
     (
-        marked.mapInArrow(serialise, "value binary")
-        .select(F.col("value").cast("string"))
-        .write.options(lineSep="\x00", maxRecordsPerFile=RECORDS_PER_FILE)
+        marked.mapInArrow(serialise, "value binary, roll int")
+        .select(F.col("value").cast("string"), "roll")
+        .write.option("lineSep", "\x00")
+        .partitionBy("roll")
         .text(path)
     )
 
@@ -332,7 +330,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     read by one task, whole: archives are to be at most some hundred MB, as the
     writer makes them and as is usual. Folders without archives give no rows.
     """
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "content")
     schema = pa.schema(
         [(n, pa.string()) for n in ("kind", "file")]
         + [("start", pa.int64()), ("end", pa.int64())]

@@ -179,3 +179,27 @@ def test_salvage_inside_members_of_many_records():
 def test_salvage_finds_older_version_lines():
     parts = [r.replace(b"WARC/1.1", b"WARC/0.9", 1) for r in records(3, seed=6)]
     assert numbers(warc.salvage(parts[0] + b"garbage\n" + parts[1] + parts[2])) == [0, 1, 2]
+
+
+def test_archives_are_cut_by_bytes(spark, tmp_path):
+    rng = random.Random(5)
+    rows = [(i, f"http://a/{i}", "".join(rng.choices("abcdefgh ", k=rng.choice([10, 5000, 60_000])))) for i in range(120)]
+    back = read_back(spark, rows, tmp_path, file_bytes=20_000)
+    found = back.select(
+        warc.page_number(back["record_id"]), "payload_bytes", "payload_digest", "record_type",
+        warc.page_number(back["refers_to"]),
+    ).collect()
+    assert sorted(map(tuple, found), key=repr) == brute(rows)
+    sizes = [f.stat().st_size for f in (tmp_path / "archives").rglob("part-*")]
+    largest = max(len(warc.member(warc.record_bytes(i, url, html.encode(), None, "1970-01-01T00:00:00Z"))) for i, url, html in rows)
+    assert len(sizes) > 20 and max(sizes) <= 20_000 + largest
+
+
+def test_a_hot_payload_among_others(spark, tmp_path):
+    rows = [(i, None, None if i % 3 == 0 else f"page {i // 2}") for i in range(1500)]
+    back = read_back(spark, rows, tmp_path)
+    found = back.select(
+        warc.page_number(back["record_id"]), "payload_bytes", "payload_digest", "record_type",
+        warc.page_number(back["refers_to"]),
+    ).collect()
+    assert sorted(map(tuple, found), key=repr) == brute(rows)
