@@ -11,8 +11,10 @@ weighted shingles.
 
 A window that shares no shingle with an item has similarity 0 with it. So
 windows are laid only where document and item share a shingle, such that the
-two occurrences coincide; a fixed-size bit filter finds these places without a
-join.
+two occurrences coincide; a bit filter of the items' shingles finds these places
+without a join. A document with such places is stored once with them; places
+move by themselves, and a window is cut from its document once for each
+different start, so a row never holds more than a document or a window.
 """
 
 from __future__ import annotations
@@ -20,21 +22,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from glyphmill.functions.arrays import bind
+from glyphmill.functions.arrays import bind, running_sum
 from glyphmill.llm.columns import as_text, quoted, row_key
 from glyphmill.sources.scratch import materialize
 
 SHINGLE = 5
 SIMILARITY = 0.75
 BITS = 64
-# If a twentieth of the words differ, 6.5 bits are expected, 2.4 is a deviation. At similarity 0.75 up to a seventh
-# may differ; what then lies beyond the radius is found by prefixes.
-RADIUS = 15
+# A changed word or two stay within the radius. At similarity 0.75 up to a seventh of the words may differ; what
+# then lies beyond it is found by prefixes. Blocks of 8 bits let 3 % of unlike pairs of equal size meet.
+RADIUS = 7
 BLOCKS = RADIUS + 1
 _BLOCK_BITS = BITS // BLOCKS
-# Bits of the filter of item shingles. A larger benchmark makes it let more through, never less.
-FILTER_BITS = 1 << 19
+# Bits of the filter of item shingles: so many for each of them, within these bounds. A benchmark of over a million
+# shingles makes it let more through, never less.
+FILTER_BITS_EACH = 16
+LEAST_FILTER_BITS, MOST_FILTER_BITS = 1 << 19, 1 << 24
 _FILTER_HASHES = 3
+_FILTER_SHIFT = 20
 
 
 def word_list(text: Column) -> Column:
@@ -64,29 +69,30 @@ def _by_gram(words: Column, gram: Column, grams: list[int]) -> Column:
     return F.coalesce(*[F.when(gram == g, _shingles(words, g)) for g in grams])
 
 
-def _filter_places(h: Column) -> list[Column]:
-    bits = FILTER_BITS.bit_length() - 1
-    return [F.shiftrightunsigned(h, bits * k).bitwiseAND(F.lit(FILTER_BITS - 1)) for k in range(_FILTER_HASHES)]
+def _filter_places(h: Column, bits: int) -> list[Column]:
+    return [F.shiftrightunsigned(h, _FILTER_SHIFT * k).bitwiseAND(F.lit(bits - 1)) for k in range(_FILTER_HASHES)]
 
 
-def _bit_filter(hashes: DataFrame) -> Column:
-    """The filter as a constant: words of 64 bits, at most FILTER_BITS / 64 of them reach the driver."""
-    places = hashes.select(F.explode(F.array(*_filter_places(F.col("h")))).alias("p"))
+def _bit_filter(hashes: DataFrame) -> tuple[Column, int]:
+    """The filter as a constant, and its bits: words of 64 bits, at most MOST_FILTER_BITS / 64 of them reach the driver."""
+    wanted = FILTER_BITS_EACH * hashes.count()
+    bits = min(MOST_FILTER_BITS, max(LEAST_FILTER_BITS, 1 << max(0, wanted - 1).bit_length()))
+    places = hashes.select(F.explode(F.array(*_filter_places(F.col("h"), bits))).alias("p"))
     rows = (
         places.select((F.shiftright("p", 6)).cast("int").alias("w"), F.expr("shiftleft(1L, cast(p & 63 as int))").alias("bit"))
         .groupBy("w")
         .agg(F.bit_or("bit").alias("bit"))
         .collect()
     )
-    table = [0] * (FILTER_BITS // 64)
+    table = [0] * (bits // 64)
     for row in rows:
         table[row["w"]] = row["bit"]
-    return F.split(F.lit(",".join(map(str, table))), ",").cast("array<bigint>")
+    return F.split(F.lit(",".join(map(str, table))), ",").cast("array<bigint>"), bits
 
 
-def _in_filter(table: Column, h: Column) -> Column:
+def _in_filter(table: Column, bits: int, h: Column) -> Column:
     found = F.lit(True)
-    for place in _filter_places(h):
+    for place in _filter_places(h, bits):
         word = F.get(table, F.shiftright(place, 6).cast("int"))
         found = found & (F.getbit(word, place.bitwiseAND(F.lit(63)).cast("int")) == 1)
     return found
@@ -133,12 +139,31 @@ def _prefix(shingles: Column, similarity: float) -> Column:
     return F.array_distinct(F.slice(F.array_sort(shingles), 1, F.size(shingles) - needed + 1))
 
 
+def _told_apart(values: Column) -> Column:
+    """Elements of a hash array with equal ones numbered, so that no two are equal; linear in its length."""
+
+    def numbered(ordered: Column) -> Column:
+        new = F.transform(ordered, lambda x, i: F.when((i > 0) & (F.get(ordered, i - 1) == x), F.lit(0)).otherwise(F.lit(1)))
+
+        def count(flags: Column) -> Column:
+            firsts = F.filter(F.transform(flags, lambda f, i: F.when(f == 1, i)), lambda i: i.isNotNull())
+            return bind(
+                firsts,
+                lambda first: bind(
+                    running_sum(flags),
+                    lambda group: F.transform(ordered, lambda x, i: F.xxhash64(x, i - F.get(first, F.get(group, i) - 1))),
+                ),
+            )
+
+        return bind(new, count)
+
+    once = F.size(F.array_distinct(values)) == F.size(values)
+    return F.when(once, F.transform(values, lambda x: F.xxhash64(x, F.lit(0)))).otherwise(bind(F.array_sort(values), numbered))
+
+
 def weighted_similarity(a: Column, b: Column) -> Column:
-    """Sum of the lesser over sum of the greater multiplicities of the elements of two arrays."""
-    count = lambda values, x: F.size(F.filter(values, lambda y: y == x))
-    shared = F.aggregate(
-        F.array_intersect(a, b), F.lit(0), lambda total, x: total + F.least(count(a, x), count(b, x))
-    )
+    """Sum of the lesser over sum of the greater multiplicities of the elements of two arrays of hashes."""
+    shared = F.size(F.array_intersect(_told_apart(a), _told_apart(b)))
     return bind(shared, lambda s: s / (F.size(a) + F.size(b) - s))
 
 
@@ -159,15 +184,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     """
     items = materialize(item_table(benchmark), "items")
     grams = sorted(r["gram"] for r in items.select("gram").distinct().collect())
-    longest = items.agg(F.max("size")).first()[0] or 0
     schema = "doc_id long, k1 long, k2 long, item_id long, start int, n_words int, similarity double"
     if not grams:
         return docs.sparkSession.createDataFrame([], schema)
     placed = items.select("size", "gram", F.posexplode(_by_gram(F.col("words"), F.col("gram"), grams)).alias("at", "h"))
     anchors = materialize(placed.select("h", "at", "size").distinct(), "item-shingles")
-    table = _bit_filter(anchors.select("h").distinct())
+    table, bits = _bit_filter(anchors.select("h").distinct())
 
-    # places in the documents that may hold a shingle of an item, each with the words around it
+    # places in the documents that may hold a shingle of an item
     doc_id = quoted("doc_id").cast("long")
     text = as_text(quoted("text"))
     key = row_key(doc_id, text)
@@ -179,39 +203,33 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
                 bind(
                     _shingles(words, gram),
                     lambda hashes: F.filter(
-                        F.transform(hashes, lambda h, i: F.when(_in_filter(table, h), F.struct(i.alias("pos"), h.alias("h")))),
+                        F.transform(hashes, lambda h, i: F.when(_in_filter(table, bits, h), F.struct(i.alias("pos"), h.alias("h")))),
                         lambda place: place.isNotNull(),
                     ),
                 )
             )
-        near = F.concat(*found)
-
-        def around(place: Column) -> Column:
-            first = F.greatest(place["pos"] - F.lit(longest), F.lit(0))
-            return F.struct(
-                place["pos"].alias("pos"),
-                place["h"].alias("h"),
-                first.alias("first"),
-                F.size(words).alias("total"),
-                F.slice(words, first + 1, F.lit(2 * longest + SHINGLE)).alias("near"),
-            )
-
-        return F.transform(near, around)
+        return F.concat(*found)
 
-    hits = docs.select(
-        doc_id.alias("doc_id"), key[0].alias("k1"), key[1].alias("k2"), F.explode(bind(word_list(text), places)).alias("p")
-    ).select("doc_id", "k1", "k2", "p.*")
+    held = docs.select(
+        doc_id.alias("doc_id"),
+        key[0].alias("k1"),
+        key[1].alias("k2"),
+        F.explode(F.array(bind(word_list(text), lambda w: F.struct(w.alias("words"), places(w).alias("places"))))).alias("d"),
+    )
+    held = held.where(F.size("d.places") > 0).select("doc_id", "k1", "k2", F.size("d.words").alias("total"), "d.words", "d.places")
+    held = materialize(held, "documents-with-places")
+    hits = held.select("k1", "k2", "total", F.inline("places"))
     # the window begins where the item would, but within the document
     begin = F.greatest(F.least(F.col("pos") - F.col("at"), F.col("total") - F.col("size")), F.lit(0))
+    starts = hits.join(anchors, "h").select("k1", "k2", "size", begin.alias("start")).distinct()
+    # as many as the document has words and the benchmark sizes, at most
+    starts = starts.groupBy("k1", "k2").agg(F.collect_list(F.struct("size", "start")).alias("starts"))
+    starts = materialize(starts, "window-starts")
+    # repeated rows are one document, from each task on
+    once = held.select("doc_id", "k1", "k2", "words").dropDuplicates(["k1", "k2"]).join(starts, ["k1", "k2"])
     windows = (
-        hits.join(anchors, "h")
-        .withColumn("start", begin)
-        .select(
-            "doc_id", "k1", "k2", "size", "start",
-            F.slice("near", F.col("start") - F.col("first") + 1, F.col("size")).alias("words"),
-        )
-        .groupBy("doc_id", "k1", "k2", "size", "start")
-        .agg(F.first("words").alias("words"))
+        once.select("doc_id", "k1", "k2", "words", F.explode("starts").alias("at"))
+        .select("doc_id", "k1", "k2", "at.size", "at.start", F.slice("words", F.col("at.start") + 1, F.col("at.size")).alias("words"))
         .withColumn("w1", F.xxhash64(F.lit(1), "words"))
         .withColumn("w2", F.xxhash64(F.lit(2), "words"))
     )

@@ -129,11 +129,20 @@ def _slices(texts: list[bytes]) -> Iterator[list[np.ndarray]]:
         yield group
 
 
-SIGNATURES = "doc_id long, n long, s1 long, s2 long, sketch binary"
+SIGNATURES = "doc_id long, key long, n long, s1 long, s2 long, sketch binary"
+
+
+def row_hash(doc_id: Column, text: Column) -> Column:
+    """A hash of id and text (a long and bytes without null), as ids may clash."""
+    return F.xxhash64(F.coalesce(doc_id, F.lit(-1)), doc_id.isNull(), text)
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", "text", row_hash(F.col("doc_id"), F.col("text")).alias("key"))
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, s1, s2, sketch): size, 128-bit hash and sketch of each text's set; no sketch for an empty set."""
+    """(doc_id, key, n, s1, s2, sketch): size, 128-bit hash and sketch of each text's set; no sketch for an empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -149,16 +158,17 @@ def signatures(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         part["doc_id"],
+                        part["key"],
                         pa.array(sizes, pa.int64()),
                         pa.array(pair[:, 0].copy()),
                         pa.array(pair[:, 1].copy()),
                         pa.array(sketches, pa.binary()),
                     ],
-                    names=["doc_id", "n", "s1", "s2", "sketch"],
+                    names=["doc_id", "key", "n", "s1", "s2", "sketch"],
                 )
         _WORDS.clear()  # the worker goes on to other work
 
-    return docs.mapInArrow(run, SIGNATURES)
+    return _keyed(docs).mapInArrow(run, SIGNATURES)
 
 
 def bands(sketches: DataFrame) -> DataFrame:
@@ -242,11 +252,13 @@ class _Search:
         packed = table.tobytes()
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            known = np.frombuffer(packed, np.uint64)
+            known, done = np.frombuffer(packed, np.uint64), set()
             for batch in batches:
                 at = batch["place"].to_numpy()
                 hit = (known[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)
-                rows = np.flatnonzero(hit)
+                # repeated rows once a task
+                keys = batch["node"].to_pylist()
+                rows = [i for i in np.flatnonzero(hit).tolist() if keys[i] not in done and not done.add(keys[i])]
                 for i in range(0, len(rows), SLICE_ROWS):
                     part = batch.take(pa.array(rows[i : i + SLICE_ROWS]))
                     found = [shingle_set(lower_words(t)).tobytes() for t in part["text"].to_pylist()]
@@ -255,8 +267,8 @@ class _Search:
                     )
             _WORDS.clear()
 
-        rows = self.docs.where(F.col("doc_id").isNotNull()).select(
-            F.col("doc_id").alias("node"), F.pmod(F.xxhash64("doc_id"), F.lit(bits)).alias("place"), "text"
+        rows = _keyed(self.docs.where(F.col("doc_id").isNotNull())).withColumnRenamed("key", "node").select(
+            "node", F.pmod(F.xxhash64("node"), F.lit(bits)).alias("place"), "text"
         )
         return materialize(rows.mapInArrow(run, "node long, shingles binary"), "shingle-sets")
 
@@ -272,15 +284,16 @@ class _Search:
         )
 
 
-def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept.
+def near_duplicates(docs: DataFrame, percent: int = 75, with_key: bool = False) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, kept; with ``with_key`` also its ``row_hash``, key.
 
     Documents are linked if their shingle sets share at least ``percent`` % of
     their union; ``component_id`` is the least doc_id reachable by links and
     ``kept`` marks that document. Texts without words have an empty set and are
     linked with nothing, a null doc_id as well (its component is null, it is
-    kept). Repeated rows get equal results. Columns other than doc_id and text
-    are ignored; an empty table gives no rows.
+    kept). Repeated rows get equal results. Rows with equal doc_id and different
+    texts are documents of their own: each is linked by its own text. Columns
+    other than doc_id and text are ignored; an empty table gives no rows.
 
     How large groups stay cheap: equal sets are one node. In each bucket of
     equal band registers the most central member is compared with the others.
@@ -290,13 +303,11 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     rows = id_and_text(docs)
     signed = materialize(signatures(rows), "signatures")
     named = signed.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
-    classes = materialize(named.groupBy("s1", "s2").agg(F.min("doc_id").alias("node")), "classes")
-    sketches = (
-        named.join(classes.withColumnsRenamed({"s1": "_1", "s2": "_2"}), F.expr("s1 = _1 AND s2 = _2 AND doc_id = node"))
-        .select("node", "n", "sketch")
-        .dropDuplicates(["node"])
-    )
-    sketches = materialize(sketches, "sketches")
+    # a node is a set, known by the key of one of its rows; ids come back at the end
+    classes = named.groupBy("s1", "s2").agg(F.min("key").alias("node"), F.min("doc_id").alias("least"))
+    classes = materialize(classes.withColumnsRenamed({"s1": "_1", "s2": "_2"}), "classes")
+    sketches = named.join(classes, F.expr("s1 = _1 AND s2 = _2 AND key = node"))
+    sketches = materialize(sketches.select("node", "n", "sketch").dropDuplicates(["node"]), "sketches")
     search = _Search(rows, sketches, percent)
 
     # buckets with company, and how central each node is: how many it meets over all bands
@@ -320,15 +331,18 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
         "node", F.coalesce("_second", "component").alias("component")
     )
     label = materialize(label, "components")
+    roots = label.join(classes.select("node", "least"), "node").groupBy("component").agg(F.min("least").alias("root"))
+    rooted = label.join(materialize(roots, "roots"), "component").select(F.col("node").alias("_node"), "root")
 
-    known = signed.join(classes.withColumnsRenamed({"s1": "_1", "s2": "_2"}), F.expr("s1 = _1 AND s2 = _2 AND n > 0 AND doc_id IS NOT NULL"), "left")
-    final = known.join(label.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left")
-    component = F.coalesce("component", "node", "doc_id")
+    known = signed.join(classes, F.expr("s1 = _1 AND s2 = _2 AND n > 0 AND doc_id IS NOT NULL"), "left")
+    final = known.join(rooted, F.col("node") == F.col("_node"), "left")
+    component = F.coalesce("root", "least", "doc_id")
     return final.select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
+        *(["key"] if with_key else []),
     )
 
 

@@ -19,27 +19,47 @@ LEAST_QUALITY = 0.3
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop what the quality classifier rejects."""
+    """Drop what the quality classifier rejects.
+
+    A null text is judged as an empty one, repeated rows share their fate, without
+    labels all stay, an empty table stays empty. Columns beyond those of documents
+    are dropped.
+    """
     model = quality.fit_quality(learnable(docs), spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return docs.select(*DOCUMENT).where(quality.quality_score(model, F.col("text")) >= LEAST_QUALITY)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the lines found in ten documents or more; the documents stay, if empty."""
+    """Drop the lines found in ten documents or more; the documents stay, if empty.
+
+    A null text becomes an empty one; an empty table stays empty. Columns beyond
+    those of documents are dropped.
+    """
     short = lines.dedup_lines(docs.select(*DOCUMENT), least_docs=10, least_chars=1)
     return short.withColumn("n_chars", F.length("text").cast("long")).select(*DOCUMENT)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the least id stays."""
-    found = setsketch.near_duplicates(docs.select(*DOCUMENT))
-    # texts are in the documents only, so the thin list of ids that go is joined to them
-    gone = materialize(found.where(~F.col("kept")).select("doc_id").distinct(), "duplicates")
-    return docs.select(*DOCUMENT).join(gone, "doc_id", "left_anti").select(*DOCUMENT)
+    """Of each group of near duplicates the document with the least id stays.
+
+    Null or empty texts and null ids are in no group and stay, repeated rows share
+    their fate, rows with equal ids and different texts are judged apart, an empty
+    table stays empty. Columns beyond those of documents are dropped.
+    """
+    own = docs.select(*DOCUMENT)
+    found = setsketch.near_duplicates(own, with_key=True)
+    # texts are in the documents only, so the thin list of keys that go is joined to them
+    gone = materialize(found.where(~F.col("kept")).select("key").distinct(), "duplicates")
+    key = setsketch.row_hash(F.col("doc_id").cast("long"), as_text(F.col("text")).cast("binary"))
+    return own.join(gone, key == gone["key"], "left_anti")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents that hold a benchmark item."""
+    """Drop the documents that hold a benchmark item.
+
+    Null and empty texts hold none, repeated rows go together, without items all
+    stay, an empty table stays empty. Columns beyond those of documents are dropped.
+    """
     own = docs.select(*DOCUMENT)
     found = decontaminate.contaminated(own, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     gone = materialize(found.select("k1", "k2").distinct(), "contaminated")
@@ -48,7 +68,11 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token sequences of fixed length."""
+    """Token sequences of fixed length.
+
+    A null text is an empty one, which is its end token alone; repeated rows are
+    packed each; an empty table gives no sequence. Other columns are ignored.
+    """
     import public_tokenizers
 
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))

@@ -124,3 +124,41 @@ def test_items_changed_or_cut_at_the_edge_equal_brute_force(spark, frame_of):
     wanted = brute(pairs, items)
     assert len(wanted) >= 181 and (1000, 1000) in wanted
     assert {(r["doc_id"], r["item_id"]) for r in found} == set(wanted)
+
+
+def test_similarity_counts_repeated_elements(spark):
+    pairs = [([1, 1, 2, 3], [1, 2, 2, 3]), ([5], [5]), ([7, 7, 7], [7]), ([1, 2], [3]), (list(range(300)) * 3, list(range(200)) * 4)]
+    frame = spark.createDataFrame(pairs, "a array<bigint>, b array<bigint>")
+    found = [r[0] for r in frame.select(decontaminate.weighted_similarity(F.col("a"), F.col("b"))).collect()]
+    wanted = [sum((Counter(a) & Counter(b)).values()) / sum((Counter(a) | Counter(b)).values()) for a, b in pairs]
+    assert found == pytest.approx(wanted)
+
+
+def test_very_long_items_and_documents(spark, frame_of):
+    words = prose(77, 20_000).split()
+    changed = [w if i % 400 else "other" for i, w in enumerate(words)]
+    repeated = "la la li " * 3000
+    items = [(1, " ".join(words)), (2, prose(78, 30)), (3, repeated)]
+    pairs = [
+        (1, " ".join(words)),
+        (2, prose(79, 500) + " " + " ".join(changed) + " " + prose(80, 300)),
+        (3, " ".join(words[:10_000])),
+        (4, prose(81, 200) + " " + prose(78, 30)),
+        (5, repeated + "end"),
+    ]
+    found = decontaminate.contaminated(frame_of(pairs, partitions=2), items_frame(spark, items)).collect()
+    best = {(r["doc_id"], r["item_id"]): (r["start"], r["similarity"]) for r in found}
+    assert set(best) == {(1, 1), (2, 1), (4, 2), (5, 3)}
+    assert best[1, 1] == (0, 1.0) and best[4, 2] == (200, 1.0) and best[5, 3] == (0, 1.0)
+    exact = grams(changed, 5), grams(words, 5)
+    assert best[2, 1] == (500, pytest.approx(sum((exact[0] & exact[1]).values()) / sum((exact[0] | exact[1]).values())))
+
+
+def test_filter_grows_with_the_benchmark(spark):
+    few, many = (spark.range(n).select(F.xxhash64("id").alias("h")) for n in (100, 50_000))
+    assert decontaminate._bit_filter(few)[1] == 1 << 19
+    table, bits = decontaminate._bit_filter(many)
+    assert bits == 1 << 20
+    assert many.where(decontaminate._in_filter(table, bits, F.col("h"))).count() == 50_000
+    others = spark.range(1_000_000, 1_010_000).select(F.xxhash64("id").alias("h"))
+    assert others.where(decontaminate._in_filter(table, bits, F.col("h"))).count() < 200

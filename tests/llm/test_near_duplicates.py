@@ -95,3 +95,11 @@ def test_components_of_chains_and_stars(spark):
     assert all(found[i] == 100 for i in range(100, 162))
     assert all(found[1000 + i] == 3 for i in range(200)) and found[7] == 3
     assert components(links.limit(0)).count() == 0
+
+
+def test_clashing_ids_lose_no_link(frame_of):
+    one, two = prose(401, 100).split(), prose(402, 100).split()
+    docs = [(5, " ".join(one)), (5, " ".join(two)), (7, " ".join([*one[:50], "x", *one[51:]])), (9, " ".join([*two[:50], "x", *two[51:]]))]
+    docs += [(3, " ".join([*two[:70], "y", *two[71:]])), (5, " ".join(one)), (11, "")]
+    found = sorted((r["doc_id"], r["component_id"]) for r in setsketch.near_duplicates(frame_of(docs)).collect())
+    assert found == [(3, 3), (5, 3), (5, 5), (5, 5), (7, 5), (9, 3), (11, 11)]

@@ -15,7 +15,7 @@ def test_registered():
     found = entry_module.queries()
     assert "pipeline" in found and "pipeline" not in entry_module.oracle_sql()
     numbers = {int(name[2:].split("_")[0]) for name in found if name.startswith("op")}
-    assert numbers == set(range(1, 11))
+    assert numbers == set(range(1, 14))
     assert set(entry_module.oracle_sql()) <= set(found)
 
 
@@ -60,3 +60,12 @@ def test_stages_keep_odd_rows_defined(spark, edge_docs):
     kept = [r[0] for r in stages.drop_near_duplicates(spark, docs, SF_DIR).select("doc_id").collect()]
     assert {4, 11, 7, None} <= set(kept) and not {5, 6, 12, 9} & set(kept)
     assert stages.keep_good(spark, docs, SF_DIR).columns == list(stages.DOCUMENT)
+
+
+def test_near_duplicates_with_clashing_ids_are_judged_apart(spark, frame_of):
+    from samples import prose
+
+    one, two = prose(401, 100), prose(402, 100).split()
+    docs = frame_of([(5, one), (5, " ".join(two)), (3, " ".join([*two[:70], "y", *two[71:]])), (None, one), (6, None), (7, "")])
+    kept = [(r["doc_id"], r["text"]) for r in stages.drop_near_duplicates(spark, docs, SF_DIR).collect()]
+    assert sorted(kept, key=repr) == sorted([(5, one), (3, " ".join([*two[:70], "y", *two[71:]])), (None, one), (6, None), (7, "")], key=repr)
