@@ -217,16 +217,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
         F.explode(F.array(bind(word_list(text), lambda w: F.struct(w.alias("words"), places(w).alias("places"))))).alias("d"),
     )
     held = held.where(F.size("d.places") > 0).select("doc_id", "k1", "k2", F.size("d.words").alias("total"), "d.words", "d.places")
-    held = materialize(held, "documents-with-places")
-    hits = held.select("k1", "k2", "total", F.inline("places"))
+    held = materialize(held.withColumn("row", F.monotonically_increasing_id()), "documents-with-places")
+    hits = held.select("row", "k1", "k2", "total", F.inline("places"))
     # the window begins where the item would, but within the document
     begin = F.greatest(F.least(F.col("pos") - F.col("at"), F.col("total") - F.col("size")), F.lit(0))
-    starts = hits.join(anchors, "h").select("k1", "k2", "size", begin.alias("start")).distinct()
-    # as many as the document has words and the benchmark sizes, at most
-    starts = starts.groupBy("k1", "k2").agg(F.collect_list(F.struct("size", "start")).alias("starts"))
-    starts = materialize(starts, "window-starts")
-    # repeated rows are one document, from each task on
-    once = held.select("doc_id", "k1", "k2", "words").dropDuplicates(["k1", "k2"]).join(starts, ["k1", "k2"])
+    starts = hits.join(anchors, "h").groupBy("k1", "k2", "size", begin.alias("start")).agg(F.min("row").alias("row"))
+    # as many as the document has words and the benchmark sizes, at most; of repeated rows one is taken
+    starts = starts.groupBy("k1", "k2").agg(F.collect_list(F.struct("size", "start")).alias("starts"), F.min("row").alias("row"))
+    starts = materialize(starts.select("row", "starts"), "window-starts")
+    once = held.select("row", "doc_id", "k1", "k2", "words").join(starts, "row")
     windows = (
         once.select("doc_id", "k1", "k2", "words", F.explode("starts").alias("at"))
         .select("doc_id", "k1", "k2", "at.size", "at.start", F.slice("words", F.col("at.start") + 1, F.col("at.size")).alias("words"))

@@ -306,8 +306,10 @@ def near_duplicates(docs: DataFrame, percent: int = 75, with_key: bool = False)
     # a node is a set, known by the key of one of its rows; ids come back at the end
     classes = named.groupBy("s1", "s2").agg(F.min("key").alias("node"), F.min("doc_id").alias("least"))
     classes = materialize(classes.withColumnsRenamed({"s1": "_1", "s2": "_2"}), "classes")
-    sketches = named.join(classes, F.expr("s1 = _1 AND s2 = _2 AND key = node"))
-    sketches = materialize(sketches.select("node", "n", "sketch").dropDuplicates(["node"]), "sketches")
+    # sketches are wide, so the thin keys go to them
+    sketches = named.join(classes.select("node"), F.col("key") == F.col("node"), "left_semi")
+    sketches = sketches.select(F.col("key").alias("node"), "n", "sketch").dropDuplicates(["node"])
+    sketches = materialize(sketches, "sketches")
     search = _Search(rows, sketches, percent)
 
     # buckets with company, and how central each node is: how many it meets over all bands
