@@ -1,9 +1,14 @@
 """Compression classifier: held-out accuracy and edge cases."""
 
+import math
+
+import numpy as np
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from glyphmill.llm import quality
+from glyphmill.llm.queries import op3_quality
 
 from samples import prose
 
@@ -60,3 +65,49 @@ def test_copies_do_not_fill_the_sample(spark, frame_of):
     labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, quality int")
     model = quality.fit_quality(frame_of([(i, t) for i, t, _ in rows]), labels)
     assert model.slope > 0
+
+
+def plain_score(model, text):
+    """The score by whole compressed sizes in plain Python, block by block."""
+    sizes = []
+    for content in (model.good, model.bad):
+        dictionary = zstandard.ZstdCompressionDict(content)
+        packer = zstandard.ZstdCompressor(
+            level=quality.LEVEL, dict_data=dictionary, write_content_size=False, write_checksum=False, write_dict_id=False
+        )
+        data = (text or "").encode()
+        sizes.append(sum(len(packer.compress(data[i : i + 2048])) for i in range(0, len(data), 2048)))
+    difference = (sizes[1] - sizes[0]) / sum(sizes) if sum(sizes) else 0.0
+    return 1 / (1 + math.exp(-max(-35.0, min(35.0, model.slope * difference + model.offset))))
+
+
+def test_score_equals_plain_python(model, edge_docs):
+    found = edge_docs.select("text", quality.quality_score(model, F.col("text")).alias("s")).collect()
+    assert len(found) == edge_docs.count()
+    for row in found:
+        assert row["s"] == pytest.approx(plain_score(model, row["text"]), abs=1e-9)
+
+
+def test_calibration_equals_another_solver():
+    rng = np.random.default_rng(6)
+    x = np.concatenate([rng.normal(0.1, 0.1, 300), rng.normal(-0.05, 0.1, 100)])
+    y = np.repeat([1.0, 0.0], [300, 100])
+    weight = np.where(y == 1, 2.0, 0.5)
+    slope, offset = quality._logistic(x, y, weight)
+    scale, a, b = np.abs(x).max(), 0.0, 0.0
+    for _ in range(60_000):  # plain gradient ascent
+        p = 1 / (1 + np.exp(-(a * x / scale + b)))
+        a += 0.005 * (float((weight * (y - p) * x).sum()) / scale - 1e-2 * a)
+        b += 0.005 * (float((weight * (y - p)).sum()) - 1e-6 * b)
+    assert slope == pytest.approx(a / scale, rel=1e-3) and offset == pytest.approx(b, rel=1e-3, abs=1e-4)
+
+
+def test_held_out_accuracy_on_the_test_tables(spark):
+    sf = "/root/testdata/sf0.01"
+    truth = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality")
+    found = op3_quality(spark, sf).where("held_out").join(truth, "doc_id").select("predicted", "score", "quality").collect()
+    good, bad = ([r for r in found if r["quality"] == y] for y in (1, 0))
+    assert len(good) > 40 and len(bad) > 3
+    wins = sum((g["score"] > b["score"]) + 0.5 * (g["score"] == b["score"]) for g in good for b in bad)
+    assert wins >= 0.9 * len(good) * len(bad)
+    assert sum(r["predicted"] for r in good) >= 0.95 * len(good)
