@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 
 from glyphmill.functions.arrays import bind, running_sum, with_fixed
 from glyphmill.functions.lexicon import SPANISH_CLINICAL, EntityLexicon, term_pattern, term_score
+from glyphmill.functions.membership import KeyFilter, key_filter
 from glyphmill.functions.numeric import compensated_sum, round_exact
 from glyphmill.functions.text import WORD, filled, stable_unit, tokens
-from glyphmill.operators.joins import join_keyed
 from glyphmill.operators.schemas import ENTITY, SPAN_FIELDS
+from glyphmill.sources.scratch import materialize
 
 # Drops the rows of empty arrays. A plain explode has Spark test the array's size
 # below the projection that makes it, which makes the array a second time.
@@ -128,20 +129,30 @@ def flatten_entities(rows: DataFrame) -> DataFrame:
     return exploded.where(_ELEMENT).select("id", "ordinal", "e.*")
 
 
-def token_spans(corpus: DataFrame) -> DataFrame:
-    """One row per token occurrence: ``id, text, start, end`` (code points)."""
+def token_spans(corpus: DataFrame, likely: KeyFilter | None = None) -> DataFrame:
+    """One row per token occurrence: ``id, text, start, end`` (code points).
+
+    With a filter only tokens whose lower-case form may be a key become rows, so
+    the other tokens are never more than elements of their row's array.
+    """
     text = filled(F.col("text"))
-    spans = bind(
-        _matches_with_ends(text, f"{WORD}+", tokens(text)),
-        lambda s: F.transform(
-            s["found"],
-            lambda token, i: F.struct(
-                token.alias("text"),
-                (F.get(s["ends"], i) - F.length(token)).alias("start"),
-                F.get(s["ends"], i).alias("end"),
-            ),
-        ),
-    )
+
+    def rows(s: Column) -> Column:
+        def span(token: Column, i: Column) -> Column:
+            end = F.get(s["ends"], i)
+            return F.struct(token.alias("text"), (end - F.length(token)).alias("start"), end.alias("end"))
+
+        if likely is None:
+            return F.transform(s["found"], span)
+        hashes = F.transform(s["found"], lambda token: F.xxhash64(F.lower(token)))
+        passed = bind(hashes, lambda hs: F.transform(s["found"], lambda _, i: likely.may_hold(F.get(hs, i))))
+        spans = bind(
+            passed,
+            lambda ok: F.transform(s["found"], lambda token, i: F.when(F.get(ok, i), span(token, i))),
+        )
+        return F.filter(spans, lambda t: t.isNotNull())
+
+    spans = bind(_matches_with_ends(text, f"{WORD}+", tokens(text)), rows)
     exploded = corpus.select("id", F.posexplode_outer(spans).alias("ordinal", "t"))
     return exploded.where(_ELEMENT).select("id", "t.*")
 
@@ -158,10 +169,12 @@ def lexicon_table(terms: DataFrame) -> DataFrame:
 def join_entities(corpus: DataFrame, terms: DataFrame) -> DataFrame:
     """Entities from a lexicon held as a table: ``id, text, type, start, end, score``.
 
-    The terms, one row each, are stored when this is called. Spark broadcasts
-    them if their bytes allow it, so tokens stay where they are; otherwise tokens
-    and terms meet by shuffle and the partitions of frequent tokens are split.
+    The terms, one row each, are stored when this is called, and a bit filter of
+    them is made. It is tested inside each row's array of tokens, so only likely
+    terms become rows. Spark broadcasts the terms if their bytes allow it;
+    otherwise tokens and terms meet by shuffle and the partitions of frequent
+    terms are split.
     """
-    found = token_spans(corpus).withColumn("term", F.lower("text"))
-    joined = join_keyed(found, lexicon_table(terms), "term")
-    return joined.select("id", "text", "type", "start", "end", "score")
+    known = materialize(lexicon_table(terms), "terms")
+    found = token_spans(corpus, key_filter(known, "term")).withColumn("term", F.lower("text"))
+    return found.join(known, "term").select("id", "text", "type", "start", "end", "score")

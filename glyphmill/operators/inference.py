@@ -9,7 +9,9 @@ from collections.abc import Callable, Hashable, Iterator
 from pathlib import Path
 from typing import Any
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -53,6 +55,7 @@ def infer_batches(
     model_key: Hashable | None = None,
     setup: Callable[[], None] | None = None,
     deterministic: bool = True,
+    by_length: bool = True,
 ) -> DataFrame:
     """Structure ``text`` with a model, one output row per input row.
 
@@ -67,6 +70,11 @@ def infer_batches(
     its later tasks, without one it is called in every task. ``setup`` runs
     right before it, as often. ``deterministic=False`` keeps Spark from moving
     filters across the model.
+
+    A model pads the texts of a call to the longest. With ``by_length`` those of
+    an Arrow batch are sorted by length before they are cut into calls, and the
+    predictions are put back in order, so rows get what they would without it.
+    ``by_length=False`` is for a model that depends on the order of its texts.
     """
     schema = prediction_schema(task)
     if load is None and (model_key is not None or setup is not None):
@@ -85,12 +93,14 @@ def infer_batches(
         arrow_type = to_arrow_type(schema)
         for batch in batches:
             parts = [pa.array([], type=arrow_type)]
+            order = np.argsort(pc.utf8_length(batch), kind="stable") if by_length else np.arange(len(batch))
+            texts = batch.take(pa.array(order)) if by_length else batch
             for first in range(0, len(batch), batch_size):
-                rows = model(batch.slice(first, batch_size).to_pylist(), batch_size, max_length)
+                rows = model(texts.slice(first, batch_size).to_pylist(), batch_size, max_length)
                 if task == "ner":
                     rows = [{**row, "n_entities": len(row["entities"])} for row in rows]
                 parts.append(pa.array(rows, type=arrow_type))
-            yield pa.concat_arrays(parts)
+            yield pa.concat_arrays(parts).take(pa.array(np.argsort(order)))
 
     # PySpark reads the type hints; they are written as strings in this module.
     predict.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}

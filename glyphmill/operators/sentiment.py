@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from glyphmill.functions.arrays import bind, with_fixed
 from glyphmill.functions.lexicon import SPANISH_POLARITY, PolarityLexicon, term_pattern
+from glyphmill.functions.membership import key_filter
 from glyphmill.functions.numeric import round_exact
 from glyphmill.functions.text import filled, stable_unit, tokens
-from glyphmill.operators.joins import join_keyed
+from glyphmill.sources.scratch import materialize
 
 
 def evidence(distinct_tokens: Column, words: Iterable[str]) -> Column:
@@ -76,16 +77,19 @@ def polarity_table(terms: DataFrame) -> DataFrame:
 def join_sentiment(corpus: DataFrame, terms: DataFrame) -> DataFrame:
     """``lexicon_sentiment`` with the lexicon as a table ``(term, polarity)``, of any size.
 
-    Each row's distinct tokens are joined with the terms and counted per row; the
-    counts come back to the texts by a key made of the row's id and text, so
+    Each row's distinct tokens that a bit filter of the terms lets pass are joined
+    with the terms and counted per row; the counts come back to the texts by a key made of the row's id and text, so
     rows repeated with both share them. Rows without evidence are neutral.
     """
     prepared = corpus.withColumn("text", filled(F.col("text")))
     key = F.sha2(F.concat_ws("\x00", F.coalesce("id", F.lit("\x01")), "text"), 256)
     keyed = prepared.withColumn("_key", key)
     distinct = F.array_distinct(F.transform(tokens(F.col("text")), F.lower))
-    found = keyed.select("_key", F.explode(distinct).alias("term")).distinct()
-    counts = join_keyed(found, polarity_table(terms), "term").groupBy("_key").agg(
+    known = materialize(polarity_table(terms), "terms")
+    likely = key_filter(known, "term")
+    passed = F.filter(distinct, lambda term: bind(F.xxhash64(term), likely.may_hold))
+    found = keyed.select("_key", F.explode(passed).alias("term")).distinct()
+    counts = found.join(known, "term").groupBy("_key").agg(
         F.struct(
             F.count_if("positive").cast("int").alias("positive"), F.count_if("negative").cast("int").alias("negative")
         ).alias("_found")

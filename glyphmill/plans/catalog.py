@@ -119,6 +119,11 @@ def ingest_content_ids(spark, sf):
     return read_text(spark, SourceParams(f"{sf}/conversations.parquet", "text"), id_strategy="content")
 
 
+def ingest_position_ids(spark, sf):
+    source = SourceParams(f"{sf}/conversations.parquet", "text", partitions=PARTITIONS)
+    return read_text(spark, source, id_strategy="position")
+
+
 # --- structuring ---------------------------------------------------------------
 
 
@@ -569,6 +574,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_csv": ingest_csv,
     "ingest_generated_ids": ingest_generated_ids,
     "ingest_content_ids": ingest_content_ids,
+    "ingest_position_ids": ingest_position_ids,
     "tokenize_counts": tokenize_counts,
     "sentiment_lexicon": sentiment_lexicon,
     "sentiment_lexicon_join": sentiment_lexicon_join,

@@ -226,6 +226,8 @@ ORACLE: dict[str, str] = {
     "ingest_csv": "SELECT CAST(doc_id AS VARCHAR) AS id, text FROM documents",
     "ingest_generated_ids": "SELECT count(*) AS n_rows, count(*) AS n_ids, CAST(0 AS BIGINT) AS n_missing FROM conversations",
     "ingest_content_ids": "SELECT sha256(coalesce(text, '')) AS id, text FROM conversations",
+    "ingest_position_ids": """SELECT 'conversations.parquet:' || CAST(row_number() OVER () - 1 AS VARCHAR) AS id, text
+        FROM conversations""",
     "tokenize_counts": f"""SELECT id, CAST(len({_TOKENS}) AS INTEGER) AS n_tokens,
         CAST(len(list_distinct(list_transform({_TOKENS}, lambda t: lower(t)))) AS INTEGER) AS n_distinct FROM ({_DOCS})""",
     "sentiment_lexicon": _SENTIMENT_ROWS,

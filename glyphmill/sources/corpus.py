@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glyphmill.functions.text import filled
 from glyphmill.params import SourceParams
 
-ID_STRATEGIES = ("monotonic", "content")
+ID_STRATEGIES = ("monotonic", "content", "position")
 
 
 def read_raw(
@@ -29,12 +29,31 @@ def read_raw(
     return frame if partitions is None else frame.repartition(partitions)
 
 
+def position_id(raw_path: str) -> Column:
+    """``file:row``: the file below the source's parent folder and the row's place in it, from 0.
+
+    The scan gives both, so the ids are equal however the files are split, dealt
+    out or read, and differ for equal texts. A file whose path doesn't hold the
+    parent folder as it is written (a glob, an escaped character) is named by
+    its whole path. Rewriting or renaming files changes the ids. CSV has no row
+    places: such sources raise ``ValueError``.
+    """
+    if not raw_path.endswith(".parquet"):
+        raise ValueError(f"position ids need a Parquet source, got {raw_path}")
+    parent = raw_path.rstrip("/").rpartition("/")[0]
+    path = F.col("_metadata.file_path")
+    name = F.substring_index(path, f"{parent}/", -1) if parent else path
+    return F.concat_ws(":", name, F.col("_metadata.row_index").cast("string"))
+
+
 def normalize(frame: DataFrame, source: SourceParams, id_strategy: str = "monotonic") -> DataFrame:
     """Project any frame to ``id string, text string``.
 
     Without an id column, or if the data lacks it, ids are generated:
     ``monotonic`` ids are unique but hold for one run only, ``content`` ids are
     the SHA-256 of the text, so they are stable and equal for equal texts.
+    ``position`` ids are the file and the row's place in it (``position_id``):
+    stable and unique, for Parquet only.
     """
     if source.text_column not in frame.columns:
         raise ValueError(
@@ -47,6 +66,8 @@ def normalize(frame: DataFrame, source: SourceParams, id_strategy: str = "monoto
         row_id = F.col(f"`{source.id_column}`").cast("string")
     elif id_strategy == "content":
         row_id = F.sha2(filled(text), 256)
+    elif id_strategy == "position":
+        row_id = position_id(source.raw_path)
     else:
         row_id = F.monotonically_increasing_id().cast("string")
     return frame.select(row_id.alias("id"), text.alias("text"))

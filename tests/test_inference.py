@@ -179,3 +179,36 @@ def test_a_model_of_ones_own_runs_in_spark(corpus):
 def test_lexicon_travels_with_the_model(corpus):
     frame = infer_batches(corpus(["bueno"]), "sentiment", mode="mock", lexicon=SPANISH_POLARITY)
     assert frame.select(F.col("label")).first()["label"] == "POS"
+
+
+def test_texts_of_like_length_share_a_call_and_keep_their_rows(corpus):
+    texts = ["x" * (1 + 97 * i % 100) for i in range(200)] + [None, ""]
+
+    def load():
+        # what a padding model reports: its text's length and the length it was padded to
+        return lambda texts, size, length: [
+            {"label": str(len(t)), "confidence": float(max(map(len, texts)))} for t in texts
+        ]
+
+    frame = corpus(texts).coalesce(1)
+    padded = {}
+    for by_length in (True, False):
+        found = rows_of(infer_batches(frame, "sentiment", load=load, batch_size=16, by_length=by_length))
+        assert [row["label"] for row in found] == [str(len(t or "")) for t in texts]
+        assert [row["text"] for row in found] == [t or "" for t in texts]
+        padded[by_length] = sum(row["confidence"] for row in found) - sum(len(t or "") for t in texts)
+    assert padded[True] < padded[False] / 5
+
+
+def test_spans_are_put_back_in_order(corpus):
+    def load():
+        def tag(texts, size, length):
+            spans = [{"text": t, "type": "A", "start": 0, "end": len(t), "score": 0.5} for t in texts]
+            return [{"entities": [s] * len(s["text"]), "confidence": 0.5} for s in spans]
+
+        return tag
+
+    texts = ["ccc", "", "a", "bbbbb", "dd", None]
+    found = rows_of(infer_batches(corpus(texts), "ner", load=load, batch_size=2))
+    assert [row["n_entities"] for row in found] == [len(t or "") for t in texts]
+    assert all(e["text"] == row["text"] for row in found for e in row["entities"])

@@ -95,3 +95,32 @@ def test_csv_without_line_breaks_is_split(spark, tmp_path):
         assert whole.count() == 30_000
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_position_ids_are_stable_and_unique(spark, tmp_path):
+    path = str(tmp_path / "day" / "raw.parquet")
+    frame = spark.range(1000).selectExpr("CAST(id % 7 AS STRING) AS texto", "id % 2 AS part", "id AS n")
+    frame.repartition(3).write.partitionBy("part").parquet(path)
+    source = SourceParams(path, "texto")
+    first = pairs(read_text(spark, source, id_strategy="position"))
+    assert len(first) == 1000 and all(i.startswith("raw.parquet/part=") for i in first)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "2000b")
+        assert pairs(read_text(spark, source, id_strategy="position")) == first
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    dealt = SourceParams(path, "texto", partitions=5)
+    assert pairs(read_text(spark, dealt, id_strategy="position")) == first
+
+
+def test_position_ids_of_one_file_and_of_none(spark, tmp_path):
+    path = str(tmp_path / "a.parquet")
+    spark.createDataFrame([("x",), (None,), ("x",)], "texto string").coalesce(1).write.parquet(path)
+    one = str(next((tmp_path / "a.parquet").glob("part-*.parquet")))
+    ids = pairs(read_text(spark, SourceParams(one, "texto"), id_strategy="position"))
+    name = one.rpartition("/")[2]
+    assert ids == {f"{name}:0": "x", f"{name}:1": None, f"{name}:2": "x"}
+    csv = write(tmp_path / "a.csv", "texto\nhola\n")
+    with pytest.raises(ValueError, match="Parquet"):
+        read_text(spark, SourceParams(csv, "texto"), id_strategy="position")
