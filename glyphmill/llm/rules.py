@@ -25,21 +25,25 @@ SYMBOLS = b"#*$%&|<>"
 
 # Width of a bucket: a quantile is off by at most half of this share of its value.
 GROWTH = 1.02
-# A group with fewer documents takes the fences of its language, a small language those of all.
-LEAST_DOCS = 200
+# The wider level counts in a group's quantiles as that many documents of its own.
+PRIOR_DOCS = 50
 
 
 @dataclass(frozen=True)
 class Fence:
-    """A document is out if its value is above ``high + spread * (high - middle) + slack``.
-
-    ``middle`` and ``high`` are the group's quantiles. ``slack`` is how far any
-    document may always lie from its group, so that a group of equal documents
-    does not reject the first that differs.
+    """A document is out if its value is above ``middle + spread * deviation + slack``.
+
+    ``low``, ``middle`` and ``high`` are the group's quantiles. The deviation is
+    ``high - middle``, but at most that of the language plus the group's own
+    ``middle - low``: bad documents, as long as they are fewer than half, raise
+    the high quantile alone, and a source full of them can't lift its fence by
+    it. ``slack`` is how far any document may always lie from its group, so that
+    a group of equal documents does not reject the first that differs.
     """
 
     spread: float
     slack: float
+    low: float = 0.2
     middle: float = 0.5
     high: float = 0.8
 
@@ -161,8 +165,8 @@ def merge_sketches(cells: DataFrame, group_cols: tuple[str, ...]) -> DataFrame:
     return cells.groupBy(*group_cols, "measure", "bucket").agg(F.sum("n").alias("n"))
 
 
-def fences(cells: DataFrame, group_cols: tuple[str, ...], limits: dict[str, Fence]) -> DataFrame:
-    """Per group: its number of documents and for each measure the highest value that stays.
+def quantiles(cells: DataFrame, group_cols: tuple[str, ...], limits: dict[str, Fence]) -> DataFrame:
+    """Per group: its number of documents and for each measure a struct ``low, middle, high``.
 
     A sketch has a bounded number of buckets, so the running sums are short.
     """
@@ -171,51 +175,76 @@ def fences(cells: DataFrame, group_cols: tuple[str, ...], limits: dict[str, Fenc
     columns = [F.max("total").alias("docs")]
     for name, fence in limits.items():
         own = F.col("measure") == name
-        middle, high = (
-            bucket_value(F.min(F.when(own & (F.col("below") >= F.lit(q) * F.col("total")), F.col("bucket"))))
-            for q in (fence.middle, fence.high)
-        )
-        columns.append((high + F.lit(fence.spread) * (high - middle) + F.lit(fence.slack)).alias(f"max_{name}"))
+        parts = [
+            bucket_value(F.min(F.when(own & (F.col("below") >= F.lit(q) * F.col("total")), F.col("bucket")))).alias(level)
+            for level, q in (("low", fence.low), ("middle", fence.middle), ("high", fence.high))
+        ]
+        columns.append(F.struct(*parts).alias(name))
     return ranked.groupBy(*group_cols).agg(*columns)
 
 
+def shrunk(own: Column, wider: Column, docs: Column, prior_docs: float) -> Column:
+    """A group's quantiles moved towards the wider level's, which weigh ``prior_docs`` documents."""
+    weight = docs / (docs + F.lit(float(prior_docs)))
+    return F.struct(
+        *[
+            F.coalesce(own[q] * weight + wider[q] * (1.0 - weight), own[q], wider[q]).alias(q)
+            for q in ("low", "middle", "high")
+        ]
+    )
+
+
+def fence_value(own: Column, wider: Column, fence: Fence) -> Column:
+    """The highest value that stays in a group of these quantiles, ``wider`` being its language's."""
+    deviation = F.least(own["high"] - own["middle"], wider["high"] - wider["middle"] + own["middle"] - own["low"])
+    return own["middle"] + F.lit(fence.spread) * deviation + F.lit(fence.slack)
+
+
+def fences(cells: DataFrame, limits: dict[str, Fence], prior_docs: float) -> DataFrame:
+    """Per language and source the highest value of each measure that stays, as ``max_<measure>``.
+
+    The quantiles of a language are shrunk towards those of all documents, those
+    of a source towards its language's.
+    """
+    overall = quantiles(merge_sketches(cells, ()), (), limits).select(*[F.col(m).alias(f"all_{m}") for m in limits])
+    by_lang = quantiles(merge_sketches(cells, ("lang",)), ("lang",), limits).join(F.broadcast(overall))  # of one row
+    langs = by_lang.select(
+        F.col("lang").alias("_of"),
+        *[shrunk(F.col(m), F.col(f"all_{m}"), F.col("docs"), prior_docs).alias(f"lang_{m}") for m in limits],
+    )
+    by_source = quantiles(cells, ("lang", "source"), limits).join(langs, F.expr("lang <=> _of"))
+    own = by_source.select(
+        "lang",
+        "source",
+        *[f"lang_{m}" for m in limits],
+        *[shrunk(F.col(m), F.col(f"lang_{m}"), F.col("docs"), prior_docs).alias(m) for m in limits],
+    )
+    return own.select(
+        "lang",
+        "source",
+        *[fence_value(F.col(m), F.col(f"lang_{m}"), fence).alias(f"max_{m}") for m, fence in limits.items()],
+    )
+
+
 def adaptive_rules(
-    docs: DataFrame, limits: dict[str, Fence] | None = None, least_docs: int = LEAST_DOCS
+    docs: DataFrame, limits: dict[str, Fence] | None = None, prior_docs: float = PRIOR_DOCS
 ) -> tuple[DataFrame, DataFrame]:
     """(verdicts, fences): one row per document, and the table of fences it was judged by.
 
     ``base_failed`` holds for documents under 50 words or with over half of the
     words in repeated windows; ``kept`` is false for these, else it tells
     whether every measure lies within the fence of the document's language and
-    source. The sketches are of documents with words that pass the base rules. Groups of fewer than ``least_docs`` documents use the
-    merged sketch of their language, or of all. Repeated rows get equal verdicts
-    and count each; an empty table gives no rows.
+    source. The sketches are of documents with words that pass the base rules.
+    The fewer documents a group has, the more its fences are those of its
+    language, and a language's those of all: there is no size at which they
+    change over. Repeated rows get equal verdicts and count each; an empty table
+    gives no rows.
     """
     limits, groups = limits or FENCES, ("lang", "source")
     thin = materialize(statistics(docs, groups), "statistics")
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     cells = materialize(sketch(thin.where(~failed), groups), "sketch")
-    by_lang = merge_sketches(cells, ("lang",))
-    of_all = merge_sketches(cells, ())
-    names = [f"max_{m}" for m in limits]
-
-    def named(frame: DataFrame, level: str) -> DataFrame:
-        return frame.select(
-            *[c for c in groups if c in frame.columns],
-            F.when(F.col("docs") >= least_docs, F.struct(*names)).alias(level) if level != "all" else F.struct(*names).alias(level),
-        )
-
-    every = named(fences(cells, groups, limits), "own")
-    langs = named(fences(by_lang, ("lang",), limits), "lang_wide")
-    overall = named(fences(of_all, (), limits), "all").withColumn("one", F.lit(1))
-    chosen = (
-        every.alias("e")
-        .join(langs.alias("l"), F.expr("e.lang <=> l.lang"), "left")
-        .withColumn("one", F.lit(1))
-        .join(overall, "one", "left")
-        .select("e.lang", "e.source", F.coalesce("own", "lang_wide", "all").alias("f"))
-        .select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), "f.*")
-    )
+    chosen = fences(cells, limits, prior_docs).withColumnsRenamed({"lang": "_lang", "source": "_source"})
     # written, so that the join below sees two plain inputs: broadcast by measured size, or skewed parts split
     table = materialize(chosen, "fences")
     within = F.lit(True)

@@ -79,3 +79,51 @@ def test_sketches_merge(frame_of):
     by_source = rules.sketch(thin, ("lang", "source"))
     merged = rules.merge_sketches(by_source, ("lang",))
     assert sorted(map(tuple, merged.collect())) == sorted(map(tuple, rules.sketch(thin, ("lang",)).collect()))
+
+
+def spoilt(i, marks):
+    """A text with that many symbols after every word."""
+    return " ".join(w + "#" * marks for w in prose(i, 80).split())
+
+
+def kept_of(docs, **kw):
+    return {r["doc_id"] for r in rules.adaptive_rules(docs, **kw)[0].where("kept").collect()}
+
+
+def test_a_source_with_bad_documents_cannot_lift_its_fence(frame_of):
+    clean = [(s * 1000 + i, prose(s * 1000 + i, 80)) for s in range(4) for i in range(100)]
+    docs = frame_of([d for d in clean if d[0] < 1000], source="s0")
+    for s in range(1, 4):
+        docs = docs.unionByName(frame_of([d for d in clean if d[0] // 1000 == s], source=f"s{s}"))
+    # the spoilt source is the largest: a third of all rows, 30 % of its own bad
+    hot = [(9000 + i, spoilt(i, 3) if i % 10 < 3 else prose(9000 + i, 80)) for i in range(200)]
+    docs = docs.unionByName(frame_of(hot, source="hot"))
+    good = {i for i, _ in clean} | {9000 + i for i in range(200) if i % 10 >= 3}
+    assert kept_of(docs) == good
+
+
+def test_a_source_of_repeated_lines_has_its_own_fence(frame_of):
+    def text(i, repeated):
+        lines = [" ".join(prose(i * 40 + k, 12).split()) for k in range(12)]
+        return "\n".join(lines + lines[:1] * repeated)
+
+    verse = [(i, text(i, 3 + i % 2)) for i in range(200)]
+    plain = [(1000 + i, text(1000 + i, 0)) for i in range(200)]
+    odd = [(5000, text(5000, 6))]
+    docs = frame_of(verse, source="verse").unionByName(frame_of([*plain, *odd], source="plain"))
+    limits = {"dup_line_rate": rules.Fence(spread=3.0, slack=0.1)}
+    found = kept_of(docs, limits=limits, prior_docs=10)
+    assert found == {i for i, _ in verse} | {i for i, _ in plain}
+
+
+def test_no_group_size_changes_the_fences_over(frame_of):
+    # the language is large, so its own quantiles stay where they are
+    wide = [(10_000 + i, prose(i, 80)) for i in range(2000)]
+    tops = []
+    for size in (10, 50, 51, 199, 201, 300):
+        own = [(i, spoilt(i, 1)) for i in range(size)]
+        docs = frame_of(own, source="own").unionByName(frame_of(wide, source="wide"))
+        _, table = rules.adaptive_rules(docs)
+        tops.append(table.where("source = 'own'").first()["max_symbol_rate"])
+    assert tops == sorted(tops) and tops[0] < 0.5 < 1.0 < tops[-1]
+    assert tops[2] - tops[1] < 0.01 and tops[4] - tops[3] < 0.01
