@@ -10,7 +10,6 @@ repetitions would drown what the dictionary knows.
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,9 +24,11 @@ BLOCK_BYTES = 2048
 DICTIONARY_BYTES = 32 * 1024
 LEVEL = 3
 # The bounded sample the model is fitted on: about this many different texts of a class, each of
-# at most this many characters. Scoring has no such bound.
+# at most this many characters, those of a longer text being pieces from all over it. Scoring has no such bound.
 FIT_ROWS = 1500
 FIT_CHARS = 20_000
+# Characters of such a piece.
+PIECE_CHARS = 1000
 
 
 @dataclass(frozen=True)
@@ -92,19 +93,46 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
     return float(beta[0] / scale), float(beta[1])
 
 
+def fitting_part(text: Column, text_hash: Column, chars: Column, most: int) -> Column:
+    """The whole text, or of a text of over ``most`` characters as many in pieces.
+
+    The text is cut into as many stretches as there are pieces, and each gives
+    one, at a place that depends on the text's hash.
+    """
+    size = min(PIECE_CHARS, most)
+    n = most // size
+    stretch = F.floor(chars / F.lit(n))
+
+    def piece(i: Column) -> Column:
+        place = F.pmod(F.xxhash64(text_hash, i), stretch - F.lit(size) + F.lit(1))
+        return F.substring(text, (i * stretch + place + 1).cast("int"), F.lit(size))
+
+    pieces = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), piece)
+    return F.when(chars <= most, text).otherwise(F.array_join(pieces, ""))
+
+
 def fit_quality(
-    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality"
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    label_col: str = "quality",
+    fit_rows: int = FIT_ROWS,
+    fit_chars: int = FIT_CHARS,
 ) -> CompressionModel:
     """Fit on a bounded sample of the documents that ``labels`` names by id.
 
-    Rows with a null label, id or text take no part. Of each class
-    about ``FIT_ROWS`` texts are taken by their hash, each different text once,
-    so that copies don't fill the sample; texts over ``FIT_CHARS``
-    characters are not used for fitting. Only ids and hashes are joined; the
-    sample's texts are then picked by a broadcast of these
-    hashes. Without any row of one class, the score is a constant: 1 or 0 if
-    only the other is known, 0.5 if there are no labels.
+    Rows with a null label, id or text take no part; a text labelled more than
+    once takes part under each of its labels. Of each class about ``fit_rows``
+    texts are taken by their hash, each different text once, so that copies
+    don't fill the sample; a text of over ``fit_chars`` characters takes part
+    with as many, in pieces from all over it. Only ids and hashes are joined;
+    the sample's texts are then picked by a broadcast of these hashes. Without
+    any row of one class, the score is a constant: 1 or 0 if only the other is
+    known, 0.5 if there are no labels.
     """
+    if fit_rows < 1 or fit_chars < 1:
+        raise ValueError(f"fit_rows and fit_chars must be positive, got {fit_rows} and {fit_chars}")
     text = quoted(text_col).cast("string")
     texts = docs.where(quoted(text_col).isNotNull()).select(
         quoted(id_col).cast("long").alias("id"), F.xxhash64(text).alias("h"), F.length(text).alias("chars"), text.alias("text")
@@ -114,29 +142,25 @@ def fit_quality(
     counts = {int(r["label"]): int(r["n"]) for r in hashed.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if not counts.get(0) or not counts.get(1):
         return CompressionModel(b"", b"", 0.0, 35.0 if counts.get(1) else -35.0 if counts.get(0) else 0.0)
-    short = hashed.where(F.col("chars") <= FIT_CHARS)
     wanted = [
         r
         for value in (0, 1)
-        for r in hash_sample(short.where(F.col("label") == value), "h", FIT_ROWS).select("h", "label").distinct().collect()
+        for r in hash_sample(hashed.where(F.col("label") == value), "h", fit_rows).select("h", "label").distinct().collect()
     ]
     picked = docs.sparkSession.createDataFrame(wanted, "h long, label int")
+    part = fitting_part(F.col("text"), F.col("h"), F.col("chars"), fit_chars)
     sample = (
-        texts.where(F.col("chars") <= FIT_CHARS)
-        .select("h", "text")
-        .join(F.broadcast(picked), "h")
+        texts.join(F.broadcast(picked), "h")
+        .select("h", "label", part.alias("text"))
         .groupBy("h", "label")
         .agg(F.min("text").alias("text"))
         .collect()
     )
     sample.sort(key=lambda r: (r["h"], r["label"]))
     by_label = {v: [r["text"].encode() for r in sample if r["label"] == v] for v in (0, 1)}
-    if not by_label[0] or not by_label[1]:  # one class has long texts only
-        return CompressionModel(b"", b"", 0.0, math.log(counts[1] / counts[0]))
-    # two thirds make the dictionaries, the rest the calibration; a tiny class serves both
-    parts = {v: (texts[: 2 * len(texts) // 3], texts[2 * len(texts) // 3 :]) for v, texts in by_label.items()}
-    build = {v: a if len(a) >= 10 else by_label[v] for v, (a, b) in parts.items()}
-    check = {v: b if len(b) >= 5 else by_label[v] for v, (a, b) in parts.items()}
+    # two thirds make the dictionaries, the rest the calibration; a class of one text serves both
+    build = {v: texts[: -(-2 * len(texts) // 3)] for v, texts in by_label.items()}
+    check = {v: texts[len(build[v]) :] or texts for v, texts in by_label.items()}
     contents = {v: _dictionary(texts) for v, texts in build.items()}
     good, bad = _compressor(contents[1]), _compressor(contents[0])
     x = np.array([size_difference(t, good, bad) for v in (0, 1) for t in check[v]])

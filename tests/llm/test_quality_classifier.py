@@ -111,3 +111,38 @@ def test_held_out_accuracy_on_the_test_tables(spark):
     wins = sum((g["score"] > b["score"]) + 0.5 * (g["score"] == b["score"]) for g in good for b in bad)
     assert wins >= 0.9 * len(good) * len(bad)
     assert sum(r["predicted"] for r in good) >= 0.95 * len(good)
+
+
+def test_a_class_of_long_texts_only_teaches(spark, frame_of):
+    rows = [(i, (t + " ") * 3 if y else " ".join(u for _, u, z in texts(40) if not z)[i % 7 :], y) for i, t, y in texts(40)]
+    assert min(len(t) for _, t, y in rows if not y) > 10_000
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, quality int")
+    model = quality.fit_quality(frame_of([(i, t) for i, t, _ in rows]), labels, fit_chars=4000)
+    assert model.slope > 0 and model.good and model.bad
+    docs = frame_of([(i + 5000, t) for i, t, _ in texts(20)])
+    found = {r[0]: r[1] for r in docs.select("doc_id", quality.quality_score(model, F.col("text"))).collect()}
+    assert all((found[i + 5000] >= 0.5) == bool(y) for i, _, y in texts(20))
+
+
+def test_pieces_come_from_all_over_a_long_text(spark):
+    size = quality.PIECE_CHARS
+    text = "".join(chr(0x4E00 + i // 100) for i in range(20 * size))
+    frame = spark.createDataFrame([(text, 7), ("short é", 7), ("", 7)], "t string, h long")
+    part = quality.fitting_part(F.col("t"), F.col("h"), F.length("t"), 4 * size)
+    long, short, empty = (r[0] for r in frame.select(part).collect())
+    assert (short, empty) == ("short é", "") and len(long) == 4 * size
+    for k in range(4):
+        piece = long[k * size : (k + 1) * size]
+        at = text.index(piece)
+        assert 5 * size * k <= at and at + size <= 5 * size * (k + 1)
+
+
+def test_contradicting_and_repeated_labels(spark, frame_of):
+    rows = texts(40)
+    named = [(i, y) for i, _, y in rows] + [(0, 0), (0, 1), (1, 1), (1, 1)]
+    model = quality.fit_quality(
+        frame_of([(i, t) for i, t, _ in rows]), spark.createDataFrame(named, "doc_id long, quality int")
+    )
+    assert model.slope > 0
+    with pytest.raises(ValueError, match="fit_rows"):
+        quality.fit_quality(frame_of([]), spark.createDataFrame([], "doc_id long, quality int"), fit_rows=0)
