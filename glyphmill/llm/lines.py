@@ -112,8 +112,14 @@ class LineRuns:
         return known.where(F.col("n_docs") >= least_docs).select("h1", "h2")
 
     def anti_join(self, hashes: DataFrame, least_docs: int = 1) -> DataFrame:
-        """The rows of a batch whose line is not known, or not from that many documents."""
-        return hashes.join(self.frequent(least_docs), ["h1", "h2"], "left_anti")
+        """The rows of a batch whose line is not known, or not from that many documents.
+
+        The known lines are stored first, one row each: a plain table is
+        broadcast by its measured size, or else a skewed line is split.
+        """
+        if not any(self.levels):
+            return hashes
+        return hashes.join(materialize(self.frequent(least_docs), "known-lines"), ["h1", "h2"], "left_anti")
 
 
 def drop_lines(text: Column, hashes: Column) -> Column:
@@ -152,7 +158,9 @@ def dedup_lines(docs: DataFrame, least_docs: int = 10, least_chars: int = 1, bat
     text is one empty line and becomes an empty text; empty lines always stay. A
     row is a document: repeated rows count each. An empty table gives no rows.
 
-    The texts are read twice and shuffled once, by row; lines only as hashes. A
+    The texts are read twice and shuffled once, by row; lines only as hashes.
+    These come in ``batches``: each is anti-joined with the lines that the runs
+    know from enough documents, and the rest is added as a run of its own. A
     line in a third of all documents is one row of a run, and its many
     occurrences join as a skewed key that Spark splits, since both sides are
     plain tables.
@@ -168,7 +176,8 @@ def dedup_lines(docs: DataFrame, least_docs: int = 10, least_chars: int = 1, bat
     stored = spark.read.schema("k1 long, k2 long, h1 long, h2 long, batch int").parquet(path)
     runs = LineRuns(spark, scratch_path(spark, "line-runs"))
     for batch in range(batches):
-        runs.add(stored.where(F.col("batch") == batch).select("h1", "h2"))
+        # what the runs know from enough documents needs no further counting
+        runs.add(runs.anti_join(stored.where(F.col("batch") == batch).select("h1", "h2"), least_docs))
     frequent = materialize(runs.frequent(least_docs), "frequent-lines")
     packed = F.array_join(F.sort_array(F.collect_set("h")), "")
     doomed = (

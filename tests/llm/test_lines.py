@@ -43,6 +43,17 @@ def test_hot_lines_and_many_batches(frame_of):
     assert result(lines.dedup_lines(frame_of(pairs), 10, batches=6)) == brute(pairs, 10)
 
 
+def test_batches_leave_out_what_the_runs_know(frame_of, monkeypatch):
+    pairs = [(i, f"Common line\n{prose(i % 40, 8)}\nonly {i}") for i in range(300)]
+    added, add = [], lines.LineRuns.add
+    monkeypatch.setattr(lines.LineRuns, "add", lambda runs, batch: (added.append(batch.count()), add(runs, batch)))
+    one = result(lines.dedup_lines(frame_of(pairs), 5, batches=1))
+    assert added == [900]
+    assert result(lines.dedup_lines(frame_of(pairs), 5, batches=5)) == one == brute(pairs, 5)
+    # the common line is known after the first batch
+    assert len(added) == 6 and sum(added[1:]) < 900 - 200
+
+
 def test_no_documents(no_docs):
     assert lines.dedup_lines(no_docs).count() == 0
 
