@@ -7,11 +7,6 @@ from pyspark.sql import DataFrame, SparkSession
 from glyphmill.llm.stages import STAGES
 from glyphmill.sources.scratch import materialize
 
-# Rows of an Arrow batch between Spark and a Python worker. By Spark's default of 10,000 a batch of long
-# texts takes hundreds of MB on either side, and the stages follow each other in the same executors.
-BATCH_ROWS = 1000
-_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
-
 # The stages train models and cut by a tokenizer, which SQL can't express.
 ORACLE_SQL = None
 
@@ -19,13 +14,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply all stages to ``documents``; each one's result is written and read again.
 
-    The session's Arrow batches are limited to ``BATCH_ROWS`` rows, unless they
-    are smaller already; the setting stays, as the last stage runs when its rows
-    are asked for. Nulls, empty and very long texts, repeated rows, empty tables
-    and further columns are treated as each stage's function states.
+    Nulls, empty and very long texts, repeated rows, empty tables and further
+    columns are treated as each stage's function states.
     """
-    if not 0 < int(spark.conf.get(_BATCH_SETTING)) <= BATCH_ROWS:
-        spark.conf.set(_BATCH_SETTING, BATCH_ROWS)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
