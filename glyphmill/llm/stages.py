@@ -14,10 +14,24 @@ from glyphmill.sources.scratch import materialize
 
 DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
 
+# Rows of an Arrow batch between Spark and a Python worker. By Spark's default of 10,000 a batch of long
+# texts takes hundreds of MB on either side, and the stages follow each other in the same executors.
+BATCH_ROWS = 1000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 # Below this probability of being good a document goes.
 LEAST_QUALITY = 0.3
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Limit the session's Arrow batches to ``BATCH_ROWS`` rows, unless they are smaller already.
+
+    The setting stays, since a stage's rows are computed when they are asked for.
+    """
+    if not 0 < int(spark.conf.get(_BATCH_SETTING)) <= BATCH_ROWS:
+        spark.conf.set(_BATCH_SETTING, BATCH_ROWS)
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop what the quality classifier rejects.
 
@@ -25,6 +39,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels all stay, an empty table stays empty. Columns beyond those of documents
     are dropped.
     """
+    bound_batches(spark)
     model = quality.fit_quality(learnable(docs), spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return docs.select(*DOCUMENT).where(quality.quality_score(model, F.col("text")) >= LEAST_QUALITY)
 
@@ -35,6 +50,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     A null text becomes an empty one; an empty table stays empty. Columns beyond
     those of documents are dropped.
     """
+    bound_batches(spark)
     short = lines.dedup_lines(docs.select(*DOCUMENT), least_docs=10, least_chars=1)
     return short.withColumn("n_chars", F.length("text").cast("long")).select(*DOCUMENT)
 
@@ -46,6 +62,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     their fate, rows with equal ids and different texts are judged apart, an empty
     table stays empty. Columns beyond those of documents are dropped.
     """
+    bound_batches(spark)
     own = docs.select(*DOCUMENT)
     found = setsketch.near_duplicates(own, with_key=True)
     # texts are in the documents only, so the thin list of keys that go is joined to them
@@ -75,6 +92,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """
     import public_tokenizers
 
+    bound_batches(spark)
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
