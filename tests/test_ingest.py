@@ -1,9 +1,14 @@
 import hashlib
 
+import duckdb
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from glyphmill.operators.inference import infer_batches
 from glyphmill.params import SourceParams
+from glyphmill.plans.catalog import QUERIES
+from glyphmill.plans.oracle import ORACLE
 from glyphmill.sources.corpus import normalize, read_raw, read_text
 
 
@@ -124,3 +129,26 @@ def test_position_ids_of_one_file_and_of_none(spark, tmp_path):
     csv = write(tmp_path / "a.csv", "texto\nhola\n")
     with pytest.raises(ValueError, match="Parquet"):
         read_text(spark, SourceParams(csv, "texto"), id_strategy="position")
+
+
+def test_table_positions_run_through_all_files(spark, tmp_path):
+    path = tmp_path / "conversations.parquet"
+    path.mkdir()
+    for name, low, high in (("part-0001", 0, 900), ("part-0000", 900, 905), ("part-0010", 905, 905), ("part-0002", 905, 960)):
+        pq.write_table(pa.table({"text": [f"t{i % 7}" for i in range(low, high)]}), path / f"{name}.parquet", row_group_size=100)
+    with duckdb.connect() as connection:
+        connection.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{path}/*.parquet')")
+        wanted = dict(connection.execute(ORACLE["ingest_position_ids"]).fetchall())
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for split in (before, "500b"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+            assert pairs(QUERIES["ingest_position_ids"](spark, str(tmp_path))) == wanted
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    dealt = SourceParams(str(path), "text", partitions=5)
+    assert pairs(read_text(spark, dealt, id_strategy="table_position")) == wanted
+    assert len(wanted) == 960
+    csv = write(tmp_path / "a.csv", "texto\nhola\n")
+    with pytest.raises(ValueError, match="Parquet"):
+        read_text(spark, SourceParams(csv, "texto"), id_strategy="table_position")
