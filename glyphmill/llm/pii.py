@@ -3,31 +3,30 @@
 Exact patterns with validators give the base spans. Generators of high recall
 propose further, overlapping spans; boosted trees score each by its format and
 its surroundings, and those above a threshold calibrated per kind are added.
-No labelled table is needed: in a bounded sample of the corpus, confirmed spans
-are rewritten into forms the exact patterns miss, and the trees learn to tell
-these from harmless numbers and words in the same places.
+No labelled table is needed: in every text that may hold a candidate, confirmed
+spans are rewritten into forms the exact patterns miss, and the trees learn to
+tell these from harmless numbers and words in the same places.
 """
 
 from __future__ import annotations
 
 import random
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from glyphmill.llm.boosting import Boosted, fit_boosted
-from glyphmill.llm.columns import as_text, hash_sample, quoted, slices
+from glyphmill.llm.boosting import QUANTILES, Boosted, binned, constant, fit_boosted, fit_boosted_rows
+from glyphmill.llm.columns import as_text, quoted, slices
+from glyphmill.sources.scratch import materialize
 
 KINDS = ("email", "ip", "card", "phone")
-# The bounded sample the trees are fitted on: texts with candidates, each of at most this many characters.
-FIT_TEXTS = 3000
-FIT_CHARS = 20_000
-FIT_CANDIDATES = 40_000
 # Share of right spans among those added that the calibration asks for.
 PRECISION = 0.98
 
@@ -185,10 +184,22 @@ def span_features(text: str, span: Span) -> list[float]:
     ]
 
 
+FEATURES = tuple(f"x{i}" for i in range(26))
+# Examples sent back to Spark at a time.
+_EXAMPLE_ROWS = 20_000
+
+
 def _overlaps(a: Span, b: Span) -> bool:
     return a[1] < b[2] and b[1] < a[2]
 
 
+def _clear(spans: list[Span], others: list[Span]) -> list[Span]:
+    """The spans that overlap none of the others, found by bisection."""
+    ordered = sorted((start, end) for _, start, end in others)
+    starts, ends = [s for s, _ in ordered], list(accumulate((e for _, e in ordered), max))
+    return [c for c in spans if not (i := bisect_left(starts, c[2])) or ends[i - 1] <= c[1]]
+
+
 def _covers(span: Span, other: Span) -> bool:
     """Two spans of a kind are the same but for a few characters."""
     shared = min(span[2], other[2]) - max(span[1], other[1])
@@ -283,11 +294,11 @@ def _examples(text: str, rng: random.Random) -> Iterator[tuple[list[float], bool
     its place, once into a loose form and once into something harmless.
     """
     base = base_spans(text)
-    for span in candidates(text):
-        if not any(_overlaps(span, b) for b in base) and not _hinted(text, span):
+    for span in _clear(candidates(text), base):
+        if not _hinted(text, span):
             yield span_features(text, span), False
     gaps = [m.start() + 1 for m in re.finditer(r"\s(?=\w)", text)] or [0]
-    words = re.findall(r"[^\W\d_]+", text[:2000]) or ["a"]
+    words = re.findall(r"[^\W\d_]+", text) or ["a"]
     places = [(k, s, e, text[s:e], "") for k, s, e in base]
     for kind in range(len(KINDS)):
         at = rng.choice(gaps)
@@ -310,59 +321,115 @@ class SpanModel:
     def added(self, text: str, base: list[Span]) -> list[tuple[Span, float]]:
         """Proposals above their threshold that overlap no base span and no better proposal."""
         # text without an anchor or two digits close together has no candidate
-        found = [c for c in candidates(text) if not any(_overlaps(c, b) for b in base)]
+        found = _clear(candidates(text), base)
         if not found:
             return []
         odds = self.trees.probability(np.array([span_features(text, c) for c in found], dtype=float))
         chosen: list[tuple[Span, float]] = []
+        starts: list[int] = []  # and ends of those chosen, which don't overlap each other
+        ends: list[int] = []
         for i in sorted(range(len(found)), key=lambda i: (-odds[i], found[i])):
-            if odds[i] >= self.thresholds[found[i][0]] and not any(_overlaps(found[i], c) for c, _ in chosen):
+            kind, start, end = found[i]
+            at = bisect_left(starts, end)
+            if odds[i] >= self.thresholds[kind] and (not at or ends[at - 1] <= start):
                 chosen.append((found[i], float(odds[i])))
+                starts.insert(at, start)
+                ends.insert(at, end)
         return chosen
 
 
-def _thresholds(p: np.ndarray, y: np.ndarray, kind: np.ndarray) -> tuple[float, ...]:
+def span_examples(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The examples (see ``_examples``) of all whole texts that may hold a candidate.
+
+    Columns: the features, ``y`` (is personal data) and ``second`` (the half the
+    text belongs to, by its hash). Equal texts count once.
+    """
+    text = quoted(text_col).cast("string")
+    texts = docs.select(text.alias("text")).where(F.col("text").rlike(_MAY_HOLD))
+    schema = ", ".join(f"{name} double" for name in FEATURES) + ", y boolean, second boolean"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        x: list[list[float]] = []
+        y: list[bool] = []
+        second: list[bool] = []
+
+        def made() -> pa.RecordBatch:
+            columns = [*np.array(x, dtype=float).reshape(-1, len(FEATURES)).T, np.array(y, bool), np.array(second, bool)]
+            x.clear(), y.clear(), second.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=[*FEATURES, "y", "second"])
+
+        for batch in batches:
+            for part in slices(batch):
+                for h, own in zip(part["h"].to_pylist(), part["text"].to_pylist(), strict=True):
+                    for found, right in _examples(own, random.Random(h)):
+                        x.append(found)
+                        y.append(right)
+                        second.append(bool(h & 1))
+                        if len(y) >= _EXAMPLE_ROWS:
+                            yield made()
+        yield made()
+
+    return texts.select(F.xxhash64("text").alias("h"), "text").distinct().mapInArrow(run, schema)
+
+
+def _matrix(batch: pa.RecordBatch) -> np.ndarray:
+    return np.stack([batch[name].to_numpy() for name in FEATURES], 1)
+
+
+def _binned_rows(examples: DataFrame, cuts: list[np.ndarray]) -> DataFrame:
+    """``x binary, y boolean, n long``: equal binned examples are one row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = pa.array([row.tobytes() for row in binned(_matrix(batch), cuts)], pa.binary())
+            yield pa.RecordBatch.from_arrays([x, batch["y"]], names=["x", "y"])
+
+    return examples.mapInArrow(run, "x binary, y boolean").groupBy("x", "y").agg(F.count("*").alias("n"))
+
+
+# Scores are compared in steps of this part when thresholds are chosen, so their number has a bound.
+_STEPS = 1 << 16
+
+
+def _thresholds(examples: DataFrame, trees: Boosted) -> tuple[float, ...]:
     """Per kind the lowest score from which on the (smoothed) precision holds."""
-    chosen = []
-    for k in range(len(KINDS)):
-        own = kind == k
-        order = np.argsort(-p[own], kind="stable")
-        scores, right = p[own][order], np.cumsum(y[own][order])
-        precision = (right + 0.5) / (np.arange(1, len(scores) + 1) + 1.0)
-        last = np.append(scores[1:] != scores[:-1], True) if len(scores) else np.zeros(0, bool)
-        good = np.flatnonzero((precision >= PRECISION) & last)
-        chosen.append(float(scores[good[-1]]) if len(good) else 2.0)
-    return tuple(chosen)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = _matrix(batch)
+            step = np.floor(trees.probability(x) * _STEPS).astype(np.int64)
+            columns = [pa.array(x[:, 0].astype(np.int64)), pa.array(step), batch["y"]]
+            yield pa.RecordBatch.from_arrays(columns, names=["kind", "step", "y"])
+
+    counts = (
+        examples.mapInArrow(run, "kind long, step long, y boolean")
+        .groupBy("kind", "step")
+        .agg(F.count("*").alias("n"), F.count_if("y").alias("right"))
+    )
+    from_top = Window.partitionBy("kind").orderBy(F.desc("step"))
+    precision = (F.sum("right").over(from_top) + 0.5) / (F.sum("n").over(from_top) + 1.0)
+    good = counts.withColumn("precision", precision).where(F.col("precision") >= PRECISION)
+    lowest = {row["kind"]: row["step"] / _STEPS for row in good.groupBy("kind").agg(F.min("step").alias("step")).collect()}
+    return tuple(lowest.get(kind, 2.0) for kind in range(len(KINDS)))
 
 
 def fit_spans(docs: DataFrame, text_col: str = "text") -> SpanModel:
-    """Fit trees and thresholds on a bounded sample of the corpus.
+    """Fit trees and thresholds on all whole texts that may hold a candidate.
 
-    About ``FIT_TEXTS`` different texts that may hold a candidate, of at most
-    ``FIT_CHARS`` characters, taken by their hash; at most ``FIT_CANDIDATES``
-    examples from them (see ``_examples``). Half of the texts fit the trees, half
-    the thresholds. Without candidates nothing is ever added.
+    The examples of one half of the texts (``span_examples``) fit the trees, those
+    of the other half the thresholds; they are stored, and every level of a tree
+    is a pass over them (``fit_boosted_rows``). The driver gets sums only. Without
+    candidates nothing is ever added.
     """
-    text = quoted(text_col).cast("string")
-    eligible = (
-        docs.select(text.alias("text"))
-        .where((F.length("text") <= FIT_CHARS) & F.col("text").rlike(_MAY_HOLD))
-        .select(F.xxhash64("text").alias("h"), "text")
-    )
-    fit = hash_sample(eligible, "h", FIT_TEXTS).groupBy("h").agg(F.min("text").alias("text"))
-    rows = sorted((r["h"], r["text"]) for r in fit.collect())
-    x, y, second = [], [], []
-    for h, sample in rows:
-        for found, right in _examples(sample, random.Random(h)):
-            if len(y) < FIT_CANDIDATES:
-                x.append(found)
-                y.append(float(right))
-                second.append(bool(h & 1))
-    if not y:
-        return SpanModel(fit_boosted(np.zeros((0, 1)), np.zeros(0)), (2.0,) * len(KINDS))
-    xs, ys, other = np.array(x, dtype=float), np.array(y), np.array(second)
-    trees = fit_boosted(xs[~other], ys[~other])
-    return SpanModel(trees, _thresholds(trees.probability(xs[other]), ys[other], xs[other][:, 0]))
+    examples = materialize(span_examples(docs, text_col), "span-examples")
+    first = examples.where(~F.col("second"))
+    n, right, *points = first.agg(F.count("*"), F.count_if("y"), *(F.percentile(x, QUANTILES) for x in FEATURES)).first()
+    if n:
+        cuts = [np.unique(p) for p in points]
+        trees = fit_boosted_rows(materialize(_binned_rows(first, cuts), "span-bins"), cuts, right / n)
+    else:
+        trees = constant(0.5)
+    return SpanModel(trees, _thresholds(examples.where("second"), trees))
 
 
 SPANS = "array<struct<kind:string,start:long,end:long,base:boolean,score:double>>"

@@ -150,3 +150,46 @@ def test_obfuscated_spans_are_added_and_clean_text_is_not(model):
         text = f"{prose(5, 20)} {own} {prose(6, 9)}"
         assert pii.base_spans(text) == [] and model.added(text, []) == []
     assert all(model.added(t, pii.base_spans(t)) == [] for t in texts(50))
+
+
+def test_trees_and_thresholds_learn_from_every_whole_text(spark, frame_of):
+    import random
+
+    long = [f"{prose(i, 4000)} {t} {prose(i, 100)}" for i, t in enumerate(texts(20))]
+    assert min(map(len, long)) > 20_000
+    short = [f"item {i}, call 555 {i:04d}" for i in range(3500)]
+    rows = list(enumerate([*long, *short, *short[:50], None, "no digits"]))
+    found = pii.span_examples(frame_of(rows)).collect()
+    keyed = spark.createDataFrame([(t,) for t in {*long, *short}], "t string").select("t", F.xxhash64("t").alias("h"))
+    wanted = [(*map(float, x), y, bool(r["h"] & 1)) for r in keyed.collect() for x, y in pii._examples(r["t"], random.Random(r["h"]))]
+    assert sorted(map(tuple, found)) == sorted(wanted) and len(wanted) > 40_000 // 2
+    model = pii.fit_spans(frame_of(list(enumerate(long))))
+    assert max(model.thresholds) <= 1
+    text = f"{prose(5, 20)} bob [at] example [dot] org {prose(6, 9)}"
+    assert [text[s:e] for (_, s, e), _ in model.added(text, [])] == ["bob [at] example [dot] org"]
+
+
+def test_trees_of_a_table_are_those_of_its_rows(spark):
+    import numpy as np
+
+    from glyphmill.llm import boosting
+
+    rng = np.random.default_rng(1)
+    x = np.round(rng.normal(size=(3000, 4)), 1)
+    y = ((x[:, 0] > 0) ^ (x[:, 2] < 0.5)).astype(float)
+    own = boosting.fit_boosted(x, y, trees=4)
+    cuts = [np.unique(np.quantile(c, boosting.QUANTILES, method="lower")) for c in x.T]
+    rows = [(bytes(b), bool(t)) for b, t in zip(boosting.binned(x, cuts), y, strict=True)]
+    table = spark.createDataFrame(rows, "x binary, y boolean").groupBy("x", "y").agg(F.count("*").alias("n"))
+    given = boosting.fit_boosted_rows(table.repartition(3), cuts, y.mean(), trees=4)
+    for name in ("feature", "cut", "leaf"):
+        assert np.array_equal(getattr(own, name), getattr(given, name))
+    assert boosting.fit_boosted_rows(table, cuts, 1.0).probability(x[:3]).min() > 0.99
+
+
+def test_overlaps_are_found_among_many_spans():
+    spans = [(0, 10 * i, 10 * i + 3 + i % 9) for i in range(50)]
+    others = [(3, 30 * i + 2, 30 * i + 7 + 40 * (i % 2)) for i in range(20)]
+    assert pii._clear(spans, others) == [c for c in spans if not any(pii._overlaps(c, b) for b in others)]
+    many = "call 555 0100, " * 20_000 + "+1 555 555 0100 " * 20_000
+    assert len(pii._clear(pii.candidates(many), pii.base_spans(many))) >= 20_000
