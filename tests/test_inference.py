@@ -212,3 +212,28 @@ def test_spans_are_put_back_in_order(corpus):
     found = rows_of(infer_batches(corpus(texts), "ner", load=load, batch_size=2))
     assert [row["n_entities"] for row in found] == [len(t or "") for t in texts]
     assert all(e["text"] == row["text"] for row in found for e in row["entities"])
+
+
+def test_memory_of_a_worker_does_not_grow_with_its_rows(spark):
+    from pyspark.sql import functions as F
+
+    def load():
+        import pyarrow
+
+        def model(texts, batch_size, max_length):
+            return [{"label": "NEU", "confidence": pyarrow.total_allocated_bytes() / 1e6} for _ in texts]
+
+        return model
+
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 10_000)
+        texts = spark.range(0, 6000, 1, 1).selectExpr("string(id) AS id", "repeat('x', 10000 + int(id % 90)) AS text")
+        found = infer_batches(texts, "sentiment", load=load, batch_size=16)
+        most, rows, wrong = found.agg(
+            F.max("confidence"), F.count("*"), F.count_if(F.length("text") != 10000 + F.col("id").cast("int") % 90)
+        ).first()
+        assert rows == 6000 and wrong == 0
+        assert most < 35  # 60 MB of text in all
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
