@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -63,28 +63,32 @@ class WordTokenizer:
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _remember(self, word: bytes) -> bytes | None:
-        found = self.older.get(word)
-        if found is not None:
-            self.known[word] = found
-        return found
-
-    def _learn(self, words: list[bytes]) -> None:
-        """Enter the ids of words that are not known."""
-        parts = {}
-        simple = []
+    def _learn(self, words: Iterable[bytes]) -> None:
+        """Enter the ids of different words that are not known."""
+        known, older = self.known, self.older
+        parts, simple, cores = [], [], set()
         for word in words:
-            if self._remember(word) is not None:
+            ids = older.get(word)
+            if ids is not None:
+                known[word] = ids
                 continue
             core = word.rstrip(_PUNCTUATION)
             if len(core) < len(word) and core[-1:].isalnum() and b"<|" not in word:
-                parts[word] = (core, word[len(core) :])
+                tail = word[len(core) :]
+                parts.append((word, core, tail))
+                cores.add(core)
+                cores.add(tail)
             else:
                 simple.append(word)
-        simple += [p for p in {p for pair in parts.values() for p in pair} if p not in self.known and self._remember(p) is None]
+        for core in cores.difference(known, simple):
+            ids = older.get(core)
+            if ids is None:
+                simple.append(core)
+            else:
+                known[core] = ids
         letters, others, single = [], [], []
-        for word in dict.fromkeys(simple):
-            if _LETTERS.fullmatch(word):
+        for word in simple:
+            if word.isalpha() or _LETTERS.fullmatch(word):
                 letters.append(word)
             elif len(self.sentinel) == 1 and b"\x01" not in word and len(word) < 200:
                 others.append(word)
@@ -103,27 +107,23 @@ class WordTokenizer:
                 else:
                     cuts, after = np.flatnonzero(self.ends[array]) + 1, 0
                 packed, at = array.tobytes(), 0
-                for word, cut in zip(chunk, cuts.tolist(), strict=True):
-                    self.known[word] = packed[4 * at : 4 * cut]
-                    at = cut + after
-        for word, (core, tail) in parts.items():
-            self.known[word] = self.known[core] + self.known[tail]
+                for word, cut in zip(chunk, (4 * cuts).tolist(), strict=True):
+                    known[word] = packed[at:cut]
+                    at = cut + 4 * after
+        for word, core, tail in parts:
+            known[word] = known[core] + known[tail]
 
     def batch(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text."""
         if len(self.known) > REMEMBERED:  # keep the words of late, which hold the common ones
             self.older, self.known = self.known, {}
         split = [self._words(text) for text in texts]
-        found = [list(map(self.known.get, words)) for words in split]
-        missing: set[bytes] = set()
-        gaps = [i for i, ids in enumerate(found) if None in ids]
-        for i in gaps:
-            missing.update(w for w, ids in zip(split[i], found[i], strict=True) if ids is None)
+        # each different word is looked up once, so a text's words are then all there
+        missing = [word for word in set().union(*split) if word not in self.known]
         if missing:
-            self._learn(sorted(missing))
-        for i in gaps:
-            found[i] = [self.known[w] if ids is None else ids for w, ids in zip(split[i], found[i], strict=True)]
-        return [b"".join(ids) for ids in found]
+            self._learn(missing)
+        ids = self.known.__getitem__
+        return [b"".join(map(ids, words)) for words in split]
 
     @staticmethod
     def _words(text: bytes) -> list[bytes]:

@@ -80,3 +80,25 @@ def test_classes_hold_a_fixed_count():
         full.setdefault(row[5], []).append(row[2])
     assert {tuple(v) for v in full.values() if v[0] == 33} == {(33, 33, 33)}
     assert all(s >> 40 == 3 for s in full)
+
+
+def test_a_different_word_is_searched_once():
+    searched = []
+
+    class Counted(dict):
+        def get(self, word, *default):
+            searched.append(word)
+            return super().get(word, *default)
+
+        def __contains__(self, word):
+            searched.append(word)
+            return super().__contains__(word)
+
+    tokenizer, own = Tokenizer.from_file(PATH), packing.WordTokenizer(PATH)
+    own.known, own.older = Counted(), {b"again": np.array(ids_of(tokenizer, "again")[:-1], "<u4").tobytes()}
+    texts = ["once again, once more; again more. ábc! once!!!"] * 200
+    for _ in range(2):
+        searched.clear()
+        for ids in own.batch([t.encode() for t in texts]):
+            assert np.frombuffer(ids, "<u4").tolist() == ids_of(tokenizer, texts[0])[:-1]
+        assert len(searched) <= 2 * len(set(texts[0].split()))
