@@ -30,14 +30,14 @@ def components(links: DataFrame) -> DataFrame:
     and each round is written to the shared folder.
     """
     edges = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct()
-    edges = materialize(edges, "edges")
+    edges = materialize(edges, "edges", thin=True)
     seen = _summary(edges)
     while seen[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _with_least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         down = large.where("u <> v").distinct()
         small = _with_least(down).select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
-        edges = materialize(small.where("u <> v").distinct(), "edges")
+        edges = materialize(small.where("u <> v").distinct(), "edges", thin=True)
         now = _summary(edges)
         if now == seen:
             break

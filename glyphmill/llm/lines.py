@@ -119,7 +119,7 @@ class LineRuns:
         """
         if not any(self.levels):
             return hashes
-        return hashes.join(materialize(self.frequent(least_docs), "known-lines"), ["h1", "h2"], "left_anti")
+        return hashes.join(materialize(self.frequent(least_docs), "known-lines", thin=True), ["h1", "h2"], "left_anti")
 
 
 def drop_lines(text: Column, hashes: Column) -> Column:
@@ -178,7 +178,7 @@ def dedup_lines(docs: DataFrame, least_docs: int = 10, least_chars: int = 1, bat
     for batch in range(batches):
         # what the runs know from enough documents needs no further counting
         runs.add(runs.anti_join(stored.where(F.col("batch") == batch).select("h1", "h2"), least_docs))
-    frequent = materialize(runs.frequent(least_docs), "frequent-lines")
+    frequent = materialize(runs.frequent(least_docs), "frequent-lines", thin=True)
     packed = F.array_join(F.sort_array(F.collect_set("h")), "")
     doomed = (
         stored.join(frequent, ["h1", "h2"])

@@ -147,7 +147,9 @@ def fit_quality(
         for value in (0, 1)
         for r in hash_sample(hashed.where(F.col("label") == value), "h", fit_rows).select("h", "label").distinct().collect()
     ]
-    picked = docs.sparkSession.createDataFrame(wanted, "h long, label int")
+    # an Arrow table needs no Python worker; a list of rows would start some of another kind, which stay
+    columns = [pa.array([r[c] for r in wanted], kind) for c, kind in (("h", pa.int64()), ("label", pa.int32()))]
+    picked = docs.sparkSession.createDataFrame(pa.table(columns, names=["h", "label"]))
     part = fitting_part(F.col("text"), F.col("h"), F.col("chars"), fit_chars)
     sample = (
         texts.join(F.broadcast(picked), "h")

@@ -305,7 +305,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, with_key: bool = False)
     named = signed.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
     # a node is a set, known by the key of one of its rows; ids come back at the end
     classes = named.groupBy("s1", "s2").agg(F.min("key").alias("node"), F.min("doc_id").alias("least"))
-    classes = materialize(classes.withColumnsRenamed({"s1": "_1", "s2": "_2"}), "classes")
+    classes = materialize(classes.withColumnsRenamed({"s1": "_1", "s2": "_2"}), "classes", thin=True)
     # sketches are wide, so the thin keys go to them
     sketches = named.join(classes.select("node"), F.col("key") == F.col("node"), "left_semi")
     sketches = sketches.select(F.col("key").alias("node"), "n", "sketch").dropDuplicates(["node"])
@@ -315,26 +315,26 @@ def near_duplicates(docs: DataFrame, percent: int = 75, with_key: bool = False)
     # buckets with company, and how central each node is: how many it meets over all bands
     placed = bands(sketches)
     sizes = placed.groupBy("band", "key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    shared = materialize(placed.join(sizes, ["band", "key"]), "shared-buckets")
-    central = materialize(shared.groupBy("node").agg(F.sum("size").alias("met")), "central")
+    shared = materialize(placed.join(sizes, ["band", "key"]), "shared-buckets", thin=True)
+    central = materialize(shared.groupBy("node").agg(F.sum("size").alias("met")), "central", thin=True)
     members = materialize(
-        shared.join(central, "node").select("band", "key", "node", "n", "met"), "bucket-members"
+        shared.join(central, "node").select("band", "key", "node", "n", "met"), "bucket-members", thin=True
     )
 
-    links = materialize(_star(search, members), "links")
-    first = materialize(components(links), "components")
-    open_nodes = materialize(_unsettled(members, first), "unsettled-nodes")
+    links = materialize(_star(search, members), "links", thin=True)
+    first = materialize(components(links), "components", thin=True)
+    open_nodes = materialize(_unsettled(members, first), "unsettled-nodes", thin=True)
     more = _between_components(search, open_nodes)
-    joined = components(materialize(more, "links"))
+    joined = components(materialize(more, "links", thin=True))
     # what belongs together beyond the first components
     joined = joined.select(F.col("node").alias("_first"), F.col("component").alias("_second"))
     both = first.unionByName(joined.select(F.col("_first").alias("node"), F.col("_first").alias("component")))
     label = both.distinct().join(joined, F.col("component") == F.col("_first"), "left").select(
         "node", F.coalesce("_second", "component").alias("component")
     )
-    label = materialize(label, "components")
+    label = materialize(label, "components", thin=True)
     roots = label.join(classes.select("node", "least"), "node").groupBy("component").agg(F.min("least").alias("root"))
-    rooted = label.join(materialize(roots, "roots"), "component").select(F.col("node").alias("_node"), "root")
+    rooted = label.join(materialize(roots, "roots", thin=True), "component").select(F.col("node").alias("_node"), "root")
 
     known = signed.join(classes, F.expr("s1 = _1 AND s2 = _2 AND n > 0 AND doc_id IS NOT NULL"), "left")
     final = known.join(rooted, F.col("node") == F.col("_node"), "left")
@@ -352,7 +352,7 @@ def _star(search: _Search, members: DataFrame) -> DataFrame:
     """Compare each bucket's members with its most central one (of these, the one with the least id)."""
     hubs = members.groupBy("band", "key").agg(F.max(F.struct("met", (-F.col("node")).alias("minus"), "n")).alias("hub"))
     hubs = materialize(
-        hubs.select("band", "key", (-F.col("hub.minus")).alias("b"), F.col("hub.n").alias("n_hub")), "hubs"
+        hubs.select("band", "key", (-F.col("hub.minus")).alias("b"), F.col("hub.n").alias("n_hub")), "hubs", thin=True
     )
     pairs = members.join(hubs, ["band", "key"]).where(F.col("node") != F.col("b"))
     pairs = pairs.where(_sizes_allow(search.percent, "n", "n_hub"))
@@ -367,9 +367,9 @@ def _unsettled(members: DataFrame, label: DataFrame) -> DataFrame:
     tagged = members.join(named, F.col("node") == F.col("_node"), "left").select(
         "band", "key", "node", "n", F.coalesce("component", "node").alias("label")
     )
-    tagged = materialize(tagged, "labelled-members")
+    tagged = materialize(tagged, "labelled-members", thin=True)
     mixed = tagged.groupBy("band", "key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
-    mixed = materialize(mixed.select("band", "key"), "mixed-buckets")
+    mixed = materialize(mixed.select("band", "key"), "mixed-buckets", thin=True)
     return tagged.join(mixed, ["band", "key"]).select("node", "n", "label").distinct()
 
 
@@ -418,9 +418,9 @@ def _between_components(search: _Search, nodes: DataFrame) -> DataFrame:
     head = own.select("node", "n", "label", "shingles").mapInArrow(
         heads, "node long, n long, label long, place long, shingle long"
     )
-    head = materialize(head, "first-shingles")
+    head = materialize(head, "first-shingles", thin=True)
     spans = head.groupBy("shingle").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
-    met = materialize(head.join(materialize(spans.select("shingle"), "met-shingles"), "shingle"), "met-first-shingles")
+    met = materialize(head.join(materialize(spans.select("shingle"), "met-shingles", thin=True), "shingle"), "met-first-shingles", thin=True)
     left, right = (met.select("shingle", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "label", "place")]) for x in "ab")
     # at the first shingle two alike sets share, what comes after it must suffice
     rest = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
@@ -439,4 +439,4 @@ def _sizes_allow(percent: int, a: str, b: str) -> Column:
 
 def _likely_pairs(search: _Search, pairs: DataFrame) -> DataFrame:
     ordered = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    return materialize(search.likely(ordered), "candidates")
+    return materialize(search.likely(ordered), "candidates", thin=True)

@@ -146,3 +146,12 @@ def test_contradicting_and_repeated_labels(spark, frame_of):
     assert model.slope > 0
     with pytest.raises(ValueError, match="fit_rows"):
         quality.fit_quality(frame_of([]), spark.createDataFrame([], "doc_id long, quality int"), fit_rows=0)
+
+
+def test_fitting_starts_no_workers_for_rows_of_python(spark, frame_of, monkeypatch):
+    from pyspark import SparkContext
+
+    docs = frame_of([(i, prose(i, 80) + (" good fine" if i % 2 else " bad poor") * 5) for i in range(40)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    monkeypatch.setattr(SparkContext, "parallelize", lambda *a, **b: pytest.fail("rows made by Python workers"))
+    assert quality.fit_quality(docs, labels).good

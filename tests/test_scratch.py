@@ -4,6 +4,7 @@ from pathlib import Path
 
 import pytest
 
+from glyphmill.sources import scratch
 from glyphmill.sources.scratch import clean_scratch, materialize, scratch_path, scratch_root
 
 
@@ -42,3 +43,12 @@ def test_files_of_the_application_can_be_removed(spark):
     assert frame.count() == 5 and folder.is_dir()
     clean_scratch(spark)
     assert not folder.exists() and materialize(spark.range(3), "again").count() == 3
+
+
+def test_a_thin_table_is_written_by_few_tasks(spark):
+    many = spark.range(500).repartition(200)
+    stored = materialize(many, "thin", thin=True)
+    folder = Path(stored.inputFiles()[0].removeprefix("file://")).parent
+    most = scratch.THIN_TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    assert len(list(folder.glob("part-*"))) <= most < 200
+    assert sorted(r[0] for r in stored.collect()) == list(range(500))
