@@ -11,9 +11,12 @@ into powers of two, which need no padding.
 
 from __future__ import annotations
 
+import json
 import os
 import re
-from collections.abc import Iterable, Iterator
+import string
+from collections.abc import Iterator
+from typing import TYPE_CHECKING
 
 import numpy as np
 import pyarrow as pa
@@ -22,10 +25,15 @@ from pyspark.sql import DataFrame
 
 from glyphmill.llm.columns import id_and_text, slices
 
+if TYPE_CHECKING:
+    from tokenizers import Tokenizer
+
 CAPACITY = 4096
 CLASSES = 64
 # Word forms whose ids a worker remembers, and as many older ones.
 REMEMBERED = 120_000
+# Chunks of words tokenised at a time: of each token more than its id is held until then.
+_CHUNKS = 16
 # Tokens per batch of pieces sent back to Spark.
 _BATCH_TOKENS = 1 << 20
 
@@ -34,8 +42,13 @@ PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, seq
 
 # Latin letters only: such a word is one token run, and its last id marks its end.
 _LETTERS = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
-_PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+# Kinds of bytes: 1 an ASCII letter or digit, 2 punctuation, 3 white space.
+_KINDS = np.zeros(256, np.uint8)
+for _kind, _bytes in ((1, string.ascii_letters + string.digits), (2, string.punctuation), (3, string.whitespace)):
+    _KINDS[list(_bytes.encode())] = _kind
 _END_OF_WORD = "</w>"
+# Steps of a tokenizer before its model that leave words of ``_LETTERS`` whole, lower-cased and else as they are.
+_KEEPING_STEPS = {"NFC", "Replace", "Lowercase"}, {"Split", "ByteLevel"}
 
 
 class WordTokenizer:
@@ -44,7 +57,8 @@ class WordTokenizer:
     The tokenizer treats white space as a border and drops it, so a text's ids
     are its words' ids in a row, and words that come again are looked up. A word
     that ends in punctuation after an ASCII letter or digit is its two parts in a
-    row. Words not seen before are tokenised many together: those of letters
+    row; they are set apart in the text before it is cut into words, so that a
+    word is learned and kept once, whatever follows it. Words not seen before are tokenised many together: those of letters
     are told apart by the ids that end a word, others by a sentinel.
     """
 
@@ -56,38 +70,45 @@ class WordTokenizer:
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
         self.sentinel = self._encode(["\x01"])[0]
+        self.letters = self._of_letters()
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(_END_OF_WORD)]] = True
 
-    def _encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, words: Iterable[bytes]) -> None:
+    def _of_letters(self) -> Tokenizer:
+        """A tokenizer around the same model for words of ``_LETTERS`` between blanks.
+
+        Most words to learn are such, and the patterns that find words in any
+        text cost more than the model. Where the steps are others than known,
+        or give other ids, it is the tokenizer itself.
+        """
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+        plain = Tokenizer(self.tokenizer.model)
+        plain.normalizer = normalizers.Lowercase()
+        byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), byte_level])
+        steps = (self.tokenizer.normalizer, "normalizers"), (self.tokenizer.pre_tokenizer, "pretokenizers")
+        for (step, name), keeping in zip(steps, _KEEPING_STEPS, strict=True):
+            own = json.loads(step.__getstate__()) if step else {}
+            if not {part["type"] for part in own.get(name, [own])} <= keeping:
+                return self.tokenizer
+        samples = ["the Word of Élan grüßt ÀÖØÞ ñandú s t re ve m ll d xqzvkjw"]
+        same = plain.encode_batch_fast(samples, add_special_tokens=False)[0].ids == self._encode(samples)[0]
+        return plain if same else self.tokenizer
+
+    def _encode(self, texts: list[str], tokenizer: Tokenizer | None = None) -> list[list[int]]:
+        return [e.ids for e in (tokenizer or self.tokenizer).encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, words: list[bytes]) -> None:
         """Enter the ids of different words that are not known."""
         known, older = self.known, self.older
-        parts, simple, cores = [], [], set()
-        for word in words:
-            ids = older.get(word)
-            if ids is not None:
-                known[word] = ids
-                continue
-            core = word.rstrip(_PUNCTUATION)
-            if len(core) < len(word) and core[-1:].isalnum() and b"<|" not in word:
-                tail = word[len(core) :]
-                parts.append((word, core, tail))
-                cores.add(core)
-                cores.add(tail)
-            else:
-                simple.append(word)
-        for core in cores.difference(known, simple):
-            ids = older.get(core)
-            if ids is None:
-                simple.append(core)
-            else:
-                known[core] = ids
+        again = [word for word in words if word in older]
+        if again:
+            known.update(zip(again, map(older.__getitem__, again), strict=True))
+            words = [word for word in words if word not in older]
         letters, others, single = [], [], []
-        for word in simple:
+        for word in words:
             if word.isalpha() or _LETTERS.fullmatch(word):
                 letters.append(word)
             elif len(self.sentinel) == 1 and b"\x01" not in word and len(word) < 200:
@@ -97,8 +118,13 @@ class WordTokenizer:
         for group, joint, marked in ((letters, b" ", False), (others, b" \x01 ", True), (single, b"", False)):
             size = 1 if group is single else 400
             chunks = [group[i : i + size] for i in range(0, len(group), size)]
-            found = self._encode([joint.join(chunk).decode("utf-8", "replace") for chunk in chunks])
-            for chunk, ids in zip(chunks, found, strict=True):
+            tokenizer = self.letters if group is letters else None
+            encoded = (
+                ids
+                for i in range(0, len(chunks), _CHUNKS)
+                for ids in self._encode([joint.join(c).decode("utf-8", "replace") for c in chunks[i : i + _CHUNKS]], tokenizer)
+            )
+            for chunk, ids in zip(chunks, encoded, strict=True):
                 array = np.array(ids, "<u4")
                 if size == 1:
                     cuts, after = np.array([len(array)]), 0
@@ -106,18 +132,15 @@ class WordTokenizer:
                     cuts, after = np.append(np.flatnonzero(array == self.sentinel[0]), len(array)), 1
                 else:
                     cuts, after = np.flatnonzero(self.ends[array]) + 1, 0
-                packed, at = array.tobytes(), 0
-                for word, cut in zip(chunk, (4 * cuts).tolist(), strict=True):
-                    known[word] = packed[at:cut]
-                    at = cut + 4 * after
-        for word, core, tail in parts:
-            known[word] = known[core] + known[tail]
+                cuts = (4 * cuts).tolist()
+                places = map(slice, [0, *(cut + 4 * after for cut in cuts[:-1])], cuts)
+                known.update(zip(chunk, map(array.tobytes().__getitem__, places), strict=True))
 
     def batch(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text."""
         if len(self.known) > REMEMBERED:  # keep the words of late, which hold the common ones
             self.older, self.known = self.known, {}
-        split = [self._words(text) for text in texts]
+        split = self._split(texts)
         # each different word is looked up once, so a text's words are then all there
         missing = [word for word in set().union(*split) if word not in self.known]
         if missing:
@@ -126,12 +149,23 @@ class WordTokenizer:
         return [b"".join(map(ids, words)) for words in split]
 
     @staticmethod
-    def _words(text: bytes) -> list[bytes]:
+    def _split(texts: list[bytes]) -> list[list[bytes]]:
+        """The words of each text, lower-cased, punctuation that ends a word after a letter or digit apart."""
         # A-Z are lower-cased by the tokenizer as well; doing it first merges word forms. Not where a
         # special token could appear by it, or a combining mark (U+0300 to U+037F) be joined to the letter.
-        if b"<|" in text or b"\xcc" in text or b"\xcd" in text:
-            return text.split()
-        return text.lower().split()
+        plain = [i for i, t in enumerate(texts) if not (b"<|" in t or b"\xcc" in t or b"\xcd" in t or b"\0" in t)]
+        joined = b"\n" + b"\n\0\n".join([texts[i] for i in plain]).lower() + b"\n"
+        codes = np.frombuffer(joined, np.uint8)
+        kinds = _KINDS[codes]
+        marks = kinds == 2
+        edges = np.flatnonzero(marks[1:] != marks[:-1])
+        before, last = edges[::2], edges[1::2]  # of each run of punctuation
+        at = before[(kinds[before] == 1) & (kinds[last + 1] == 3)] + 1
+        apart = np.insert(codes, at, ord(" ")).tobytes().split(b"\0")
+        out = [text.split() for text in texts] if len(plain) < len(texts) else [[]] * len(texts)
+        for i, text in zip(plain, apart):
+            out[i] = text.split()
+        return out
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
