@@ -137,3 +137,69 @@ def test_sums_of_runs_take_two_columns_at_once(monkeypatch):
     weights, seen = np.zeros((maxent.FEATURE_ROWS, maxent.CLASSES), np.float32), np.zeros(maxent.FEATURE_ROWS, np.float32)
     maxent._step(weights, seen, np.arange(100).reshape(2, 50) // 3, error, 0.1)
     assert summed == [maxent.CLASSES // 2] * 2
+
+
+def word_table(spark, kinds):
+    return spark.createDataFrame([(w.encode(), c) for w, c in kinds.items()], "word binary, c long")
+
+
+def place_of(vocabulary, word):
+    number = vocabulary.index[word.encode()]
+    return int(vocabulary.trees.first[vocabulary.group[number]] + vocabulary.rank[number])
+
+
+def test_every_word_has_its_own_leaf_and_context(spark):
+    kinds = {f"w{i}ab": 3 + 5000 // (i + 1) for i in range(5000)} | {f"v{i}cd": 1 for i in range(300)} | {"": 7}
+    vocabulary = maxent.build_vocabulary(word_table(spark, kinds))
+    numbers = np.array([vocabulary.index[w.encode()] for w in kinds])
+    assert len(set(numbers.tolist())) == len(kinds) == len(set(vocabulary.unit[numbers].tolist()))
+    leaves = set()
+    for number in numbers.tolist():
+        start = vocabulary.path_start[number]
+        path = slice(start, start + vocabulary.path_length[number])
+        leaves.add((int(vocabulary.node[vocabulary.path_node[path]][-1]), int(vocabulary.path_branch[path][-1])))
+    assert len(leaves) == len(kinds)
+    # the commoner a word, the nearer to the root
+    assert vocabulary.path_length[numbers[0]] < vocabulary.path_length[numbers[4999]] <= 6
+
+
+def test_places_of_words_that_are_not_looked_up_are_those_of_known_ones(spark, monkeypatch):
+    kinds = {f"w{i}{e}": 1 + 400 // (i + 1) for i in range(400) for e in ("ab", "cd", "x")} | {"": 9}
+    counts = word_table(spark, kinds)
+    whole = maxent.build_vocabulary(counts)
+    monkeypatch.setattr(maxent, "KNOWN_WORDS", 50)
+    part = maxent.build_vocabulary(counts)
+    assert 1 < len(part.words) <= 51 and np.array_equal(part.trees.first, whole.trees.first)
+    found = {r["word"].decode(): (r["place"], r["c"]) for r in maxent.word_places(counts, part).collect()}
+    assert found.keys() | {w.decode() for w in part.words} == set(kinds) and len(found) == len(kinds) - len(part.words)
+    assert all(found[w] == (place_of(whole, w), kinds[w]) for w in found)
+    # with them added, the nodes above them are the same
+    word = min(found)
+    number = whole.index[word.encode()]
+    more = part.with_words(np.array([found[word][0]]))
+    for own, at in ((whole, number), (more, len(part.group))):
+        path = slice(own.path_start[at], own.path_start[at] + own.path_length[at])
+        nodes = own.path_node[path]
+        mine = (own.node[nodes].tolist(), own.path_branch[path].tolist(), own.node_bias[nodes])
+        if own is whole:
+            wanted = mine
+    assert mine[:2] == wanted[:2] and np.array_equal(mine[2], wanted[2])
+
+
+@pytest.mark.parametrize("known", [1 << 18, 20])
+def test_words_far_from_the_commonest_are_predicted_from_their_context(frame_of, monkeypatch, known):
+    monkeypatch.setattr(maxent, "KNOWN_WORDS", known)
+    monkeypatch.setattr(maxent, "TRAINERS_PER_CORE", 1)
+    pairs = [(i, f"k{i % 300}aa m{i % 300}bb " * 12) for i in range(2400)]
+    found = maxent.score_documents(frame_of(pairs)).collect()
+    check(found, pairs)
+    rows = [r for r in found if r["held_out"]]
+    per_word = sum(r["score"] for r in rows) / sum(r["n_tokens"] for r in rows)
+    plain = sum(r["base_score"] for r in rows) / sum(r["n_tokens"] for r in rows)
+    print(per_word, plain)
+    assert per_word > 0.5 * plain
+
+
+def test_rows_grow_with_the_words():
+    assert maxent.feature_rows(0) == maxent.feature_rows(1000) == maxent.FEATURE_ROWS
+    assert maxent.feature_rows(4_000_000) == 2 * maxent.feature_rows(1_000_000) > maxent.FEATURE_ROWS
