@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from glyphmill.functions.arrays import bind, running_sum
 from glyphmill.llm.columns import as_text, quoted, row_key
-from glyphmill.sources.scratch import materialize
+from glyphmill.sources.scratch import materialize, thinned
 
 SHINGLE = 5
 SIMILARITY = 0.75
@@ -188,7 +188,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     if not grams:
         return docs.sparkSession.createDataFrame([], schema)
     placed = items.select("size", "gram", F.posexplode(_by_gram(F.col("words"), F.col("gram"), grams)).alias("at", "h"))
-    anchors = materialize(placed.select("h", "at", "size").distinct(), "item-shingles", thin=True)
+    anchors = materialize(thinned(placed.select("h", "at", "size").distinct()), "item-shingles")
     table, bits = _bit_filter(anchors.select("h").distinct())
 
     # places in the documents that may hold a shingle of an item
@@ -224,7 +224,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     starts = hits.join(anchors, "h").groupBy("k1", "k2", "size", begin.alias("start")).agg(F.min("row").alias("row"))
     # as many as the document has words and the benchmark sizes, at most; of repeated rows one is taken
     starts = starts.groupBy("k1", "k2").agg(F.collect_list(F.struct("size", "start")).alias("starts"), F.min("row").alias("row"))
-    starts = materialize(starts.select("row", "starts"), "window-starts", thin=True)
+    starts = materialize(thinned(starts.select("row", "starts")), "window-starts")
     once = held.select("row", "doc_id", "k1", "k2", "words").join(starts, "row")
     windows = (
         once.select("doc_id", "k1", "k2", "words", F.explode("starts").alias("at"))
@@ -236,7 +236,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     distinct = materialize(windows.groupBy("w1", "w2", "size").agg(F.first("words").alias("words")), "distinct-windows")
 
     prints = distinct.select("w1", "w2", "size", fingerprint(F.col("words")).alias("print"))
-    prints = materialize(prints, "window-prints", thin=True)
+    prints = materialize(thinned(prints), "window-prints")
     item_prints = materialize(items.select("item_id", "size", fingerprint(F.col("words")).alias("item_print")), "item-prints")
     near = (
         prints.select("*", F.explode(_blocks(F.col("print"))).alias("b")).select("w1", "w2", "size", "print", "b.*")
@@ -254,9 +254,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
         shingles = _by_gram(F.col("words"), F.least(F.col("size"), F.lit(SHINGLE)), grams)
         return frame.select(*keys, "size", F.explode(bind(shingles, lambda s: _prefix(s, similarity))).alias("h"))
 
-    item_prefixes = materialize(prefixes(items, "item_id").distinct(), "item-prefixes", thin=True)
+    item_prefixes = materialize(thinned(prefixes(items, "item_id").distinct()), "item-prefixes")
     covered = prefixes(distinct, "w1", "w2").join(item_prefixes, ["size", "h"]).select("w1", "w2", "size", "item_id")
-    near = materialize(near.unionByName(covered).distinct(), "near-windows", thin=True)
+    near = materialize(thinned(near.unionByName(covered).distinct()), "near-windows")
     item_words = items.select("item_id", "gram", F.col("words").alias("item_words"))
     compared = near.join(distinct, ["w1", "w2", "size"]).join(item_words, "item_id")
     own, other = (_by_gram(F.col(c), F.col("gram"), grams) for c in ("words", "item_words"))
@@ -264,7 +264,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     verified = compared.select("w1", "w2", "size", "item_id", value.alias("similarity")).where(
         F.col("similarity") >= similarity
     )
-    verified = materialize(verified, "verified-windows", thin=True)
+    verified = materialize(thinned(verified), "verified-windows")
     best = F.max(F.struct("similarity", (-F.col("start")).alias("minus"))).alias("best")
     return (
         windows.select("doc_id", "k1", "k2", "size", "start", "w1", "w2")
