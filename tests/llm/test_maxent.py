@@ -196,7 +196,6 @@ def test_words_far_from_the_commonest_are_predicted_from_their_context(frame_of,
     rows = [r for r in found if r["held_out"]]
     per_word = sum(r["score"] for r in rows) / sum(r["n_tokens"] for r in rows)
     plain = sum(r["base_score"] for r in rows) / sum(r["n_tokens"] for r in rows)
-    print(per_word, plain)
     assert per_word > 0.5 * plain
 
 
